@@ -23,17 +23,16 @@ def permit_id(year, sequence) -> Column:
     return oracle_concat(year, F.lit("-"), sequence)
 
 
-def row_identifier(cols: Sequence, absent: Sequence[str] = (), sep: str = "") -> Column:
-    """Key columns printed and glued (no separator by default); a null part prints ``None``.
-
-    ``absent`` names key columns missing from the input: they print ``None`` too.
-    """
+def row_identifier(cols: Sequence, absent: Sequence[str] = (), sep: str = "", null_text: str = "None") -> Column:
+    """Key columns printed and glued (no separator by default); a null part prints
+    ``null_text`` (``None``). ``absent`` names key columns missing from the input: they
+    always print ``None`` (use ``null_text=""`` when a null stands for a blank field)."""
     parts = []
     for c in cols:
         if isinstance(c, str) and c in absent:
             parts.append(F.lit("None"))
         else:
-            parts.append(F.coalesce(as_col(c).cast("string"), F.lit("None")))
+            parts.append(F.coalesce(as_col(c).cast("string"), F.lit(null_text)))
     return F.concat_ws(sep, *parts) if sep else F.concat(*parts)
 
 

@@ -11,6 +11,15 @@ from ..functions._util import quote
 from ..functions.text import snake_name
 
 
+def mapped_columns(df: DataFrame, mapping: Mapping[str, str], strict: bool = True, absent_type: str = "string"):
+    """The column list of :func:`map_fields` (to combine with other columns in one select)."""
+    have = set(df.columns)
+    return [
+        F.col(quote(src)).alias(dst) if (src in have or strict) else F.lit(None).cast(absent_type).alias(dst)
+        for src, dst in mapping.items()
+    ]
+
+
 def map_fields(df: DataFrame, mapping: Mapping[str, str], strict: bool = True, absent_type: str = "string") -> DataFrame:
     """Select and rename by ``{source_name: output_name}``, in mapping order.
 
@@ -18,14 +27,7 @@ def map_fields(df: DataFrame, mapping: Mapping[str, str], strict: bool = True, a
     ``strict=False``: a missing source column becomes a typed null column.
     Source names may hold ``.``, ``#``, ``?``, ``(``: they are always back-quoted.
     """
-    have = set(df.columns)
-    cols = []
-    for src, dst in mapping.items():
-        if src in have or strict:
-            cols.append(F.col(quote(src)).alias(dst))
-        else:
-            cols.append(F.lit(None).cast(absent_type).alias(dst))
-    return df.select(*cols)
+    return df.select(*mapped_columns(df, mapping, strict, absent_type))
 
 
 def snake_columns(df: DataFrame) -> DataFrame:

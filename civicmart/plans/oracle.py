@@ -266,7 +266,7 @@ WHERE EXISTS (SELECT 1 FROM grid g WHERE g.department = f.department AND g.fisca
 
     q["to_records"] = """
 SELECT c_custkey AS customer_id,
-  to_json(struct_pack(customer_id := c_custkey, name := c_name, fax := CAST(NULL AS VARCHAR))) AS record
+  CAST(to_json(struct_pack(customer_id := c_custkey, name := c_name, fax := CAST(NULL AS VARCHAR))) AS VARCHAR) AS record
 FROM customer"""
 
     return q

@@ -178,3 +178,12 @@ def run_named_query(name: str, tables: dict[str, DataFrame], **params) -> DataFr
         raise KeyError(f"unknown query {name!r}; choose one of {sorted(NAMED_QUERIES)}")
     fn, needs = NAMED_QUERIES[name]
     return fn(*[tables[t] for t in needs], **params)
+
+
+def permit_extract_job(tables: dict[str, DataFrame], name: str, out_path: str, **params) -> DataFrame:
+    """Run a named query and write it as a CSV extract (sorted by type where it has one)."""
+    from ..sinks.files import write_csv
+
+    df = run_named_query(name, tables, **params)
+    write_csv(df, out_path, order_by=["foldertype"] if "foldertype" in df.columns else None)
+    return df

@@ -93,3 +93,23 @@ def weekly_permit_summary(
         "rw_applications_received",
         "rw_permits_issued",
     )
+
+
+def weekly_summary_job(spark, paths: dict[str, str], out_path: str) -> DataFrame:
+    """Read the five daily-count extracts and replace the published weekly table.
+
+    ``paths`` keys: applications, issued (permit extracts: foldertype, subcode, day,
+    issuedrowpermits), commercial, extension, residential (sheet counts: date, count_permits).
+    """
+    from ..sinks.files import write_replace
+    from ..sources.files import read_csv_table
+
+    permit_schema = "foldertype string, subcode bigint, day date, issuedrowpermits bigint"
+    sheet_schema = "date date, count_permits bigint"
+    frames = {
+        k: read_csv_table(spark, paths[k], schema=permit_schema if k in ("applications", "issued") else sheet_schema)
+        for k in ("applications", "issued", "commercial", "extension", "residential")
+    }
+    out = weekly_permit_summary(**frames)
+    write_replace(out, out_path)
+    return out

@@ -1,0 +1,14 @@
+"""Sources: CSV, UTF-16 TSV, report files, catalog JSON, JDBC."""
+
+from .files import (
+    read_catalog_json,
+    read_csv_files_by_name,
+    read_csv_strings,
+    read_csv_table,
+    read_report_files,
+    read_utf16_tsv,
+    with_file_stamp,
+)
+from .jdbc import read_jdbc_table, read_permit_tables
+
+__all__ = [n for n in dir() if not n.startswith("_")]
