@@ -120,7 +120,9 @@ def derive_report_rows(rows: DataFrame, spec: ReportSpec, absent: Sequence[str]
             "fiscal_month": fiscal_month(F.col("month")),
         }
     )
-    rid = row_identifier(list(spec.id_cols), absent=[c for c in spec.id_cols if c in absent], null_text="")
+    derived = {"department", "year", "month", "fiscal_year", "fiscal_month"}
+    absent_keys = [c for c in spec.id_cols if c in absent and c not in derived]
+    rid = row_identifier(list(spec.id_cols), absent=absent_keys, null_text="")
     numeric = {}
     for c in spec.numeric_cols:
         kind = ("double" if c.startswith("percent_") else "decimal(18,2)") if typed else None
