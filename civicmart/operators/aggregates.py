@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions._util import as_col
@@ -43,6 +43,12 @@ def rotate_categories(
     return df.agg(*aggs)
 
 
+def _gap_weeks(week: Column, next_week: Column) -> Column:
+    """This week followed by the empty weeks up to (not including) the next present week."""
+    last = F.coalesce(F.date_sub(next_week, 7), week)
+    return F.sequence(week, last, F.expr("INTERVAL 7 DAYS"))
+
+
 def weekly_resample(
     df: DataFrame,
     date_col: str,
@@ -53,10 +59,11 @@ def weekly_resample(
     """Sum per calendar week (Sunday..Saturday, labelled by the Saturday) per ``by`` group.
 
     Weeks without rows inside a group's own first..last week appear with 0; no week outside
-    that span appears. Plan: one partial+final aggregate by (group, week); the span per
-    group comes from that (small) result; the spine is ``explode(sequence(lo, hi, 7 days))``
-    per group and is joined back on (group, week). The spine has at most one row per
-    (group, week), so a hot group costs calendar weeks, not rows.
+    that span appears. Plan: one partial+final aggregate by (group, week); then, per group
+    ordered by week, each present week emits itself and the empty weeks up to the next
+    present week (``lead`` + ``sequence``). One pass over the input, no join; the window
+    sorts the aggregated weeks of a group, at most one row per calendar week, so a group
+    holding a third of all rows costs calendar weeks, not rows.
     """
     d = F.to_date(as_col(date_col))
     wk = week_ending_saturday(d)
@@ -66,10 +73,15 @@ def weekly_resample(
         .groupBy(*keys, wk.alias(week_col))
         .agg(*[F.sum(as_col(c)).alias(c) for c in value_cols])
     )
-    spans = weekly.groupBy(*by).agg(F.min(week_col).alias("__lo"), F.max(week_col).alias("__hi"))
-    spine = spans.select(*by, F.explode(F.sequence("__lo", "__hi", F.expr("INTERVAL 7 DAYS"))).alias(week_col))
-    out = spine.join(weekly, [*by, week_col], "left")
-    return out.select(*by, week_col, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in value_cols])
+    w = Window.partitionBy(*by).orderBy(week_col) if by else Window.orderBy(week_col)
+    spread = weekly.select(*by, *value_cols, week_col, F.lead(week_col).over(w).alias("__next")).select(
+        *by, *value_cols, F.posexplode(_gap_weeks(F.col(week_col), F.col("__next"))).alias("__pos", week_col)
+    )
+    return spread.select(
+        *by,
+        week_col,
+        *[F.when(F.col("__pos") == 0, F.coalesce(F.col(c), F.lit(0))).otherwise(F.lit(0)).alias(c) for c in value_cols],
+    )
 
 
 def weekly_measure_matrix(
@@ -88,9 +100,11 @@ def weekly_measure_matrix(
     over its own first..last week (weeks inside with no value give 0); the output has the
     union of those weeks; a cell outside its measure's span is 0 as well.
 
-    Plan: a single aggregate by week with conditional sums (map-side combine, output has
-    one row per week), then a spine of weeks built from per-measure spans of that small
-    result. Nothing is collected to the driver.
+    Plan: a single aggregate by week with conditional sums (map-side combine; its output
+    has one row per calendar week that has data), then one window over those week rows
+    (ordered; per-measure span bounds and the next present week) that emits the empty
+    weeks lying inside some measure's span. One pass over the input, no join. The window
+    holds one row per calendar week, a size bounded by the date range, not by the data.
     """
     m, s, v = as_col(measure_col), as_col(series_col), as_col(value_col)
     measures = sorted({cell[0] for cell in cells})
@@ -98,20 +112,25 @@ def weekly_measure_matrix(
     aggs = [F.sum(F.when((m == F.lit(mm)) & (s == F.lit(ss)), v)).alias(out) for mm, ss, out in cells]
     present = [F.max(F.when(m == F.lit(mm), F.lit(True))).alias(f"__has{i}") for i, mm in enumerate(measures)]
     weekly = long_df.where(d.isNotNull()).groupBy(week_ending_saturday(d).alias(week_col)).agg(*aggs, *present)
-    bounds = []
+    whole = Window.orderBy(week_col).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ordered = Window.orderBy(week_col)
+    spans = []
     for i in range(len(measures)):
         w = F.when(F.col(f"__has{i}"), F.col(week_col))
-        bounds += [F.min(w).alias(f"__lo{i}"), F.max(w).alias(f"__hi{i}")]
-    seqs = [
-        F.coalesce(F.sequence(F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.expr("INTERVAL 7 DAYS")), F.array().cast("array<date>"))
-        for i in range(len(measures))
-    ]
-    all_weeks = seqs[0]
-    for q in seqs[1:]:
-        all_weeks = F.array_union(all_weeks, q)
-    spine = weekly.agg(*bounds).select(F.explode(all_weeks).alias(week_col))
-    out = spine.join(weekly, week_col, "left")
-    return out.select(week_col, *[F.coalesce(F.col(out).cast("double"), F.lit(0.0)).alias(out) for _, _, out in cells])
+        spans.append(F.struct(F.min(w).over(whole).alias("lo"), F.max(w).over(whole).alias("hi")))
+    outs = [out for _, _, out in cells]
+    spread = weekly.select(
+        *outs, week_col, F.array(*spans).alias("__spans"), F.lead(week_col).over(ordered).alias("__next")
+    ).select(*outs, "__spans", F.posexplode(_gap_weeks(F.col(week_col), F.col("__next"))).alias("__pos", week_col))
+    in_span = F.exists("__spans", lambda sp: (sp["lo"] <= F.col(week_col)) & (F.col(week_col) <= sp["hi"]))
+    kept = spread.where((F.col("__pos") == 0) | in_span)
+    return kept.select(
+        week_col,
+        *[
+            F.when(F.col("__pos") == 0, F.coalesce(F.col(o).cast("double"), F.lit(0.0))).otherwise(F.lit(0.0)).alias(o)
+            for o in outs
+        ],
+    )
 
 
 def observe_count(df: DataFrame, name: str) -> tuple[DataFrame, object]:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import join_tags
 from ..functions.dates import (
     fiscal_month,
+    round_to_day,
     fiscal_year,
     iso_text,
     month_end_text,
@@ -35,7 +36,7 @@ from ..operators.reports import report_grid, slice_reports
 from ..operators.upsert import upsert
 from ..sinks.records import to_records
 from . import permits
-from .weekly import weekly_permit_summary
+from . import weekly
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,9 +46,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------- domain views of driver tables
 
 
-def folder_from_events(events: DataFrame) -> DataFrame:
+def folder_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """events as permit folders: type from event_type, sub-code = user, status = props.k,
-    intake = ts, issue = ts + floor(value) hours."""
+    intake = ts, issue = ts + floor(value) hours (``keep``: extra event columns)."""
     ftype = (
         F.when(F.col("event_type") == "view", "DS")
         .when(F.col("event_type") == "purchase", "EX")
@@ -61,6 +62,7 @@ def folder_from_events(events: DataFrame) -> DataFrame:
         F.get_json_object("props", "$.k").cast("int").alias("statuscode"),
         F.col("ts").alias("indate"),
         F.timestamp_add("HOUR", F.floor("value").cast("int"), F.col("ts")).alias("issuedate"),
+        *keep,
     )
 
 
@@ -180,6 +182,24 @@ def q_weekly_resample(spark, sf):
 
 
 def q_weekly_permit_summary(spark, sf):
+    """All five measures come from ``events``: tagged in one scan (see :func:`tag_measures`);
+    equal to ``weekly_permit_summary`` over the five separate daily extracts."""
+    events = table(spark, sf, "events")
+    folder = folder_from_events(events, keep=("event_type", "ts"))
+    ts, et = F.col("ts"), F.col("event_type")
+    sheet = F.lit(weekly.SHEET_SERIES)
+    specs = [
+        (weekly.APPLICATIONS, permits.applications_condition(**EVENTS_APPLICATIONS), round_to_day("indate"), F.col("foldertype")),
+        (weekly.ISSUED, permits.issued_condition(**EVENTS_ISSUED), round_to_day("issuedate"), F.col("foldertype")),
+        (weekly.COMMERCIAL, (et == "signup") & ts.isNotNull(), ts, sheet),
+        (weekly.EXTENSION, (et == "error") & (ts < F.lit(EXTENSION_CUT)) & ts.isNotNull(), ts, sheet),
+        (weekly.RESIDENTIAL, (et == "view") & ts.isNotNull(), ts, sheet),
+    ]
+    return weekly.summary_from_long(weekly.tag_measures(folder, specs))
+
+
+def q_weekly_permit_summary_extracts(spark, sf):
+    """The same table through the five separate daily extracts (five scans)."""
     events = table(spark, sf, "events")
     folder = folder_from_events(events)
     apps = permits.applications_received(folder, **EVENTS_APPLICATIONS)
@@ -187,7 +207,7 @@ def q_weekly_permit_summary(spark, sf):
     commercial = count_by_date(events.where(F.col("event_type") == "signup"), "ts")
     extension = count_by_date(events.where((F.col("event_type") == "error") & (F.col("ts") < F.lit(EXTENSION_CUT))), "ts")
     residential = count_by_date(events.where(F.col("event_type") == "view"), "ts")
-    return weekly_permit_summary(apps, issued, commercial, extension, residential)
+    return weekly.weekly_permit_summary(apps, issued, commercial, extension, residential)
 
 
 def q_rotate_categories(spark, sf):
@@ -336,6 +356,7 @@ def q_to_records(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weekly_permit_summary": q_weekly_permit_summary,
+    "weekly_permit_summary_extracts": q_weekly_permit_summary_extracts,
     "applications_received": q_applications_received,
     "issued_permits": q_issued_permits,
     "active_permits": q_active_permits,

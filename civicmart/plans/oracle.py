@@ -158,6 +158,8 @@ SELECT strftime(weeks.week, '%Y-%m-%d') || 'T00:00:00.000' AS date,
   CAST(COALESCE(iss_rw, 0) AS DOUBLE) AS rw_permits_issued
 FROM weeks LEFT JOIN sums ON weeks.week = sums.week"""
 
+    q["weekly_permit_summary_extracts"] = q["weekly_permit_summary"]
+
     q["rotate_categories"] = f"""
 WITH folder AS ({PART_FOLDER}),
 active AS (SELECT foldertype, COUNT(*) AS activepermits FROM folder WHERE {PART_ACTIVE_WHERE} GROUP BY 1)

@@ -47,19 +47,18 @@ def _daily_counts(folder: DataFrame, date_col: str, condition) -> DataFrame:
     )
 
 
-def applications_received(
-    folder: DataFrame,
+def applications_condition(
     since: dt.date = SINCE,
     ds_types: Sequence[str] = (DS,),
     other_types: Sequence[str] = (RW, EX),
     ds_excluded_status: Sequence[int] = DS_EXCLUDED_STATUS,
     other_excluded_status: Sequence[int] = RW_EX_EXCLUDED_STATUS,
     excluded_subcodes: Sequence[int] = EXCLUDED_SUBCODES,
-) -> DataFrame:
-    """Applications per (type, sub-code, day of intake, rounded to the nearest day)."""
+):
+    """Row filter of :func:`applications_received` (SQL three-valued logic)."""
     d = F.col("indate")
     dated = [d >= F.lit(since), d.isNotNull()]
-    cond = any_branch(
+    return any_branch(
         [F.col("foldertype").isin(list(ds_types)), not_in("statuscode", ds_excluded_status), *dated],
         [
             F.col("foldertype").isin(list(other_types)),
@@ -68,24 +67,37 @@ def applications_received(
             *dated,
         ],
     )
-    return _daily_counts(folder, "indate", cond)
 
 
-def issued_permits(
-    folder: DataFrame,
+def applications_received(folder: DataFrame, **params) -> DataFrame:
+    """Applications per (type, sub-code, day of intake, rounded to the nearest day).
+
+    ``params``: see :func:`applications_condition` (defaults: the permit system's codes).
+    """
+    return _daily_counts(folder, "indate", applications_condition(**params))
+
+
+def issued_condition(
     since: dt.date = SINCE,
     any_subcode_types: Sequence[str] = (EX, DS),
     filtered_types: Sequence[str] = (RW,),
     excluded_subcodes: Sequence[int] = EXCLUDED_SUBCODES,
-) -> DataFrame:
-    """Issued permits per (type, sub-code, day of issue, rounded to the nearest day)."""
+):
+    """Row filter of :func:`issued_permits`."""
     d = F.col("issuedate")
     dated = [d >= F.lit(since), d.isNotNull()]
-    cond = any_branch(
+    return any_branch(
         [F.col("foldertype").isin(list(any_subcode_types)), *dated],
         [F.col("foldertype").isin(list(filtered_types)), not_in("subcode", excluded_subcodes), *dated],
     )
-    return _daily_counts(folder, "issuedate", cond)
+
+
+def issued_permits(folder: DataFrame, **params) -> DataFrame:
+    """Issued permits per (type, sub-code, day of issue, rounded to the nearest day).
+
+    ``params``: see :func:`issued_condition`.
+    """
+    return _daily_counts(folder, "issuedate", issued_condition(**params))
 
 
 def active_permits(

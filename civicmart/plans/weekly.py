@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import iso_week_label
@@ -50,27 +52,27 @@ def sheet_daily(df: DataFrame, measure: str, date_col: str = "date", count_col:
     )
 
 
-def weekly_permit_summary(
-    applications: DataFrame,
-    issued: DataFrame,
-    commercial: DataFrame,
-    extension: DataFrame,
-    residential: DataFrame,
-) -> DataFrame:
-    """The published weekly table.
+def tag_measures(df: DataFrame, specs: Sequence[tuple[str, Column, Column, Column]]) -> DataFrame:
+    """Daily long form of several measures in one pass over ``df``.
 
-    ``applications``/``issued``: daily permit counts (foldertype, subcode, day,
-    issuedrowpermits). ``commercial``/``extension``/``residential``: daily sheet counts
-    (date, count_permits). Sheet requests for DS permits are added to the DS applications
-    after the zero fill; the week label is ``yyyy-MM-ddT00:00:00.000``.
+    ``specs``: ``(measure, condition, day, series)``; a row contributes ``n = 1`` to every
+    measure whose condition it meets. Use when several measures come from the same table:
+    one scan and one aggregate instead of one of each per measure.
     """
-    long = (
-        permit_daily(applications, APPLICATIONS)
-        .unionByName(permit_daily(issued, ISSUED))
-        .unionByName(sheet_daily(commercial, COMMERCIAL))
-        .unionByName(sheet_daily(extension, EXTENSION))
-        .unionByName(sheet_daily(residential, RESIDENTIAL))
+    tags = F.array(
+        *[
+            F.when(cond, F.struct(F.lit(name).alias("measure"), series.alias("series"), F.to_date(day).alias("day")))
+            for name, cond, day, series in specs
+        ]
     )
+    # explode, then a plain filter: both stay in whole-stage codegen (a lambda ``filter``
+    # on the array would be evaluated outside it)
+    exploded = df.select(F.explode(tags).alias("__t")).where(F.col("__t").isNotNull())
+    return exploded.select("__t.*", F.lit(1).cast("bigint").alias("n"))
+
+
+def summary_from_long(long: DataFrame) -> DataFrame:
+    """The published weekly table from the daily long form (measure, series, day, n)."""
     cells = [
         (EXTENSION, SHEET_SERIES, "extension_requests"),
         (APPLICATIONS, DS, "__ds_app"),
@@ -95,6 +97,30 @@ def weekly_permit_summary(
     )
 
 
+def weekly_permit_summary(
+    applications: DataFrame,
+    issued: DataFrame,
+    commercial: DataFrame,
+    extension: DataFrame,
+    residential: DataFrame,
+) -> DataFrame:
+    """The published weekly table.
+
+    ``applications``/``issued``: daily permit counts (foldertype, subcode, day,
+    issuedrowpermits). ``commercial``/``extension``/``residential``: daily sheet counts
+    (date, count_permits). Sheet requests for DS permits are added to the DS applications
+    after the zero fill; the week label is ``yyyy-MM-ddT00:00:00.000``.
+    """
+    long = (
+        permit_daily(applications, APPLICATIONS)
+        .unionByName(permit_daily(issued, ISSUED))
+        .unionByName(sheet_daily(commercial, COMMERCIAL))
+        .unionByName(sheet_daily(extension, EXTENSION))
+        .unionByName(sheet_daily(residential, RESIDENTIAL))
+    )
+    return summary_from_long(long)
+
+
 def weekly_summary_job(spark, paths: dict[str, str], out_path: str) -> DataFrame:
     """Read the five daily-count extracts and replace the published weekly table.
 
