@@ -31,19 +31,17 @@ def upsert(
     order_cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows of ``target`` whose key is not in ``increment``, plus the increment (deduplicated
-    last-wins by ``order_cols`` when given). Key parts compare null-safe.
+    last-wins by ``order_cols`` when given). Keys compare null-safe; ``target`` is keyed
+    (one row per key).
 
-    Two shuffles on the key (anti join), one on the increment (dedupe); the increment's
-    key partitioning is reused by the join when the keys match.
+    One aggregate over ``target UNION increment`` keyed by ``keys``, keeping per key the
+    greatest ``(from_increment, order...)``: each input is read once and shuffled once,
+    combined map-side (no separate anti join that would read the increment a second time).
     """
     keys = list(keys)
-    inc = last_wins(increment, keys, order_cols) if order_cols else increment
-    if order_cols:
-        inc = inc.drop(*[c for c in order_cols if c not in target.columns])
-    inc_keys = inc.select(*[F.col(quote(k)).alias(f"__k{i}") for i, k in enumerate(keys)])
-    cond = None
-    for i, k in enumerate(keys):
-        c = target[quote(k)].eqNullSafe(F.col(f"__k{i}"))
-        cond = c if cond is None else cond & c
-    kept = target.join(inc_keys, cond, "left_anti")
-    return kept.unionByName(inc.select(*[F.col(quote(c)) for c in target.columns]))
+    order_cols = list(order_cols or [])
+    cols = target.columns
+    t = target.select(*[F.col(quote(c)) for c in cols], F.lit(0).alias("__src"))
+    i = increment.select(*[F.col(quote(c)) for c in cols], *[F.col(quote(c)) for c in order_cols], F.lit(1).alias("__src"))
+    both = t.unionByName(i, allowMissingColumns=True)
+    return last_wins(both, keys, ["__src", *order_cols]).select(*[F.col(quote(c)) for c in cols])

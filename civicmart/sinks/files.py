@@ -83,17 +83,15 @@ def write_upsert(
     executor loss. Returns the merged slice.
     """
     spark = increment.sparkSession
-    inc = last_wins(increment, keys, order_cols) if order_cols else increment
-    if order_cols:
-        inc = inc.drop(*order_cols)
+    order_cols = list(order_cols or [])
     if _exists(spark, path):
         target = spark.read.parquet(path)
         if partition_cols:
-            touched = inc.select(*[quote(c) for c in partition_cols]).distinct()
+            touched = increment.select(*[quote(c) for c in partition_cols]).distinct()
             target = target.join(touched, list(partition_cols), "left_semi")
-        merged = upsert(target, inc.select(*[quote(c) for c in target.columns]), keys)
+        merged = upsert(target, increment, keys, order_cols)
     else:
-        merged = inc
+        merged = last_wins(increment, keys, order_cols).drop(*order_cols) if order_cols else increment
     merged = cut_lineage(merged)
     w = merged.write.mode("overwrite")
     if partition_cols:
