@@ -1,6 +1,6 @@
 """Column -> Column functions (calendar, text, nulls, arrays, projection)."""
 
-from .arrays import join_tags, last_value_of, merged_pairs, pick_metadata
+from .arrays import join_tags, last_value_of, merged_pairs, pairs_to_map, pick_metadata
 from .dates import (
     fiscal_month,
     fiscal_year,
@@ -14,6 +14,7 @@ from .dates import (
     parse_ts,
     parse_utc_text,
     previous_month,
+    resolve_year_month,
     round_to_day,
     utc_to_local,
     week_ending_saturday,

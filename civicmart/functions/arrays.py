@@ -41,5 +41,17 @@ def pick_metadata(pairs, fields: Mapping[str, str], default: str = "") -> list[C
     return [last_value_of(pairs, k, default).alias(v) for k, v in fields.items()]
 
 
-def sorted_distinct(values: Sequence[str]) -> list[str]:
-    return sorted(set(values))
+def pairs_to_map(pairs) -> Column:
+    """``map<key, value>`` of key/value pairs where the last pair of a key wins.
+
+    Only the last occurrence of each key is kept before ``map_from_entries`` (which
+    rejects duplicate keys under the default dedup policy), so no session setting is
+    needed. Per-row work is quadratic in the (small, per-record) number of pairs.
+    """
+    arr = as_col(pairs)
+
+    def is_last(x, i):
+        later = F.slice(arr, i + 2, F.greatest(F.size(arr) - i - 1, F.lit(1)))
+        return (i == F.size(arr) - 1) | ~F.exists(later, lambda y: y["key"] == x["key"])
+
+    return F.map_from_entries(F.filter(arr, is_last))

@@ -62,6 +62,13 @@ def previous_month(year: int, month: int) -> tuple[int, int]:
     return first.year, first.month
 
 
+def resolve_year_month(year: int | None = None, month: int | None = None, today: _dt.date | None = None) -> tuple[int, int]:
+    """Job parameter defaults: the current year and/or month when not given (driver side;
+    queries never read ``current_date()``, so they stay reproducible)."""
+    today = today or _dt.date.today()
+    return (year or today.year, month or today.month)
+
+
 def iso_text(ts) -> Column:
     """``yyyy-MM-ddTHH:mm:ss`` text; null stays null; fraction dropped."""
     return F.date_format(as_col(ts), ISO_SECONDS)

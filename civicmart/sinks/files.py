@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions._util import quote
@@ -12,6 +13,24 @@ from ..operators.upsert import last_wins, upsert
 from ..session import cut_lineage
 
 
+log = logging.getLogger("civicmart.sinks")
+
+
+def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """Attach a row counter that the write fills in (no separate count job)."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def _rows(obs: Observation, what: str, path: str) -> int:
+    try:
+        n = int(obs.get.get("rows", 0))
+    except Exception:  # noqa: BLE001 - no task ran (empty input): the write succeeded with 0 rows
+        n = 0
+    log.info("wrote %d rows (%s) to %s", n, what, path)
+    return n
+
+
 def write_csv(
     df: DataFrame,
     path: str,
@@ -19,10 +38,12 @@ def write_csv(
     single_file: bool = False,
     first: Sequence[str] = (),
     mode: str = "overwrite",
-) -> None:
+) -> int:
     """CSV with a header. ``first`` moves columns to the front (e.g. a date index);
     ``order_by`` sorts globally (a range shuffle, only at the sink); ``single_file``
-    gathers the output into one file and is meant for small extracts only."""
+    gathers the output into one file and is meant for small extracts only.
+    Returns the number of rows written."""
+    df, obs = _observed(df, "write_csv")
     if first:
         df = df.select(*[quote(c) for c in first], *[quote(c) for c in df.columns if c not in first])
     if order_by:
@@ -30,14 +51,16 @@ def write_csv(
     if single_file:
         df = df.coalesce(1)
     df.write.mode(mode).option("header", True).csv(path)
+    return _rows(obs, "csv", path)
 
 
 def write_report_partitions(
     df: DataFrame, path: str, partition_cols: Sequence[str] = ("report", "month_end", "department"), fmt: str = "csv"
-) -> None:
+) -> int:
     """One folder per (report, period end, department). Dynamic partition overwrite: only
     partitions that receive rows are replaced, so an empty result leaves the earlier
-    files in place and no emptiness check (extra job) is needed."""
+    files in place and no emptiness check (extra job) is needed. Returns the row count."""
+    df, obs = _observed(df, "write_report_partitions")
     (
         df.repartition(*[quote(c) for c in partition_cols])
         .write.mode("overwrite")
@@ -47,6 +70,7 @@ def write_report_partitions(
         .format(fmt)
         .save(path)
     )
+    return _rows(obs, "report partitions", path)
 
 
 def _exists(df_or_spark, path: str) -> bool:
@@ -58,12 +82,14 @@ def _exists(df_or_spark, path: str) -> bool:
         return False
 
 
-def write_replace(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
-    """Replace the whole published table (Parquet)."""
+def write_replace(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> int:
+    """Replace the whole published table (Parquet). Returns the row count."""
+    df, obs = _observed(df, "write_replace")
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
+    return _rows(obs, "replace", path)
 
 
 def write_upsert(

@@ -153,3 +153,20 @@ def test_projection_round_trip_grid(spark):
     q = p.select("x", "y", wgs84_to_state_plane(F.col("p.lat"), F.col("p.lon")).alias("q"))
     worst = q.select(F.max(F.greatest(F.abs(F.col("q.x") - F.col("x")), F.abs(F.col("q.y") - F.col("y")))).alias("e")).first().e
     assert worst < 1e-6
+
+
+def test_pairs_to_map_last_wins(spark):
+    from civicmart.functions import pairs_to_map
+
+    df = spark.createDataFrame([([("a", "9"), ("b", "1"), ("a", "2")],), ([],)], "p array<struct<key:string,value:string>>")
+    got = [r[0] for r in df.select(pairs_to_map("p")).collect()]
+    assert got == [{"b": "1", "a": "2"}, {}]
+
+
+def test_resolve_year_month():
+    import datetime as dt
+
+    from civicmart.functions import resolve_year_month
+
+    assert resolve_year_month(None, None, dt.date(2023, 5, 2)) == (2023, 5)
+    assert resolve_year_month(2020, None, dt.date(2023, 5, 2)) == (2020, 5)

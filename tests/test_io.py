@@ -148,3 +148,9 @@ def test_jdbc_embedded_derby(spark):
     q = t.where(F.col("FOLDERTYPE") == "RW").select("FOLDERRSN")
     assert sorted(r[0] for r in q.collect()) == [1, 3, 5, 7, 9]
     assert t.rdd.getNumPartitions() == 3
+
+
+def test_sinks_return_row_counts(spark, scratch):
+    df = spark.createDataFrame([(1,), (2,), (3,)], "n int")
+    assert write_csv(df, f"{scratch}/rc") == 3
+    assert write_replace(df, f"{scratch}/rr") == 3
