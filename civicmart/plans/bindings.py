@@ -354,6 +354,101 @@ def q_to_records(spark, sf):
     return to_records(mapped, keep=["customer_id"])
 
 
+def q_service_requests(spark, sf):
+    """orders as service requests: the whole transform (projection, WKT, ISO dates,
+    fiscal year, 25-column mapping); coordinates are missing for pending orders."""
+    from .service_requests import FIELD_MAPPING, transform_service_requests
+
+    o = table(spark, sf, "orders")
+    pending = F.col("o_orderstatus") == "P"
+    given = {
+        "Service Request (SR) Number": F.concat(F.lit("SR-"), F.col("o_orderkey").cast("string")),
+        "Department": F.col("o_orderpriority"),
+        "SR Status": F.col("o_orderstatus"),
+        "Created Date": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
+        "Close Date": F.date_format(F.timestamp_add("DAY", F.lit(30), F.col("o_orderdate")), "yyyy-MM-dd HH:mm:ss"),
+        "State Plane X Coordinate": F.when(~pending, F.lit(3000000.0) + F.lit(100.0) * F.col("o_custkey")),
+        "State Plane Y Coordinate": F.when(~pending, F.lit(9900000.0) + F.lit(10.0) * F.col("o_orderkey")),
+    }
+    cols = [
+        given[c].alias(c) if c in given else F.lit(None).cast("string").alias(c)
+        for c in FIELD_MAPPING
+        if c not in ("location", "fiscal_year")
+    ]
+    return transform_service_requests(o.select(*cols))
+
+
+def q_finance_rows(spark, sf):
+    """lineitem rows as expense report rows (ship month = report month, supplier = the
+    department in the file name): the load's derived fields and row identifier."""
+    from .finance import EXPENSES, derive_report_rows
+
+    li = table(spark, sf, "lineitem")
+    given = {
+        "fund": F.col("l_returnflag"),
+        "unit": F.col("l_linestatus"),
+        "object_code": F.col("l_partkey").cast("string"),
+        "department": F.lit("0000"),
+        "unobligated": F.when(F.col("l_linenumber") == 1, F.lit("")).otherwise(F.col("l_linenumber").cast("string")),
+        "percent_obligated": F.col("l_linenumber").cast("string"),
+    }
+    rows = li.select(
+        *[given[v].alias(v) if v in given else F.lit(None).cast("string").alias(v) for v in EXPENSES.mapping.values()],
+        F.year("l_shipdate").alias("year"),
+        F.month("l_shipdate").alias("month"),
+        F.col("l_suppkey").cast("int").alias("department_from_file"),
+        F.concat(F.date_format(F.last_day("l_shipdate"), "yyyy-MM-dd"), F.lit("_"), F.col("l_suppkey").cast("string"), F.lit(".csv")).alias("source_file"),
+    )
+    return derive_report_rows(rows, EXPENSES)
+
+
+CATALOG_PUBLIC_BASE = "https://public.example/d/"
+CATALOG_INTERNAL_BASE = "https://internal.example/d/"
+
+
+def catalog_assets_from_documents(d: DataFrame) -> DataFrame:
+    """documents as nested catalog assets (resource / classification / owner structs)."""
+    kv = "struct<key:string,value:string>"
+    return d.select(
+        F.struct(
+            F.col("doc_id").cast("string").alias("id"),
+            F.col("source").alias("name"),
+            F.col("lang").alias("description"),
+            F.lit(None).cast("string").alias("attribution"),
+            F.when(F.col("n_chars") > 5000, F.lit("dataset")).otherwise(F.lit("story")).alias("type"),
+            *[F.lit(None).cast("string").alias(c) for c in ("updatedAt", "createdAt", "metadata_updated_at", "data_updated_at", "publication_date")],
+            F.col("n_chars").alias("download_count"),
+            F.struct(
+                (F.col("n_chars") / 100).cast("bigint").alias("page_views_last_week"),
+                (F.col("n_chars") / 10).cast("bigint").alias("page_views_last_month"),
+                F.col("n_chars").alias("page_views_total"),
+            ).alias("page_views"),
+        ).alias("resource"),
+        F.struct(
+            F.nullif(F.col("lang"), F.lit("fr")).alias("domain_category"),
+            F.array(F.col("lang"), F.col("source")).alias("domain_tags"),
+            F.array(F.struct(F.lit("Ownership_Department-name").alias("key"), F.col("source").alias("value"))).cast(f"array<{kv}>").alias("domain_metadata"),
+            F.array(
+                F.struct(F.lit("Ownership_Department-name").alias("key"), F.lit("private").alias("value")),
+                F.struct(F.lit("Ownership_Program-Name").alias("key"), F.col("lang").alias("value")),
+            ).cast(f"array<{kv}>").alias("domain_private_metadata"),
+        ).alias("classification"),
+        F.struct(F.col("source").alias("id"), F.upper("source").alias("display_name")).alias("owner"),
+    )
+
+
+def q_catalog_table(spark, sf):
+    """The catalog job: documents as assets, labelled-good documents as the public list,
+    label rows as dataset rows."""
+    from .catalog import build_catalog
+
+    assets = catalog_assets_from_documents(table(spark, sf, "documents"))
+    labels = table(spark, sf, "labels")
+    public = labels.where(F.col("quality") == 1).select(F.col("doc_id").cast("string").alias("id"))
+    rows = labels.select(F.col("doc_id").cast("string").alias("dataset_id"))
+    return build_catalog(assets, public, rows, "src3", "en", CATALOG_PUBLIC_BASE, CATALOG_INTERNAL_BASE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weekly_permit_summary": q_weekly_permit_summary,
     "weekly_permit_summary_extracts": q_weekly_permit_summary_extracts,
@@ -381,4 +476,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "map_fields": q_map_fields,
     "slice_reports": q_slice_reports,
     "to_records": q_to_records,
+    "service_requests": q_service_requests,
+    "finance_rows": q_finance_rows,
+    "catalog_table": q_catalog_table,
 }

@@ -271,6 +271,78 @@ SELECT c_custkey AS customer_id,
   CAST(to_json(struct_pack(customer_id := c_custkey, name := c_name, fax := CAST(NULL AS VARCHAR))) AS VARCHAR) AS record
 FROM customer"""
 
+    x = "CASE WHEN o_orderstatus <> 'P' THEN 3000000.0 + 100.0 * o_custkey END"
+    y = "CASE WHEN o_orderstatus <> 'P' THEN 9900000.0 + 10.0 * o_orderkey END"
+    slat, slon = state_plane_sql(x, y)
+    nul = "CAST(NULL AS VARCHAR)"
+    q["service_requests"] = f"""
+WITH sr AS (
+  SELECT 'SR-' || CAST(o_orderkey AS VARCHAR) AS service_request_sr_number,
+         o_orderpriority AS department, o_orderstatus AS sr_status,
+         o_orderdate AS created, o_orderdate + INTERVAL 30 DAY AS closed,
+         CAST({x} AS DOUBLE) AS px, CAST({y} AS DOUBLE) AS py,
+         {slat} AS lat, {slon} AS lon
+  FROM orders)
+SELECT service_request_sr_number, department, {nul} AS group_description, {nul} AS sr_description,
+  {nul} AS method_received, sr_status, {nul} AS is_duplicate_1_0, {nul} AS status_change_date,
+  strftime(created, '%Y-%m-%dT%H:%M:%S') AS created_date, {nul} AS overdue_on_date, {nul} AS last_update_date,
+  strftime(closed, '%Y-%m-%dT%H:%M:%S') AS close_date, {nul} AS sr_age_days, {nul} AS response_days,
+  {nul} AS open_count, {nul} AS closed_count, {nul} AS overdue_count, {nul} AS closed_on_time, {nul} AS closed_late,
+  {nul} AS of_days_late, {nul} AS sr_location, px AS state_plane_x_coordinate, py AS state_plane_y_coordinate,
+  CASE WHEN lat IS NOT NULL AND lon IS NOT NULL
+       THEN 'POINT (' || CAST(lon AS VARCHAR) || ' ' || CAST(lat AS VARCHAR) || ')' END AS location,
+  CAST(year(created) + CASE WHEN month(created) >= 10 THEN 1 ELSE 0 END AS BIGINT) AS fiscal_year
+FROM sr"""
+
+    q["finance_rows"] = f"""
+WITH r AS (
+  SELECT l_returnflag AS fund, l_linestatus AS unit, CAST(l_partkey AS VARCHAR) AS object_code,
+         CASE WHEN l_linenumber = 1 THEN '' ELSE CAST(l_linenumber AS VARCHAR) END AS unobligated,
+         CAST(l_linenumber AS VARCHAR) AS percent_obligated,
+         CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
+         CAST(l_suppkey AS INTEGER) AS department,
+         strftime(last_day(l_shipdate), '%Y-%m-%d') || '_' || CAST(l_suppkey AS VARCHAR) || '.csv' AS source_file
+  FROM lineitem),
+d AS (
+  SELECT *, CAST(year + CASE WHEN month >= 10 THEN 1 ELSE 0 END AS INTEGER) AS fiscal_year,
+         CAST(CASE WHEN month >= 10 THEN month - 9 ELSE month + 3 END AS INTEGER) AS fiscal_month,
+         strftime(make_date(2022, month, 1), '%b') AS month_name
+  FROM r)
+SELECT fund, {nul} AS fund_name, department, {nul} AS department_name, unit, {nul} AS unit_name,
+  {nul} AS object_category_code, {nul} AS object_category_name, object_code, {nul} AS object_name,
+  {nul} AS object_spend_plan_code, {nul} AS object_spend_plan_name, {nul} AS budget_ytd_with_period_cutoff,
+  {nul} AS proposed_budget_cye_amount, {nul} AS expenses_mtd, {nul} AS expenses_ytd, {nul} AS encumbrance_ytd,
+  nullif(unobligated, '') AS unobligated, nullif(percent_obligated, '') AS percent_obligated,
+  year, month, month_name, fiscal_year, fiscal_month,
+  CAST(fiscal_year AS VARCHAR) || CAST(fiscal_month AS VARCHAR) || coalesce(fund, '') || CAST(department AS VARCHAR)
+    || coalesce(unit, '') || coalesce(object_code, '') AS row_identifier,
+  source_file
+FROM d"""
+
+    q["catalog_table"] = f"""
+WITH a AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id, source, lang, n_chars, nullif(lang, 'fr') AS category,
+         CASE WHEN n_chars > 5000 THEN 'dataset' ELSE 'story' END AS type
+  FROM documents),
+scoped AS (
+  SELECT * FROM a WHERE (coalesce(source, '') = 'src3' OR coalesce(category, '') = 'en') AND NOT contains(id, ':')),
+pub AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS id FROM labels WHERE quality = 1),
+cnt AS (SELECT CAST(doc_id AS VARCHAR) AS id, COUNT(*) AS n FROM labels GROUP BY 1)
+SELECT s.id, s.source AS name, s.lang AS description, {nul} AS attribution, s.type,
+  {nul} AS "updatedAt", {nul} AS "createdAt", {nul} AS metadata_updated_at, {nul} AS data_updated_at,
+  s.n_chars AS download_count, {nul} AS publication_date,
+  CAST(trunc(s.n_chars / 100) AS BIGINT) AS page_views_last_week,
+  CAST(trunc(s.n_chars / 10) AS BIGINT) AS page_views_last_month,
+  s.n_chars AS page_views_total,
+  CASE WHEN p.id IS NOT NULL THEN '{"https://public.example/d/"}' ELSE '{"https://internal.example/d/"}' END || s.id AS dataset_url,
+  p.id IS NOT NULL AS is_public,
+  upper(s.source) AS owner_display_name,
+  s.lang || ', ' || s.source AS tags,
+  '' AS automation_method, '' AS automation_method_other, '' AS update_frequency, '' AS spatial_information,
+  s.source AS department_name, s.lang AS program_name, '' AS strategic_area,
+  CASE WHEN s.type = 'dataset' THEN coalesce(c.n, 0) END AS row_count
+FROM scoped s LEFT JOIN pub p ON s.id = p.id LEFT JOIN cnt c ON s.id = c.id"""
+
     return q
 
 
