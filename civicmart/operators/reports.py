@@ -17,8 +17,13 @@ def report_grid(spark: SparkSession, departments: Sequence[str], year: int, mont
     Built from the job's parameters: ``len(departments) * 2`` rows, a size known on the driver.
     """
     py, pm = previous_month(year, month)
-    rows = [(str(d), y, m) for d in departments for (y, m) in ((py, pm), (year, month))]
-    base = spark.createDataFrame(rows, "department string, year int, month int")
+    rows = [
+        F.struct(F.lit(str(d)).alias("department"), F.lit(y).alias("year"), F.lit(m).alias("month"))
+        for d in departments
+        for (y, m) in ((py, pm), (year, month))
+    ]
+    # literal rows inside the JVM plan (no Python RDD, no Python worker)
+    base = spark.range(1).select(F.inline(F.array(*rows)))
     return base.select(
         "department",
         "year",

@@ -20,7 +20,7 @@ def plan_text(df):
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_no_python_udf(spark, name):
     text = plan_text(E.queries()[name](spark, SF_DIR))
-    for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
+    for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas", "ExistingRDD"):
         assert node not in text, (name, node)
 
 
