@@ -42,6 +42,7 @@ def upsert(
     order_cols = list(order_cols or [])
     cols = target.columns
     t = target.select(*[F.col(quote(c)) for c in cols], F.lit(0).alias("__src"))
-    i = increment.select(*[F.col(quote(c)) for c in cols], *[F.col(quote(c)) for c in order_cols], F.lit(1).alias("__src"))
+    extra = [c for c in order_cols if c not in cols]
+    i = increment.select(*[F.col(quote(c)) for c in [*cols, *extra]], F.lit(1).alias("__src"))
     both = t.unionByName(i, allowMissingColumns=True)
     return last_wins(both, keys, ["__src", *order_cols]).select(*[F.col(quote(c)) for c in cols])
