@@ -53,14 +53,16 @@ def transform_service_requests(raw: DataFrame, date_format: str | None = None, d
     All in one projection (one pass, whole-stage codegen)."""
     x = nan_to_null(F.col(quote(X_COL)).cast("double"))
     y = nan_to_null(F.col(quote(Y_COL)).cast("double"))
-    p = state_plane_to_wgs84(x, y, digits=digits)
     parsed = {c: parse_ts(F.col(quote(c)).cast("string"), date_format) for c in DATE_COLUMNS}
-    staged = raw.withColumns(
+    # The projection is computed once into its own column; the WKT text references it
+    # several times and Catalyst keeps the two projections apart (expensive expression).
+    projected = raw.withColumns({X_COL: x, Y_COL: y}).withColumn(
+        "__p", state_plane_to_wgs84(F.col(quote(X_COL)), F.col(quote(Y_COL)), digits=digits)
+    )
+    staged = projected.withColumns(
         {
             **{c: iso_text(parsed[c]) for c in DATE_COLUMNS},
-            X_COL: x,
-            Y_COL: y,
-            "location": point_wkt(p["lon"], p["lat"]),
+            "location": point_wkt(F.col("__p.lon"), F.col("__p.lat")),
             "fiscal_year": fiscal_year(parsed["Created Date"]).cast("bigint"),
         }
     )

@@ -61,3 +61,24 @@ def test_report_files_pruned_by_name(spark, tmp_path):
     leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
     files = [leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size()) if leaves.apply(i).metrics().contains("numFiles")]
     assert files == [1]
+
+
+def test_flagship_scans_events_once(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan_text(E.queries()["weekly_permit_summary"](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert text.count("FileScan parquet") == 1
+    assert text.count("Exchange hashpartitioning") == 1  # the weekly aggregate
+    assert "SortMergeJoin" not in text and "BroadcastHashJoin" not in text
+
+
+def test_weekly_resample_single_pass(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan_text(E.queries()["weekly_resample"](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert text.count("FileScan parquet") == 1
+    assert "Join" not in text
