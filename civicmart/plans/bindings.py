@@ -402,6 +402,23 @@ def q_finance_rows(spark, sf):
     return derive_report_rows(rows, EXPENSES)
 
 
+def q_pivot_sum(spark, sf):
+    """Issued permits per day with one column per type (sums over sub-codes)."""
+    from ..operators.aggregates import pivot_sum
+
+    daily = permits.issued_permits(folder_from_lineitem(table(spark, sf, "lineitem")), **LINEITEM_ISSUED)
+    out = pivot_sum(daily, "day", "foldertype", ["DS", "EX", "RW"], permits.COUNT_COL)
+    return out.select("day", *[F.col(c).cast("bigint").alias(c.lower()) for c in ("DS", "EX", "RW")])
+
+
+def q_sheet_day_counts(spark, sf):
+    """orders as a sheet export whose creation date is text: parsed, then counted per day."""
+    from .sheets import sheet_day_counts
+
+    sheet = table(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("Date Created"))
+    return sheet_day_counts(sheet, "Date Created")
+
+
 CATALOG_PUBLIC_BASE = "https://public.example/d/"
 CATALOG_INTERNAL_BASE = "https://internal.example/d/"
 
@@ -479,4 +496,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "service_requests": q_service_requests,
     "finance_rows": q_finance_rows,
     "catalog_table": q_catalog_table,
+    "pivot_sum": q_pivot_sum,
+    "sheet_day_counts": q_sheet_day_counts,
 }

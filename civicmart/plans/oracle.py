@@ -343,6 +343,28 @@ SELECT s.id, s.source AS name, s.lang AS description, {nul} AS attribution, s.ty
   CASE WHEN s.type = 'dataset' THEN coalesce(c.n, 0) END AS row_count
 FROM scoped s LEFT JOIN pub p ON s.id = p.id LEFT JOIN cnt c ON s.id = c.id"""
 
+    q["pivot_sum"] = """
+WITH folder AS (
+  SELECT CASE l_returnflag WHEN 'N' THEN 'DS' WHEN 'A' THEN 'EX' WHEN 'R' THEN 'RW' END AS foldertype,
+         l_linenumber AS subcode, l_shipdate AS issuedate
+  FROM lineitem),
+daily AS (
+  SELECT foldertype, subcode, CAST(issuedate + INTERVAL 12 HOUR AS DATE) AS day, COUNT(*) AS n
+  FROM folder
+  WHERE (foldertype IN ('EX', 'DS') AND issuedate >= DATE '1996-01-01' AND issuedate IS NOT NULL)
+     OR (foldertype IN ('RW') AND subcode NOT IN (6, 7) AND issuedate >= DATE '1996-01-01' AND issuedate IS NOT NULL)
+  GROUP BY 1, 2, 3)
+SELECT day,
+  CAST(SUM(n) FILTER (WHERE foldertype = 'DS') AS BIGINT) AS ds,
+  CAST(SUM(n) FILTER (WHERE foldertype = 'EX') AS BIGINT) AS ex,
+  CAST(SUM(n) FILTER (WHERE foldertype = 'RW') AS BIGINT) AS rw
+FROM daily GROUP BY day"""
+
+    q["sheet_day_counts"] = """
+SELECT CAST(strptime(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS DATE) AS date,
+       COUNT(*) AS count_permits
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1"""
+
     return q
 
 

@@ -154,3 +154,26 @@ def test_sinks_return_row_counts(spark, scratch):
     df = spark.createDataFrame([(1,), (2,), (3,)], "n int")
     assert write_csv(df, f"{scratch}/rc") == 3
     assert write_replace(df, f"{scratch}/rr") == 3
+
+
+def test_named_query_over_jdbc_pushes_filters(spark):
+    from civicmart.plans.permits import active_permits
+
+    url = "jdbc:derby:memory:civicmart_permits;create=true"
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    rows = [(1, "DS", 50010, "A"), (2, "RW", 50010, "LA-2"), (3, "RW", 50010, "B"), (4, "EX", 1, "C"), (5, "ZZ", 50010, "D")]
+    df = spark.createDataFrame(rows, "FOLDERRSN int, FOLDERTYPE string, STATUSCODE int, FOLDERNAME string")
+    (
+        df.write.format("jdbc").option("url", url).option("dbtable", "FOLDER").option("driver", driver)
+        .option("createTableColumnTypes", "FOLDERTYPE VARCHAR(8), FOLDERNAME VARCHAR(64)").mode("overwrite").save()
+    )
+    folder = read_jdbc_table(spark, url, "FOLDER", driver=driver)
+    out = active_permits(folder)
+    assert sorted(tuple(r) for r in out.collect()) == [("DS", 1), ("RW", 1)]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = [line for line in plan.split("\n") if "JDBCScan" in line or "Scan JDBC" in line][0]
+    assert "PushedFilters" in scan and "STATUSCODE" in scan and "50010" in scan
