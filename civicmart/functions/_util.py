@@ -3,9 +3,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ColumnOrName = "Column | str"
-
-
 def as_col(c) -> Column:
     """Column from a Column or a (possibly odd) column name; names are back-quoted."""
     if isinstance(c, Column):

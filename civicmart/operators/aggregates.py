@@ -133,8 +133,11 @@ def weekly_measure_matrix(
     )
 
 
-def observe_count(df: DataFrame, name: str) -> tuple[DataFrame, object]:
-    """Attach a row counter that is filled by the action that runs the frame (no extra job)."""
+def observe_count(df: DataFrame, name: str):
+    """Attach a row counter that the action running ``df`` fills in (no extra job).
+
+    Returns ``(observed_df, observation)``; read ``observation.get["rows"]`` afterwards.
+    """
     from pyspark.sql import Observation
 
     obs = Observation(name)

@@ -6,9 +6,9 @@ import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
 
 from ..functions._util import quote
+from ..operators.aggregates import observe_count
 from ..operators.upsert import last_wins, upsert
 from ..session import cut_lineage
 
@@ -16,12 +16,6 @@ from ..session import cut_lineage
 log = logging.getLogger("civicmart.sinks")
 
 
-def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Attach a row counter that the write fills in (no separate count job)."""
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
 def _rows(obs: Observation, what: str, path: str) -> int:
     try:
         n = int(obs.get.get("rows", 0))
@@ -43,7 +37,7 @@ def write_csv(
     ``order_by`` sorts globally (a range shuffle, only at the sink); ``single_file``
     gathers the output into one file and is meant for small extracts only.
     Returns the number of rows written."""
-    df, obs = _observed(df, "write_csv")
+    df, obs = observe_count(df, "write_csv")
     if first:
         df = df.select(*[quote(c) for c in first], *[quote(c) for c in df.columns if c not in first])
     if order_by:
@@ -60,7 +54,7 @@ def write_report_partitions(
     """One folder per (report, period end, department). Dynamic partition overwrite: only
     partitions that receive rows are replaced, so an empty result leaves the earlier
     files in place and no emptiness check (extra job) is needed. Returns the row count."""
-    df, obs = _observed(df, "write_report_partitions")
+    df, obs = observe_count(df, "write_report_partitions")
     (
         df.repartition(*[quote(c) for c in partition_cols])
         .write.mode("overwrite")
@@ -73,18 +67,18 @@ def write_report_partitions(
     return _rows(obs, "report partitions", path)
 
 
-def _exists(df_or_spark, path: str) -> bool:
-    spark = getattr(df_or_spark, "sparkSession", df_or_spark)
+def _table_exists(spark, path: str) -> bool:
+    """Whether a Parquet table can be read at ``path`` (absence is an analysis error)."""
     try:
         spark.read.parquet(path).schema
         return True
-    except Exception:  # noqa: BLE001 - absence shows as an analysis error
+    except Exception:  # noqa: BLE001
         return False
 
 
 def write_replace(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> int:
     """Replace the whole published table (Parquet). Returns the row count."""
-    df, obs = _observed(df, "write_replace")
+    df, obs = observe_count(df, "write_replace")
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
@@ -110,7 +104,7 @@ def write_upsert(
     """
     spark = increment.sparkSession
     order_cols = list(order_cols or [])
-    if _exists(spark, path):
+    if _table_exists(spark, path):
         target = spark.read.parquet(path)
         if partition_cols:
             touched = increment.select(*[quote(c) for c in partition_cols]).distinct()

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions._util import quote
 from ..functions.dates import local_minute_stamp
 from ..functions.text import parse_report_name
 from ..operators.projection import mapped_columns

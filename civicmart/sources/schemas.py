@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
-    BooleanType,
     LongType,
     StringType,
     StructField,
@@ -59,5 +58,3 @@ CATALOG_ASSET = StructType(
 )
 
 CATALOG_DOCUMENT = StructType([StructField("results", ArrayType(CATALOG_ASSET))])
-
-PUBLIC_FLAG = BooleanType()

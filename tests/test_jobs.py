@@ -7,13 +7,12 @@ import os
 from pyspark.sql import functions as F
 
 from civicmart.plans.active_log import active_permit_log_job
-from civicmart.plans.catalog import build_catalog, catalog_job
+from civicmart.plans.catalog import catalog_job
 from civicmart.plans.finance import EXPENSES, finance_extract, finance_load, finance_load_job
 from civicmart.plans.flex_notes import IGNORED_QUESTIONS, flex_notes_job
 from civicmart.plans.service_requests import FIELD_MAPPING, service_requests_job
 from civicmart.plans.sheets import sheet_day_counts_job
 from civicmart.plans.weekly import SUMMARY_COLUMNS, weekly_summary_job
-from civicmart.sources import read_catalog_json
 
 
 def write(path, text, encoding="utf-8"):
