@@ -26,8 +26,9 @@ def exclude_values(df: DataFrame, column: str, values: Sequence, keep_null: bool
         hit = c.isin(values)
         cond = ~F.coalesce(hit, F.lit(False)) if keep_null else ~hit
         return df.where(cond)
-    spark = df.sparkSession
-    deny = spark.createDataFrame([(v,) for v in values], f"__v {df.schema[column].dataType.simpleString()}")
+    # literal rows inside the JVM plan; their number is known on the driver
+    dtype = df.schema[column].dataType
+    deny = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(v).cast(dtype) for v in values])).alias("__v"))
     out = df.join(F.broadcast(deny), c == F.col("__v"), "left_anti")
     return out if keep_null else out.where(c.isNotNull())
 
