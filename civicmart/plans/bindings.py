@@ -101,7 +101,7 @@ EVENTS_APPLICATIONS = dict(
 EVENTS_ISSUED = dict(since=dt.date(2024, 1, 5), excluded_subcodes=(8, 46))
 LINEITEM_ISSUED = dict(since=dt.date(1996, 1, 1), excluded_subcodes=(6, 7))
 PART_ACTIVE = dict(active_status=tuple(range(1, 26)), excluded_prefix="Brand#1")
-EXTENSION_CUT = dt.datetime(2024, 1, 20)
+EXTENSION_CUT = "2024-01-20 00:00:00"  # zone-less, compared with timestamp_ntz
 
 
 # ---------------------------------------------------------------- queries
@@ -192,7 +192,7 @@ def q_weekly_permit_summary(spark, sf):
         (weekly.APPLICATIONS, permits.applications_condition(**EVENTS_APPLICATIONS), round_to_day("indate"), F.col("foldertype")),
         (weekly.ISSUED, permits.issued_condition(**EVENTS_ISSUED), round_to_day("issuedate"), F.col("foldertype")),
         (weekly.COMMERCIAL, (et == "signup") & ts.isNotNull(), ts, sheet),
-        (weekly.EXTENSION, (et == "error") & (ts < F.lit(EXTENSION_CUT)) & ts.isNotNull(), ts, sheet),
+        (weekly.EXTENSION, (et == "error") & (ts < F.lit(EXTENSION_CUT).cast("timestamp_ntz")) & ts.isNotNull(), ts, sheet),
         (weekly.RESIDENTIAL, (et == "view") & ts.isNotNull(), ts, sheet),
     ]
     return weekly.summary_from_long(weekly.tag_measures(folder, specs))
@@ -205,7 +205,7 @@ def q_weekly_permit_summary_extracts(spark, sf):
     apps = permits.applications_received(folder, **EVENTS_APPLICATIONS)
     issued = permits.issued_permits(folder, **EVENTS_ISSUED)
     commercial = count_by_date(events.where(F.col("event_type") == "signup"), "ts")
-    extension = count_by_date(events.where((F.col("event_type") == "error") & (F.col("ts") < F.lit(EXTENSION_CUT))), "ts")
+    extension = count_by_date(events.where((F.col("event_type") == "error") & (F.col("ts") < F.lit(EXTENSION_CUT).cast("timestamp_ntz"))), "ts")
     residential = count_by_date(events.where(F.col("event_type") == "view"), "ts")
     return weekly.weekly_permit_summary(apps, issued, commercial, extension, residential)
 

@@ -1,0 +1,65 @@
+"""Property tests: column functions against Python's own calendar and zone rules on
+generated inputs (one Spark job per generated batch)."""
+
+import datetime as dt
+from zoneinfo import ZoneInfo
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from civicmart.functions import (
+    fiscal_month,
+    fiscal_year,
+    month_end,
+    month_name,
+    round_to_day,
+    utc_to_local,
+    week_ending_saturday,
+)
+
+moments = st.datetimes(min_value=dt.datetime(1990, 1, 1), max_value=dt.datetime(2040, 12, 31))
+CENTRAL = ZoneInfo("America/Chicago")
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(moments, min_size=1, max_size=300))
+def test_calendar_functions(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "t timestamp_ntz")
+    got = df.select(
+        "t",
+        round_to_day("t").alias("r"),
+        week_ending_saturday("t").alias("w"),
+        fiscal_year("t").alias("fy"),
+        fiscal_month(F.month("t")).alias("fm"),
+        month_name(F.month("t")).alias("mn"),
+        month_end(F.year("t"), F.month("t")).alias("me"),
+    ).collect()
+    for row in got:
+        t = row.t
+        assert row.r == (t + dt.timedelta(hours=12)).date()
+        d = t.date()
+        assert row.w == d + dt.timedelta(days=(5 - d.weekday()) % 7)
+        assert row.w.weekday() == 5 and 0 <= (row.w - d).days < 7
+        assert row.fy == t.year + (1 if t.month >= 10 else 0)
+        assert row.fm == ((t.month - 10) % 12) + 1
+        assert row.mn == t.strftime("%b")
+        nxt = dt.date(t.year + (t.month == 12), t.month % 12 + 1, 1)
+        assert row.me == nxt - dt.timedelta(days=1)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(moments, min_size=1, max_size=300))
+def test_utc_to_local_matches_zoneinfo(spark, values):
+    texts = [v.strftime("%Y-%m-%dT%H:%M:%S.%fZ") for v in values]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(utc_to_local("t")).collect()]
+    want = [v.replace(tzinfo=dt.timezone.utc).astimezone(CENTRAL).strftime("%Y-%m-%dT%H:%M:%S") for v in values]
+    assert got == want
+
+
+def test_utc_to_local_dst_switches(spark):
+    texts = ["2022-03-13T07:59:59.000Z", "2022-03-13T08:00:00.000Z", "2022-11-06T06:59:59.5Z", "2022-11-06T07:00:00.1Z"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(utc_to_local("t")).collect()]
+    assert got == ["2022-03-13T01:59:59", "2022-03-13T03:00:00", "2022-11-06T01:59:59", "2022-11-06T01:00:00"]
