@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ._util import as_col
 
-# Fixed value: report file names end in ``<yyyy>-<mm>-<dd>_<dept4>.csv``.
-REPORT_NAME_PATTERN = r"(\d{4})-(\d{2})-(\d{2})_(\d{4})\.csv$"
+# Fixed value: report files are named ``<yyyy>-<mm>-<dd>_<dept4>.csv``; the partitioned
+# layout written by Spark holds the same fields as ``month_end=<yyyy-mm-dd>/department=<dept4>/``.
+REPORT_NAME_PATTERN = r"(\d{4})-(\d{2})-(\d{2})(?:_(\d{4})\.csv$|/department=(\d{4})/)"
 
 
 def oracle_concat(*parts) -> Column:
@@ -37,12 +38,17 @@ def row_identifier(cols: Sequence, absent: Sequence[str] = (), sep: str = "", nu
 
 
 def parse_report_name(path) -> Column:
-    """``struct(year int, month int, department int)`` parsed from a report file name."""
+    """``struct(year int, month int, department int)`` parsed from a report file name or a
+    partitioned report path; null fields when the path matches neither form."""
     p = as_col(path)
+
+    def group(i):
+        return F.nullif(F.regexp_extract(p, REPORT_NAME_PATTERN, i), F.lit(""))
+
     return F.struct(
-        F.regexp_extract(p, REPORT_NAME_PATTERN, 1).cast("int").alias("year"),
-        F.regexp_extract(p, REPORT_NAME_PATTERN, 2).cast("int").alias("month"),
-        F.regexp_extract(p, REPORT_NAME_PATTERN, 4).cast("int").alias("department"),
+        group(1).cast("int").alias("year"),
+        group(2).cast("int").alias("month"),
+        F.coalesce(group(4), group(5)).cast("int").alias("department"),
     )
 
 

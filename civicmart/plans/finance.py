@@ -144,7 +144,7 @@ def finance_load(
     full refresh), with derived fields. File selection prunes on the file name."""
     months = None if full_refresh else [(year, month), previous_month(year, month)]
     rows = read_report_files(spark, f"{root}/{spec.name}", spec.mapping, months)
-    header = spark.read.option("header", True).csv(f"{root}/{spec.name}").columns
+    header = spark.read.option("header", True).option("recursiveFileLookup", True).csv(f"{root}/{spec.name}").columns
     absent = [v for k, v in spec.mapping.items() if k not in header]
     return derive_report_rows(rows, spec, absent=absent, typed=typed)
 
@@ -179,7 +179,8 @@ def finance_extract(
 def finance_extract_job(
     reports: Mapping[str, DataFrame], out_root: str, year: int, month: int, departments: Sequence[str] = DEPARTMENTS
 ) -> None:
-    """Write each report's slices as ``report=/month_end=/department=`` partitions."""
+    """Write each report's slices under ``<out_root>/<report>/month_end=/department=/``,
+    the layout :func:`finance_load` reads (fiscal year is implied by the month end)."""
     for name, facts in reports.items():
-        sliced = finance_extract(facts, year, month, departments).withColumn("report", F.lit(name))
-        write_report_partitions(sliced, out_root)
+        sliced = finance_extract(facts, year, month, departments).drop("fiscal_year")
+        write_report_partitions(sliced, f"{out_root}/{name}", partition_cols=("month_end", "department"))

@@ -102,15 +102,22 @@ def read_report_files(
     mapping: Mapping[str, str],
     years_months: Sequence[tuple[int, int]] | None = None,
 ) -> DataFrame:
-    """Report CSVs named ``<yyyy>-<mm>-<dd>_<dept>.csv`` under ``root``, as all-string rows
-    mapped by header name, plus ``year``, ``month``, ``department`` parsed from the file
-    name and ``source_file``.
+    """Report CSVs under ``root`` named ``<yyyy>-<mm>-<dd>_<dept>.csv`` (or in the
+    ``month_end=/department=`` folders written by the extract), as all-string rows mapped by
+    header name, plus ``year``, ``month``, ``department_from_file`` parsed from the path and
+    ``source_file``.
 
     ``years_months`` keeps only files of those months. The predicate only reads
-    ``_metadata.file_name``, so Spark prunes the other files before opening them.
+    ``_metadata.file_path``, so Spark prunes the other files before opening them.
     """
-    df = spark.read.option("header", True).option("enforceSchema", False).option("pathGlobFilter", "*.csv").csv(root)
-    name = F.col("_metadata.file_name")
+    df = (
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
+        .option("pathGlobFilter", "*.csv")
+        .option("recursiveFileLookup", True)
+        .csv(root)
+    )
+    name = F.col("_metadata.file_path")
     parsed = parse_report_name(name)
     if years_months is not None:
         cond = None

@@ -46,7 +46,7 @@ def report_file_stream(spark: SparkSession, root: str, spec: ReportSpec, max_fil
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(folder)
-    name = F.col("_metadata.file_name")
+    name = F.col("_metadata.file_path")
     parsed = parse_report_name(name)
     return raw.select(
         *mapped_columns(raw, spec.mapping, strict=False),

@@ -179,3 +179,24 @@ def test_catalog_job(spark, scratch):
     assert a.row_count == 2 and c.row_count is None
     assert a.page_views_total == 3 and a.owner_display_name == "Someone"
     assert "row_count" in out.columns
+
+
+def test_finance_extract_then_load_round_trip(spark, scratch):
+    from civicmart.plans.finance import finance_extract_job
+
+    facts = spark.createDataFrame(
+        [
+            ("2400", 2022, dt.date(2022, 1, 31), "1000", "U1", "O1", "5"),
+            ("6200", 2022, dt.date(2021, 12, 31), "2000", "U2", "O2", ""),
+            ("2400", 2021, dt.date(2021, 9, 30), "3000", "U3", "O3", "9"),  # outside the window
+        ],
+        "department string, fiscal_year int, month_end date, `Fund@Code` string, `Unit@Unit Code` string, "
+        "`Object Code@Code` string, Unobligated string",
+    )
+    finance_extract_job({"expenses": facts}, f"{scratch}/extract", 2022, 1)
+    rows = finance_load(spark, f"{scratch}/extract", EXPENSES, 2022, 1).collect()
+    got = sorted((r.fund, r.department, r.year, r.month, r.row_identifier, r.unobligated) for r in rows)
+    assert got == [
+        ("1000", 2400, 2022, 1, "2022410002400U1O1", "5"),
+        ("2000", 6200, 2021, 12, "2022320006200U2O2", None),
+    ]
