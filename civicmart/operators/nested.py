@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import join_tags, merged_pairs, pick_metadata
 from ..functions.dates import utc_to_local
 from ..functions.text import dataset_url
+from .joins import membership_flag
 
 # The resource fields published, in output order (three of them are lifted
 # from resource.page_views).
@@ -78,9 +79,9 @@ def catalog_table(
     """Flat table of catalog assets: public flag (by id membership), resource fields with
     local times, URL by visibility, owner name, tags text and seven metadata values
     (private pairs first, public pairs win). Scope filtering is :func:`catalog_scope`."""
-    ids = public_ids.select(F.col("id").alias("__pid")).where(F.col("__pid").isNotNull()).distinct()
-    flagged = assets.join(ids.withColumn("__pub", F.lit(True)), F.col("resource.id") == F.col("__pid"), "left")
-    is_public = F.coalesce(F.col("__pub"), F.lit(False))
+    keyed = assets.withColumn("__rid", F.col("resource.id"))
+    flagged = membership_flag(keyed, "__rid", public_ids, "id", flag="__pub")
+    is_public = F.col("__pub")
     out_cols = []
     for f, c in zip(RESOURCE_FIELDS, flatten_resource(flagged)):
         out_cols.append(utc_to_local(F.col(f"resource.{f}"), tz).alias(f) if f in UTC_TEXT_FIELDS else c)
