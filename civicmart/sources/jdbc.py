@@ -46,3 +46,13 @@ def read_permit_tables(spark: SparkSession, url: str, **kwargs) -> dict[str, Dat
         "validsub": "VALIDSUB",
     }
     return {k: read_jdbc_table(spark, url, v, **kwargs) for k, v in names.items()}
+
+
+def read_jdbc_query(spark: SparkSession, url: str, sql: str, fetch_size: int = 10000, **properties) -> DataFrame:
+    """The result of one SQL statement run by the database itself (the ``query`` option):
+    for statements in the database's own dialect. Read as a single partition; prefer
+    :func:`read_jdbc_table` plus DataFrame operators for large results."""
+    reader = spark.read.format("jdbc").option("url", url).option("query", sql).option("fetchsize", fetch_size)
+    for k, v in properties.items():
+        reader = reader.option(k, v)
+    return reader.load()

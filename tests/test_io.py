@@ -14,6 +14,7 @@ from civicmart.sources import (
     read_csv_files_by_name,
     read_csv_strings,
     read_csv_table,
+    read_jdbc_query,
     read_jdbc_table,
     read_report_files,
     read_utf16_tsv,
@@ -177,3 +178,16 @@ def test_named_query_over_jdbc_pushes_filters(spark):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     scan = [line for line in plan.split("\n") if "JDBCScan" in line or "Scan JDBC" in line][0]
     assert "PushedFilters" in scan and "STATUSCODE" in scan and "50010" in scan
+
+
+def test_jdbc_query_runs_in_database(spark):
+    url = "jdbc:derby:memory:civicmart_query;create=true"
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    df = spark.createDataFrame([(1, "RW"), (2, "RW"), (3, "DS")], "FOLDERRSN int, FOLDERTYPE string")
+    (
+        df.write.format("jdbc").option("url", url).option("dbtable", "FOLDER").option("driver", driver)
+        .option("createTableColumnTypes", "FOLDERTYPE VARCHAR(8)").mode("overwrite").save()
+    )
+    sql = "SELECT FOLDERTYPE, COUNT(1) AS ACTIVEPERMITS FROM FOLDER GROUP BY FOLDERTYPE"
+    got = sorted(tuple(r) for r in read_jdbc_query(spark, url, sql, driver=driver).collect())
+    assert got == [("DS", 1), ("RW", 2)]
