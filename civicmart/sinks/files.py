@@ -6,6 +6,7 @@ import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from ..functions._util import quote
 from ..operators.aggregates import observe_count
@@ -86,6 +87,33 @@ def write_replace(df: DataFrame, path: str, partition_cols: Sequence[str] = ())
     return _rows(obs, "replace", path)
 
 
+# Above this many touched partitions the target is narrowed by a semi join instead of a
+# literal partition filter.
+MAX_TOUCHED_PARTITIONS = 1000
+
+
+def touched_partition_filter(increment: DataFrame, partition_cols: Sequence[str]):
+    """Literal predicate selecting the partitions the increment touches, or None when it
+    touches more than ``MAX_TOUCHED_PARTITIONS``.
+
+    Only the distinct partition values travel to the driver (capped by ``limit``): partition
+    keys, not rows. A literal predicate on partition columns prunes at planning time;
+    dynamic pruning would need a selective filter on the increment side, which an
+    increment usually lacks.
+    """
+    cols = list(partition_cols)
+    keys = increment.select(*[quote(c) for c in cols]).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+    if len(keys) > MAX_TOUCHED_PARTITIONS:
+        return None
+    cond = F.lit(False)
+    for row in keys:
+        conj = F.lit(True)
+        for c, v in zip(cols, row):
+            conj = conj & (F.col(quote(c)).isNull() if v is None else F.col(quote(c)) == F.lit(v))
+        cond = cond | conj
+    return cond
+
+
 def write_upsert(
     increment: DataFrame,
     path: str,
@@ -96,19 +124,23 @@ def write_upsert(
     """Upsert ``increment`` into the Parquet table at ``path`` (created when absent).
 
     The increment is deduplicated last-wins. Only partitions the increment touches are
-    read (a semi join on the partition columns, which dynamic partition pruning turns into
-    a file filter) and rewritten (dynamic overwrite). Partition columns must be functions
-    of the key. The merged slice is checkpointed into the reliable checkpoint folder
-    before the overwrite, so the write does not read the files it replaces and survives
-    executor loss. Returns the merged slice.
+    read (a literal partition filter from :func:`touched_partition_filter`, or a semi join on
+    the partition columns beyond the cap) and rewritten (dynamic overwrite). Partition
+    columns must be functions of the key. The merged slice is checkpointed into the
+    reliable checkpoint folder before the overwrite, so the write does not read the files
+    it replaces and survives executor loss. Returns the merged slice.
     """
     spark = increment.sparkSession
     order_cols = list(order_cols or [])
     if _table_exists(spark, path):
         target = spark.read.parquet(path)
         if partition_cols:
-            touched = increment.select(*[quote(c) for c in partition_cols]).distinct()
-            target = target.join(touched, list(partition_cols), "left_semi")
+            cond = touched_partition_filter(increment, partition_cols)
+            if cond is not None:
+                target = target.where(cond)
+            else:
+                touched = increment.select(*[quote(c) for c in partition_cols]).distinct()
+                target = target.join(touched, list(partition_cols), "left_semi")
         merged = upsert(target, increment, keys, order_cols)
     else:
         merged = last_wins(increment, keys, order_cols).drop(*order_cols) if order_cols else increment

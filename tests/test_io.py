@@ -191,3 +191,23 @@ def test_jdbc_query_runs_in_database(spark):
     sql = "SELECT FOLDERTYPE, COUNT(1) AS ACTIVEPERMITS FROM FOLDER GROUP BY FOLDERTYPE"
     got = sorted(tuple(r) for r in read_jdbc_query(spark, url, sql, driver=driver).collect())
     assert got == [("DS", 1), ("RW", 2)]
+
+
+def test_upsert_reads_only_touched_partitions(spark, scratch):
+    from civicmart.sinks.files import touched_partition_filter
+
+    path = f"{scratch}/parts"
+    base = spark.range(0, 120).select(
+        F.col("id").cast("int").alias("k"), F.lit("v").alias("v"), F.lit(2022).alias("year"), (F.col("id") % 12 + 1).cast("int").alias("month")
+    )
+    write_upsert(base, path, ["k"], partition_cols=["year", "month"])
+    inc = spark.createDataFrame([(1, "new", 2022, 2, 1)], "k int, v string, year int, month int, seq int")
+    target = spark.read.parquet(path).where(touched_partition_filter(inc, ["year", "month"]))
+    target.collect()
+    leaves = target._jdf.queryExecution().executedPlan().collectLeaves()
+    files = [leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size()) if leaves.apply(i).metrics().contains("numFiles")]
+    total = len([f for _, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")])
+    assert files and files[0] < total
+    write_upsert(inc, path, ["k"], order_cols=["seq"], partition_cols=["year", "month"])
+    got = {r.k: (r.v, r.month) for r in spark.read.parquet(path).collect()}
+    assert len(got) == 120 and got[1] == ("new", 2) and got[13] == ("v", 2)
