@@ -287,15 +287,15 @@ def q_json_field(spark, sf):
 
 
 def q_upsert(spark, sf):
-    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
-    target = c.where(F.col("c_acctbal") >= 0)
+    """Published customers (non-negative balance) upserted with two increments of the
+    BUILDING segment (doubled balances, then tripled for nations below 10): the later
+    increment wins per key."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", "c_nationkey")
+    cols = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
+    target = c.where(F.col("c_acctbal") >= 0).select(*cols)
     building = c.where(F.col("c_mktsegment") == "BUILDING")
-    v1 = building.select("c_custkey", "c_name", (F.col("c_acctbal") * 2).alias("c_acctbal"), "c_mktsegment", F.lit(1).alias("seq"))
-    v2 = (
-        table(spark, sf, "customer")
-        .where((F.col("c_mktsegment") == "BUILDING") & (F.col("c_nationkey") < 10))
-        .select("c_custkey", "c_name", (F.col("c_acctbal") * 3).alias("c_acctbal"), "c_mktsegment", F.lit(2).alias("seq"))
-    )
+    v1 = building.withColumn("c_acctbal", F.col("c_acctbal") * 2).select(*cols, F.lit(1).alias("seq"))
+    v2 = building.where(F.col("c_nationkey") < 10).withColumn("c_acctbal", F.col("c_acctbal") * 3).select(*cols, F.lit(2).alias("seq"))
     return upsert(target, v1.unionByName(v2), ["c_custkey"], order_cols=["seq"])
 
 

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import fiscal_month, fiscal_year_of, month_name, previous_month
+from ..functions.dates import fiscal_month, fiscal_year_of, month_name, previous_month, resolve_year_month
 from ..functions.nulls import blank_to_null
 from ..functions.text import row_identifier
 from ..operators.reports import report_grid, slice_reports
@@ -150,9 +150,16 @@ def finance_load(
 
 
 def finance_load_job(
-    spark: SparkSession, root: str, target: str, year: int, month: int, full_refresh: bool = False
+    spark: SparkSession,
+    root: str,
+    target: str,
+    year: int | None = None,
+    month: int | None = None,
+    full_refresh: bool = False,
 ) -> dict[str, DataFrame]:
-    """Both reports; each upserted on ``row_identifier``, later files winning."""
+    """Both reports; each upserted on ``row_identifier``, later files winning. Year and
+    month default to the current ones."""
+    year, month = resolve_year_month(year, month)
     out = {}
     for spec in (EXPENSES, REVENUE):
         rows = finance_load(spark, root, spec, year, month, full_refresh)
@@ -177,10 +184,16 @@ def finance_extract(
 
 
 def finance_extract_job(
-    reports: Mapping[str, DataFrame], out_root: str, year: int, month: int, departments: Sequence[str] = DEPARTMENTS
+    reports: Mapping[str, DataFrame],
+    out_root: str,
+    year: int | None = None,
+    month: int | None = None,
+    departments: Sequence[str] = DEPARTMENTS,
 ) -> None:
     """Write each report's slices under ``<out_root>/<report>/month_end=/department=/``,
-    the layout :func:`finance_load` reads (fiscal year is implied by the month end)."""
+    the layout :func:`finance_load` reads (fiscal year is implied by the month end). Year
+    and month default to the current ones."""
+    year, month = resolve_year_month(year, month)
     for name, facts in reports.items():
         sliced = finance_extract(facts, year, month, departments).drop("fiscal_year")
         write_report_partitions(sliced, f"{out_root}/{name}", partition_cols=("month_end", "department"))
