@@ -33,8 +33,9 @@ def _checkpoint(spark: SparkSession, name: str, given: str | None) -> str:
 
 def report_file_stream(spark: SparkSession, root: str, spec: ReportSpec, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming rows of ``<root>/<report>/*.csv`` mapped by header name, with year, month,
-    department parsed from the file name. The header of the files already present fixes
-    the column order; a file with another header fails the batch instead of mixing fields."""
+    department parsed from the file path. The header of the files already present fixes
+    the column order (so at least one file must have landed before the first run); a file
+    with another header fails the batch instead of mixing fields."""
     folder = f"{root}/{spec.name}"
     header = spark.read.option("header", True).option("pathGlobFilter", "*.csv").csv(folder).schema
     reader = (
