@@ -84,6 +84,14 @@ TEXAS_CENTRAL_FT = LambertZone(
 REFINEMENT_STEPS = 1
 
 
+def round_half_away(c, digits: int) -> Column:
+    """Round a double to ``digits`` decimals, halves away from zero, in plain double
+    arithmetic (cheaper than ``round``, which goes through BigDecimal)."""
+    scale = F.lit(float(10**digits))
+    x = as_col(c)
+    return F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)) / scale
+
+
 def state_plane_to_wgs84(x, y, zone: LambertZone = TEXAS_CENTRAL_FT, digits: int | None = None) -> Column:
     """``struct(lat double, lon double)`` from state-plane easting/northing.
 
@@ -112,7 +120,7 @@ def state_plane_to_wgs84(x, y, zone: LambertZone = TEXAS_CENTRAL_FT, digits: int
         phi = F.lit(math.pi / 2) - F.lit(2.0) * F.atan(t * F.pow(ratio, F.lit(e / 2)))
     lat = F.degrees(phi)
     if digits is not None:
-        lat, lon = F.round(lat, digits), F.round(lon, digits)
+        lat, lon = round_half_away(lat, digits), round_half_away(lon, digits)
     ok = as_col(x).isNotNull() & as_col(y).isNotNull() & ~F.isnan(as_col(x)) & ~F.isnan(as_col(y))
     return F.when(ok, F.struct(lat.alias("lat"), lon.alias("lon")))
 
@@ -156,4 +164,8 @@ def state_plane_sql(x: str, y: str, zone: LambertZone = TEXAS_CENTRAL_FT, digits
     for _ in range(REFINEMENT_STEPS):
         ratio = f"({d(2.0)} / ({d(1.0)} + {d(e)} * sin({phi})) - {d(1.0)})"
         phi = f"({d(math.pi / 2)} - {d(2.0)} * atan({t} * pow({ratio}, {d(e / 2)})))"
-    return f"round(degrees({phi}), {digits})", f"round({lon}, {digits})"
+    def rnd(v: str) -> str:
+        scale = d(float(10**digits))
+        return f"(sign({v}) * floor(abs({v}) * {scale} + {d(0.5)}) / {scale})"
+
+    return rnd(f"degrees({phi})"), rnd(lon)
