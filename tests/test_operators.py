@@ -189,3 +189,19 @@ def test_month_window(spark):
     df = spark.createDataFrame([(2021, 12), (2022, 1), (2021, 11)], "year int, month int")
     assert sorted(tuple(r) for r in month_window(df, 2022, 1).collect()) == [(2021, 12), (2022, 1)]
     assert month_window(df, 2022, 1, full_refresh=True).count() == 3
+
+
+def test_weekly_measure_matrix_empty_measure_is_zero(spark):
+    rows = [("m1", "s", D(2022, 1, 1), 2), ("m1", "s", D(2022, 1, 15), 3)]
+    df = spark.createDataFrame(rows, "measure string, series string, day date, n bigint")
+    out = weekly_measure_matrix(df, [("m1", "s", "a"), ("m2", "s", "b")]).collect()
+    assert sorted((r.week, r.a, r.b) for r in out) == [
+        (D(2022, 1, 1), 2.0, 0.0),
+        (D(2022, 1, 8), 0.0, 0.0),
+        (D(2022, 1, 15), 3.0, 0.0),
+    ]
+
+
+def test_weekly_resample_empty_input(spark):
+    df = spark.createDataFrame([], "d date, n int")
+    assert weekly_resample(df, "d", ["n"]).count() == 0
