@@ -14,6 +14,14 @@ from ..functions.text import snake_name
 WEEK = "week"
 
 
+def union_measures(*frames: DataFrame) -> DataFrame:
+    """Outer union by column name (missing columns null, duplicates kept)."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 def count_by_date(df: DataFrame, date_col: str, out_date: str = "date", out_count: str = "count_permits") -> DataFrame:
     """Rows per calendar date; rows with a null date are dropped."""
     d = F.to_date(as_col(date_col))

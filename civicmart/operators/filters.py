@@ -44,6 +44,11 @@ def any_branch(*branches: Iterable[Column]) -> Column:
     return out
 
 
+def branch_filter(df: DataFrame, *branches: Iterable[Column]) -> DataFrame:
+    """Rows meeting every condition of at least one branch (SQL three-valued logic)."""
+    return df.where(any_branch(*branches))
+
+
 def not_in(column, values: Sequence) -> Column:
     """SQL ``NOT IN`` (null input -> unknown -> row dropped by a filter)."""
     return ~as_col(column).isin(list(values))

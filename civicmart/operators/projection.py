@@ -30,6 +30,19 @@ def map_fields(df: DataFrame, mapping: Mapping[str, str], strict: bool = True, a
     return df.select(*mapped_columns(df, mapping, strict, absent_type))
 
 
+def iso_timestamps(df: DataFrame, columns, fmt: str | None = None) -> DataFrame:
+    """Replace each listed column by ``yyyy-MM-ddTHH:mm:ss`` text (parsed first when it is
+    text, with ``fmt`` or Spark's default parsing); null stays null. One projection."""
+    from ..functions.dates import iso_text, parse_ts
+
+    types = dict(df.dtypes)
+    out = {}
+    for c in columns:
+        src = F.col(quote(c))
+        out[c] = iso_text(parse_ts(src, fmt) if types[c] == "string" else src)
+    return df.withColumns(out)
+
+
 def snake_columns(df: DataFrame) -> DataFrame:
     """Lower-case every column name and turn spaces into underscores."""
     return df.toDF(*[snake_name(c) for c in df.columns])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import iso_week_label
-from ..operators.aggregates import weekly_measure_matrix
+from ..operators.aggregates import union_measures, weekly_measure_matrix
 from .permits import COUNT_COL, DS, EX, RW
 
 # Measure names and the series name of the sheet counts.
@@ -111,12 +111,12 @@ def weekly_permit_summary(
     (date, count_permits). Sheet requests for DS permits are added to the DS applications
     after the zero fill; the week label is ``yyyy-MM-ddT00:00:00.000``.
     """
-    long = (
-        permit_daily(applications, APPLICATIONS)
-        .unionByName(permit_daily(issued, ISSUED))
-        .unionByName(sheet_daily(commercial, COMMERCIAL))
-        .unionByName(sheet_daily(extension, EXTENSION))
-        .unionByName(sheet_daily(residential, RESIDENTIAL))
+    long = union_measures(
+        permit_daily(applications, APPLICATIONS),
+        permit_daily(issued, ISSUED),
+        sheet_daily(commercial, COMMERCIAL),
+        sheet_daily(extension, EXTENSION),
+        sheet_daily(residential, RESIDENTIAL),
     )
     return summary_from_long(long)
 

@@ -6,6 +6,7 @@ from .files import (
     read_csv_strings,
     read_csv_table,
     read_report_files,
+    file_snapshot_stamp,
     read_utf16_tsv,
     with_file_stamp,
 )

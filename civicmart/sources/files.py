@@ -140,6 +140,9 @@ def with_file_stamp(df: DataFrame, out: str = "published_date", tz: str = "US/Ce
     return df.select("*", local_minute_stamp(F.col("_metadata.file_modification_time"), tz).alias(out))
 
 
+file_snapshot_stamp = with_file_stamp
+
+
 def read_catalog_json(spark: SparkSession, path, schema: StructType | str | None = None) -> DataFrame:
     """A catalog document (one JSON object with a ``results`` array) -> one row per asset."""
     from .schemas import CATALOG_DOCUMENT

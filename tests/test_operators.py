@@ -205,3 +205,16 @@ def test_weekly_measure_matrix_empty_measure_is_zero(spark):
 def test_weekly_resample_empty_input(spark):
     df = spark.createDataFrame([], "d date, n int")
     assert weekly_resample(df, "d", ["n"]).count() == 0
+
+
+def test_branch_filter_union_measures_iso_timestamps(spark):
+    from civicmart.operators import branch_filter, iso_timestamps, union_measures
+
+    df = spark.createDataFrame([("DS", 1), ("RW", 2), ("RW", None)], "t string, s int")
+    got = branch_filter(df, [F.col("t") == "DS"], [F.col("t") == "RW", ~F.col("s").isin([1])]).collect()
+    assert sorted((r.t, r.s) for r in got) == [("DS", 1), ("RW", 2)]  # null status: NOT IN unknown -> dropped
+    a = spark.createDataFrame([(1,)], "x int")
+    b = spark.createDataFrame([(2, "y")], "x int, y string")
+    assert sorted((r.x, r.y) for r in union_measures(a, b, a).collect()) == [(1, None), (1, None), (2, "y")]
+    t = spark.createDataFrame([("2022-01-02 03:04:05", dt.datetime(2022, 1, 2, 3, 4, 5)), (None, None)], "a string, b timestamp_ntz")
+    assert [tuple(r) for r in iso_timestamps(t, ["a", "b"]).collect()] == [("2022-01-02T03:04:05", "2022-01-02T03:04:05"), (None, None)]
