@@ -139,3 +139,33 @@ def weekly_summary_job(spark, paths: dict[str, str], out_path: str) -> DataFrame
     out = weekly_permit_summary(**frames)
     write_replace(out, out_path)
     return out
+
+
+def weekly_summary_from_sources(
+    folder: DataFrame,
+    commercial_sheet: DataFrame,
+    extension_sheet: DataFrame,
+    residential_sheet: DataFrame,
+    out_path: str | None = None,
+    sheet_date_cols: tuple[str, str, str] = ("Date Created", "Created", "Date Created"),
+    applications_params: dict | None = None,
+    issued_params: dict | None = None,
+) -> DataFrame:
+    """The weekly table as one Catalyst plan straight from the permit table (e.g. read over
+    JDBC) and the three sheet exports: no extract files in between. The ``*_params`` go to
+    the two named queries (defaults: the permit system's codes). Writes it (full replace)
+    when ``out_path`` is given."""
+    from ..plans.sheets import sheet_day_counts
+    from ..sinks.files import write_replace
+    from .permits import applications_received, issued_permits
+
+    out = weekly_permit_summary(
+        applications_received(folder, **(applications_params or {})),
+        issued_permits(folder, **(issued_params or {})),
+        sheet_day_counts(commercial_sheet, sheet_date_cols[0]),
+        sheet_day_counts(extension_sheet, sheet_date_cols[1]),
+        sheet_day_counts(residential_sheet, sheet_date_cols[2]),
+    )
+    if out_path:
+        write_replace(out, out_path)
+    return out

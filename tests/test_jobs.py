@@ -231,3 +231,24 @@ def test_permit_lifecycle_extracts_to_weekly_table(spark, scratch):
     published = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/weekly").collect())
     direct = sorted(tuple(r) for r in E.queries()["weekly_permit_summary"](spark, sf).collect())
     assert published == direct and len(direct) > 0
+
+
+def test_weekly_summary_from_sources_one_plan(spark, scratch):
+    from civicmart.plans.weekly import weekly_summary_from_sources
+
+    folder = spark.createDataFrame(
+        [("DS", 1, 1, dt.datetime(2022, 1, 1, 9), dt.datetime(2022, 1, 8, 9)),
+         ("RW", 2, 1, dt.datetime(2022, 1, 20, 13), None)],
+        "foldertype string, subcode int, statuscode int, indate timestamp_ntz, issuedate timestamp_ntz",
+    )
+    com = spark.createDataFrame([("2022-01-03 10:00:00",)], "`Date Created` string")
+    ext = spark.createDataFrame([("2022-01-15 10:00:00",)], "Created string")
+    res = spark.createDataFrame([(None,)], "`Date Created` string")
+    out = weekly_summary_from_sources(folder, com, ext, res, f"{scratch}/w")
+    got = {r.date: r for r in spark.read.parquet(f"{scratch}/w").collect()}
+    assert sorted(got) == ["2022-01-01T00:00:00.000", "2022-01-08T00:00:00.000", "2022-01-15T00:00:00.000", "2022-01-22T00:00:00.000"]
+    assert got["2022-01-08T00:00:00.000"].ds_applications_received == 1.0  # commercial sheet
+    assert got["2022-01-08T00:00:00.000"].ds_permits_issued == 1.0
+    assert got["2022-01-22T00:00:00.000"].rw_applications_received == 1.0  # Jan 20 13:00 rounds to Jan 21
+    assert got["2022-01-15T00:00:00.000"].extension_requests == 1.0
+    assert out.columns[0] == "date"
