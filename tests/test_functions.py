@@ -170,3 +170,24 @@ def test_resolve_year_month():
 
     assert resolve_year_month(None, None, dt.date(2023, 5, 2)) == (2023, 5)
     assert resolve_year_month(2020, None, dt.date(2023, 5, 2)) == (2020, 5)
+
+
+def test_sql_functions_match_column_functions(spark):
+    from civicmart.sql_functions import register_sql_functions
+
+    register_sql_functions(spark, prefix="cm_")
+    rows = [(dt.datetime(2021, 9, 30, 12, 0), "2022-07-01T03:04:05.678Z", "2022", None),
+            (dt.datetime(2021, 10, 1, 11, 59), "", None, "7")]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, u string, y string, s string")
+    df.createOrReplaceTempView("cm_probe")
+    sql = spark.sql(
+        "SELECT cm_round_to_day(ts) AS r, cm_week_ending_saturday(to_date(ts)) AS w, cm_fiscal_year(to_date(ts)) AS fy,"
+        " cm_fiscal_month(month(ts)) AS fm, cm_month_abbrev(month(ts)) AS mn, cm_permit_id(y, s) AS p,"
+        " cm_iso_text(ts) AS i, cm_utc_to_local(u, 'US/Central') AS l FROM cm_probe"
+    ).collect()
+    col = df.select(
+        round_to_day("ts").alias("r"), week_ending_saturday("ts").alias("w"), fiscal_year("ts").alias("fy"),
+        fiscal_month(F.month("ts")).alias("fm"), month_name(F.month("ts")).alias("mn"), permit_id("y", "s").alias("p"),
+        iso_text("ts").alias("i"), utc_to_local("u").alias("l"),
+    ).collect()
+    assert [r.asDict() for r in sql] == [r.asDict() for r in col]
