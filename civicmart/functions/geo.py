@@ -95,12 +95,17 @@ def round_half_away(c, digits: int) -> Column:
 def state_plane_to_wgs84(x, y, zone: LambertZone = TEXAS_CENTRAL_FT, digits: int | None = None) -> Column:
     """``struct(lat double, lon double)`` from state-plane easting/northing.
 
-    Null (or NaN) in -> null out. ``digits`` rounds both outputs when given.
+    A null or NaN coordinate gives null fields. ``digits`` rounds both outputs when given.
+    The math sits outside any conditional so that whole-stage codegen computes each shared
+    subexpression (the conformal latitude, the radius) once per row.
     """
     n, af, rho0 = zone.constants()
     e = zone.e
-    xs = (as_col(x) - F.lit(zone.false_easting)) * F.lit(zone.unit_m)
-    ys = F.lit(rho0) - (as_col(y) - F.lit(zone.false_northing)) * F.lit(zone.unit_m)
+    x0, y0 = as_col(x), as_col(y)
+    xv = F.when(~F.isnan(x0), x0)  # NaN -> null, so nulls propagate through the math
+    yv = F.when(~F.isnan(y0), y0)
+    xs = (xv - F.lit(zone.false_easting)) * F.lit(zone.unit_m)
+    ys = F.lit(rho0) - (yv - F.lit(zone.false_northing)) * F.lit(zone.unit_m)
     rho = F.sqrt(xs * xs + ys * ys) * F.lit(math.copysign(1.0, n))
     theta = F.atan2(xs, ys)
     t = F.pow(rho / F.lit(af), F.lit(1.0 / n))
@@ -121,8 +126,7 @@ def state_plane_to_wgs84(x, y, zone: LambertZone = TEXAS_CENTRAL_FT, digits: int
     lat = F.degrees(phi)
     if digits is not None:
         lat, lon = round_half_away(lat, digits), round_half_away(lon, digits)
-    ok = as_col(x).isNotNull() & as_col(y).isNotNull() & ~F.isnan(as_col(x)) & ~F.isnan(as_col(y))
-    return F.when(ok, F.struct(lat.alias("lat"), lon.alias("lon")))
+    return F.struct(lat.alias("lat"), lon.alias("lon"))
 
 
 def wgs84_to_state_plane(lat, lon, zone: LambertZone = TEXAS_CENTRAL_FT) -> Column:
