@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 from ..functions.arrays import join_tags
 from ..functions.dates import (
     fiscal_month,
-    round_to_day,
     fiscal_year,
     iso_text,
     month_end_text,
     month_name,
+    round_to_day,
     utc_to_local,
 )
 from ..functions.geo import state_plane_to_wgs84
@@ -35,11 +35,11 @@ from ..operators.projection import map_fields
 from ..operators.reports import report_grid, slice_reports
 from ..operators.upsert import upsert
 from ..sinks.records import to_records
-from . import permits
-from . import weekly
+from . import permits, weekly
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table (Parquet) of the scale-factor folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
