@@ -37,15 +37,27 @@ def read_jdbc_table(
     return reader.load()
 
 
-def read_permit_tables(spark: SparkSession, url: str, **kwargs) -> dict[str, DataFrame]:
-    """The four permit-system tables the named queries read, keyed by query table name."""
-    names = {
-        "folder": "FOLDER",
-        "folderprocess": "FOLDERPROCESS",
-        "folderprocessattempt": "FOLDERPROCESSATTEMPT",
-        "validsub": "VALIDSUB",
-    }
-    return {k: read_jdbc_table(spark, url, v, **kwargs) for k, v in names.items()}
+def read_permit_tables(
+    spark: SparkSession,
+    url: str,
+    rsn_bounds: tuple[int, int] | None = None,
+    num_partitions: int = 1,
+    **properties,
+) -> dict[str, DataFrame]:
+    """The four permit-system tables the named queries read, keyed by query table name.
+
+    The three folder tables are read in ``num_partitions`` parallel ranges of
+    ``FOLDERRSN`` within ``rsn_bounds``; the sub-code table (a code list) in one query.
+    """
+    folder_tables = {"folder": "FOLDER", "folderprocess": "FOLDERPROCESS", "folderprocessattempt": "FOLDERPROCESSATTEMPT"}
+    out = {}
+    for key, name in folder_tables.items():
+        if rsn_bounds is not None and num_partitions > 1:
+            out[key] = read_jdbc_table(spark, url, name, "FOLDERRSN", rsn_bounds[0], rsn_bounds[1], num_partitions, **properties)
+        else:
+            out[key] = read_jdbc_table(spark, url, name, **properties)
+    out["validsub"] = read_jdbc_table(spark, url, "VALIDSUB", **properties)
+    return out
 
 
 def read_jdbc_query(spark: SparkSession, url: str, sql: str, fetch_size: int = 10000, **properties) -> DataFrame:

@@ -211,3 +211,26 @@ def test_upsert_reads_only_touched_partitions(spark, scratch):
     write_upsert(inc, path, ["k"], order_cols=["seq"], partition_cols=["year", "month"])
     got = {r.k: (r.v, r.month) for r in spark.read.parquet(path).collect()}
     assert len(got) == 120 and got[1] == ("new", 2) and got[13] == ("v", 2)
+
+
+def test_read_permit_tables_over_jdbc(spark):
+    from civicmart.sources import read_permit_tables
+
+    url = "jdbc:derby:memory:civicmart_tables;create=true"
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    frames = {
+        "FOLDER": spark.createDataFrame([(i, "EX", 7) for i in range(1, 9)], "FOLDERRSN int, FOLDERTYPE string, SUBCODE int"),
+        "FOLDERPROCESS": spark.createDataFrame([(1, 70000)], "FOLDERRSN int, PROCESSCODE int"),
+        "FOLDERPROCESSATTEMPT": spark.createDataFrame([(1, 61510)], "FOLDERRSN int, RESULTCODE int"),
+        "VALIDSUB": spark.createDataFrame([(7, "Seven")], "SUBCODE int, SUBDESC string"),
+    }
+    for name, df in frames.items():
+        w = df.write.format("jdbc").option("url", url).option("dbtable", name).option("driver", driver)
+        strings = ", ".join(f"{c} VARCHAR(32)" for c, t in df.dtypes if t == "string")
+        if strings:
+            w = w.option("createTableColumnTypes", strings)
+        w.mode("overwrite").save()
+    tables = read_permit_tables(spark, url, rsn_bounds=(1, 9), num_partitions=4, driver=driver)
+    assert tables["folder"].rdd.getNumPartitions() == 4 and tables["validsub"].rdd.getNumPartitions() == 1
+    joined = tables["folder"].join(tables["validsub"], "SUBCODE", "left")
+    assert joined.where("SUBDESC = 'Seven'").count() == 8
