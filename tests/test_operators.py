@@ -58,13 +58,13 @@ def test_weekly_resample_per_group_spans_and_total(spark):
 
 def test_weekly_measure_matrix_alignment(spark):
     rows = [
-        ("amanda", "DS", D(2022, 1, 1), 3),
-        ("amanda", "DS", D(2022, 1, 30), 5),
+        ("permits", "DS", D(2022, 1, 1), 3),
+        ("permits", "DS", D(2022, 1, 30), 5),
         ("sheet", "Count", D(2022, 2, 5), 7),
         ("sheet", "Count", D(2022, 3, 1), 8),
     ]
     df = spark.createDataFrame(rows, "measure string, series string, day date, n bigint")
-    cells = [("amanda", "DS", "ds"), ("amanda", "EX", "ex"), ("sheet", "Count", "sheet")]
+    cells = [("permits", "DS", "ds"), ("permits", "EX", "ex"), ("sheet", "Count", "sheet")]
     got = {r.week: (r.ds, r.ex, r.sheet) for r in weekly_measure_matrix(df, cells).collect()}
     weeks = sorted(got)
     assert weeks[0] == D(2022, 1, 1) and weeks[-1] == D(2022, 3, 5)
