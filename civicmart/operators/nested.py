@@ -30,6 +30,7 @@ RESOURCE_FIELDS = [
     "page_views_last_month",
     "page_views_total",
 ]
+# Fields lifted from resource.page_views, and UTC text fields shown in local time.
 PAGE_VIEW_FIELDS = ("page_views_last_week", "page_views_last_month", "page_views_total")
 UTC_TEXT_FIELDS = ("updatedAt", "createdAt", "metadata_updated_at", "data_updated_at", "publication_date")
 

@@ -11,6 +11,7 @@ from ..functions.text import snake_name
 from ..sinks.files import write_upsert
 from ..sources.files import read_csv_table, with_file_stamp
 
+# Permit types of the snapshot columns.
 CATEGORIES = ("DS", "EX", "RW")
 
 

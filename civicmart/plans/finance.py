@@ -85,7 +85,7 @@ REVENUE_ID_COLUMN = [
     "revenue_source_code",
 ]
 EXPENSES_ID_COLUMN = ["fiscal_year", "fiscal_month", "fund", "department", "unit", "object_code"]
-# Departments the extract runs for.
+# Departments the extract runs for.
 DEPARTMENTS = ["2400", "6200"]
 
 

@@ -42,6 +42,7 @@ FIELD_MAPPING = {
     "location": "location",
     "fiscal_year": "fiscal_year",
 }
+# The report's date columns and coordinate columns.
 DATE_COLUMNS = ["Status Change Date", "Created Date", "Overdue On Date", "Last Update Date", "Close Date"]
 X_COL, Y_COL = "State Plane X Coordinate", "State Plane Y Coordinate"
 KEY = "service_request_sr_number"

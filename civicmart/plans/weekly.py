@@ -19,7 +19,7 @@ EXTENSION = "Extension Requests"
 RESIDENTIAL = "Residential DS Permit Requests"
 SHEET_SERIES = "Count Permits"
 
-# Output columns, in published order.
+# Output columns, in published order.
 SUMMARY_COLUMNS = [
     "date",
     "extension_requests",
