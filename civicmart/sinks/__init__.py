@@ -1,6 +1,6 @@
 """Sinks: CSV files, partitioned report files, keyed upserts, full replace, JSON records."""
 
-from .files import write_csv, write_replace, write_report_partitions, write_upsert
+from .files import write_bucketed, write_csv, write_replace, write_report_partitions, write_upsert
 from .records import record_column, to_records
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -152,3 +152,16 @@ def write_upsert(
         w = w.option("partitionOverwriteMode", "static")
     w.parquet(path)
     return merged
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str, sort: bool = True) -> None:
+    """Write ``df`` as an external Parquet table bucketed (and sorted) by ``key``.
+
+    Tables bucketed on the same key with the same bucket count join without any shuffle
+    (e.g. the three permit tables on ``folderrsn`` for ``review_time``). The bucket spec is
+    kept in the session catalog: on a cluster use a persistent catalog so later jobs see it.
+    """
+    w = df.write.mode("overwrite").option("path", path).bucketBy(buckets, key)
+    if sort:
+        w = w.sortBy(key)
+    w.format("parquet").saveAsTable(table)

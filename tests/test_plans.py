@@ -82,3 +82,37 @@ def test_weekly_resample_single_pass(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert text.count("FileScan parquet") == 1
     assert "Join" not in text
+
+
+def test_review_time_on_bucketed_tables_needs_no_shuffle(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from civicmart.plans import bindings as B
+    from civicmart.plans import permits
+    from civicmart.sinks import write_bucketed
+
+    o, li = B.table(spark, SF_DIR, "orders"), B.table(spark, SF_DIR, "lineitem")
+    frames = {
+        "cm_folder": o.select(F.col("o_custkey").alias("customfoldernumber"), F.col("o_orderkey").alias("folderrsn"),
+                              F.col("o_orderstatus").alias("foldertype"), F.col("o_orderpriority").alias("subcode"),
+                              F.col("o_orderpriority").alias("workcode"), F.col("o_orderdate").alias("indate"),
+                              F.col("o_orderdate").alias("issuedate")),
+        "cm_process": li.select(F.col("l_orderkey").alias("folderrsn"), F.col("l_linenumber").alias("processcode"),
+                                F.col("l_shipdate").alias("startdate"), F.col("l_shipdate").alias("enddate")),
+        "cm_attempt": li.select(F.col("l_orderkey").alias("folderrsn"), F.col("l_returnflag").alias("resultcode"),
+                                F.col("l_shipdate").alias("attemptdate")),
+    }
+    for name, df in frames.items():
+        write_bucketed(df, name, "folderrsn", 8, str(tmp_path / name))
+    params = dict(folder_type="F", subcode="1-URGENT", workcode="1-URGENT", webapp_process=1, extension_process=2,
+                  comment_result="R")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        bucketed = permits.review_time(spark.table("cm_folder"), spark.table("cm_process"), spark.table("cm_attempt"), **params)
+        assert "Exchange" not in plan_text(bucketed)
+        plain = permits.review_time(*frames.values(), **params)
+        assert sorted(map(tuple, bucketed.collect())) == sorted(map(tuple, plain.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
