@@ -108,18 +108,24 @@ def weekly_measure_matrix(
     over its own first..last week (weeks inside with no value give 0); the output has the
     union of those weeks; a cell outside its measure's span is 0 as well.
 
-    Plan: a single aggregate by week with conditional sums (map-side combine; its output
-    has one row per calendar week that has data), then one window over those week rows
+    Plan: an aggregate to (week, measure, series) (map-side combine, one sum per row),
+    conditional sums of those few rows into one row per calendar week, then one window over the week rows
     (ordered; per-measure span bounds and the next present week) that emits the empty
     weeks lying inside some measure's span. One pass over the input, no join. The window
     holds one row per calendar week, a size bounded by the date range, not by the data.
     """
-    m, s, v = as_col(measure_col), as_col(series_col), as_col(value_col)
     measures = sorted({cell[0] for cell in cells})
     d = F.to_date(as_col(date_col))
+    # per-row work is one sum; the pivot into cells runs on (week, measure, series) rows
+    cube = (
+        long_df.where(d.isNotNull())
+        .groupBy(week_ending_saturday(d).alias(week_col), as_col(measure_col).alias("__m"), as_col(series_col).alias("__s"))
+        .agg(F.sum(as_col(value_col)).alias("__v"))
+    )
+    m, s, v = F.col("__m"), F.col("__s"), F.col("__v")
     aggs = [F.sum(F.when((m == F.lit(mm)) & (s == F.lit(ss)), v)).alias(out) for mm, ss, out in cells]
     present = [F.max(F.when(m == F.lit(mm), F.lit(True))).alias(f"__has{i}") for i, mm in enumerate(measures)]
-    weekly = long_df.where(d.isNotNull()).groupBy(week_ending_saturday(d).alias(week_col)).agg(*aggs, *present)
+    weekly = cube.groupBy(week_col).agg(*aggs, *present)
     whole = Window.orderBy(week_col).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ordered = Window.orderBy(week_col)
     spans = []

@@ -70,7 +70,8 @@ def test_flagship_scans_events_once(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert text.count("FileScan parquet") == 1
-    assert text.count("Exchange hashpartitioning") == 1  # the weekly aggregate
+    # (week, measure, series) aggregate, then its few rows by week
+    assert text.count("Exchange hashpartitioning") == 2
     assert "SortMergeJoin" not in text and "BroadcastHashJoin" not in text
 
 
