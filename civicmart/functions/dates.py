@@ -42,9 +42,16 @@ def fiscal_month(month) -> Column:
     return F.when(m >= 10, m - 9).otherwise(m + 3)
 
 
+# English month abbreviations (the ``MMM`` pattern in an English locale).
+MONTH_ABBREVIATIONS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+
+
 def month_name(month) -> Column:
-    """Three-letter English month abbreviation of a month number (Jan ... Dec)."""
-    return F.date_format(F.make_date(F.lit(2022), as_col(month), F.lit(1)), "MMM")
+    """Three-letter English month abbreviation of a month number (Jan ... Dec).
+
+    An array lookup rather than formatting a constructed date per row; null stays null and
+    a month outside 1..12 is an error under ANSI mode, as for an invalid date."""
+    return F.element_at(F.array(*[F.lit(m) for m in MONTH_ABBREVIATIONS]), as_col(month).cast("int"))
 
 
 def month_end(year, month) -> Column:
