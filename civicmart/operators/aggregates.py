@@ -108,11 +108,12 @@ def weekly_measure_matrix(
     over its own first..last week (weeks inside with no value give 0); the output has the
     union of those weeks; a cell outside its measure's span is 0 as well.
 
-    Plan: an aggregate to (week, measure, series) (map-side combine, one sum per row),
-    conditional sums of those few rows into one row per calendar week, then one window over the week rows
-    (ordered; per-measure span bounds and the next present week) that emits the empty
-    weeks lying inside some measure's span. One pass over the input, no join. The window
-    holds one row per calendar week, a size bounded by the date range, not by the data.
+    Plan: an aggregate to (week, measure, series) (map-side combine, one sum per row);
+    conditional sums of those few rows into one row per calendar week; then one window
+    over the week rows (ordered; per-measure span bounds and the next present week) that
+    emits the empty weeks lying inside some measure's span. One pass over the input, no
+    join. The window holds one row per calendar week, a size bounded by the date range,
+    not by the data.
     """
     measures = sorted({cell[0] for cell in cells})
     d = F.to_date(as_col(date_col))
