@@ -191,3 +191,8 @@ def test_sql_functions_match_column_functions(spark):
         iso_text("ts").alias("i"), utc_to_local("u").alias("l"),
     ).collect()
     assert [r.asDict() for r in sql] == [r.asDict() for r in col]
+
+
+def test_previous_month_year_rollover():
+    assert previous_month(2022, 1) == (2021, 12)
+    assert previous_month(2024, 3) == (2024, 2)

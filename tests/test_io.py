@@ -234,3 +234,25 @@ def test_read_permit_tables_over_jdbc(spark):
     assert tables["folder"].rdd.getNumPartitions() == 4 and tables["validsub"].rdd.getNumPartitions() == 1
     joined = tables["folder"].join(tables["validsub"], "SUBCODE", "left")
     assert joined.where("SUBDESC = 'Seven'").count() == 8
+
+
+def test_csv_inference_and_parquet_report_partitions(spark, scratch):
+    write(f"{scratch}/inf/a.csv", "n,x\n1,2.5\n2,3.5\n")
+    df = read_csv_table(spark, f"{scratch}/inf", infer=True)
+    assert dict(df.dtypes) == {"n": "int", "x": "double"}
+    rows = spark.createDataFrame([("revenue", "2022-01-31", "6200", 1)], "report string, month_end string, department string, v int")
+    assert write_report_partitions(rows, f"{scratch}/rp", fmt="parquet") == 1
+    assert spark.read.parquet(f"{scratch}/rp").count() == 1
+
+
+def test_jdbc_partitioning_needs_bounds(spark):
+    with pytest.raises(ValueError):
+        read_jdbc_table(spark, "jdbc:derby:memory:x", "T", partition_column="ID")
+
+
+def test_observe_count(spark):
+    from civicmart.operators import observe_count
+
+    df, obs = observe_count(spark.range(5), "probe")
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 5
