@@ -9,6 +9,7 @@ is exercised. :mod:`civicmart.plans.oracle` holds the equivalent DuckDB SQL.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,8 +40,16 @@ from . import permits, weekly
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table (Parquet) of the scale-factor folder."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One driver table (Parquet) of the scale-factor folder.
+
+    Registered once per session as a temporary view and then looked up by name, so file
+    listing and footer reading happen once, not per query; every query still scans the data.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    view = f"civicmart_{name}_{hashlib.sha1(path.encode()).hexdigest()[:12]}"
+    if not spark.catalog.tableExists(view):
+        spark.read.parquet(path).createOrReplaceTempView(view)
+    return spark.table(view)
 
 
 # ---------------------------------------------------------------- domain views of driver tables
