@@ -62,8 +62,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is missing there, this fails rather than falling back to a machine-local folder. Only in
     local mode (tests) with the setting unset is a fresh scratch folder created.
     """
-    sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
+        if configured:
+            return configured
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+    current = configured or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
@@ -71,7 +77,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="civicmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path
 
