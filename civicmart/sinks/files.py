@@ -69,12 +69,17 @@ def write_report_partitions(
 
 
 def _table_exists(spark, path: str) -> bool:
-    """Whether a Parquet table can be read at ``path`` (absence is an analysis error)."""
+    """Whether a Parquet table exists at ``path``. Only a missing path counts as absent:
+    any other read error (unreadable or corrupt table) is raised, never taken as empty."""
+    from pyspark.errors import AnalysisException
+
     try:
         spark.read.parquet(path).schema
         return True
-    except Exception:  # noqa: BLE001
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def write_replace(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> int:

@@ -256,3 +256,13 @@ def test_observe_count(spark):
     df, obs = observe_count(spark.range(5), "probe")
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["rows"] == 5
+
+
+def test_upsert_refuses_unreadable_target(spark, scratch):
+    path = f"{scratch}/broken"
+    os.makedirs(path)
+    write(f"{path}/part-0.parquet", "not parquet at all")
+    inc = spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(Exception):
+        write_upsert(inc, path, ["k"])
+    assert open(f"{path}/part-0.parquet").read() == "not parquet at all"  # left untouched
