@@ -32,6 +32,7 @@ def fiscal_year(d) -> Column:
 
 
 def fiscal_year_of(year, month) -> Column:
+    """Fiscal year from calendar year and month columns (October starts the next year)."""
     y, m = as_col(year), as_col(month)
     return y + F.when(m >= 10, F.lit(1)).otherwise(F.lit(0))
 
@@ -60,6 +61,7 @@ def month_end(year, month) -> Column:
 
 
 def month_end_text(year, month) -> Column:
+    """Last day of the month as ``yyyy-MM-dd`` text."""
     return F.date_format(month_end(year, month), ISO_DAY)
 
 

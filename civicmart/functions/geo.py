@@ -24,6 +24,8 @@ US_SURVEY_FOOT = 1200.0 / 3937.0
 
 @dataclass(frozen=True)
 class LambertZone:
+    """A Lambert conformal conic zone with two standard parallels on an ellipsoid."""
+
     lat0: float  # latitude of origin, degrees
     lon0: float  # central meridian, degrees
     lat1: float  # standard parallels, degrees

@@ -21,4 +21,5 @@ def nan_to_null(c) -> Column:
 
 
 def empty_if_null(c) -> Column:
+    """Null -> empty text."""
     return F.coalesce(as_col(c), F.lit(""))

@@ -76,6 +76,7 @@ def folder_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFra
 
 
 def folder_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """lineitem as issued permits: return flag N/A/R -> DS/EX/RW, line number -> sub-code, ship date -> issue date."""
     ftype = (
         F.when(F.col("l_returnflag") == "N", "DS")
         .when(F.col("l_returnflag") == "A", "EX")
@@ -89,6 +90,7 @@ def folder_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 
 def folder_from_part(part: DataFrame) -> DataFrame:
+    """part as permit folders: type from p_type, status = p_size, name = p_brand."""
     ftype = (
         F.when(F.col("p_type") == "MEDIUM", "DS")
         .when(F.col("p_type") == "LARGE", "EX")
@@ -117,18 +119,22 @@ EXTENSION_CUT = "2024-01-20 00:00:00"  # zone-less, compared with timestamp_ntz
 
 
 def q_applications_received(spark, sf):
+    """Applications per (type, user, rounded day) over all events."""
     return permits.applications_received(folder_from_events(table(spark, sf, "events")), **EVENTS_APPLICATIONS)
 
 
 def q_issued_permits(spark, sf):
+    """Issued permits per (type, line number, rounded ship day) over all of lineitem."""
     return permits.issued_permits(folder_from_lineitem(table(spark, sf, "lineitem")), **LINEITEM_ISSUED)
 
 
 def q_active_permits(spark, sf):
+    """Active permits per type over all parts (brand prefix excluded for RW)."""
     return permits.active_permits(folder_from_part(table(spark, sf, "part")), **PART_ACTIVE)
 
 
 def q_review_time(spark, sf):
+    """Review milestones: urgent finished orders with their first and second lines and returned lines."""
     o = table(spark, sf, "orders")
     li = table(spark, sf, "lineitem")
     folder = o.select(
@@ -165,6 +171,7 @@ def q_review_time(spark, sf):
 
 
 def q_ex_permits_issued(spark, sf):
+    """Open medium-priority orders since 1996 with the customer segment as sub-code description."""
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer")
     folder = o.select(
@@ -182,10 +189,12 @@ def q_ex_permits_issued(spark, sf):
 
 
 def q_count_by_date(spark, sf):
+    """Events per calendar date."""
     return count_by_date(table(spark, sf, "events"), "ts")
 
 
 def q_weekly_resample(spark, sf):
+    """Weekly quantity and line count per supplier with zero-filled weeks."""
     li = table(spark, sf, "lineitem").select("l_suppkey", "l_shipdate", "l_quantity", F.lit(1).alias("n"))
     return weekly_resample(li, "l_shipdate", ["l_quantity", "n"], by=["l_suppkey"])
 
@@ -220,11 +229,13 @@ def q_weekly_permit_summary_extracts(spark, sf):
 
 
 def q_rotate_categories(spark, sf):
+    """Active permits per type rotated into one row."""
     active = permits.active_permits(folder_from_part(table(spark, sf, "part")), **PART_ACTIVE)
     return rotate_categories(active, "foldertype", "activepermits", ["DS", "EX", "RW"])
 
 
 def q_fiscal_fields(spark, sf):
+    """Fiscal year/month, month name, month end and ISO text of every order date."""
     o = table(spark, sf, "orders")
     d = F.col("o_orderdate")
     return o.select(
@@ -238,12 +249,14 @@ def q_fiscal_fields(spark, sf):
 
 
 def q_utc_to_local(spark, sf):
+    """Event times written as UTC text, converted to US Central local text."""
     e = table(spark, sf, "events")
     utc_text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     return e.select("event_id", utc_to_local(utc_text).alias("local_time"))
 
 
 def q_state_plane_to_wgs84(spark, sf):
+    """Coordinates derived from order and customer keys projected to WGS 84, with WKT points."""
     o = table(spark, sf, "orders")
     x = F.lit(3000000.0) + F.lit(100.0) * F.col("o_custkey")
     y = F.lit(9900000.0) + F.lit(10.0) * F.col("o_orderkey")
@@ -257,12 +270,14 @@ def q_state_plane_to_wgs84(spark, sf):
 
 
 def q_row_identifier(spark, sf):
+    """Row identifier of every order from (year, status, customer)."""
     o = table(spark, sf, "orders")
     rid = row_identifier([F.year("o_orderdate"), F.col("o_orderstatus"), F.col("o_custkey")])
     return o.select("o_orderkey", rid.alias("row_identifier"))
 
 
 def q_membership_flag(spark, sf):
+    """Whether each customer has an urgent pending order."""
     c = table(spark, sf, "customer").select("c_custkey")
     o = table(spark, sf, "orders")
     urgent_pending = o.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P"))
@@ -270,6 +285,7 @@ def q_membership_flag(spark, sf):
 
 
 def q_attach_row_counts(spark, sf):
+    """Lineitem rows per supplier, for suppliers typed as datasets."""
     s = table(spark, sf, "supplier")
     assets = s.select(
         "s_suppkey", F.when(F.col("s_acctbal") >= 0, F.lit("dataset")).otherwise(F.lit("chart")).alias("type")
@@ -278,6 +294,7 @@ def q_attach_row_counts(spark, sf):
 
 
 def q_pick_metadata(spark, sf):
+    """Last text per role of every conversation (later turns win)."""
     conv = table(spark, sf, "conversations")
     return pick_last_values(
         conv, ["conv_id"], "role", "text", "turn", {"user": "user", "assistant": "assistant", "system": "system"}
@@ -285,12 +302,14 @@ def q_pick_metadata(spark, sf):
 
 
 def q_join_tags(spark, sf):
+    """Sorted distinct order priorities of each customer as tag text."""
     o = table(spark, sf, "orders")
     tags = o.groupBy("o_custkey").agg(F.array_sort(F.collect_set("o_orderpriority")).alias("priorities"))
     return tags.select("o_custkey", join_tags("priorities").alias("tags"))
 
 
 def q_json_field(spark, sf):
+    """The ``k`` member of every event's JSON properties."""
     e = table(spark, sf, "events")
     return e.select("event_id", F.get_json_object("props", "$.k").alias("k"))
 
@@ -309,6 +328,7 @@ def q_upsert(spark, sf):
 
 
 def q_exclude_values(spark, sf):
+    """Documents minus a deny-list on the language (null language kept)."""
     d = table(spark, sf, "documents").select(
         "doc_id", F.nullif(F.col("lang"), F.lit("fr")).alias("flex_question"), F.col("source").alias("flex_answer")
     )
@@ -316,6 +336,7 @@ def q_exclude_values(spark, sf):
 
 
 def q_catalog_scope(spark, sf):
+    """Documents as catalog assets scoped by owner or category, drafts dropped."""
     d = table(spark, sf, "documents")
     rid = F.when(F.col("n_chars") > 10000, F.concat(F.col("doc_id").cast("string"), F.lit(":draft"))).otherwise(
         F.col("doc_id").cast("string")
@@ -334,6 +355,7 @@ def q_catalog_scope(spark, sf):
 
 
 def q_blank_to_null(spark, sf):
+    """Blank size text of promo parts -> null, others -> decimal."""
     p = table(spark, sf, "part")
     text = F.when(F.col("p_type") == "PROMO", F.lit("")).otherwise(F.col("p_size").cast("string"))
     t = p.select("p_partkey", text.alias("size_text"))
@@ -341,11 +363,13 @@ def q_blank_to_null(spark, sf):
 
 
 def q_map_fields(spark, sf):
+    """Customer fields mapped and renamed, an absent field as null."""
     c = table(spark, sf, "customer")
     return map_fields(c, {"c_custkey": "customer_id", "c_name": "name", "c_fax": "fax"}, strict=False)
 
 
 def q_slice_reports(spark, sf):
+    """Orders of two priorities in the selected and previous month windows."""
     o = table(spark, sf, "orders")
     facts = o.select(
         "o_orderkey",
@@ -358,6 +382,7 @@ def q_slice_reports(spark, sf):
 
 
 def q_to_records(spark, sf):
+    """Every customer as one JSON record with explicit nulls."""
     c = table(spark, sf, "customer")
     mapped = map_fields(c, {"c_custkey": "customer_id", "c_name": "name", "c_fax": "fax"}, strict=False)
     return to_records(mapped, keep=["customer_id"])

@@ -38,6 +38,7 @@ def catalog_job(
     public_base: str,
     internal_base: str,
 ) -> DataFrame:
+    """Read the catalog and public-id documents, build the flat table, replace the published one."""
     assets = read_catalog_json(spark, assets_json)
     public_ids = read_catalog_json(spark, public_json).select(F.col("resource.id").alias("id"))
     table = build_catalog(assets, public_ids, dataset_rows, owner_id, category, public_base, internal_base)

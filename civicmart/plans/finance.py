@@ -91,6 +91,8 @@ DEPARTMENTS = ["2400", "6200"]
 
 @dataclass(frozen=True)
 class ReportSpec:
+    """One report: folder name, header -> published field mapping, numeric and key columns."""
+
     name: str
     mapping: Mapping[str, str]
     numeric_cols: Sequence[str]

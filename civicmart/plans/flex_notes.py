@@ -42,5 +42,6 @@ def transform_flex_notes(raw: DataFrame) -> DataFrame:
 
 
 def flex_notes_job(spark: SparkSession, csv_path: str, target_path: str) -> DataFrame:
+    """Read the flex-notes export, clean it, upsert on ``flex_note_id``."""
     rows = transform_flex_notes(read_csv_table(spark, csv_path, schema=SCHEMA, multiLine=True))
     return write_upsert(rows, target_path, keys=["flex_note_id"])

@@ -71,5 +71,6 @@ def transform_service_requests(raw: DataFrame, date_format: str | None = None, d
 
 
 def service_requests_job(spark: SparkSession, tsv_path: str, target_path: str, date_format: str | None = None) -> DataFrame:
+    """Read the UTF-16 report, transform it, upsert on the request number."""
     rows = transform_service_requests(read_utf16_tsv(spark, tsv_path), date_format)
     return write_upsert(rows, target_path, keys=[KEY])

@@ -19,6 +19,7 @@ def sheet_day_counts(sheet: DataFrame, date_col: str, date_format: str | None =
 
 
 def sheet_day_counts_job(spark: SparkSession, csv_path: str, date_col: str, out_path: str, date_format: str | None = None) -> DataFrame:
+    """Count a sheet export per calendar date and write the CSV extract (date first)."""
     counts = sheet_day_counts(read_csv_table(spark, csv_path, multiLine=True), date_col, date_format)
     write_csv(counts, out_path, order_by=["date"], first=["date"])
     return counts
