@@ -1,4 +1,4 @@
-"""Keyed upsert without a table format: last-wins dedupe, anti join, union."""
+"""Keyed upsert without a table format: one last-wins aggregate over target and increment."""
 
 from __future__ import annotations
 
@@ -30,9 +30,10 @@ def upsert(
     keys: Sequence[str],
     order_cols: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rows of ``target`` whose key is not in ``increment``, plus the increment (deduplicated
-    last-wins by ``order_cols`` when given). Keys compare null-safe; ``target`` is keyed
-    (one row per key).
+    """Rows of ``target`` whose key is not in ``increment``, plus the increment deduplicated
+    last-wins by ``order_cols`` (without them, duplicate increment keys keep the row with the
+    greatest values, which is deterministic). Keys compare null-safe; ``target`` is keyed (one
+    row per key) and its columns define the output.
 
     One aggregate over ``target UNION increment`` keyed by ``keys``, keeping per key the
     greatest ``(from_increment, order...)``: each input is read once and shuffled once,
