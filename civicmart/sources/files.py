@@ -20,12 +20,14 @@ def read_csv_table(
     spark: SparkSession, path, schema: StructType | str | None = None, infer: bool = False, **options
 ) -> DataFrame:
     """CSV with a header row. An explicit schema avoids a second (inference) pass; without
-    one, columns are strings unless ``infer`` is set."""
+    one, columns are strings unless ``infer`` is set. With a schema, every file's header is
+    checked against the schema's names (``enforceSchema=false``), so a file with its columns
+    in another order fails instead of being read by position."""
     reader = spark.read.option("header", True)
     for k, v in options.items():
         reader = reader.option(k, v)
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("enforceSchema", False)
     elif infer:
         reader = reader.option("inferSchema", True)
     return reader.csv(path)

@@ -266,3 +266,12 @@ def test_upsert_refuses_unreadable_target(spark, scratch):
     with pytest.raises(Exception):
         write_upsert(inc, path, ["k"])
     assert open(f"{path}/part-0.parquet").read() == "not parquet at all"  # left untouched
+
+
+def test_typed_csv_checks_header_names(spark, scratch):
+    write(f"{scratch}/t1/a.csv", "foldertype,activepermits\nDS,1\n")
+    ok = read_csv_table(spark, f"{scratch}/t1", schema="foldertype string, activepermits bigint")
+    assert [tuple(r) for r in ok.collect()] == [("DS", 1)]
+    write(f"{scratch}/t2/a.csv", "activepermits,foldertype\n1,DS\n")
+    with pytest.raises(Exception):
+        read_csv_table(spark, f"{scratch}/t2", schema="foldertype string, activepermits bigint").collect()
