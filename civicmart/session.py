@@ -90,3 +90,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def recommended_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of input on ``total_cores``.
+
+    Scan splits of ``target_partition_bytes`` (256 MB); the initial shuffle partition count
+    is the larger of the input divided into such pieces and 4x the cores (so a full shuffle
+    of the input still lands in partitions that fit executor memory). AQE then coalesces
+    down to 128 MB partitions and splits skewed ones. At 100 TB on 8,000 cores this gives
+    409,600 shuffle partitions.
+    """
+    pieces = -(-input_bytes // target_partition_bytes)
+    partitions = max(4 * total_cores, pieces)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    }

@@ -196,3 +196,12 @@ def test_sql_functions_match_column_functions(spark):
 def test_previous_month_year_rollover():
     assert previous_month(2022, 1) == (2021, 12)
     assert previous_month(2024, 3) == (2024, 2)
+
+
+def test_recommended_settings():
+    from civicmart.session import recommended_settings
+
+    big = recommended_settings(100 * 2**40, 8000)
+    assert big["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (256 << 20))
+    small = recommended_settings(10 * 2**20, 64)
+    assert small["spark.sql.shuffle.partitions"] == "256"
