@@ -453,6 +453,13 @@ def q_sheet_day_counts(spark, sf):
     return sheet_day_counts(sheet, "Date Created")
 
 
+def q_last_wins(spark, sf):
+    """The latest turn of every conversation (whole rows, last-wins by turn)."""
+    from ..operators.upsert import last_wins
+
+    return last_wins(table(spark, sf, "conversations"), ["conv_id"], ["turn"])
+
+
 CATALOG_PUBLIC_BASE = "https://public.example/d/"
 CATALOG_INTERNAL_BASE = "https://internal.example/d/"
 
@@ -532,4 +539,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "catalog_table": q_catalog_table,
     "pivot_sum": q_pivot_sum,
     "sheet_day_counts": q_sheet_day_counts,
+    "last_wins": q_last_wins,
 }

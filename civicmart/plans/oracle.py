@@ -365,6 +365,10 @@ SELECT CAST(strptime(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M
        COUNT(*) AS count_permits
 FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1"""
 
+    q["last_wins"] = """
+SELECT conv_id, turn, role, text FROM conversations
+QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1"""
+
     return q
 
 
