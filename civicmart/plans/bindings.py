@@ -460,6 +460,18 @@ def q_last_wins(spark, sf):
     return last_wins(table(spark, sf, "conversations"), ["conv_id"], ["turn"])
 
 
+def q_active_permit_snapshot(spark, sf):
+    """One snapshot row per order month: order counts per status (F/O/P as DS/EX/RW),
+    rotated into columns and stamped with the month."""
+    from .active_log import active_permit_snapshot
+
+    o = table(spark, sf, "orders")
+    ftype = F.when(F.col("o_orderstatus") == "F", "DS").when(F.col("o_orderstatus") == "O", "EX").otherwise("RW")
+    stamp = F.date_format(F.trunc("o_orderdate", "MM"), "yyyy-MM-dd'T'00:00:00.000")
+    counts = o.groupBy(stamp.alias("published_date"), ftype.alias("foldertype")).agg(F.count(F.lit(1)).alias("activepermits"))
+    return active_permit_snapshot(counts)
+
+
 CATALOG_PUBLIC_BASE = "https://public.example/d/"
 CATALOG_INTERNAL_BASE = "https://internal.example/d/"
 
@@ -540,4 +552,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pivot_sum": q_pivot_sum,
     "sheet_day_counts": q_sheet_day_counts,
     "last_wins": q_last_wins,
+    "active_permit_snapshot": q_active_permit_snapshot,
 }

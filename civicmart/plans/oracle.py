@@ -369,6 +369,18 @@ FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1"""
 SELECT conv_id, turn, role, text FROM conversations
 QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1"""
 
+    q["active_permit_snapshot"] = """
+WITH c AS (
+  SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') || 'T00:00:00.000' AS published_date,
+         CASE o_orderstatus WHEN 'F' THEN 'DS' WHEN 'O' THEN 'EX' ELSE 'RW' END AS foldertype,
+         COUNT(*) AS activepermits
+  FROM orders GROUP BY 1, 2)
+SELECT AVG(CAST(activepermits AS DOUBLE)) FILTER (WHERE foldertype = 'DS') AS ds,
+       AVG(CAST(activepermits AS DOUBLE)) FILTER (WHERE foldertype = 'EX') AS ex,
+       AVG(CAST(activepermits AS DOUBLE)) FILTER (WHERE foldertype = 'RW') AS rw,
+       published_date
+FROM c GROUP BY published_date"""
+
     return q
 
 
