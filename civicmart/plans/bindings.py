@@ -472,6 +472,21 @@ def q_active_permit_snapshot(spark, sf):
     return active_permit_snapshot(counts)
 
 
+def q_pairs_to_map(spark, sf):
+    """Per document, key/value pairs (lang, source, then lang again upper-cased) folded into
+    a map where the later pair wins; the looked-up values are returned."""
+    from ..functions.arrays import pairs_to_map
+
+    d = table(spark, sf, "documents")
+    pairs = F.array(
+        F.struct(F.lit("lang").alias("key"), F.col("lang").alias("value")),
+        F.struct(F.lit("source").alias("key"), F.col("source").alias("value")),
+        F.struct(F.lit("lang").alias("key"), F.upper("lang").alias("value")),
+    )
+    m = pairs_to_map(pairs)
+    return d.select("doc_id", m["lang"].alias("lang_value"), m["source"].alias("source_value"))
+
+
 CATALOG_PUBLIC_BASE = "https://public.example/d/"
 CATALOG_INTERNAL_BASE = "https://internal.example/d/"
 
@@ -553,4 +568,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sheet_day_counts": q_sheet_day_counts,
     "last_wins": q_last_wins,
     "active_permit_snapshot": q_active_permit_snapshot,
+    "pairs_to_map": q_pairs_to_map,
 }

@@ -381,6 +381,8 @@ SELECT AVG(CAST(activepermits AS DOUBLE)) FILTER (WHERE foldertype = 'DS') AS ds
        published_date
 FROM c GROUP BY published_date"""
 
+    q["pairs_to_map"] = "SELECT doc_id, upper(lang) AS lang_value, source AS source_value FROM documents"
+
     return q
 
 
