@@ -63,3 +63,83 @@ def test_utc_to_local_dst_switches(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(utc_to_local("t")).collect()]
     assert got == ["2022-03-13T01:59:59", "2022-03-13T03:00:00", "2022-11-06T01:59:59", "2022-11-06T01:00:00"]
+
+
+def _brute_force_matrix(rows, cells):
+    """Reference semantics by hand: per-measure span of Saturday weeks, union of spans,
+    every cell summed per week, 0 where nothing fell."""
+
+    def week(d):
+        return d + dt.timedelta(days=(5 - d.weekday()) % 7)
+
+    spans = {}
+    for m, s, d, n in rows:
+        w = week(d)
+        lo, hi = spans.get(m, (w, w))
+        spans[m] = (min(lo, w), max(hi, w))
+    weeks = set()
+    for lo, hi in spans.values():
+        w = lo
+        while w <= hi:
+            weeks.add(w)
+            w += dt.timedelta(days=7)
+    out = {w: {o: 0.0 for _, _, o in cells} for w in weeks}
+    for m, s, d, n in rows:
+        for mm, ss, o in cells:
+            if (m, s) == (mm, ss):
+                out[week(d)][o] += n
+    return out
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from(["a", "b", "c"]),
+            st.sampled_from(["x", "y"]),
+            st.dates(min_value=dt.date(2022, 1, 1), max_value=dt.date(2022, 6, 30)),
+            st.integers(min_value=1, max_value=5),
+        ),
+        min_size=1,
+        max_size=60,
+    )
+)
+def test_weekly_measure_matrix_matches_brute_force(spark, rows):
+    from civicmart.operators import weekly_measure_matrix
+
+    cells = [("a", "x", "ax"), ("a", "y", "ay"), ("b", "x", "bx"), ("c", "y", "cy"), ("d", "x", "dx")]
+    df = spark.createDataFrame(rows, "measure string, series string, day date, n bigint")
+    got = {r.week: {o: r[o] for _, _, o in cells} for r in weekly_measure_matrix(df, cells).collect()}
+    assert got == _brute_force_matrix(rows, cells)
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from(["g1", "g2", "g3"]),
+            st.dates(min_value=dt.date(2022, 1, 1), max_value=dt.date(2022, 9, 30)),
+            st.integers(min_value=0, max_value=9),
+        ),
+        min_size=1,
+        max_size=60,
+    )
+)
+def test_weekly_resample_matches_brute_force(spark, rows):
+    from civicmart.operators import weekly_resample
+
+    def week(d):
+        return d + dt.timedelta(days=(5 - d.weekday()) % 7)
+
+    want = {}
+    for g in {r[0] for r in rows}:
+        ws = [week(d) for gg, d, _ in rows if gg == g]
+        w = min(ws)
+        while w <= max(ws):
+            want[(g, w)] = 0
+            w += dt.timedelta(days=7)
+    for g, d, n in rows:
+        want[(g, week(d))] += n
+    df = spark.createDataFrame(rows, "g string, d date, n int")
+    got = {(r.g, r.week): r.n for r in weekly_resample(df, "d", ["n"], by=["g"]).collect()}
+    assert got == want
