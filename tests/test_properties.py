@@ -143,3 +143,23 @@ def test_weekly_resample_matches_brute_force(spark, rows):
     df = spark.createDataFrame(rows, "g string, d date, n int")
     got = {(r.g, r.week): r.n for r in weekly_resample(df, "d", ["n"], by=["g"]).collect()}
     assert got == want
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    st.dictionaries(st.one_of(st.none(), st.integers(0, 30)), st.text("abc", max_size=3), max_size=20),
+    st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 40)), st.text("xyz", max_size=3), st.integers(0, 5)), max_size=30),
+)
+def test_upsert_matches_brute_force(spark, target, increment):
+    from civicmart.operators import upsert
+
+    want = dict(target)
+    best = {}
+    for k, v, seq in increment:  # last-wins by seq, ties by the greatest value
+        if k not in best or (seq, v) > best[k]:
+            best[k] = (seq, v)
+    want.update({k: v for k, (seq, v) in best.items()})
+    t = spark.createDataFrame(list(target.items()), "k int, v string")
+    i = spark.createDataFrame(increment, "k int, v string, seq int")
+    got = sorted(((r.k, r.v) for r in upsert(t, i, ["k"], order_cols=["seq"]).collect()), key=repr)
+    assert got == sorted(want.items(), key=repr)
