@@ -163,3 +163,19 @@ def test_upsert_matches_brute_force(spark, target, increment):
     i = spark.createDataFrame(increment, "k int, v string, seq int")
     got = sorted(((r.k, r.v) for r in upsert(t, i, ["k"], order_cols=["seq"]).collect()), key=repr)
     assert got == sorted(want.items(), key=repr)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.sampled_from(["k1", "k2", "k3"]), st.text("pq", max_size=4)), max_size=40))
+def test_pick_last_values_matches_brute_force(spark, pairs):
+    from civicmart.operators import pick_last_values
+
+    rows = [(g, i, k, v) for i, (g, k, v) in enumerate(pairs)]  # unique order per row
+    want = {}
+    for g, i, k, v in rows:
+        want.setdefault(g, {"k1": "", "k2": ""})
+        if k in ("k1", "k2"):
+            want[g][k] = v  # later rows win
+    df = spark.createDataFrame(rows, "g int, o int, key string, value string")
+    got = {r.g: {"k1": r.k1, "k2": r.k2} for r in pick_last_values(df, ["g"], "key", "value", "o", {"k1": "k1", "k2": "k2"}).collect()}
+    assert got == want
