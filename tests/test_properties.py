@@ -179,3 +179,19 @@ def test_pick_last_values_matches_brute_force(spark, pairs):
     df = spark.createDataFrame(rows, "g int, o int, key string, value string")
     got = {r.g: {"k1": r.k1, "k2": r.k2} for r in pick_last_values(df, ["g"], "key", "value", "o", {"k1": "k1", "k2": "k2"}).collect()}
     assert got == want
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(0, 15), st.sampled_from(["dataset", "chart"])), max_size=15, unique_by=lambda t: t[0]),
+    st.lists(st.one_of(st.none(), st.integers(0, 20)), max_size=50),
+)
+def test_membership_and_counts_match_brute_force(spark, assets, member_keys):
+    from civicmart.operators import attach_row_counts, membership_flag
+
+    a = spark.createDataFrame(assets, "id int, type string")
+    m = spark.createDataFrame([(k,) for k in member_keys], "k int")
+    flags = {r.id: r.is_member for r in membership_flag(a, "id", m, "k").collect()}
+    assert flags == {i: i in set(member_keys) for i, _ in assets}
+    counts = {r.id: r.row_count for r in attach_row_counts(a, "id", "type", m, "k").collect()}
+    assert counts == {i: (member_keys.count(i) if t == "dataset" else None) for i, t in assets}
