@@ -16,8 +16,8 @@ IN_LIST_LIMIT = 1000
 def exclude_values(df: DataFrame, column: str, values: Sequence, keep_null: bool = True) -> DataFrame:
     """Drop rows whose ``column`` is in ``values``.
 
-    With ``keep_null`` (list-membership semantics) a null value is kept, unlike SQL's
-    ``NOT IN`` which drops it. Long lists go through a broadcast anti join; the list is a
+    With ``keep_null`` (list-membership semantics) a null value is kept; without it the
+    SQL ``NOT IN`` rule applies (a null is dropped, except against an empty list). Long lists go through a broadcast anti join; the list is a
     driver-side literal, so its size is known.
     """
     c = as_col(column)
@@ -30,7 +30,8 @@ def exclude_values(df: DataFrame, column: str, values: Sequence, keep_null: bool
     dtype = df.schema[column].dataType
     deny = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(v).cast(dtype) for v in values])).alias("__v"))
     out = df.join(F.broadcast(deny), c == F.col("__v"), "left_anti")
-    return out if keep_null else out.where(c.isNotNull())
+    # SQL NOT IN: a null is unknown (dropped) against a non-empty list
+    return out if keep_null or not values else out.where(c.isNotNull())
 
 
 def any_branch(*branches: Iterable[Column]) -> Column:

@@ -195,3 +195,39 @@ def test_membership_and_counts_match_brute_force(spark, assets, member_keys):
     assert flags == {i: i in set(member_keys) for i, _ in assets}
     counts = {r.id: r.row_count for r in attach_row_counts(a, "id", "type", m, "k").collect()}
     assert counts == {i: (member_keys.count(i) if t == "dataset" else None) for i, t in assets}
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    st.lists(st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d"])), max_size=40),
+    st.lists(st.sampled_from(["a", "b", "c", "d", "e"]), max_size=4),
+    st.booleans(),
+)
+def test_exclude_values_matches_brute_force(spark, values, deny, long_path):
+    from civicmart.operators import exclude_values
+    from civicmart.operators import filters as filters_mod
+
+    df = spark.createDataFrame([(v,) for v in values], "q string")
+    limit = filters_mod.IN_LIST_LIMIT
+    try:
+        if long_path:
+            filters_mod.IN_LIST_LIMIT = 0  # take the broadcast anti-join path
+        kept = sorted((r.q for r in exclude_values(df, "q", deny).collect()), key=repr)
+        strict = sorted((r.q for r in exclude_values(df, "q", deny, keep_null=False).collect()), key=repr)
+    finally:
+        filters_mod.IN_LIST_LIMIT = limit
+    assert kept == sorted((v for v in values if v is None or v not in deny), key=repr)
+    sql_not_in = [v for v in values if v not in deny and (v is not None or not deny)]  # NULL NOT IN () is true
+    assert strict == sorted(sql_not_in, key=repr)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.one_of(st.none(), moments), max_size=60))
+def test_count_by_date_matches_brute_force(spark, values):
+    from collections import Counter
+
+    from civicmart.operators import count_by_date
+
+    df = spark.createDataFrame([(v,) for v in values], "t timestamp_ntz")
+    got = {r.date: r.count_permits for r in count_by_date(df, "t").collect()}
+    assert got == dict(Counter(v.date() for v in values if v is not None))
