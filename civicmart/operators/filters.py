@@ -17,8 +17,9 @@ def exclude_values(df: DataFrame, column: str, values: Sequence, keep_null: bool
     """Drop rows whose ``column`` is in ``values``.
 
     With ``keep_null`` (list-membership semantics) a null value is kept; without it the
-    SQL ``NOT IN`` rule applies (a null is dropped, except against an empty list). Long lists go through a broadcast anti join; the list is a
-    driver-side literal, so its size is known.
+    SQL ``NOT IN`` rule applies (a null is dropped, except against an empty list). Long
+    lists go through a broadcast anti join; the list is a driver-side literal, so its size
+    is known.
     """
     c = as_col(column)
     values = list(values)
