@@ -139,9 +139,10 @@ def kept(docs: DataFrame, policy: Policy) -> DataFrame:
     """The rows of ``docs`` that a policy keeps, with all their columns and without a shuffle."""
     table, name = numbered(docs)
     entries = _measured(table, name["text"], list(table.columns)).withColumn("fail_bits", _fail_bits())
-    # a filter would be pushed below the measurements and copy their expressions into itself
-    once = F.when(passes(policy), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
-    return entries.select(*table.columns, F.explode(once)).select(*table.columns).toDF(*docs.columns)
+    # a filter would be pushed below the measurements and copy their expressions into itself; one
+    # on the output of a generator stays where it is
+    held = entries.select(*table.columns, F.explode_outer(F.array(passes(policy))).alias("keep"))
+    return held.filter("keep").select(*table.columns).toDF(*docs.columns)
 
 
 def passes(policy: Policy, bits: Column | None = None) -> Column:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mixing, pieces, quality, simhash
+from . import langid, licenses, lines, mixing, pieces, quality, simhash, topk, urls, warc
 
 MODEL = "piece_bpe_32k.model"
 
@@ -22,6 +22,14 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    net = langid.fit(docs.filter(~held_out))
+    return langid.identify(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     return pieces.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(MODEL))
@@ -42,6 +50,16 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of a replica in which every record with page_id divisible by 97 is damaged."""
+    leaves = warc.layout(warc.replicas(_table(spark, sf_dir, "pages"), F.col("page_id") % 97 == 0), ["page_id", "digest_a"])
+    return warc.audit(leaves).select("page_id", "idx", "archive", "offset", "length", "digest_a", "digest_b")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -54,8 +72,20 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_sentencepiece, op3_quality_rules, op4_source_mixing, op7_line_dedup, op8_simhash)
+    f.__name__: f
+    for f in (
+        op1_language_id, op2_sentencepiece, op3_quality_rules, op4_source_mixing, op5_url_filter,
+        op6_warc_fixity, op7_line_dedup, op8_simhash, op9_topk_search, op10_license_scan,
+    )
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -88,6 +118,23 @@ ORACLE_SQL: dict[str, str] = {
                fail_bits = 0 AS kept, fail_bits::BIGINT AS fail_bits
         FROM f
     """,
+    "op6_warc_fixity": rf"""
+        WITH w AS (
+            SELECT *, concat('WARC/1.1', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10), 'WARC-Record-ID: <urn:page:', page_id,
+                '>', chr(13), chr(10), 'WARC-Target-URI: ', url, chr(13), chr(10), 'Content-Length: ', strlen(coalesce(html, '')),
+                chr(13), chr(10), chr(13), chr(10)) AS head, chr(13) || chr(10) || chr(13) || chr(10) AS tail
+            FROM pages),
+        r AS (
+            SELECT page_id, concat(head, html, tail) AS a,
+                   concat(head, CASE WHEN page_id % 97 = 0 AND length(html) > 0 THEN left(html, length(html) - 1) || chr(0) ELSE html END, tail) AS b
+            FROM w),
+        d AS (SELECT page_id, strlen(a) AS length, sha256(a) AS digest_a, sha256(b) AS digest_b FROM r),
+        o AS (
+            SELECT *, row_number() OVER g - 1 AS idx, (sum(length) OVER g - length)::BIGINT AS "offset"
+            FROM d WINDOW g AS (ORDER BY page_id NULLS LAST, digest_a ROWS UNBOUNDED PRECEDING))
+        SELECT page_id, idx, "offset" // {warc.ARCHIVE_BYTES} AS archive, "offset", length, digest_a, digest_b
+        FROM o WHERE digest_a <> digest_b
+    """,
     "op7_line_dedup": rf"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, coalesce(md5(text), 'null') AS k FROM documents),
         split AS (SELECT r, doc_id, k, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d),
@@ -110,4 +157,17 @@ ORACLE_SQL: dict[str, str] = {
                coalesce(n, 0)::BIGINT AS n_removed, spans.removed
         FROM d LEFT JOIN spans USING (r) LEFT JOIN rest USING (r)
     """,
+    "op9_topk_search": f"""
+        WITH v AS (
+            SELECT vec_id, list_transform(min(embedding), lambda x: floor({topk.SCALE} * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            GROUP BY vec_id),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+            FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+        SELECT query_id, (row_number() OVER g)::INTEGER AS rank, vec_id, score
+        FROM s WINDOW g AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER g <= {topk.K}
+    """,
 }
