@@ -79,14 +79,14 @@ def _no_keys() -> Column:
 
 
 def _pivot_pool(items: Column) -> Column:
-    """Round a block of (key, size, mass) with one common fraction, largest size first.
+    """Round a block of (key, order, size, mass) with one common fraction, largest size first.
 
     Each document in turn trades mass with the pool of all smaller ones, whose fractions stay
     equal to each other: drawn so that its expectation stays, it ends at 0 or full, or, if the
     pool cannot take that much, the pool does and the document stays open. So the document
     that a block leaves open is as a rule one of its smallest. Same result as :func:`_pivot`.
     """
-    opened = F.struct(F.get(items, F.lit(0))["key"].alias("key"), F.lit(0.0).alias("size"), F.lit(0.0).alias("mass"))
+    opened = F.struct(F.get(items, F.lit(0))["key"].alias("key"), F.get(items, F.lit(0))["order"].alias("order"), F.lit(0.0).alias("size"), F.lit(0.0).alias("mass"))
     total = lambda name: F.aggregate(items, F.lit(0.0), lambda a, x: a + x[name])
     state = F.struct(total("mass").alias("mass"), total("size").alias("size"), F.lit(0).alias("mode"), opened.alias("open"), _no_keys().alias("up"))
 
@@ -101,7 +101,7 @@ def _pivot_pool(items: Column) -> Column:
         )
 
         def settle(v: Column) -> Column:
-            wins = _draw(x["key"], F.lit(-2)) * (v["gain"] + v["give"]) < v["give"]
+            wins = _draw(x["order"], F.lit(-2)) * (v["gain"] + v["give"]) < v["give"]
             up, down = wins & (v["rest"] <= v["pool"]), ~wins & (v["own"] <= v["give"])
             mass = F.when(wins, v["own"] + v["gain"]).otherwise(v["own"] - v["give"])
             return F.struct(
@@ -109,7 +109,7 @@ def _pivot_pool(items: Column) -> Column:
                 v["left"].alias("size"),
                 # 1: the pool is down, 2: the pool is full
                 F.when(up | down, F.lit(0)).when(wins, F.lit(1)).otherwise(F.lit(2)).alias("mode"),
-                F.when(up | down, acc["open"]).otherwise(F.struct(x["key"].alias("key"), x["size"].alias("size"), mass.alias("mass"))).alias("open"),
+                F.when(up | down, acc["open"]).otherwise(F.struct(x["key"].alias("key"), x["order"].alias("order"), x["size"].alias("size"), mass.alias("mass"))).alias("open"),
                 F.concat(acc["up"], F.when(up, F.array(x["key"])).otherwise(_no_keys())).alias("up"),
             )
 
@@ -123,7 +123,7 @@ def _pivot_pool(items: Column) -> Column:
 
 
 def _pivot(items: Column, level: int) -> Column:
-    """Trade mass along an array of (key, size, mass): struct of the ``open`` residual and ``up``.
+    """Trade mass along an array of (key, order, size, mass): struct of the ``open`` residual and ``up``.
 
     ``open`` is the document still fractional after meeting all others in turn, ``up`` the keys
     of those rounded up; all others are rounded down. The moves keep every expectation, and the
@@ -135,7 +135,7 @@ def _pivot(items: Column, level: int) -> Column:
         a = acc["open"]
         rest_a, rest_b = a["size"] - a["mass"], b["size"] - b["mass"]
         to_a, to_b = F.least(rest_a, b["mass"]), F.least(a["mass"], rest_b)
-        wins = _draw(a["key"], b["key"], F.lit(level)) * (to_a + to_b) < to_b
+        wins = _draw(a["order"], b["order"], F.lit(level)) * (to_a + to_b) < to_b
         # a gets to_a if it wins, else gives to_b; then a or b is 0 or full, exactly one side may stay open
         mass_a = F.when(wins, a["mass"] + to_a).otherwise(a["mass"] - to_b)
         mass_b = F.when(wins, b["mass"] - to_a).otherwise(b["mass"] + to_b)
@@ -144,8 +144,8 @@ def _pivot(items: Column, level: int) -> Column:
         full_b = F.when(wins, F.lit(False)).otherwise(rest_b <= a["mass"])
         settled_a = full_a | zero_a
         keep = F.when(
-            settled_a, F.struct(b["key"].alias("key"), b["size"].alias("size"), mass_b.alias("mass"))
-        ).otherwise(F.struct(a["key"].alias("key"), a["size"].alias("size"), mass_a.alias("mass")))
+            settled_a, F.struct(b["key"].alias("key"), b["order"].alias("order"), b["size"].alias("size"), mass_b.alias("mass"))
+        ).otherwise(F.struct(a["key"].alias("key"), a["order"].alias("order"), a["size"].alias("size"), mass_a.alias("mass")))
         up = F.when(full_a, F.array(a["key"])).when(~settled_a & full_b, F.array(b["key"])).otherwise(_no_keys())
         return F.struct(keep.alias("open"), F.concat(acc["up"], up).alias("up"))
 
@@ -159,6 +159,13 @@ def copies(sized: DataFrame, by_source: DataFrame) -> DataFrame:
     salted = by_source.withColumn("b_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumnRenamed("source", "b_source")
     order = F.xxhash64("doc_id", "text_key", F.lit(SEED))
     rows = saved(sized.withColumn("order", order).withColumn("row", F.monotonically_increasing_id()))
+    # rows that repeat doc_id and text have one order; they are spread over blocks by their number
+    repeated = saved(rows.groupBy(F.col("order").alias("r_order")).agg(F.count(F.lit(1)).alias("same")).filter("same > 1").select("r_order"))
+    rows = saved(
+        rows.join(repeated, F.col("order") == F.col("r_order"), "left")
+        .withColumn("spread", F.when(F.col("r_order").isNotNull(), F.col("row")).otherwise(F.lit(0).cast("long")))
+        .drop("r_order")
+    )
     share = saved(
         rows.withColumn("salt", F.pmod("row", F.lit(salts)).cast("int"))
         .join(salted, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("salt") == F.col("b_salt")))
@@ -168,29 +175,29 @@ def copies(sized: DataFrame, by_source: DataFrame) -> DataFrame:
         .withColumn("mass", F.greatest(F.col("expected") - F.col("whole"), F.lit(0.0)) * F.col("size"))
     )
     # a residual keeps its source's count of open rows, so every level knows its number of blocks
-    live = share.filter(f"size > 0 AND mass > {EPS} * size").select("source", "n", "order", "doc_id", "row", F.col("size").cast("double").alias("size"), "mass")
+    live = share.filter(f"size > 0 AND mass > {EPS} * size").select("source", "n", "order", "spread", "row", F.col("size").cast("double").alias("size"), "mass")
     most, level, raised = by_source.agg(F.max("n")).first()[0] or 0, 0, None
     while True:
         blocks = F.greatest(F.ceil(F.col("n") / F.lit(float(BLOCK ** (level + 1)))), F.lit(1))
-        item = F.struct((-F.col("size")).alias("by"), "order", "doc_id", "row", "size", "mass")
-        ordered = F.transform(F.sort_array(F.collect_list(item)), lambda x: F.struct(x["row"].alias("key"), x["size"].alias("size"), x["mass"].alias("mass")))
-        block = F.pmod(F.xxhash64("order", F.lit(level)), blocks).alias("block")
+        item = F.struct((-F.col("size")).alias("by"), "order", "row", "size", "mass")
+        ordered = F.transform(F.sort_array(F.collect_list(item)), lambda x: F.struct(x["row"].alias("key"), x["order"].alias("order"), x["size"].alias("size"), x["mass"].alias("mass")))
+        block = F.pmod(F.xxhash64("order", "spread", F.lit(level)), blocks).alias("block")
         paired = saved(
             live.groupBy("source", "n", block).agg(ordered.alias("items"))
             .select("source", "n", (_pivot(F.col("items"), level) if level else _pivot_pool(F.col("items"))).alias("p"))
         )
         up = paired.select(F.explode("p.up").alias("row"))
         raised = up if raised is None else raised.unionByName(up)
-        rest = paired.select("source", "n", F.col("p.open.key").alias("row"), F.col("p.open.size").alias("size"), F.col("p.open.mass").alias("mass"))
+        rest = paired.select("source", "n", F.col("p.open.key").alias("row"), F.col("p.open.order").alias("order"), F.col("p.open.size").alias("size"), F.col("p.open.mass").alias("mass"))
         if most <= BLOCK ** (level + 1):
             break
         whole = rest.filter(F.col("mass") >= F.col("size") * (1 - EPS)).select("row")
         raised = raised.unionByName(whole)
         live = rest.filter((F.col("mass") > F.col("size") * EPS) & (F.col("mass") < F.col("size") * (1 - EPS))).select(
-            "source", "n", F.xxhash64("row", F.lit(SEED)).alias("order"), F.col("row").alias("doc_id"), "row", "size", "mass"
+            "source", "n", "order", F.lit(0).cast("long").alias("spread"), "row", "size", "mass"
         )
         level += 1
-    last = rest.filter(_draw(F.col("row"), F.lit(-1)) * F.col("size") < F.col("mass")).select("row")
+    last = rest.filter(_draw(F.col("order"), F.lit(-1)) * F.col("size") < F.col("mass")).select("row")
     raised = raised.unionByName(last).withColumnRenamed("row", "up_row")
     return share.join(raised, F.col("row") == F.col("up_row"), "left").withColumn(
         "copies", F.col("whole") + F.when(F.col("up_row").isNotNull(), 1).otherwise(0)
@@ -210,8 +217,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_copies: int =
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
     """The documents of the mix: each row as often as it is taken, with all its columns.
 
-    Rows that repeat doc_id, source and text share their copies: the sum over them, spread so
-    that no row has more than one above another's.
+    Rows that repeat doc_id, source and text share their copies, the sum over them; where they
+    differ in other columns, the smallest by those stands for the others.
     """
     plan = saved(mix(docs, weights, max_copies))
     per_key = saved(plan.groupBy("doc_id", "source", "text_key").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")))
@@ -224,8 +231,13 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_copies: int
     columns = list(table.columns)
     emit = lambda df, times: df.select(*columns, F.explode(F.array_repeat(F.lit(1), times)).alias("copy")).select(*columns)
     single = emit(joined.filter("rows = 1"), F.col("copies").cast("int"))
-    # repeated rows: numbered by all their columns, the first (copies mod rows) get one more
-    number = F.row_number().over(Window.partitionBy("k_id", "k_source", "k_key").orderBy(F.to_json(F.struct(*columns)))) - 1
-    several = joined.filter("rows > 1").withColumn("number", number)
-    share = F.floor(F.col("copies") / F.col("rows")) + F.when(F.col("number") < F.pmod("copies", "rows"), 1).otherwise(0)
-    return single.unionByName(emit(several, share.cast("int"))).toDF(*docs.columns)
+    # repeated rows: a few tasks share a key, each emits its part of the copies by running counts
+    several = joined.filter("rows > 1").withColumn("salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(64)))
+    key = ["k_id", "k_source", "k_key", "copies", "rows"]
+    others = F.to_json(F.struct(*(F.col(c) for c in columns if c != name["text"])))
+    parts = several.groupBy(*key, "salt").agg(F.min_by(F.struct(*columns), others).alias("kept"), F.count(F.lit(1)).alias("own"))
+    end = F.sum("own").over(Window.partitionBy(*key).orderBy("salt"))
+    upto = lambda n: F.floor(F.col("copies") * n / F.col("rows"))
+    parts = parts.withColumn("end", end).withColumn("times", (upto(F.col("end")) - upto(F.col("end") - F.col("own"))).cast("int"))
+    spread = parts.select("kept", F.explode(F.array_repeat(F.lit(1), F.col("times"))).alias("copy")).select("kept.*")
+    return single.unionByName(spread).toDF(*docs.columns)
