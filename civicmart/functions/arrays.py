@@ -31,9 +31,11 @@ def _key_is(key: str):
 
 
 def last_value_of(pairs, key: str, default: str | None = "") -> Column:
-    """Value of the last pair whose key equals ``key`` (later pairs win), else ``default``."""
-    hit = F.try_element_at(F.filter(as_col(pairs), _key_is(key)), F.lit(-1))["value"]
-    return F.coalesce(hit, F.lit(default)) if default is not None else hit
+    """Value of the last pair whose key equals ``key`` (later pairs win); ``default``
+    if no pair has the key, null if the last one has a null value."""
+    found = F.filter(as_col(pairs), _key_is(key))
+    hit = F.try_element_at(found, F.lit(-1))["value"]
+    return F.when(F.size(found) > 0, hit).otherwise(F.lit(default)) if default is not None else hit
 
 
 def pick_metadata(pairs, fields: Mapping[str, str], default: str = "") -> list[Column]:

@@ -119,7 +119,7 @@ def weekly_measure_matrix(
     d = F.to_date(as_col(date_col))
     # per-row work is one sum; the pivot into cells runs on (week, measure, series) rows
     cube = (
-        long_df.where(d.isNotNull())
+        long_df.where(d.isNotNull() & as_col(measure_col).isin([mm for mm, _, _ in cells]))
         .groupBy(week_ending_saturday(d).alias(week_col), as_col(measure_col).alias("__m"), as_col(series_col).alias("__s"))
         .agg(F.sum(as_col(value_col)).alias("__v"))
     )
@@ -179,5 +179,7 @@ def pick_last_values(
     aggs = []
     for key, out in wanted.items():
         last = F.max_by(v, F.when(k == F.lit(key), o))
-        aggs.append((F.coalesce(last, F.lit(default)) if default is not None else last).alias(out))
+        if default is not None:  # a key that is present with a null value stays null
+            last = F.when(F.count(F.when(k == F.lit(key), o)) > 0, last).otherwise(F.lit(default))
+        aggs.append(last.alias(out))
     return df.groupBy(*[as_col(g).alias(g) for g in group_keys]).agg(*aggs)

@@ -9,30 +9,19 @@ from pyspark.sql import functions as F
 
 from ..functions._util import as_col
 
-# Above this many values a deny-list is applied as a broadcast anti join rather than IN.
-IN_LIST_LIMIT = 1000
-
-
 def exclude_values(df: DataFrame, column: str, values: Sequence, keep_null: bool = True) -> DataFrame:
-    """Drop rows whose ``column`` is in ``values``.
+    """Drop rows whose ``column`` is in ``values``; the same rule for a list of any length.
 
     With ``keep_null`` (list-membership semantics) a null value is kept; without it the
-    SQL ``NOT IN`` rule applies (a null is dropped, except against an empty list). Long
-    lists go through a broadcast anti join; the list is a driver-side literal, so its size
-    is known.
+    SQL ``NOT IN`` rule applies: a null is dropped, and a null in the list drops every row
+    (except against an empty list, which drops nothing). Values compare as SQL compares the
+    column with a literal of their type; long lists become a hash set in the filter.
     """
-    c = as_col(column)
     values = list(values)
-    if len(values) <= IN_LIST_LIMIT:
-        hit = c.isin(values)
-        cond = ~F.coalesce(hit, F.lit(False)) if keep_null else ~hit
-        return df.where(cond)
-    # literal rows inside the JVM plan; their number is known on the driver
-    dtype = df.schema[column].dataType
-    deny = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(v).cast(dtype) for v in values])).alias("__v"))
-    out = df.join(F.broadcast(deny), c == F.col("__v"), "left_anti")
-    # SQL NOT IN: a null is unknown (dropped) against a non-empty list
-    return out if keep_null or not values else out.where(c.isNotNull())
+    if not values:
+        return df
+    hit = as_col(column).isin(values)
+    return df.where(~F.coalesce(hit, F.lit(False)) if keep_null else ~hit)
 
 
 def any_branch(*branches: Iterable[Column]) -> Column:

@@ -42,20 +42,20 @@ def slice_reports(
 ) -> DataFrame:
     """Fact rows whose (department, fiscal year, period end) is in the grid.
 
-    The grid's size is bounded by the job parameters (departments x 2), so it is broadcast:
-    the facts are filtered in place, without a shuffle.
+    The grid comes from the job's parameters (departments x 2 rows); its rows become literal
+    predicates, so facts partitioned by these columns are pruned when the query is planned.
     """
-    g = grid.select(
-        F.col("department").alias("__dept"),
-        F.col("fiscal_year").alias("__fy"),
-        F.col("month_end").alias("__end"),
-    )
-    cond = (
-        (as_col(department_col) == F.col("__dept"))
-        & (as_col(fiscal_year_col) == F.col("__fy"))
-        & (as_col(month_end_col) == F.col("__end"))
-    )
-    return facts.join(F.broadcast(g), cond, "left_semi")
+    wanted = F.lit(False)
+    by_period: dict[tuple, set] = {}
+    for r in grid.select("department", "fiscal_year", "month_end").collect():
+        by_period.setdefault((r["fiscal_year"], r["month_end"]), set()).add(r["department"])
+    for (fiscal_year, month_end), departments in by_period.items():
+        wanted = wanted | (
+            (as_col(month_end_col) == F.lit(month_end))
+            & (as_col(fiscal_year_col) == F.lit(fiscal_year))
+            & as_col(department_col).isin(sorted(departments))
+        )
+    return facts.where(wanted)
 
 
 def month_window(

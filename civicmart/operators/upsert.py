@@ -1,4 +1,4 @@
-"""Keyed upsert without a table format: one last-wins aggregate over target and increment."""
+"""Keyed upsert without a table format: a last-wins increment and a null-safe anti join."""
 
 from __future__ import annotations
 
@@ -35,15 +35,15 @@ def upsert(
     greatest values, which is deterministic). Keys compare null-safe; ``target`` is keyed (one
     row per key) and its columns define the output.
 
-    One aggregate over ``target UNION increment`` keyed by ``keys``, keeping per key the
-    greatest ``(from_increment, order...)``: each input is read once and shuffled once,
-    combined map-side (no separate anti join that would read the increment a second time).
+    The increment is combined by key first; the target is only anti-joined with its keys, so
+    it need not move when the planner finds the keys small enough to broadcast.
     """
     keys = list(keys)
-    order_cols = list(order_cols or [])
     cols = target.columns
-    t = target.select(*[F.col(quote(c)) for c in cols], F.lit(0).alias("__src"))
-    extra = [c for c in order_cols if c not in cols]
-    i = increment.select(*[F.col(quote(c)) for c in [*cols, *extra]], F.lit(1).alias("__src"))
-    both = t.unionByName(i, allowMissingColumns=True)
-    return last_wins(both, keys, ["__src", *order_cols]).select(*[F.col(quote(c)) for c in cols])
+    extra = [c for c in order_cols or [] if c not in cols]
+    last = last_wins(increment.select(*[F.col(quote(c)) for c in [*cols, *extra]]), keys, list(order_cols or []))
+    taken = last.select(*[F.col(quote(k)).alias(f"__k{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & target[quote(k)].eqNullSafe(F.col(f"__k{i}"))
+    return target.join(taken, same, "left_anti").unionByName(last.select(*[F.col(quote(c)) for c in cols]))

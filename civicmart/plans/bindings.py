@@ -112,7 +112,6 @@ EVENTS_APPLICATIONS = dict(
 EVENTS_ISSUED = dict(since=dt.date(2024, 1, 5), excluded_subcodes=(8, 46))
 LINEITEM_ISSUED = dict(since=dt.date(1996, 1, 1), excluded_subcodes=(6, 7))
 PART_ACTIVE = dict(active_status=tuple(range(1, 26)), excluded_prefix="Brand#1")
-EXTENSION_CUT = "2024-01-20 00:00:00"  # zone-less, compared with timestamp_ntz
 
 
 # ---------------------------------------------------------------- queries
@@ -210,7 +209,7 @@ def q_weekly_permit_summary(spark, sf):
         (weekly.APPLICATIONS, permits.applications_condition(**EVENTS_APPLICATIONS), round_to_day("indate"), F.col("foldertype")),
         (weekly.ISSUED, permits.issued_condition(**EVENTS_ISSUED), round_to_day("issuedate"), F.col("foldertype")),
         (weekly.COMMERCIAL, (et == "signup") & ts.isNotNull(), ts, sheet),
-        (weekly.EXTENSION, (et == "error") & (ts < F.lit(EXTENSION_CUT).cast("timestamp_ntz")) & ts.isNotNull(), ts, sheet),
+        (weekly.EXTENSION, (et == "error") & ts.isNotNull(), ts, sheet),
         (weekly.RESIDENTIAL, (et == "view") & ts.isNotNull(), ts, sheet),
     ]
     return weekly.summary_from_long(weekly.tag_measures(folder, specs))
@@ -223,7 +222,7 @@ def q_weekly_permit_summary_extracts(spark, sf):
     apps = permits.applications_received(folder, **EVENTS_APPLICATIONS)
     issued = permits.issued_permits(folder, **EVENTS_ISSUED)
     commercial = count_by_date(events.where(F.col("event_type") == "signup"), "ts")
-    extension = count_by_date(events.where((F.col("event_type") == "error") & (F.col("ts") < F.lit(EXTENSION_CUT).cast("timestamp_ntz"))), "ts")
+    extension = count_by_date(events.where(F.col("event_type") == "error"), "ts")
     residential = count_by_date(events.where(F.col("event_type") == "view"), "ts")
     return weekly.weekly_permit_summary(apps, issued, commercial, extension, residential)
 
@@ -315,12 +314,12 @@ def q_json_field(spark, sf):
 
 
 def q_upsert(spark, sf):
-    """Published customers (non-negative balance) upserted with two increments of the
+    """Published customers upserted with two increments of the
     BUILDING segment (doubled balances, then tripled for nations below 10): the later
     increment wins per key."""
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", "c_nationkey")
     cols = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
-    target = c.where(F.col("c_acctbal") >= 0).select(*cols)
+    target = c.select(*cols)
     building = c.where(F.col("c_mktsegment") == "BUILDING")
     v1 = building.withColumn("c_acctbal", F.col("c_acctbal") * 2).select(*cols, F.lit(1).alias("seq"))
     v2 = building.where(F.col("c_nationkey") < 10).withColumn("c_acctbal", F.col("c_acctbal") * 3).select(*cols, F.lit(2).alias("seq"))

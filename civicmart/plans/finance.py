@@ -110,7 +110,8 @@ def derive_report_rows(rows: DataFrame, spec: ReportSpec, absent: Sequence[str]
 
     The department parsed from the file name replaces the mapped one before the row
     identifier is built; the identifier glues the key columns' text without separator
-    (absent columns print ``None``, blank ones nothing). Blank numeric text becomes null;
+    (absent columns, named by ``absent`` or by each row's ``absent_columns``, print ``None``,
+    blank ones nothing). Blank numeric text becomes null;
     ``typed`` casts amounts to ``decimal(18,2)`` and the ``percent_*`` columns to double.
     """
     mapped = list(spec.mapping.values())
@@ -124,7 +125,11 @@ def derive_report_rows(rows: DataFrame, spec: ReportSpec, absent: Sequence[str]
     )
     derived = {"department", "year", "month", "fiscal_year", "fiscal_month"}
     absent_keys = [c for c in spec.id_cols if c in absent and c not in derived]
-    rid = row_identifier(list(spec.id_cols), absent=absent_keys, null_text="")
+    parts = list(spec.id_cols)
+    if "absent_columns" in rows.columns:  # per file: what its own header lacks
+        lacks = lambda c: F.array_contains("absent_columns", F.lit(c))
+        parts = [c if c in derived else F.when(lacks(c), F.lit("None")).otherwise(F.col(c)) for c in parts]
+    rid = row_identifier(parts, absent=absent_keys, null_text="")
     numeric = {}
     for c in spec.numeric_cols:
         kind = ("double" if c.startswith("percent_") else "decimal(18,2)") if typed else None
@@ -146,9 +151,7 @@ def finance_load(
     full refresh), with derived fields. File selection prunes on the file name."""
     months = None if full_refresh else [(year, month), previous_month(year, month)]
     rows = read_report_files(spark, f"{root}/{spec.name}", spec.mapping, months)
-    header = spark.read.option("header", True).option("recursiveFileLookup", True).csv(f"{root}/{spec.name}").columns
-    absent = [v for k, v in spec.mapping.items() if k not in header]
-    return derive_report_rows(rows, spec, absent=absent, typed=typed)
+    return derive_report_rows(rows, spec, typed=typed)
 
 
 def finance_load_job(

@@ -122,7 +122,7 @@ iss AS (
   GROUP BY 1, 2),
 com AS (SELECT CAST(ts AS DATE) AS day, COUNT(*) AS n FROM events WHERE event_type = 'signup' AND ts IS NOT NULL GROUP BY 1),
 ext AS (SELECT CAST(ts AS DATE) AS day, COUNT(*) AS n FROM events
-        WHERE event_type = 'error' AND ts < TIMESTAMP '2024-01-20 00:00:00' AND ts IS NOT NULL GROUP BY 1),
+        WHERE event_type = 'error' AND ts IS NOT NULL GROUP BY 1),
 res AS (SELECT CAST(ts AS DATE) AS day, COUNT(*) AS n FROM events WHERE event_type = 'view' AND ts IS NOT NULL GROUP BY 1),
 long AS (
   SELECT 'app' AS measure, series, day, n FROM apps
@@ -221,7 +221,7 @@ FROM orders GROUP BY o_custkey"""
 
     q["upsert"] = """
 WITH c AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment, c_nationkey FROM customer),
-target AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM c WHERE c_acctbal >= 0),
+target AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM c),
 inc AS (
   SELECT c_custkey, c_name, c_acctbal * 2 AS c_acctbal, c_mktsegment, 1 AS seq FROM c WHERE c_mktsegment = 'BUILDING'
   UNION ALL

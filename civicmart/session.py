@@ -18,7 +18,6 @@ BASE_CONF = {
     # partitions: fewer tasks per stage on a busy cluster
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     # static: no Python call-site capture on every DataFrame call (error context only);
     # halves the time to build large plans from Python

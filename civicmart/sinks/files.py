@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions._util import quote
 from ..operators.aggregates import observe_count
@@ -16,6 +17,9 @@ from ..session import cut_lineage
 
 log = logging.getLogger("civicmart.sinks")
 
+#: Quotes inside a field are doubled (RFC 4180), on the way out as on the way in.
+CSV_QUOTES = {"quote": '"', "escape": '"'}
+
 
 def _rows(obs: Observation, what: str, path: str) -> int:
     try:
@@ -45,7 +49,7 @@ def write_csv(
         df = df.orderBy(*[quote(c) for c in order_by])
     if single_file:
         df = df.coalesce(1)
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).options(**CSV_QUOTES).csv(path)
     return _rows(obs, "csv", path)
 
 
@@ -57,10 +61,11 @@ def write_report_partitions(
     files in place and no emptiness check (extra job) is needed. Returns the row count."""
     df, obs = observe_count(df, "write_report_partitions")
     (
-        df.repartition(*[quote(c) for c in partition_cols])
+        df.hint("rebalance", *[F.col(quote(c)) for c in partition_cols])  # a hot slice is split
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("header", True)
+        .options(**(CSV_QUOTES if fmt == "csv" else {}))
         .partitionBy(*partition_cols)
         .format(fmt)
         .save(path)
@@ -92,31 +97,17 @@ def write_replace(df: DataFrame, path: str, partition_cols: Sequence[str] = ())
     return _rows(obs, "replace", path)
 
 
-# Above this many touched partitions the target is narrowed by a semi join instead of a
-# literal partition filter.
-MAX_TOUCHED_PARTITIONS = 1000
-
-
-def touched_partition_filter(increment: DataFrame, partition_cols: Sequence[str]):
-    """Literal predicate selecting the partitions the increment touches, or None when it
-    touches more than ``MAX_TOUCHED_PARTITIONS``.
+def touched_partitions(target: DataFrame, increment: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` in the partitions that ``increment`` touches.
 
-    Only the distinct partition values travel to the driver (capped by ``limit``): partition
-    keys, not rows. A literal predicate on partition columns prunes at planning time;
-    dynamic pruning would need a selective filter on the increment side, which an
-    increment usually lacks.
+    A null-safe semi join, whatever their number: null is a partition like any other. The
+    planner may broadcast the distinct values by its own size check and prune files by them.
     """
-    cols = list(partition_cols)
-    keys = increment.select(*[quote(c) for c in cols]).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if len(keys) > MAX_TOUCHED_PARTITIONS:
-        return None
-    cond = F.lit(False)
-    for row in keys:
-        conj = F.lit(True)
-        for c, v in zip(cols, row):
-            conj = conj & (F.col(quote(c)).isNull() if v is None else F.col(quote(c)) == F.lit(v))
-        cond = cond | conj
-    return cond
+    touched = increment.select(*[F.col(quote(c)).alias(f"__p{i}") for i, c in enumerate(partition_cols)]).distinct()
+    same = F.lit(True)
+    for i, c in enumerate(partition_cols):
+        same = same & target[quote(c)].eqNullSafe(F.col(f"__p{i}"))
+    return target.join(touched, same, "left_semi")
 
 
 def write_upsert(
@@ -128,27 +119,27 @@ def write_upsert(
 ) -> DataFrame:
     """Upsert ``increment`` into the Parquet table at ``path`` (created when absent).
 
-    The increment is deduplicated last-wins. Only partitions the increment touches are
-    read (a literal partition filter from :func:`touched_partition_filter`, or a semi join on
-    the partition columns beyond the cap) and rewritten (dynamic overwrite). Partition
-    columns must be functions of the key. The merged slice is checkpointed into the
-    reliable checkpoint folder before the overwrite, so the write does not read the files
-    it replaces and survives executor loss. Returns the merged slice.
+    The increment is evaluated once (checkpointed) and deduplicated last-wins, on a first load
+    too. The target is read with the increment's types, so partition values written as text
+    come back as text. Only partitions the increment touches are merged and rewritten (dynamic
+    overwrite). Partition columns must be functions of the key. The merged slice is
+    checkpointed into the reliable checkpoint folder before the overwrite, so the write does
+    not read the files it replaces and survives executor loss. Returns the merged slice.
     """
     spark = increment.sparkSession
     order_cols = list(order_cols or [])
+    increment = cut_lineage(increment)
     if _table_exists(spark, path):
-        target = spark.read.parquet(path)
+        stored = spark.read.parquet(path).columns
+        types = increment.schema
+        known = [types[c] if c in types.names else spark.read.parquet(path).schema[c] for c in stored]
+        target = spark.read.schema(StructType(known)).parquet(path)
         if partition_cols:
-            cond = touched_partition_filter(increment, partition_cols)
-            if cond is not None:
-                target = target.where(cond)
-            else:
-                touched = increment.select(*[quote(c) for c in partition_cols]).distinct()
-                target = target.join(touched, list(partition_cols), "left_semi")
+            target = touched_partitions(target, increment, partition_cols)
         merged = upsert(target, increment, keys, order_cols)
     else:
-        merged = last_wins(increment, keys, order_cols).drop(*order_cols) if order_cols else increment
+        kept = [c for c in increment.columns if c not in order_cols or c in keys or c in partition_cols]
+        merged = last_wins(increment, keys, order_cols).select(*[quote(c) for c in kept])
     merged = cut_lineage(merged)
     w = merged.write.mode("overwrite")
     if partition_cols:

@@ -4,30 +4,51 @@ and the file's modification time as data."""
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, IntegralType, StructField, StructType
 
+from ..functions._util import quote
 from ..functions.dates import local_minute_stamp
-from ..functions.text import parse_report_name
+from ..functions.text import REPORT_NAME_PATTERN, parse_report_name
 from ..operators.projection import mapped_columns
 
 
+#: RFC 4180: a quote inside a field is doubled.
+CSV_QUOTES = {"quote": '"', "escape": '"'}
+
+
+def _exact(name: str, data_type) -> Column:
+    """A count that was read as a decimal (``3.0`` is 3); a fraction fails the read."""
+    c = F.col(quote(name))
+    bad = F.raise_error(F.concat(F.lit(f"not a whole number in {name}: "), c.cast("string")))
+    return F.when(c == F.floor(c), c.cast(data_type)).when(c.isNotNull(), bad.cast(data_type)).alias(name)
+
+
 def read_csv_table(
     spark: SparkSession, path, schema: StructType | str | None = None, infer: bool = False, **options
 ) -> DataFrame:
     """CSV with a header row. An explicit schema avoids a second (inference) pass; without
     one, columns are strings unless ``infer`` is set. With a schema, every file's header is
     checked against the schema's names (``enforceSchema=false``), so a file with its columns
-    in another order fails instead of being read by position."""
-    reader = spark.read.option("header", True)
+    in another order fails instead of being read by position; a value that does not parse
+    fails the read as well, and whole numbers may be written with a zero fraction (``3.0``)."""
+    reader = spark.read.option("header", True).options(**CSV_QUOTES)
     for k, v in options.items():
         reader = reader.option(k, v)
     if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
+        wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        whole = [isinstance(f.dataType, IntegralType) for f in wanted]
+        loose = StructType([StructField(f.name, DecimalType(38, 6) if w else f.dataType) for f, w in zip(wanted, whole)])
+        df = reader.schema(loose).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+        # the columns stay those of the file scan, so its _metadata stays readable
+        return df.withColumns({f.name: _exact(f.name, f.dataType) for f, w in zip(wanted, whole) if w})
     elif infer:
         reader = reader.option("inferSchema", True)
     return reader.csv(path)
@@ -49,6 +70,7 @@ def read_csv_strings(
     """
     df = (
         spark.read.option("header", True)
+        .options(**CSV_QUOTES)
         .option("enforceSchema", False)
         .option("inferSchema", False)
         .csv(path)
@@ -67,7 +89,7 @@ def read_csv_files_by_name(
     the results are unioned by name into one plan (meant for a window of files, e.g. the
     selected and previous month, not for an unbounded listing)."""
     frames = [
-        _map_with_file(spark.read.option("header", True).option("inferSchema", False).csv(f), mapping, strict, with_file)
+        _map_with_file(spark.read.option("header", True).options(**CSV_QUOTES, multiLine=True).option("inferSchema", False).csv(f), mapping, strict, with_file)
         for f in files
     ]
     return reduce(lambda a, b: a.unionByName(b), frames)
@@ -90,6 +112,7 @@ def read_utf16_tsv(spark: SparkSession, path, schema: StructType | str | None =
         spark.read.option("header", True)
         .option("sep", "\t")
         .option("encoding", "UTF-16")
+        .options(**CSV_QUOTES)
         .option("multiLine", True)
         .option("mode", "FAILFAST")
     )
@@ -109,32 +132,58 @@ def read_report_files(
     header name, plus ``year``, ``month``, ``department_from_file`` parsed from the path and
     ``source_file``.
 
-    ``years_months`` keeps only files of those months. The predicate only reads
-    ``_metadata.file_path``, so Spark prunes the other files before opening them.
+    ``years_months`` keeps only files of those months; the others are pruned from the listing
+    and never opened. A name that does not parse fails the load. Files are grouped by their
+    header line: one read for each distinct header, joined by column name, so files may order
+    their columns differently; ``absent_columns`` (array) names the mapped columns that a
+    file's header lacks. Line breaks inside quotes are part of a field.
     """
-    df = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
-        .csv(root)
-    )
+    listing = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(root)
     name = F.col("_metadata.file_path")
-    parsed = parse_report_name(name)
+    files = listing.inputFiles()
+    odd = [f for f in files if not re.search(REPORT_NAME_PATTERN, unquote(f))]
+    if odd:
+        raise ValueError(f"report names that do not parse: {', '.join(sorted(odd)[:5])}")
     if years_months is not None:
-        cond = None
-        for y, m in years_months:
-            c = (parsed["year"] == y) & (parsed["month"] == m)
-            cond = c if cond is None else cond | c
-        df = df.where(cond)
-    cols = [
-        *mapped_columns(df, mapping, strict=False),
-        parsed["year"].alias("year"),
-        parsed["month"].alias("month"),
-        parsed["department"].alias("department_from_file"),
-        name.alias("source_file"),
-    ]
-    return df.select(*cols)
+        months = {f"{y:04d}-{m:02d}" for y, m in years_months}
+        files = [f for f in files if "-".join(re.search(REPORT_NAME_PATTERN, unquote(f)).groups()[:2]) in months]
+    parsed = parse_report_name(name)
+    frames = []
+    for header, group in _by_header(spark, files).items():
+        df = (
+            spark.read.option("header", True).options(**CSV_QUOTES, multiLine=True).option("enforceSchema", False).csv(group)
+        )
+        absent = [v for k, v in mapping.items() if k not in df.columns]
+        frames.append(
+            df.select(
+                *mapped_columns(df, mapping, strict=False),
+                parsed["year"].alias("year"),
+                parsed["month"].alias("month"),
+                parsed["department"].alias("department_from_file"),
+                name.alias("source_file"),
+                F.array(*[F.lit(a) for a in absent]).cast("array<string>").alias("absent_columns"),
+            )
+        )
+    if frames:
+        return reduce(lambda a, b: a.unionByName(b), frames)
+    fields = ", ".join(f"`{v}` string" for v in mapping.values())
+    return spark.createDataFrame([], f"{fields}, year int, month int, department_from_file int, source_file string, absent_columns array<string>")
+
+
+def _by_header(spark: SparkSession, files: Sequence[str]) -> dict[str, list[str]]:
+    """Files by their first line; empty files have none. Only that line and the name of a file,
+    whose list the driver has anyway, come to the driver."""
+    if not files:
+        return {}
+    lines = spark.read.text(list(files)).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n")).alias("at"),
+        "value",
+    )
+    found: dict[str, list[str]] = {}
+    for r in lines.groupBy("file").agg(F.min_by("value", "at").alias("header")).collect():
+        found.setdefault(r["header"], []).append(r["file"])
+    return found
 
 
 def with_file_stamp(df: DataFrame, out: str = "published_date", tz: str = "US/Central") -> DataFrame:
@@ -146,8 +195,11 @@ file_snapshot_stamp = with_file_stamp
 
 
 def read_catalog_json(spark: SparkSession, path, schema: StructType | str | None = None) -> DataFrame:
-    """A catalog document (one JSON object with a ``results`` array) -> one row per asset."""
+    """A catalog document (one JSON object with a ``results`` array) -> one row per asset.
+    A document that does not parse, or has no ``results``, fails the read."""
     from .schemas import CATALOG_DOCUMENT
 
-    doc = spark.read.option("multiLine", True).schema(schema or CATALOG_DOCUMENT).json(path)
-    return doc.select(F.explode("results").alias("r")).select("r.*")
+    doc = spark.read.option("multiLine", True).option("mode", "FAILFAST").schema(schema or CATALOG_DOCUMENT).json(path)
+    missing = F.raise_error(F.lit("catalog document without results"))
+    results = F.when(F.col("results").isNotNull(), F.col("results")).otherwise(missing)
+    return doc.select(F.explode_outer(results).alias("r")).where("r IS NOT NULL").select("r.*")

@@ -23,6 +23,7 @@ from ..functions.text import parse_report_name
 from ..operators.projection import mapped_columns
 from ..plans.active_log import active_permit_snapshot
 from ..plans.finance import ReportSpec, derive_report_rows
+from ..sources.files import CSV_QUOTES
 from ..session import ensure_checkpoint_dir
 from ..sinks.files import write_upsert
 
@@ -41,6 +42,7 @@ def report_file_stream(spark: SparkSession, root: str, spec: ReportSpec, max_fil
     reader = (
         spark.readStream.schema(header)
         .option("header", True)
+        .options(**CSV_QUOTES, multiLine=True)
         .option("enforceSchema", False)
         .option("pathGlobFilter", "*.csv")
     )
@@ -94,6 +96,7 @@ def start_active_log_stream(
     raw = (
         spark.readStream.schema("foldertype string, activepermits bigint")
         .option("header", True)
+        .options(**CSV_QUOTES, multiLine=True)
         .option("enforceSchema", False)
         .option("pathGlobFilter", "*.csv")
         .csv(extract_dir)

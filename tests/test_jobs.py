@@ -4,6 +4,8 @@ import datetime as dt
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from civicmart.plans.active_log import active_permit_log_job
@@ -212,15 +214,14 @@ def test_permit_lifecycle_extracts_to_weekly_table(spark, scratch):
 
     sf = "/root/testdata/sf0.001"
     if not os.path.isdir(sf):
-        return
+        pytest.skip("driver test data not present")
     events = B.table(spark, sf, "events")
     tables = {"folder": B.folder_from_events(events)}
     permit_extract_job(tables, "applications_received", f"{scratch}/apps", **B.EVENTS_APPLICATIONS)
     permit_extract_job(tables, "issued_permits", f"{scratch}/iss", **B.EVENTS_ISSUED)
-    cut = F.lit(B.EXTENSION_CUT).cast("timestamp_ntz")
     sheets = {
         "com": events.where(F.col("event_type") == "signup"),
-        "ext": events.where((F.col("event_type") == "error") & (F.col("ts") < cut)),
+        "ext": events.where(F.col("event_type") == "error"),
         "res": events.where(F.col("event_type") == "view"),
     }
     for key, frame in sheets.items():

@@ -24,7 +24,6 @@ from civicmart.operators import (
     weekly_measure_matrix,
     weekly_resample,
 )
-from civicmart.operators import filters as filters_mod
 
 D = dt.date
 
@@ -107,11 +106,13 @@ def test_exclude_values_keeps_null(spark):
     assert [r.q for r in exclude_values(df, "q", ["a"], keep_null=False).collect()] == ["b"]
 
 
-def test_exclude_values_long_list_uses_anti_join(spark, monkeypatch):
-    monkeypatch.setattr(filters_mod, "IN_LIST_LIMIT", 2)
+def test_exclude_values_has_one_meaning_at_every_length(spark):
     df = spark.createDataFrame([("a",), (None,), ("b",), ("c",)], "q string")
-    out = exclude_values(df, "q", ["a", "c", "zz"])
-    assert sorted([r.q for r in out.collect()], key=str) == [None, "b"]
+    numbers = spark.createDataFrame([(1,), (2,)], "n int")
+    for extra in ([], [f"z{i}" for i in range(1_500)]):
+        assert sorted([r.q for r in exclude_values(df, "q", ["a", "c", *extra]).collect()], key=str) == [None, "b"]
+        assert exclude_values(df, "q", ["a", None, *extra], keep_null=False).count() == 0
+        assert exclude_values(numbers, "n", [1.5, *(1e6 + i for i in range(len(extra)))]).count() == 2
 
 
 def test_map_fields_strict_and_lenient(spark):

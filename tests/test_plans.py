@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from civicmart.plans.bindings import QUERIES
 
 from conftest import TESTDATA
 
@@ -17,7 +18,7 @@ def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_udf(spark, name):
     text = plan_text(E.queries()[name](spark, SF_DIR))
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas", "ExistingRDD"):

@@ -203,19 +203,14 @@ def test_membership_and_counts_match_brute_force(spark, assets, member_keys):
     st.lists(st.sampled_from(["a", "b", "c", "d", "e"]), max_size=4),
     st.booleans(),
 )
-def test_exclude_values_matches_brute_force(spark, values, deny, long_path):
+def test_exclude_values_matches_brute_force(spark, values, deny, long_list):
     from civicmart.operators import exclude_values
-    from civicmart.operators import filters as filters_mod
 
     df = spark.createDataFrame([(v,) for v in values], "q string")
-    limit = filters_mod.IN_LIST_LIMIT
-    try:
-        if long_path:
-            filters_mod.IN_LIST_LIMIT = 0  # take the broadcast anti-join path
-        kept = sorted((r.q for r in exclude_values(df, "q", deny).collect()), key=repr)
-        strict = sorted((r.q for r in exclude_values(df, "q", deny, keep_null=False).collect()), key=repr)
-    finally:
-        filters_mod.IN_LIST_LIMIT = limit
+    if long_list and deny:
+        deny = [*deny, *(f"other {i}" for i in range(1_500))]
+    kept = sorted((r.q for r in exclude_values(df, "q", deny).collect()), key=repr)
+    strict = sorted((r.q for r in exclude_values(df, "q", deny, keep_null=False).collect()), key=repr)
     assert kept == sorted((v for v in values if v is None or v not in deny), key=repr)
     sql_not_in = [v for v in values if v not in deny and (v is not None or not deny)]  # NULL NOT IN () is true
     assert strict == sorted(sql_not_in, key=repr)
