@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions._util import quote
 from ..functions.arrays import join_tags, merged_pairs, pick_metadata
 from ..functions.dates import utc_to_local
 from ..functions.text import dataset_url
@@ -51,6 +52,18 @@ def explode_results(doc: DataFrame, array_col: str = "results") -> DataFrame:
     return doc.select(F.explode(F.col(array_col)).alias("__r")).select("__r.*")
 
 
+def parse_json(df: DataFrame, column: str, schema: str) -> DataFrame:
+    """The fields of a JSON text column, by an explicit schema, in place of the column.
+
+    The text is parsed once for all fields; text that does not parse fails the query, a null
+    text gives null fields.
+    """
+    rest = [F.col(quote(c)) for c in df.columns if c != column]
+    return df.select(*rest, F.from_json(F.col(quote(column)), schema, {"mode": "FAILFAST"}).alias("__j")).select(
+        *rest, "__j.*"
+    )
+
+
 def catalog_scope(assets: DataFrame, owner_id: str, category: str) -> DataFrame:
     """Assets owned by ``owner_id`` or in ``category`` (absent category = ``""``), drafts
     (id holding ``:``) dropped."""

@@ -9,7 +9,6 @@ is exercised. :mod:`civicmart.plans.oracle` holds the equivalent DuckDB SQL.
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,30 +25,23 @@ from ..functions.dates import (
     utc_to_local,
 )
 from ..functions.geo import state_plane_to_wgs84
-from ..functions.nulls import blank_to_null
-from ..functions.text import point_wkt, row_identifier
+from ..functions.nulls import blank_to_null, nan_to_null
+from ..functions.text import parse_report_name, point_wkt, row_identifier
 from ..operators.aggregates import count_by_date, pick_last_values, rotate_categories, weekly_resample
 from ..operators.filters import exclude_values
 from ..operators.joins import attach_row_counts, membership_flag
-from ..operators.nested import catalog_scope
-from ..operators.projection import map_fields
-from ..operators.reports import report_grid, slice_reports
+from ..operators.nested import catalog_scope, parse_json
+from ..operators.projection import map_fields, snake_columns
+from ..operators.reports import month_window, report_grid, slice_reports
 from ..operators.upsert import upsert
 from ..sinks.records import to_records
 from . import permits, weekly
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table (Parquet) of the scale-factor folder.
-
-    Registered once per session as a temporary view and then looked up by name, so file
-    listing and footer reading happen once, not per query; every query still scans the data.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    view = f"civicmart_{name}_{hashlib.sha1(path.encode()).hexdigest()[:12]}"
-    if not spark.catalog.tableExists(view):
-        spark.read.parquet(path).createOrReplaceTempView(view)
-    return spark.table(view)
+    """One driver table (Parquet) of the scale-factor folder, listed anew by each query: a table
+    that was rewritten in the same session is read as it is now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- domain views of driver tables
@@ -102,6 +94,64 @@ def folder_from_part(part: DataFrame) -> DataFrame:
     )
 
 
+# Input columns as SQL over the driver's tables, in the common subset of Spark and DuckDB: the
+# oracle statements read the same inputs and state the operator's result in their own way.
+SERVICE_TEXT = {
+    "Group Description": "'group ' || o_orderstatus",
+    "SR Description": "'customer ' || CAST(o_custkey AS STRING)",
+    "Method Received": "lower(o_orderpriority)",
+    "Is Duplicate? (1/0)": "CAST(o_custkey % 2 AS STRING)",
+    "SR Age (days)": "CAST(o_orderkey % 90 AS STRING)",
+    "Response Days": "CAST(o_orderkey % 30 AS STRING)",
+    "Open Count": "CASE WHEN o_orderstatus = 'O' THEN '1' ELSE '0' END",
+    "Closed Count": "CASE WHEN o_orderstatus = 'F' THEN '1' ELSE '0' END",
+    "Overdue Count": "CASE WHEN o_orderstatus = 'P' THEN '1' END",
+    "Closed on Time": "CASE WHEN o_custkey % 3 = 0 THEN '1' ELSE '0' END",
+    "Closed Late": "CASE WHEN o_custkey % 3 = 0 THEN '0' ELSE '1' END",
+    "# of Days Late": "CASE WHEN o_custkey % 3 <> 0 THEN CAST(o_custkey % 7 AS STRING) END",
+    "SR Location": "'place ' || CAST(o_orderkey AS STRING)",
+}
+#: Days from the order date to each date column of the report.
+SERVICE_DAYS = {"Status Change Date": 3, "Created Date": 0, "Overdue On Date": 21, "Last Update Date": 9, "Close Date": 30}
+REPORT_KEYS = {
+    "fund": "l_returnflag",
+    "fund_name": "'fund ' || l_returnflag",
+    "department": "'0000'",
+    "department_name": "'department ' || CAST(l_suppkey AS STRING)",
+    "unit": "l_linestatus",
+    "unit_name": "'unit ' || l_linestatus",
+}
+EXPENSE_TEXT = REPORT_KEYS | {
+    "object_category_code": "CAST(l_linenumber AS STRING)",
+    "object_category_name": "'category ' || CAST(l_linenumber AS STRING)",
+    "object_code": "CAST(l_partkey AS STRING)",
+    "object_name": "'part ' || CAST(l_partkey AS STRING)",
+    "object_spend_plan_code": "CAST(l_partkey % 10 AS STRING)",
+    "object_spend_plan_name": "'plan ' || CAST(l_partkey % 10 AS STRING)",
+    "budget_ytd_with_period_cutoff": "CASE WHEN l_linenumber = 2 THEN '' ELSE CAST(l_orderkey AS STRING) END",
+    "proposed_budget_cye_amount": "CAST(l_orderkey % 1000 AS STRING)",
+    "expenses_mtd": "CASE WHEN l_linenumber = 3 THEN '' ELSE CAST(l_orderkey % 100 AS STRING) END",
+    "expenses_ytd": "CASE WHEN l_linenumber = 4 THEN '' ELSE CAST(l_partkey % 100 AS STRING) END",
+    "encumbrance_ytd": "CASE WHEN l_linenumber < 3 THEN CAST(l_suppkey AS STRING) END",
+    "unobligated": "CASE WHEN l_linenumber = 1 THEN '' ELSE CAST(l_linenumber AS STRING) END",
+    "percent_obligated": "CAST(l_linenumber AS STRING)",
+}
+REVENUE_TEXT = REPORT_KEYS | {
+    "revenue_source_category_code": "CAST(l_linenumber AS STRING)",
+    "revenue_source_category_name": "'category ' || CAST(l_linenumber AS STRING)",
+    "revenue_source_code": "CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_partkey AS STRING) END",
+    "revenue_source_name": "'source ' || CAST(l_partkey AS STRING)",
+    "revenue_budget_ytd": "CASE WHEN l_linenumber = 1 THEN '' ELSE CAST(l_orderkey AS STRING) END",
+    "revenue_cye": "CASE WHEN l_linenumber = 2 THEN '' ELSE CAST(l_orderkey % 1000 AS STRING) END",
+    "revenue_mtd": "CAST(l_partkey % 100 AS STRING)",
+    "revenue_ytd": "CASE WHEN l_linenumber = 4 THEN '' ELSE CAST(l_partkey % 50 AS STRING) END",
+    "revenue_itd": "CASE WHEN l_linenumber = 5 THEN '' ELSE CAST(l_suppkey AS STRING) END",
+    "unrecognized_amount": "CASE WHEN l_linenumber < 3 THEN CAST(l_suppkey % 9 AS STRING) END",
+    "percent_unrecognized": "CASE WHEN l_linenumber = 6 THEN '' ELSE CAST(l_linenumber AS STRING) END",
+}
+#: Minutes per character that each catalog time lies after the start of 2020.
+CATALOG_MINUTES = {"updatedAt": 7, "createdAt": 1, "metadata_updated_at": 5, "data_updated_at": 3, "publication_date": 2}
+
 # Binding parameters.
 EVENTS_APPLICATIONS = dict(
     since=dt.date(2024, 1, 3),
@@ -308,9 +358,9 @@ def q_join_tags(spark, sf):
 
 
 def q_json_field(spark, sf):
-    """The ``k`` member of every event's JSON properties."""
+    """The ``k`` member of every event's JSON properties, by an explicit schema."""
     e = table(spark, sf, "events")
-    return e.select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    return parse_json(e.select("event_id", "props"), "props", "k bigint")
 
 
 def q_upsert(spark, sf):
@@ -398,41 +448,88 @@ def q_service_requests(spark, sf):
         "Service Request (SR) Number": F.concat(F.lit("SR-"), F.col("o_orderkey").cast("string")),
         "Department": F.col("o_orderpriority"),
         "SR Status": F.col("o_orderstatus"),
-        "Created Date": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
-        "Close Date": F.date_format(F.timestamp_add("DAY", F.lit(30), F.col("o_orderdate")), "yyyy-MM-dd HH:mm:ss"),
+        **{c: F.expr(sql) for c, sql in SERVICE_TEXT.items()},
+        **{c: F.date_format(F.timestamp_add("DAY", F.lit(n), F.col("o_orderdate")), "yyyy-MM-dd HH:mm:ss") for c, n in SERVICE_DAYS.items()},
         "State Plane X Coordinate": F.when(~pending, F.lit(3000000.0) + F.lit(100.0) * F.col("o_custkey")),
         "State Plane Y Coordinate": F.when(~pending, F.lit(9900000.0) + F.lit(10.0) * F.col("o_orderkey")),
     }
-    cols = [
-        given[c].alias(c) if c in given else F.lit(None).cast("string").alias(c)
-        for c in FIELD_MAPPING
-        if c not in ("location", "fiscal_year")
-    ]
+    cols = [given[c].alias(c) for c in FIELD_MAPPING if c not in ("location", "fiscal_year")]
     return transform_service_requests(o.select(*cols))
 
 
-def q_finance_rows(spark, sf):
-    """lineitem rows as expense report rows (ship month = report month, supplier = the
-    department in the file name): the load's derived fields and row identifier."""
-    from .finance import EXPENSES, derive_report_rows
-
-    li = table(spark, sf, "lineitem")
-    given = {
-        "fund": F.col("l_returnflag"),
-        "unit": F.col("l_linestatus"),
-        "object_code": F.col("l_partkey").cast("string"),
-        "department": F.lit("0000"),
-        "unobligated": F.when(F.col("l_linenumber") == 1, F.lit("")).otherwise(F.col("l_linenumber").cast("string")),
-        "percent_obligated": F.col("l_linenumber").cast("string"),
-    }
-    rows = li.select(
-        *[given[v].alias(v) if v in given else F.lit(None).cast("string").alias(v) for v in EXPENSES.mapping.values()],
+def report_rows_from_lineitem(li: DataFrame, given: dict[str, str]) -> DataFrame:
+    """lineitem as mapped report rows: ship month = report month, supplier = the department in the
+    file name."""
+    return li.select(
+        *[F.expr(sql).alias(c) for c, sql in given.items()],
         F.year("l_shipdate").alias("year"),
         F.month("l_shipdate").alias("month"),
         F.col("l_suppkey").cast("int").alias("department_from_file"),
         F.concat(F.date_format(F.last_day("l_shipdate"), "yyyy-MM-dd"), F.lit("_"), F.col("l_suppkey").cast("string"), F.lit(".csv")).alias("source_file"),
     )
-    return derive_report_rows(rows, EXPENSES)
+
+
+def q_finance_rows(spark, sf):
+    """lineitem rows as expense report rows: the load's derived fields and row identifier."""
+    from .finance import EXPENSES, derive_report_rows
+
+    return derive_report_rows(report_rows_from_lineitem(table(spark, sf, "lineitem"), EXPENSE_TEXT), EXPENSES)
+
+
+def q_revenue_rows(spark, sf):
+    """lineitem rows as revenue report rows: the load's derived fields and row identifier."""
+    from .finance import REVENUE, derive_report_rows
+
+    return derive_report_rows(report_rows_from_lineitem(table(spark, sf, "lineitem"), REVENUE_TEXT), REVENUE)
+
+
+def q_flex_notes(spark, sf):
+    """Conversation turns as question/answer rows: renamed, denied questions dropped. Assistant
+    turns ask two denied questions in turn, system turns have no question."""
+    from .flex_notes import IGNORED_QUESTIONS, transform_flex_notes
+
+    role, odd = F.col("role"), F.col("turn") % 2 == 1
+    denied = F.when(odd, F.lit(IGNORED_QUESTIONS[0])).otherwise(F.lit(IGNORED_QUESTIONS[-1]))
+    raw = table(spark, sf, "conversations").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("Flex Notes ID"),
+        F.concat(F.lit("SR-"), F.col("conv_id").cast("string")).alias("Service Request Number"),
+        F.col("turn").alias("Flex Notes Definition ID"),
+        F.col("conv_id").alias("Service Request ID"),
+        F.when((role == "assistant") & (F.col("conv_id") % 2 == 0), denied).when(role != "system", role).alias("Flex Question"),
+        F.col("text").alias("Flex Answer"),
+    )
+    return transform_flex_notes(raw)
+
+
+def q_month_window(spark, sf):
+    """Orders of January 1998 and the month before it, which is in another year."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+    return month_window(o, 1998, 1)
+
+
+def q_report_name_fields(spark, sf):
+    """Report file names of both layouts, and some that are neither, parsed; one per lineitem row."""
+    li = table(spark, sf, "lineitem")
+    end = F.date_format(F.last_day("l_shipdate"), "yyyy-MM-dd")
+    department = F.lpad((F.col("l_suppkey") % 10000).cast("string"), 4, "0")
+    name = (
+        F.when(F.col("l_linenumber") == 1, F.concat(F.lit("notes/"), end, F.lit(".csv")))
+        .when(F.col("l_linenumber") == 2, F.concat(F.lit("r/month_end="), end, F.lit("/department="), department, F.lit("/part-0.csv")))
+        .otherwise(F.concat(F.lit("r/"), end, F.lit("_"), department, F.lit(".csv")))
+    )
+    return li.select("l_orderkey", "l_linenumber", parse_report_name(name).alias("p")).select("l_orderkey", "l_linenumber", "p.*")
+
+
+def q_snake_columns(spark, sf):
+    """Customers under headers with spaces and capitals, renamed for the portal."""
+    c = table(spark, sf, "customer")
+    return snake_columns(c.select(F.col("c_custkey").alias("Customer Key"), F.col("c_mktsegment").alias("Market Segment"), F.col("c_acctbal").alias("ACCOUNT balance")))
+
+
+def q_nan_to_null(spark, sf):
+    """Event values, those of errors replaced by NaN, with NaN as null."""
+    value = F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value"))
+    return table(spark, sf, "events").select("event_id", nan_to_null(value).alias("value"))
 
 
 def q_pivot_sum(spark, sf):
@@ -472,18 +569,22 @@ def q_active_permit_snapshot(spark, sf):
 
 
 def q_pairs_to_map(spark, sf):
-    """Per document, key/value pairs (lang, source, then lang again upper-cased) folded into
+    """Per document, four pairs whose keys depend on its language, source and length folded into
     a map where the later pair wins; the looked-up values are returned."""
     from ..functions.arrays import pairs_to_map
 
     d = table(spark, sf, "documents")
+    pair = lambda key, value: F.struct(F.coalesce(key, F.lit("none")).alias("key"), value.alias("value"))
+    size = F.when(F.col("n_chars") % 2 == 0, F.col("lang")).otherwise(F.col("source"))
     pairs = F.array(
-        F.struct(F.lit("lang").alias("key"), F.col("lang").alias("value")),
-        F.struct(F.lit("source").alias("key"), F.col("source").alias("value")),
-        F.struct(F.lit("lang").alias("key"), F.upper("lang").alias("value")),
+        pair(F.col("lang"), F.lit("first")),
+        pair(F.col("source"), F.col("lang")),
+        pair(size, F.col("n_chars").cast("string")),
+        pair(F.when(F.col("n_chars") % 3 == 0, F.col("lang")), F.lit("last")),
     )
     m = pairs_to_map(pairs)
-    return d.select("doc_id", m["lang"].alias("lang_value"), m["source"].alias("source_value"))
+    get = lambda key: F.try_element_at(m, F.coalesce(key, F.lit("none")))
+    return d.select("doc_id", get(F.col("lang")).alias("lang_value"), get(F.col("source")).alias("source_value"), get(F.lit("none")).alias("none_value"))
 
 
 CATALOG_PUBLIC_BASE = "https://public.example/d/"
@@ -500,7 +601,13 @@ def catalog_assets_from_documents(d: DataFrame) -> DataFrame:
             F.col("lang").alias("description"),
             F.lit(None).cast("string").alias("attribution"),
             F.when(F.col("n_chars") > 5000, F.lit("dataset")).otherwise(F.lit("story")).alias("type"),
-            *[F.lit(None).cast("string").alias(c) for c in ("updatedAt", "createdAt", "metadata_updated_at", "data_updated_at", "publication_date")],
+            *[
+                F.when(
+                    (F.lit(c) != "publication_date") | (F.col("lang") != "fr"),
+                    F.date_format(F.timestamp_add("MINUTE", F.col("n_chars") * n, F.lit("2020-01-01").cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"),
+                ).alias(c)
+                for c, n in CATALOG_MINUTES.items()
+            ],
             F.col("n_chars").alias("download_count"),
             F.struct(
                 (F.col("n_chars") / 100).cast("bigint").alias("page_views_last_week"),
@@ -562,6 +669,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "to_records": q_to_records,
     "service_requests": q_service_requests,
     "finance_rows": q_finance_rows,
+    "revenue_rows": q_revenue_rows,
+    "flex_notes": q_flex_notes,
+    "month_window": q_month_window,
+    "report_name_fields": q_report_name_fields,
+    "snake_columns": q_snake_columns,
+    "nan_to_null": q_nan_to_null,
     "catalog_table": q_catalog_table,
     "pivot_sum": q_pivot_sum,
     "sheet_day_counts": q_sheet_day_counts,

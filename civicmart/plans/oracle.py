@@ -6,6 +6,10 @@ the week spine uses ``generate_series``, membership uses ``EXISTS``, last-wins u
 from __future__ import annotations
 
 from ..functions.geo import state_plane_sql
+from .bindings import CATALOG_MINUTES, EXPENSE_TEXT, REVENUE_TEXT, SERVICE_DAYS, SERVICE_TEXT
+from .finance import EXPENSES_NUMERIC_COLS, REVENUE_NUMERIC_COLS
+from .flex_notes import IGNORED_QUESTIONS
+from .service_requests import FIELD_MAPPING
 
 WEEK_OF = "CAST({d} AS DATE) + CAST(6 - dayofweek(CAST({d} AS DATE)) AS INTEGER)"
 
@@ -20,9 +24,10 @@ EVENTS_FOLDER = """
   FROM events"""
 
 APPS_WHERE = """
-  (foldertype IN ('DS') AND statuscode NOT IN (9, 58, 99) AND indate >= DATE '2024-01-03' AND indate IS NOT NULL)
-  OR (foldertype IN ('RW', 'EX') AND statuscode NOT IN (99, 58) AND indate >= DATE '2024-01-03'
-      AND subcode NOT IN (8, 46) AND indate IS NOT NULL)"""
+  indate >= DATE '2024-01-03' AND statuscode NOT IN (58, 99)
+  AND CASE foldertype WHEN 'DS' THEN statuscode <> 9
+                      WHEN 'RW' THEN subcode NOT IN (8, 46)
+                      WHEN 'EX' THEN subcode NOT IN (8, 46) ELSE FALSE END"""
 
 PART_FOLDER = """
   SELECT CASE p_type WHEN 'MEDIUM' THEN 'DS' WHEN 'LARGE' THEN 'EX' WHEN 'SMALL' THEN 'RW' ELSE p_type END AS foldertype,
@@ -61,38 +66,28 @@ WITH folder AS ({PART_FOLDER})
 SELECT foldertype, COUNT(*) AS activepermits FROM folder WHERE {PART_ACTIVE_WHERE} GROUP BY 1"""
 
     q["review_time"] = """
-WITH f AS (
-  SELECT o_custkey AS customfoldernumber, o_orderkey AS folderrsn, o_orderstatus AS foldertype,
-         o_orderpriority AS subcode, o_orderpriority AS workcode, o_orderdate AS indate,
-         CAST(NULL AS TIMESTAMP) AS issuedate
-  FROM orders),
-p AS (
-  SELECT l_orderkey AS folderrsn, l_linenumber AS processcode, l_shipdate AS startdate,
-         l_shipdate + to_days(CAST(floor(l_quantity) AS INTEGER)) AS enddate
-  FROM lineitem),
-a AS (SELECT l_orderkey AS folderrsn, l_returnflag AS resultcode, l_shipdate AS attemptdate FROM lineitem)
-SELECT f.customfoldernumber, f.folderrsn, f.indate, f.issuedate,
-       pa.startdate AS webappstart, pa.enddate AS webappend, pe.startdate AS extend, fa.attemptdate AS dept_comments
-FROM f
-LEFT OUTER JOIN p pa ON f.folderrsn = pa.folderrsn AND pa.processcode = 1
-LEFT OUTER JOIN p pe ON f.folderrsn = pe.folderrsn AND pe.processcode = 2
-LEFT OUTER JOIN a fa ON f.folderrsn = fa.folderrsn
-WHERE f.foldertype = 'F' AND f.subcode = '1-URGENT' AND f.workcode = '1-URGENT' AND fa.resultcode = 'R'"""
+WITH urgent AS (
+  SELECT o_custkey, o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'),
+per_order AS (
+  SELECT l_orderkey,
+    list(l_shipdate) FILTER (WHERE l_returnflag = 'R') AS comments,
+    list({'s': l_shipdate, 'e': l_shipdate + to_days(CAST(floor(l_quantity) AS INTEGER))}) FILTER (WHERE l_linenumber = 1) AS firsts,
+    list(l_shipdate) FILTER (WHERE l_linenumber = 2) AS seconds
+  FROM lineitem SEMI JOIN urgent ON l_orderkey = o_orderkey GROUP BY l_orderkey),
+with_comment AS (SELECT l_orderkey, firsts, seconds, unnest(comments) AS dept_comments FROM per_order),
+with_first AS (SELECT l_orderkey, seconds, dept_comments, unnest(coalesce(firsts, [NULL])) AS f FROM with_comment),
+with_second AS (SELECT l_orderkey, dept_comments, f, unnest(coalesce(seconds, [NULL])) AS extend FROM with_first)
+SELECT o_custkey AS customfoldernumber, o_orderkey AS folderrsn, o_orderdate AS indate, CAST(NULL AS TIMESTAMP) AS issuedate,
+       f.s AS webappstart, f.e AS webappend, extend, dept_comments
+FROM with_second JOIN urgent ON l_orderkey = o_orderkey"""
 
     q["ex_permits_issued"] = """
-WITH f AS (
-  SELECT o_orderstatus AS foldertype, o_custkey AS subcode, o_orderpriority AS priority,
-         o_orderdate AS indate, o_orderdate AS issuedate, year(o_orderdate) AS folderyear,
-         o_orderkey AS foldersequence, 'ORD-' || CAST(o_orderkey AS VARCHAR) AS foldername
-  FROM orders),
-vs AS (SELECT c_custkey AS subcode, c_mktsegment AS subdesc FROM customer)
-SELECT concat(concat(CAST(f.folderyear AS VARCHAR), '-'), CAST(f.foldersequence AS VARCHAR)) AS permit_id,
-       f.subcode, vs.subdesc, f.foldername,
-       strftime(f.indate, '%m-%d-%Y %H:%M:%S') AS indate_text,
-       strftime(f.issuedate, '%m-%d-%Y %H:%M:%S') AS issuedate_text
-FROM f LEFT OUTER JOIN vs ON f.subcode = vs.subcode
-WHERE f.foldertype IN ('O') AND f.issuedate >= DATE '1996-01-01' AND f.issuedate IS NOT NULL
-  AND f.priority = '3-MEDIUM'"""
+SELECT format('{}-{}', year(o_orderdate), o_orderkey) AS permit_id, o_custkey AS subcode,
+       (SELECT max(c_mktsegment) FROM customer WHERE c_custkey = o_custkey) AS subdesc,
+       'ORD-' || o_orderkey AS foldername,
+       strftime(o_orderdate, '%m-%d-%Y %H:%M:%S') AS indate_text,
+       strftime(o_orderdate, '%m-%d-%Y %H:%M:%S') AS issuedate_text
+FROM orders WHERE o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'O' AND year(o_orderdate) >= 1996"""
 
     q["count_by_date"] = """
 SELECT CAST(ts AS DATE) AS date, COUNT(*) AS count_permits FROM events WHERE ts IS NOT NULL GROUP BY 1"""
@@ -206,18 +201,16 @@ SELECT s.s_suppkey, CASE WHEN s.s_acctbal >= 0 THEN 'dataset' ELSE 'chart' END A
   CASE WHEN s.s_acctbal >= 0 THEN (SELECT COUNT(*) FROM lineitem l WHERE l.l_suppkey = s.s_suppkey) END AS row_count
 FROM supplier s"""
 
-    q["pick_metadata"] = """
-SELECT conv_id,
-  coalesce(arg_max(text, turn) FILTER (WHERE role = 'user'), '') AS "user",
-  coalesce(arg_max(text, turn) FILTER (WHERE role = 'assistant'), '') AS assistant,
-  coalesce(arg_max(text, turn) FILTER (WHERE role = 'system'), '') AS system
+    last = lambda role: f"CASE WHEN count(*) FILTER (WHERE role = '{role}') = 0 THEN '' ELSE arg_max_null(text, turn) FILTER (WHERE role = '{role}') END"
+    q["pick_metadata"] = f"""
+SELECT conv_id, {last("user")} AS "user", {last("assistant")} AS assistant, {last("system")} AS system
 FROM conversations GROUP BY conv_id"""
 
     q["join_tags"] = """
 SELECT o_custkey, coalesce(string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority), '') AS tags
 FROM orders GROUP BY o_custkey"""
 
-    q["json_field"] = "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events"
+    q["json_field"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
 
     q["upsert"] = """
 WITH c AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment, c_nationkey FROM customer),
@@ -275,30 +268,28 @@ FROM customer"""
     y = "CASE WHEN o_orderstatus <> 'P' THEN 9900000.0 + 10.0 * o_orderkey END"
     slat, slon = state_plane_sql(x, y)
     nul = "CAST(NULL AS VARCHAR)"
+    passed = ",\n  ".join(f"{sql} AS {FIELD_MAPPING[c]}" for c, sql in SERVICE_TEXT.items())
+    dates = ",\n  ".join(
+        f"strftime(o_orderdate + INTERVAL {n} DAY, '%Y-%m-%dT%H:%M:%S') AS {FIELD_MAPPING[c]}" for c, n in SERVICE_DAYS.items()
+    )
     q["service_requests"] = f"""
-WITH sr AS (
-  SELECT 'SR-' || CAST(o_orderkey AS VARCHAR) AS service_request_sr_number,
-         o_orderpriority AS department, o_orderstatus AS sr_status,
-         o_orderdate AS created, o_orderdate + INTERVAL 30 DAY AS closed,
-         CAST({x} AS DOUBLE) AS px, CAST({y} AS DOUBLE) AS py,
-         {slat} AS lat, {slon} AS lon
-  FROM orders)
-SELECT service_request_sr_number, department, {nul} AS group_description, {nul} AS sr_description,
-  {nul} AS method_received, sr_status, {nul} AS is_duplicate_1_0, {nul} AS status_change_date,
-  strftime(created, '%Y-%m-%dT%H:%M:%S') AS created_date, {nul} AS overdue_on_date, {nul} AS last_update_date,
-  strftime(closed, '%Y-%m-%dT%H:%M:%S') AS close_date, {nul} AS sr_age_days, {nul} AS response_days,
-  {nul} AS open_count, {nul} AS closed_count, {nul} AS overdue_count, {nul} AS closed_on_time, {nul} AS closed_late,
-  {nul} AS of_days_late, {nul} AS sr_location, px AS state_plane_x_coordinate, py AS state_plane_y_coordinate,
+WITH sr AS (SELECT *, {slat} AS lat, {slon} AS lon FROM orders)
+SELECT 'SR-' || o_orderkey AS service_request_sr_number, o_orderpriority AS department, o_orderstatus AS sr_status,
+  {passed},
+  {dates},
+  CAST({x} AS DOUBLE) AS state_plane_x_coordinate, CAST({y} AS DOUBLE) AS state_plane_y_coordinate,
   CASE WHEN lat IS NOT NULL AND lon IS NOT NULL
        THEN 'POINT (' || CAST(lon AS VARCHAR) || ' ' || CAST(lat AS VARCHAR) || ')' END AS location,
-  CAST(year(created) + CASE WHEN month(created) >= 10 THEN 1 ELSE 0 END AS BIGINT) AS fiscal_year
+  CAST(year(o_orderdate) + CASE WHEN month(o_orderdate) >= 10 THEN 1 ELSE 0 END AS BIGINT) AS fiscal_year
 FROM sr"""
 
-    q["finance_rows"] = f"""
+    def report(given: dict[str, str], numeric: list[str], keys: list[str]) -> str:
+        inputs = ", ".join(f"{sql} AS {c}" for c, sql in given.items() if c != "department")
+        out = ", ".join(f"nullif({c}, '') AS {c}" if c in numeric else c for c in given)
+        rid = " || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in keys)
+        return f"""
 WITH r AS (
-  SELECT l_returnflag AS fund, l_linestatus AS unit, CAST(l_partkey AS VARCHAR) AS object_code,
-         CASE WHEN l_linenumber = 1 THEN '' ELSE CAST(l_linenumber AS VARCHAR) END AS unobligated,
-         CAST(l_linenumber AS VARCHAR) AS percent_obligated,
+  SELECT {inputs},
          CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
          CAST(l_suppkey AS INTEGER) AS department,
          strftime(last_day(l_shipdate), '%Y-%m-%d') || '_' || CAST(l_suppkey AS VARCHAR) || '.csv' AS source_file
@@ -308,17 +299,42 @@ d AS (
          CAST(CASE WHEN month >= 10 THEN month - 9 ELSE month + 3 END AS INTEGER) AS fiscal_month,
          strftime(make_date(2022, month, 1), '%b') AS month_name
   FROM r)
-SELECT fund, {nul} AS fund_name, department, {nul} AS department_name, unit, {nul} AS unit_name,
-  {nul} AS object_category_code, {nul} AS object_category_name, object_code, {nul} AS object_name,
-  {nul} AS object_spend_plan_code, {nul} AS object_spend_plan_name, {nul} AS budget_ytd_with_period_cutoff,
-  {nul} AS proposed_budget_cye_amount, {nul} AS expenses_mtd, {nul} AS expenses_ytd, {nul} AS encumbrance_ytd,
-  nullif(unobligated, '') AS unobligated, nullif(percent_obligated, '') AS percent_obligated,
-  year, month, month_name, fiscal_year, fiscal_month,
-  CAST(fiscal_year AS VARCHAR) || CAST(fiscal_month AS VARCHAR) || coalesce(fund, '') || CAST(department AS VARCHAR)
-    || coalesce(unit, '') || coalesce(object_code, '') AS row_identifier,
-  source_file
+SELECT {out}, year, month, month_name, fiscal_year, fiscal_month, {rid} AS row_identifier, source_file
 FROM d"""
 
+    q["finance_rows"] = report(EXPENSE_TEXT, EXPENSES_NUMERIC_COLS, ["fiscal_year", "fiscal_month", "fund", "department", "unit", "object_code"])
+    q["revenue_rows"] = report(
+        REVENUE_TEXT, REVENUE_NUMERIC_COLS,
+        ["fiscal_year", "fiscal_month", "fund", "department", "unit", "revenue_source_category_code", "revenue_source_code"],
+    )
+
+    denied = [t.replace("'", "''") for t in IGNORED_QUESTIONS]
+    q["flex_notes"] = f"""
+SELECT conv_id * 1000 + turn AS flex_note_id, 'SR-' || conv_id AS service_request_number, turn AS flex_notes_definition_id,
+  conv_id AS service_request_id, nullif(role, 'system') AS flex_question, text AS flex_answer
+FROM conversations
+WHERE NOT (role = 'assistant' AND conv_id % 2 = 0 AND CASE WHEN turn % 2 = 1 THEN '{denied[0]}' ELSE '{denied[-1]}' END IN ({", ".join(f"'{t}'" for t in denied)}))"""
+
+    q["month_window"] = """
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
+FROM orders WHERE o_orderdate >= TIMESTAMP '1997-12-01' AND o_orderdate < TIMESTAMP '1998-02-01'"""
+
+    q["report_name_fields"] = """
+SELECT l_orderkey, l_linenumber,
+  CASE WHEN l_linenumber <> 1 THEN CAST(year(l_shipdate) AS INTEGER) END AS year,
+  CASE WHEN l_linenumber <> 1 THEN CAST(month(l_shipdate) AS INTEGER) END AS month,
+  CASE WHEN l_linenumber <> 1 THEN CAST(l_suppkey % 10000 AS INTEGER) END AS department
+FROM lineitem"""
+
+    q["snake_columns"] = "SELECT c_custkey AS customer_key, c_mktsegment AS market_segment, c_acctbal AS account_balance FROM customer"
+
+    q["nan_to_null"] = "SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS value FROM events"
+
+    local = "strftime(timezone('America/Chicago', (TIMESTAMP '2020-01-01' + to_minutes(s.n_chars * {n})) AT TIME ZONE 'UTC'), '%Y-%m-%dT%H:%M:%S')"
+    times = ", ".join(
+        f'{local.format(n=n)} AS "{c}"' if c != "publication_date" else f"CASE WHEN s.lang <> 'fr' THEN {local.format(n=n)} END AS {c}"
+        for c, n in CATALOG_MINUTES.items()
+    )
     q["catalog_table"] = f"""
 WITH a AS (
   SELECT CAST(doc_id AS VARCHAR) AS id, source, lang, n_chars, nullif(lang, 'fr') AS category,
@@ -329,8 +345,7 @@ scoped AS (
 pub AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS id FROM labels WHERE quality = 1),
 cnt AS (SELECT CAST(doc_id AS VARCHAR) AS id, COUNT(*) AS n FROM labels GROUP BY 1)
 SELECT s.id, s.source AS name, s.lang AS description, {nul} AS attribution, s.type,
-  {nul} AS "updatedAt", {nul} AS "createdAt", {nul} AS metadata_updated_at, {nul} AS data_updated_at,
-  s.n_chars AS download_count, {nul} AS publication_date,
+  {times}, s.n_chars AS download_count,
   CAST(trunc(s.n_chars / 100) AS BIGINT) AS page_views_last_week,
   CAST(trunc(s.n_chars / 10) AS BIGINT) AS page_views_last_month,
   s.n_chars AS page_views_total,
@@ -381,7 +396,16 @@ SELECT AVG(CAST(activepermits AS DOUBLE)) FILTER (WHERE foldertype = 'DS') AS ds
        published_date
 FROM c GROUP BY published_date"""
 
-    q["pairs_to_map"] = "SELECT doc_id, upper(lang) AS lang_value, source AS source_value FROM documents"
+    value = lambda key: f"list_filter(pairs, lambda p: p.key = coalesce({key}, 'none'))[-1].value"
+    q["pairs_to_map"] = f"""
+WITH d AS (
+  SELECT doc_id, lang, source, [
+    {{'key': coalesce(lang, 'none'), 'value': 'first'}},
+    {{'key': coalesce(source, 'none'), 'value': lang}},
+    {{'key': coalesce(CASE WHEN n_chars % 2 = 0 THEN lang ELSE source END, 'none'), 'value': CAST(n_chars AS VARCHAR)}},
+    {{'key': coalesce(CASE WHEN n_chars % 3 = 0 THEN lang END, 'none'), 'value': 'last'}}] AS pairs
+  FROM documents)
+SELECT doc_id, {value("lang")} AS lang_value, {value("source")} AS source_value, {value("CAST(NULL AS VARCHAR)")} AS none_value FROM d"""
 
     return q
 

@@ -132,7 +132,8 @@ def review_time(
     """Review milestones of RW permits: web-application start/end and extension (left
     joins, right side filtered *before* the join), department comments (the attempt's
     result filter makes that join inner; it runs first to cut rows early). Every join is
-    on ``folderrsn``, so each input is shuffled once and the partitioning is reused."""
+    on ``folderrsn``, so each input is shuffled once and the partitioning is reused; where a
+    folder is hot, AQE splits it at the price of one more shuffle (``session.BASE_CONF``)."""
     f = folder.where(
         (F.col("foldertype") == folder_type) & (F.col("subcode") == subcode) & (F.col("workcode") == workcode)
     ).select("customfoldernumber", "folderrsn", "indate", "issuedate")
@@ -193,9 +194,11 @@ def run_named_query(name: str, tables: dict[str, DataFrame], **params) -> DataFr
 
 
 def permit_extract_job(tables: dict[str, DataFrame], name: str, out_path: str, **params) -> DataFrame:
-    """Run a named query and write it as a CSV extract (sorted by type where it has one)."""
+    """Run a named query and write it as a CSV extract, sorted by type where it has one. The other
+    columns break ties, so the sort's ranges are not limited to the few types."""
     from ..sinks.files import write_csv
 
     df = run_named_query(name, tables, **params)
-    write_csv(df, out_path, order_by=["foldertype"] if "foldertype" in df.columns else None)
+    order = ["foldertype", *(c for c in df.columns if c != "foldertype")] if "foldertype" in df.columns else None
+    write_csv(df, out_path, order_by=order)
     return df

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,13 +50,15 @@ X_COL, Y_COL = "State Plane X Coordinate", "State Plane Y Coordinate"
 KEY = "service_request_sr_number"
 
 
-def transform_service_requests(raw: DataFrame, date_format: str | None = None, digits: int | None = 6) -> DataFrame:
+def transform_service_requests(raw: DataFrame, date_format: str | Mapping[str, str] | None = None, digits: int | None = 6) -> DataFrame:
     """Coordinates -> WGS 84 WKT point, dates -> ``yyyy-MM-ddTHH:mm:ss`` text, fiscal year of
     the creation date, projection to the published columns, NaN coordinates -> null.
-    All in one projection (one pass, whole-stage codegen)."""
+    ``date_format`` is one pattern for all date columns, or one for each by column name; columns
+    without one take ISO text. All in one projection (one pass, whole-stage codegen)."""
+    patterns = date_format if isinstance(date_format, Mapping) else dict.fromkeys(DATE_COLUMNS, date_format)
     x = nan_to_null(F.col(quote(X_COL)).cast("double"))
     y = nan_to_null(F.col(quote(Y_COL)).cast("double"))
-    parsed = {c: parse_ts(F.col(quote(c)).cast("string"), date_format) for c in DATE_COLUMNS}
+    parsed = {c: parse_ts(F.col(quote(c)).cast("string"), patterns.get(c)) for c in DATE_COLUMNS}
     # The projection is computed once into its own column; the WKT text references it
     # several times and Catalyst keeps the two projections apart (expensive expression).
     projected = raw.withColumns({X_COL: x, Y_COL: y}).withColumn(
@@ -70,7 +74,7 @@ def transform_service_requests(raw: DataFrame, date_format: str | None = None, d
     return map_fields(staged, FIELD_MAPPING, strict=True)
 
 
-def service_requests_job(spark: SparkSession, tsv_path: str, target_path: str, date_format: str | None = None) -> DataFrame:
+def service_requests_job(spark: SparkSession, tsv_path: str, target_path: str, date_format: str | Mapping[str, str] | None = None) -> DataFrame:
     """Read the UTF-16 report, transform it, upsert on the request number."""
     rows = transform_service_requests(read_utf16_tsv(spark, tsv_path), date_format)
     return write_upsert(rows, target_path, keys=[KEY])

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions._util import quote
 from ..functions.dates import iso_week_label
 from ..operators.aggregates import union_measures, weekly_measure_matrix
 from .permits import COUNT_COL, DS, EX, RW
@@ -57,8 +60,10 @@ def tag_measures(df: DataFrame, specs: Sequence[tuple[str, Column, Column, Colum
 
     ``specs``: ``(measure, condition, day, series)``; a row contributes ``n = 1`` to every
     measure whose condition it meets. Use when several measures come from the same table:
-    one scan and one aggregate instead of one of each per measure.
+    one scan and one aggregate instead of one of each per measure. Rows that meet no condition
+    are filtered at the scan, before any is multiplied.
     """
+    any_of = reduce(lambda a, b: a | b, (cond for _, cond, _, _ in specs))
     tags = F.array(
         *[
             F.when(cond, F.struct(F.lit(name).alias("measure"), series.alias("series"), F.to_date(day).alias("day")))
@@ -67,7 +72,7 @@ def tag_measures(df: DataFrame, specs: Sequence[tuple[str, Column, Column, Colum
     )
     # explode, then a plain filter: both stay in whole-stage codegen (a lambda ``filter``
     # on the array would be evaluated outside it)
-    exploded = df.select(F.explode(tags).alias("__t")).where(F.col("__t").isNotNull())
+    exploded = df.where(any_of).select(F.explode(tags).alias("__t")).where(F.col("__t").isNotNull())
     return exploded.select("__t.*", F.lit(1).cast("bigint").alias("n"))
 
 
@@ -121,22 +126,56 @@ def weekly_permit_summary(
     return summary_from_long(long)
 
 
-def weekly_summary_job(spark, paths: dict[str, str], out_path: str) -> DataFrame:
+@dataclass(frozen=True)
+class Extract:
+    """Headers of one daily extract, as published; ``series`` is None for a sheet's counts."""
+
+    date: str
+    count: str
+    series: str | None = None
+
+
+# Headers of the published extracts.
+EXTRACTS = {
+    "applications": Extract("TO_CHAR(ROUND(INDATE,'DDD'),'YYYY-MM-DD')", "ISSUEDROWPERMITS", "FOLDERTYPE"),
+    "issued": Extract("TO_CHAR(ROUND(ISSUEDATE,'DDD'),'YYYY-MM-DD')", "ISSUEDROWPERMITS", "FOLDERTYPE"),
+    "commercial": Extract("Date Created", "Count Permits"),
+    "extension": Extract("Created", "Count Permits"),
+    "residential": Extract("Date Created", "Count Permits"),
+}
+#: Headers of the extracts that this library writes.
+OWN_PERMIT_EXTRACT = Extract("day", COUNT_COL, "foldertype")
+OWN_SHEET_EXTRACT = Extract("date", "count_permits")
+
+
+def read_extract(spark, path: str, spec: Extract) -> DataFrame:
+    """A daily extract with the columns of :func:`weekly_permit_summary`, found by header name.
+
+    The headers are those of ``spec`` or of this library's own extracts; other columns are
+    ignored. Counts may be written with a zero fraction; a value that does not parse fails.
+    """
+    from ..sources.files import exact_number, read_csv_table
+
+    raw = read_csv_table(spark, path, multiLine=True)
+    own = OWN_PERMIT_EXTRACT if spec.series else OWN_SHEET_EXTRACT
+    used = spec if spec.date in raw.columns else own
+    given = raw.select(
+        F.col(quote(used.date)).cast("date").alias(own.date),
+        F.col(quote(used.count)).cast("decimal(38,6)").alias(own.count),
+        *([F.col(quote(used.series)).alias(own.series)] if spec.series else []),
+    )
+    return given.withColumn(own.count, exact_number(own.count, "bigint"))
+
+
+def weekly_summary_job(spark, paths: dict[str, str], out_path: str, extracts: dict[str, Extract] = EXTRACTS) -> DataFrame:
     """Read the five daily-count extracts and replace the published weekly table.
 
-    ``paths`` keys: applications, issued (permit extracts: foldertype, subcode, day,
-    issuedrowpermits), commercial, extension, residential (sheet counts: date, count_permits).
+    ``paths`` keys: applications, issued (permit extracts), commercial, extension, residential
+    (sheet counts); ``extracts`` names the headers of each.
     """
     from ..sinks.files import write_replace
-    from ..sources.files import read_csv_table
-
-    permit_schema = "foldertype string, subcode bigint, day date, issuedrowpermits bigint"
-    sheet_schema = "date date, count_permits bigint"
-    frames = {
-        k: read_csv_table(spark, paths[k], schema=permit_schema if k in ("applications", "issued") else sheet_schema)
-        for k in ("applications", "issued", "commercial", "extension", "residential")
-    }
-    out = weekly_permit_summary(**frames)
+
+    out = weekly_permit_summary(**{k: read_extract(spark, paths[k], extracts[k]) for k in EXTRACTS})
     write_replace(out, out_path)
     return out
 

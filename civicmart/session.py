@@ -18,10 +18,14 @@ BASE_CONF = {
     # partitions: fewer tasks per stage on a busy cluster
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key even where later joins reuse the partitioning (one more shuffle, then only)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
     # static: no Python call-site capture on every DataFrame call (error context only);
     # halves the time to build large plans from Python
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # checkpoints go when the last result that reads them does
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -73,7 +77,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="civicmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
@@ -91,16 +95,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def recommended_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Partition sizing for a cluster run over ``input_bytes`` of input on ``total_cores``.
+def recommended_settings(shuffle_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run whose largest shuffle moves ``shuffle_bytes``.
 
-    Scan splits of ``target_partition_bytes`` (256 MB); the initial shuffle partition count
-    is the larger of the input divided into such pieces and 4x the cores (so a full shuffle
-    of the input still lands in partitions that fit executor memory). AQE then coalesces
-    down to 128 MB partitions and splits skewed ones. At 100 TB on 8,000 cores this gives
-    409,600 shuffle partitions.
+    That is what is left after column pruning, filters and partial aggregation, not the input:
+    blocks number map tasks times partitions, so a count taken from 100 TB of input would drown
+    a job that shuffles 1 TB of it. The initial partition count is the larger of those bytes in
+    pieces of ``target_partition_bytes`` and 4x the cores; AQE then coalesces down to 128 MB
+    and splits skewed partitions. 1 TB on 1,000 cores: 4,096 partitions.
     """
-    pieces = -(-input_bytes // target_partition_bytes)
+    pieces = -(-shuffle_bytes // target_partition_bytes)
     partitions = max(4 * total_cores, pieces)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,9 +24,11 @@ CSV_QUOTES = {"quote": '"', "escape": '"'}
 
 def _rows(obs: Observation, what: str, path: str) -> int:
     try:
-        n = int(obs.get.get("rows", 0))
-    except Exception:  # noqa: BLE001 - no task ran (empty input): the write succeeded with 0 rows
-        n = 0
+        n = int(obs.get["rows"])
+    except Py4JJavaError as e:
+        if "toPyRow" not in str(e):
+            raise
+        n = 0  # the planner found the input empty and dropped the counter: its row has no fields
     log.info("wrote %d rows (%s) to %s", n, what, path)
     return n
 
@@ -141,12 +144,14 @@ def write_upsert(
         kept = [c for c in increment.columns if c not in order_cols or c in keys or c in partition_cols]
         merged = last_wins(increment, keys, order_cols).select(*[quote(c) for c in kept])
     merged = cut_lineage(merged)
-    w = merged.write.mode("overwrite")
+    counted, obs = observe_count(merged, "write_upsert")
+    w = counted.write.mode("overwrite")
     if partition_cols:
         w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
     else:
         w = w.option("partitionOverwriteMode", "static")
     w.parquet(path)
+    _rows(obs, "upsert", path)
     return merged
 
 

@@ -24,7 +24,7 @@ from ..operators.projection import mapped_columns
 CSV_QUOTES = {"quote": '"', "escape": '"'}
 
 
-def _exact(name: str, data_type) -> Column:
+def exact_number(name: str, data_type) -> Column:
     """A count that was read as a decimal (``3.0`` is 3); a fraction fails the read."""
     c = F.col(quote(name))
     bad = F.raise_error(F.concat(F.lit(f"not a whole number in {name}: "), c.cast("string")))
@@ -48,7 +48,7 @@ def read_csv_table(
         loose = StructType([StructField(f.name, DecimalType(38, 6) if w else f.dataType) for f, w in zip(wanted, whole)])
         df = reader.schema(loose).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
         # the columns stay those of the file scan, so its _metadata stays readable
-        return df.withColumns({f.name: _exact(f.name, f.dataType) for f, w in zip(wanted, whole) if w})
+        return df.withColumns({f.name: exact_number(f.name, f.dataType) for f, w in zip(wanted, whole) if w})
     elif infer:
         reader = reader.option("inferSchema", True)
     return reader.csv(path)
