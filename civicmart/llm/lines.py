@@ -1,28 +1,38 @@
-"""Substring dedup by line hashing.
-
-Units are the lines of a text, compared in normal form: words of a line joined by single
-spaces, A-Z lower-cased. Digests are grouped over all documents; the earliest ranked occurrence
-of a unit stays where it is and all others are cut out, with their original offsets retained.
-The rank is doc_id (null last), then text digest, then line number. Lines of fewer than
-``min_words`` words are not units: short phrases recur in documents that share nothing.
+"""Substring dedup by hashing lines, and passages inside lines that differ otherwise.
+
+Units are compared in normal form: words joined by single spaces, A-Z lower-cased. A line of
+``min_words`` words or more is a unit; shorter ones recur in documents that share nothing. Lines
+alone miss a passage that was pasted into the middle of a line, so runs of ``window`` words are
+units too, wherever line breaks fall: of every ``window`` runs in a row the one with the least digest is
+taken. That choice depends on the run's own neighbourhood only, so two texts that share
+2 * window - 1 words (49) share a unit, whatever stands around them; fewer than ``window`` words
+at either end of the shared words stay. Digests are grouped over all documents; the earliest
+ranked occurrence of a unit stays where it is and all others are cut out, with their original
+offsets retained. The rank is doc_id (null last), then text digest, then place in the text.
 
 Defined results: null and empty texts have no units and come back as they are; rows that repeat
 both doc_id and text are one document and come back alike; an empty table gives an empty result;
-columns other than doc_id and text pass through unchanged, whatever their names.
+columns other than doc_id and text pass through unchanged, whatever their names. In a text that
+repeats itself, words of the occurrence that stays are not cut by a run overlapping it.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import numbered, pick, saved, text_key
+from .common import SPACES, WORD, numbered, pick, saved, text_key
 
 MIN_WORDS = 20
+#: Words in a run, and how many neighbouring runs choose one unit.
+WINDOW = 25
 
 
 def line_units(text: str | None, min_words: int = MIN_WORDS) -> list[tuple[int, bytes]]:
@@ -35,59 +45,112 @@ def line_units(text: str | None, min_words: int = MIN_WORDS) -> list[tuple[int,
     return found
 
 
-def cut_lines(text: str, removed: list[int]) -> tuple[str, list[tuple[int, int, int]]]:
-    """The text without some lines, and (line, start, end) of each: offsets in the original."""
-    gone, kept, spans, at = set(removed), [], [], 0
+def passage_units(text: str | None, window: int = WINDOW) -> list[tuple[int, bytes]]:
+    """(word number from 0, 16-byte digest) of the runs that are units of one text."""
+    found = (text or "").encode().lower().split()
+    n = len(found) - window + 1
+    if n < 1:
+        return []
+    joined, digest = b" ".join(found), xxhash.xxh3_128_digest
+    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])[:n].tolist()
+    digests = [digest(joined[s:e]) for s, e in zip(starts, ends[window - 1 :].tolist())]
+    order = np.frombuffer(b"".join(digests), ">u8")[::2]
+    reach = min(window, n)
+    least = np.lib.stride_tricks.sliding_window_view(order, reach).argmin(axis=1)
+    return [(i, digests[i]) for i in np.unique(least + np.arange(len(least))).tolist()]
+
+
+def cut_units(
+    text: str, lines: dict[int, int | None], runs: list[tuple[int, int | None]], kept: list[int], window: int = WINDOW
+) -> tuple[str, list[tuple[int, int, int, int | None]]]:
+    """The text without some units, and (line, start, end, first_doc_id) of each cut: offsets in the original.
+
+    ``lines`` are line numbers, ``runs`` the first word numbers of runs, both with the document
+    that has them first; ``kept`` are first words of runs that stay. A run is cut line by line;
+    a line that has lost all its words goes.
+    """
+    words = [m.span() for m in re.finditer(WORD, text)] if runs else []
+    source = np.full(len(words), -1, np.int64)
+    for k in range(len(runs) - 1, -1, -1):
+        source[runs[k][0] : runs[k][0] + window] = k
+    for at in kept:
+        source[at : at + window] = -1
+    left, spans, at, w = [], [], 0, 0
     for i, line in enumerate(text.split("\n")):
-        if i in gone:
-            spans.append((i, at, at + len(line)))
+        end, first = at + len(line), w
+        while w < len(words) and words[w][0] < end:
+            w += 1
+        if i in lines:
+            spans.append((i, at, end, lines[i]))
+        elif w == first or (source[first:w] < 0).all():
+            left.append(line)
         else:
-            kept.append(line)
-        at += len(line) + 1
-    return "\n".join(kept), spans
-
-
-def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_key, line, digest): one row per unit."""
-
-    @pandas_udf("array<struct<line: int, digest: binary>>")
+            gone = source[first:w] >= 0
+            edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8))).tolist()
+            rest, after = "", at
+            for a, b in zip(edges[::2], edges[1::2]):
+                start, stop = words[first + a][0], words[first + b - 1][1]
+                spans.append((i, start, stop, runs[source[first + a]][1]))
+                # white space on both sides of a cut: that in front goes
+                rest += text[after:start].rstrip(SPACES)
+                after = stop
+            if not gone.all():
+                left.append((rest + text[after:end]) if rest else text[after:end].lstrip(SPACES))
+        at = end + 1
+    return "\n".join(left), spans
+
+
+def units(docs: DataFrame, min_words: int = MIN_WORDS, window: int | None = WINDOW) -> DataFrame:
+    """(doc_id, text_key, run, at, digest): one row per unit; ``at`` is a line number, or a word number of a run."""
+
+    @pandas_udf("array<struct<run: boolean, at: int, digest: binary>>")
     def split(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"line": i, "digest": d} for i, d in line_units(t, min_words)] for t in texts], dtype=object)
+        rows = []
+        for t in texts:
+            found = [{"run": False, "at": i, "digest": d} for i, d in line_units(t, min_words)]
+            rows.append(found + [{"run": True, "at": i, "digest": d} for i, d in (passage_units(t, window) if window else [])])
+        return pd.Series(rows, dtype=object)
 
     return (
         pick(docs, "doc_id", "text")
         .select("doc_id", text_key(F.col("text")).alias("text_key"), F.explode(split("text")).alias("u"))
-        .select("doc_id", "text_key", "u.line", "u.digest")
+        .select("doc_id", "text_key", "u.run", "u.at", "u.digest")
     )
 
 
 def repeats(found: DataFrame) -> DataFrame:
-    """(doc_id, text_key, line, first_doc_id): every unit but the earliest of its digest.
+    """(doc_id, text_key, run, at, first_doc_id, stays): the units found twice or more, of lines all but the earliest.
 
     The group keeps one rank and a count, combined before the shuffle, so a line that a third
     of the documents share costs no more than any other; the join back splits such a digest
     over many tasks (it joins two tables read from files, both shuffled for it).
     """
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "line")
-    groups = saved(found.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).filter("first <> last").select("digest", "first"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "at")
+    groups = saved(
+        found.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).filter("first <> last").select("digest", "first")
+    )
     return (
         found.join(groups, "digest")
-        .filter(rank != F.col("first"))
-        .select("doc_id", "text_key", "line", F.col("first.doc_id").alias("first_doc_id"))
+        .withColumn("stays", rank == F.col("first"))
+        .filter("run OR NOT stays")
+        .select("doc_id", "text_key", "run", "at", F.col("first.doc_id").alias("first_doc_id"), "stays")
     )
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, window: int | None = WINDOW) -> DataFrame:
     """The documents with repeated units cut out of ``text``, and two further columns.
 
-    n_removed (long) and removed (array of line, start, end, first_doc_id; in line order, null if
-    none): start and end are character offsets in the original text. If the input has columns of
-    these names already, refer to the new ones by position: they are the last two.
+    n_removed (long) and removed (array of line, start, end, first_doc_id; in text order, null if
+    none): start and end are character offsets in the original text; neighbouring runs are one
+    cut, with the document that has the first of them. If the input has columns of these names
+    already, refer to the new ones by position: they are the last two. ``window`` None: lines only.
     """
     per_text = (
-        repeats(saved(units(docs, min_words)))
+        repeats(saved(units(docs, min_words, window)))
         .groupBy("doc_id", "text_key")
-        .agg(F.sort_array(F.collect_set(F.struct("line", "first_doc_id"))).alias("cut"))
+        .agg(F.sort_array(F.collect_set(F.struct("run", "at", "first_doc_id", "stays"))).alias("cut"))
+        .filter(F.exists("cut", lambda c: ~c["stays"]))
         .withColumnsRenamed({"doc_id": "k_id", "text_key": "k_key"})
     )
     table, name = numbered(docs)
@@ -95,35 +158,47 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     joined = table.withColumn("k_text", text_key(text)).join(
         saved(per_text), F.col(name["doc_id"]).eqNullSafe(F.col("k_id")) & (F.col("k_text") == F.col("k_key")), "left"
     )
-
-    @pandas_udf("struct<text: string, spans: array<struct<line: int, start: long, end: long>>>")
-    def cut(texts: pd.Series, lines: pd.Series) -> pd.DataFrame:
-        rows = [(None, None) if x is None else cut_lines(t, list(x)) for t, x in zip(texts, lines)]
-        spans = [s and [{"line": i, "start": a, "end": b} for i, a, b in s] for _, s in rows]
-        return pd.DataFrame({"text": pd.Series([t for t, _ in rows], dtype=object), "spans": pd.Series(spans, dtype=object)})
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    some = lambda keep, field: F.transform(F.filter("cut", keep), lambda c: c[field])
+    line, run = lambda c: ~c["run"], lambda c: c["run"] & ~c["stays"]
+
+    @pandas_udf("struct<text: string, spans: array<struct<line: int, start: long, end: long, by: int>>>")
+    def cut(texts: pd.Series, lines: pd.Series, runs: pd.Series, kept: pd.Series) -> pd.DataFrame:
+        done, spans = [], []
+        for t, at_lines, at_runs, stay in zip(texts, lines, runs, kept):
+            if at_lines is None:
+                done.append(None)
+                spans.append(None)
+                continue
+            # a cut is known by its place in lines, then runs; the ids stay in Spark
+            own = {int(x): k for k, x in enumerate(at_lines)}
+            t, found = cut_units(t, own, [(int(x), len(own) + k) for k, x in enumerate(at_runs)], list(stay), window or 0)
+            done.append(t)
+            spans.append([{"line": i, "start": a, "end": b, "by": k} for i, a, b, k in found])
+        return pd.DataFrame({"text": pd.Series(done, dtype=object), "spans": pd.Series(spans, dtype=object)})
 
     # texts that lose nothing are not sent to Python
     affected = F.when(F.col("cut").isNotNull(), text)
-    done = joined.withColumn("after", cut(affected, F.transform("cut", lambda c: c["line"])))
-    removed = F.zip_with(
+    after = joined.withColumn("after", cut(affected, some(line, "at"), some(run, "at"), some(lambda c: c["stays"], "at"))).withColumn(
+        "firsts", F.concat(some(line, "first_doc_id"), some(run, "first_doc_id"))
+    )
+    removed = F.transform(
         "after.spans",
-        "cut",
-        lambda s, c: F.struct(s["line"].alias("line"), s["start"].alias("start"), s["end"].alias("end"), c["first_doc_id"].alias("first_doc_id")),
+        lambda s: F.struct(s["line"].alias("line"), s["start"].alias("start"), s["end"].alias("end"), F.get("firsts", s["by"]).cast(id_type).alias("first_doc_id")),
     )
+    none = F.col("cut").isNull() | (F.size("after.spans") == 0)
     columns = [F.coalesce("after.text", text) if c == name["text"] else F.col(c) for c in table.columns]
-    n_removed = F.coalesce(F.size("cut"), F.lit(0)).cast("long")
-    return done.select(*columns, F.when(F.col("cut").isNull(), F.lit(0).cast("long")).otherwise(n_removed), removed).toDF(
-        *docs.columns, "n_removed", "removed"
-    )
+    n_removed = F.when(none, F.lit(0).cast("long")).otherwise(F.size("after.spans").cast("long"))
+    return after.select(*columns, n_removed, F.when(~none, removed)).toDF(*docs.columns, "n_removed", "removed")
 
 
-def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, window: int | None = WINDOW) -> DataFrame:
     """The documents with repeated units cut out, columns as they were.
 
-    A column ``n_chars`` follows the text it counts. A document that loses all its lines stays,
+    A column ``n_chars`` follows the text it counts. A document that loses all its words stays,
     with an empty text.
     """
-    done, name = numbered(dedup_lines(docs, min_words))
+    done, name = numbered(dedup_lines(docs, min_words, window))
     columns = list(docs.columns)
     own = done.columns[: len(columns)]
     if "n_chars" in columns:

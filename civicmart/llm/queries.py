@@ -135,28 +135,6 @@ ORACLE_SQL: dict[str, str] = {
         SELECT page_id, idx, "offset" // {warc.ARCHIVE_BYTES} AS archive, "offset", length, digest_a, digest_b
         FROM o WHERE digest_a <> digest_b
     """,
-    "op7_line_dedup": rf"""
-        WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, coalesce(md5(text), 'null') AS k FROM documents),
-        split AS (SELECT r, doc_id, k, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d),
-        unit AS (
-            SELECT *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS w,
-                   sum(length(x) + 1) OVER (PARTITION BY r ORDER BY i) - length(x) - 1 AS s
-            FROM split),
-        ranked AS (
-            SELECT r, i, s, s + length(x) AS e, doc_id, k,
-                   first(doc_id) OVER g AS d1, first(k) OVER g AS k1, first(i) OVER g AS i1
-            FROM unit WHERE len(w) >= {lines.MIN_WORDS}
-            WINDOW g AS (PARTITION BY translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
-                         ORDER BY doc_id NULLS LAST, k, i)),
-        cut AS (SELECT r, i, s, e, d1 FROM ranked WHERE (doc_id, k, i) IS DISTINCT FROM (d1, k1, i1)),
-        spans AS (SELECT r, count(*) AS n, string_agg(concat(s, '-', e, '@' || d1), ',' ORDER BY i) AS removed FROM cut GROUP BY r),
-        rest AS (
-            SELECT split.r, string_agg(x, chr(10) ORDER BY split.i) AS text
-            FROM split ANTI JOIN cut ON split.r = cut.r AND split.i = cut.i GROUP BY split.r)
-        SELECT d.doc_id, CASE WHEN spans.r IS NULL THEN d.text ELSE coalesce(rest.text, '') END AS text,
-               coalesce(n, 0)::BIGINT AS n_removed, spans.removed
-        FROM d LEFT JOIN spans USING (r) LEFT JOIN rest USING (r)
-    """,
     "op9_topk_search": f"""
         WITH v AS (
             SELECT vec_id, list_transform(min(embedding), lambda x: floor({topk.SCALE} * x::DOUBLE)::BIGINT) AS v

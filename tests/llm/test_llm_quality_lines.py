@@ -84,7 +84,7 @@ def plain_lines(rows):
 def test_line_dedup_against_plain(spark):
     rows = [*enumerate(TEXTS), (3, LONG), (100, LONG), (None, OTHER), (100, LONG), (101, f"{OTHER}\n\n{OTHER}")]
     table = spark.createDataFrame(rows, "doc_id long, text string").select("*", F.lit("clash").alias("n_removed")).select("*", F.lit(1).alias("Doc_id"))
-    done = lines.dedup_lines(table)
+    done = lines.dedup_lines(table, window=None)
     assert done.columns == ["doc_id", "text", "n_removed", "Doc_id", "n_removed", "removed"]
     want = plain_lines(rows)
     texts = sorted((repr(i), repr("\n".join(x for n, x in enumerate(t.split("\n")) if n not in {c for c, _ in want[i, t]})) if t is not None else "None") for i, t in rows)
@@ -108,4 +108,103 @@ def test_passage_is_left_in_one_document_only(spark):
 
 @pytest.mark.parametrize("text,cut,left", [("a\nb\nc", [1], "a\nc"), ("a", [0], ""), ("\n", [0], "")])
 def test_cut_lines(text, cut, left):
-    assert lines.cut_lines(text, cut)[0] == left
+    assert lines.cut_units(text, dict.fromkeys(cut), [], [])[0] == left
+
+
+def test_cut_runs():
+    text = "a b\n c d  e f\ng h"
+    left, spans = lines.cut_units(text, {}, [(2, 7)], [], 2)
+    assert (left, spans) == ("a b\ne f\ng h", [(1, 5, 8, 7)])
+    left, spans = lines.cut_units(text, {}, [(3, 7)], [], 2)
+    assert (left, spans) == ("a b\n c f\ng h", [(1, 7, 11, 7)])
+    left, spans = lines.cut_units(text, {}, [(4, 7), (6, 9)], [], 2)
+    assert (left, spans) == ("a b\n c d", [(1, 10, 13, 7), (2, 14, 17, 9)])
+    assert lines.cut_units(text, {}, [(1, 7), (2, 7)], [0, 1, 2], 2) == (text, [])
+    assert lines.cut_units(text, {}, [(5, 3)], [4], 2) == ("a b\n c d  e f\nh", [(2, 14, 15, 3)])
+
+
+def plain_units(rows):
+    """Words of (doc_id, text) after a plain pass in rank order: every unit seen before is cut, but for
+    words of a run that is the first of several."""
+    import collections
+    import hashlib
+    import re
+
+    key = lambda t: "null" if t is None else hashlib.md5(t.encode()).hexdigest()
+    seen, out = {}, {}
+    places = [d for _, t in set(rows) for _, d in lines.passage_units(t)]
+    several = {d for d, n in collections.Counter(places).items() if n > 1}
+    for i, t in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, key(r[1]))):
+        if t is None:
+            out[i, t] = None
+            continue
+        gone = set()
+        for n, d in lines.line_units(t):
+            if seen.setdefault(("line", d), (i, t, n)) != (i, t, n):
+                gone.add(n)
+        own, stay = set(), set()
+        for n, d in lines.passage_units(t):
+            if d not in several:
+                continue
+            (stay if seen.setdefault(("run", d), (i, t, n)) == (i, t, n) else own).update(range(n, n + lines.WINDOW))
+        parts, w = [], 0
+        for n, line in enumerate(t.split("\n")):
+            words = re.findall(r"[^ \t\n\x0b\x0c\r]+", line)
+            keep = [x for k, x in enumerate(words) if w + k not in own - stay]
+            w += len(words)
+            if n not in gone:
+                parts.append(keep)
+        out[i, t] = [x for p in parts for x in p]
+    return out
+
+
+def test_dedup_against_plain(spark):
+    import random
+
+    rng = random.Random(8)
+    new = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    shared = [new(n) for n in (50, 60, 75, 120, 200)] + ["in " * 80]
+    rows = []
+    for i in range(120):
+        parts = [new(rng.randrange(1, 40)) for _ in range(rng.randrange(1, 5))]
+        for _ in range(rng.randrange(0, 3)):
+            parts.insert(rng.randrange(len(parts) + 1), rng.choice(shared).upper() if rng.random() < 0.2 else rng.choice(shared))
+        rows.append((i, "".join(p + rng.choice([" ", "  ", "\n", "\n\n"]) for p in parts)))
+    rows += [(None, None), (700, ""), (None, rows[3][1]), (500, rows[4][1]), (500, rows[4][1])]
+    table = spark.createDataFrame(rows, "doc_id long, text string").select("*", F.lit(1).alias("run")).select("*", F.lit(2).alias("at"))
+    want = plain_units(rows)
+    found = lines.dedup_lines(table).collect()
+    assert sorted(repr((r[0], None if r[1] is None else r[1].split())) for r in found) == sorted(repr((i, want[i, t])) for i, t in rows)
+    original = dict(rows)
+    for r in found:
+        assert r["n_removed"] == len(r["removed"] or []) and r["removed"] != []
+        if r[0] is not None and r[0] < 120:
+            t = original[r[0]]
+            cut = set()
+            for s in r["removed"] or []:
+                assert t.count("\n", 0, s["start"]) == s["line"]
+                cut.update(range(s["start"], s["end"]))
+            assert "".join(c for k, c in enumerate(t) if k not in cut).split() == r[1].split()
+
+
+def test_passage_inside_lines(spark):
+    """Every passage of 50 words is found whatever surrounds it; texts that share none stay."""
+    import random
+
+    rng = random.Random(3)
+    new = lambda n: " ".join(f"v{rng.randrange(10**7)}" for _ in range(n))
+    rows, held = [], {}
+    for i in range(150):
+        passage = new(50)
+        for k in (3 * i, 3 * i + 1):
+            held[k] = passage
+            rows.append((k, f"{new(rng.randrange(0, 60))} {passage} {new(rng.randrange(0, 60))}"))
+        rows.append((3 * i + 2, f"{new(45)}\n{new(70)}"))
+    got = {r[0]: r for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, t in rows:
+        if k % 3 == 1:
+            assert got[k]["n_removed"] == 1 and got[k]["removed"][0]["first_doc_id"] == k - 1
+            assert len(set(got[k]["text"].split()) & set(held[k].split())) <= 2 * (lines.WINDOW - 1)
+            assert set(t.split()) - set(held[k].split()) <= set(got[k]["text"].split())
+        else:
+            assert got[k]["text"] == t and got[k]["n_removed"] == 0 and got[k]["removed"] is None
