@@ -24,11 +24,11 @@ import re
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import SPACES, WORD, numbered, pick, saved, text_key
+from .common import SPACES, WORD, numbered, pick, saved
 
 MIN_WORDS = 20
 #: Words in a run, and how many neighbouring runs choose one unit.
@@ -101,6 +101,11 @@ def cut_units(
     return "\n".join(left), spans
 
 
+def _key(text: Column) -> Column:
+    """A text's digest as 16 bytes, half of its hex form: there is one in every unit; null for a null text, which has none."""
+    return F.unhex(F.md5(text))
+
+
 def units(docs: DataFrame, min_words: int = MIN_WORDS, window: int | None = WINDOW) -> DataFrame:
     """(doc_id, text_key, run, at, digest): one row per unit; ``at`` is a line number, or a word number of a run."""
 
@@ -114,7 +119,7 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS, window: int | None = WIND
 
     return (
         pick(docs, "doc_id", "text")
-        .select("doc_id", text_key(F.col("text")).alias("text_key"), F.explode(split("text")).alias("u"))
+        .select("doc_id", _key(F.col("text")).alias("text_key"), F.explode(split("text")).alias("u"))
         .select("doc_id", "text_key", "u.run", "u.at", "u.digest")
     )
 
@@ -155,7 +160,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, window: int | None
     )
     table, name = numbered(docs)
     text = F.col(name["text"])
-    joined = table.withColumn("k_text", text_key(text)).join(
+    joined = table.withColumn("k_text", _key(text)).join(
         saved(per_text), F.col(name["doc_id"]).eqNullSafe(F.col("k_id")) & (F.col("k_text") == F.col("k_key")), "left"
     )
     id_type = docs.schema["doc_id"].dataType.simpleString()
