@@ -117,9 +117,11 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS, window: int | None = WIND
             rows.append(found + [{"run": True, "at": i, "digest": d} for i, d in (passage_units(t, window) if window else [])])
         return pd.Series(rows, dtype=object)
 
+    # the key is made before the explode: beside it, it would be worked out again for every unit of a text
     return (
         pick(docs, "doc_id", "text")
-        .select("doc_id", _key(F.col("text")).alias("text_key"), F.explode(split("text")).alias("u"))
+        .select("doc_id", _key(F.col("text")).alias("text_key"), "text")
+        .select("doc_id", "text_key", F.explode(split("text")).alias("u"))
         .select("doc_id", "text_key", "u.run", "u.at", "u.digest")
     )
 
