@@ -1,0 +1,78 @@
+"""The corpus pipeline: every stage's rows against plain Python on all that the stage before it kept."""
+
+import hashlib
+from collections import Counter
+
+import public_tokenizers
+import sentencepiece
+from test_llm_quality_lines import plain, plain_units
+from test_llm_simhash_mixing import plain_fingerprint, plain_targets, union_find
+
+import corpus_pipeline
+from civicmart.llm.common import saved
+from civicmart.llm.queries import MODEL
+from civicmart.session import configure
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def obeys_rules(text):
+    n, chars, symbols, dup_lines, repeated = plain(text)
+    n_lines = sum(bool(x.strip(" \t\n\x0b\x0c\r")) for x in (text or "").split("\n"))
+    exclaims = (text or "").count("!")
+    return (
+        n >= 10 and 100 * repeated <= 20 * n and 10 * symbols <= n and 10 * exclaims <= n
+        and 100 * dup_lines <= 40 * n_lines and 2 * n <= chars <= 15 * n
+    )
+
+
+def earliest_of_groups(rows):
+    prints = {r: plain_fingerprint(r["text"]) for r in rows}
+    root = union_find(set(prints.values()), 2)
+    best = {}
+    for r in sorted(prints, key=lambda r: r["doc_id"]):
+        best.setdefault(root[prints[r]], r)
+    return Counter(best.values())
+
+
+def test_every_stage(spark):
+    configure(spark)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    columns, rows = docs.columns, docs.collect()
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = saved(stage(spark, docs, SF_DIR))
+        kept[name] = docs.collect()
+        assert docs.columns == (columns if name != "sentencepiece_encoding" else ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    good, single, cut, mixed, coded = kept.values()
+
+    assert Counter(good) == Counter(r for r in rows if obeys_rules(r["text"]))
+    assert 0 < len(good) < len(rows)
+
+    assert Counter(single) == earliest_of_groups(good)
+    assert 0 < len(single) < len(good)
+
+    want = plain_units([(r["doc_id"], r["text"]) for r in single])
+    assert Counter((r["doc_id"], tuple(r["text"].split())) for r in cut) == Counter((r["doc_id"], tuple(want[r["doc_id"], r["text"]])) for r in single)
+    assert all(r["n_chars"] == len(r["text"]) for r in cut if r["text"] not in {s["text"] for s in single})
+    assert Counter(cut) != Counter(single)
+
+    own, copies, sizes, taken = Counter(cut), Counter(mixed), Counter(), Counter()
+    assert set(copies) <= set(own) and all(copies[r] <= 3 * own[r] for r in copies)
+    for r in cut:
+        sizes[r["source"]] += len(r["text"].split())
+    for r in mixed:
+        taken[r["source"]] += len(r["text"].split())
+    longest = max(len(r["text"].split()) for r in cut)
+    for source, target in plain_targets(dict(sizes)).items():
+        assert abs(taken[source] - target) <= longest, source
+
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(MODEL))
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    encoded = []
+    for r in mixed:
+        ids = library.encode(r["text"])
+        encoded.append((r["doc_id"], len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids))))
+    assert Counter(map(tuple, coded)) == Counter(encoded)
+
+    assert Counter(corpus_pipeline.run(spark, SF_DIR).collect()) == Counter(coded)
