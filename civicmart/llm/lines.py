@@ -12,8 +12,9 @@ offsets retained. The rank is doc_id (null last), then text digest, then place i
 
 Defined results: null and empty texts have no units and come back as they are; rows that repeat
 both doc_id and text are one document and come back alike; an empty table gives an empty result;
-columns other than doc_id and text pass through unchanged, whatever their names. In a text that
-repeats itself, words of the occurrence that stays are not cut by a run overlapping it.
+columns other than doc_id and text pass through unchanged, whatever their names. A word goes if a run
+that covers it stands in an earlier document. In a text that repeats itself, words of a run that
+stays are not cut by a run whose first occurrence is in the same text.
 """
 
 from __future__ import annotations
@@ -62,20 +63,25 @@ def passage_units(text: str | None, window: int = WINDOW) -> list[tuple[int, byt
 
 
 def cut_units(
-    text: str, lines: dict[int, int | None], runs: list[tuple[int, int | None]], kept: list[int], window: int = WINDOW
+    text: str, lines: dict[int, int | None], runs: list[tuple[int, int | None]], kept: list[int], window: int = WINDOW,
+    sure: list[tuple[int, int | None]] = [],
 ) -> tuple[str, list[tuple[int, int, int, int | None]]]:
     """The text without some units, and (line, start, end, first_doc_id) of each cut: offsets in the original.
 
     ``lines`` are line numbers, ``runs`` the first word numbers of runs, both with the document
-    that has them first; ``kept`` are first words of runs that stay. A run is cut line by line;
-    a line that has lost all its words goes.
+    that has them first; ``kept`` are first words of runs that stay, against ``runs``; those in
+    ``sure``, which earlier documents have, go whatever stays. A run is cut line by line; a line
+    that has lost all its words goes.
     """
-    words = [m.span() for m in re.finditer(WORD, text)] if runs else []
+    words = [m.span() for m in re.finditer(WORD, text)] if runs or sure else []
     source = np.full(len(words), -1, np.int64)
     for k in range(len(runs) - 1, -1, -1):
         source[runs[k][0] : runs[k][0] + window] = k
     for at in kept:
         source[at : at + window] = -1
+    for k in range(len(sure) - 1, -1, -1):
+        source[sure[k][0] : sure[k][0] + window] = len(runs) + k
+    runs = [*runs, *sure]
     left, spans, at, w = [], [], 0, 0
     for i, line in enumerate(text.split("\n")):
         end, first = at + len(line), w
@@ -127,7 +133,9 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS, window: int | None = WIND
 
 
 def repeats(found: DataFrame) -> DataFrame:
-    """(doc_id, text_key, run, at, first_doc_id, stays): the units found twice or more, of lines all but the earliest.
+    """(doc_id, text_key, run, at, first_doc_id, stays, own): the units found twice or more, of lines all but the earliest.
+
+    ``own``: the earliest occurrence is in the same text.
 
     The group keeps one rank and a count, combined before the shuffle, so a line that a third
     of the documents share costs no more than any other; the join back splits such a digest
@@ -140,8 +148,9 @@ def repeats(found: DataFrame) -> DataFrame:
     return (
         found.join(groups, "digest")
         .withColumn("stays", rank == F.col("first"))
+        .withColumn("own", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")))
         .filter("run OR NOT stays")
-        .select("doc_id", "text_key", "run", "at", F.col("first.doc_id").alias("first_doc_id"), "stays")
+        .select("doc_id", "text_key", "run", "at", F.col("first.doc_id").alias("first_doc_id"), "stays", "own")
     )
 
 
@@ -156,7 +165,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, window: int | None
     per_text = (
         repeats(saved(units(docs, min_words, window)))
         .groupBy("doc_id", "text_key")
-        .agg(F.sort_array(F.collect_set(F.struct("run", "at", "first_doc_id", "stays"))).alias("cut"))
+        .agg(F.sort_array(F.collect_set(F.struct("run", "at", "first_doc_id", "stays", "own"))).alias("cut"))
         .filter(F.exists("cut", lambda c: ~c["stays"]))
         .withColumnsRenamed({"doc_id": "k_id", "text_key": "k_key"})
     )
@@ -167,27 +176,29 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, window: int | None
     )
     id_type = docs.schema["doc_id"].dataType.simpleString()
     some = lambda keep, field: F.transform(F.filter("cut", keep), lambda c: c[field])
-    line, run = lambda c: ~c["run"], lambda c: c["run"] & ~c["stays"]
+    line, run, sure = lambda c: ~c["run"], lambda c: c["run"] & c["own"] & ~c["stays"], lambda c: c["run"] & ~c["own"]
 
     @pandas_udf("struct<text: string, spans: array<struct<line: int, start: long, end: long, by: int>>>")
-    def cut(texts: pd.Series, lines: pd.Series, runs: pd.Series, kept: pd.Series) -> pd.DataFrame:
+    def cut(texts: pd.Series, lines: pd.Series, runs: pd.Series, kept: pd.Series, sure: pd.Series) -> pd.DataFrame:
         done, spans = [], []
-        for t, at_lines, at_runs, stay in zip(texts, lines, runs, kept):
+        for t, at_lines, at_runs, stay, at_sure in zip(texts, lines, runs, kept, sure):
             if at_lines is None:
                 done.append(None)
                 spans.append(None)
                 continue
-            # a cut is known by its place in lines, then runs; the ids stay in Spark
-            own = {int(x): k for k, x in enumerate(at_lines)}
-            t, found = cut_units(t, own, [(int(x), len(own) + k) for k, x in enumerate(at_runs)], list(stay), window or 0)
+            # a cut is known by its place in lines, then runs, then sure ones; the ids stay in Spark
+            by_line = {int(x): k for k, x in enumerate(at_lines)}
+            n, m = len(by_line), len(by_line) + len(at_runs)
+            numbers = [[(int(x), k) for k, x in enumerate(of, first)] for of, first in ((at_runs, n), (at_sure, m))]
+            t, found = cut_units(t, by_line, numbers[0], list(stay), window or 0, numbers[1])
             done.append(t)
             spans.append([{"line": i, "start": a, "end": b, "by": k} for i, a, b, k in found])
         return pd.DataFrame({"text": pd.Series(done, dtype=object), "spans": pd.Series(spans, dtype=object)})
 
     # texts that lose nothing are not sent to Python
     affected = F.when(F.col("cut").isNotNull(), text)
-    after = joined.withColumn("after", cut(affected, some(line, "at"), some(run, "at"), some(lambda c: c["stays"], "at"))).withColumn(
-        "firsts", F.concat(some(line, "first_doc_id"), some(run, "first_doc_id"))
+    after = joined.withColumn("after", cut(affected, some(line, "at"), some(run, "at"), some(lambda c: c["stays"], "at"), some(sure, "at"))).withColumn(
+        "firsts", F.concat(some(line, "first_doc_id"), some(run, "first_doc_id"), some(sure, "first_doc_id"))
     )
     removed = F.transform(
         "after.spans",

@@ -208,3 +208,46 @@ def test_passage_inside_lines(spark):
             assert set(t.split()) - set(held[k].split()) <= set(got[k]["text"].split())
         else:
             assert got[k]["text"] == t and got[k]["n_removed"] == 0 and got[k]["removed"] is None
+
+
+def plain_words(rows):
+    """As plain_units, but word by word: what stays here saves words only from runs that are first in the same text."""
+    import hashlib
+
+    key = lambda t: "null" if t is None else hashlib.md5(t.encode()).hexdigest()
+    order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, key(r[1])))
+    several = Counter(d for _, t in order for _, d in lines.passage_units(t))
+    seen, out = {}, {}
+    for r in order:
+        gone = {n for n, d in lines.line_units(r[1]) if seen.setdefault(("line", d), (r, n)) != (r, n)}
+        own, stay, sure = set(), set(), set()
+        for n, d in lines.passage_units(r[1]):
+            first = seen.setdefault(("run", d), (r, n))
+            if several[d] > 1:
+                (stay if first == (r, n) else own if first[0] == r else sure).update(range(n, n + lines.WINDOW))
+        parts, w = [], 0
+        for n, line in enumerate((r[1] or "").split("\n")):
+            words = re.findall(r"[^ \t\n\x0b\x0c\r]+", line)
+            parts += [x for k, x in enumerate(words) if n not in gone and w + k not in sure | (own - stay)]
+            w += len(words)
+        out[r] = None if r[1] is None else parts
+    return out
+
+
+def test_dedup_word_by_word(spark):
+    """Passages side by side and within themselves repeated, in 150 texts."""
+    import random
+
+    rng = random.Random(21)
+    new = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    shared = [new(n) for n in (24, 25, 33, 50, 60, 120)] + ["in " * 80, "to and fro " * 20]
+    rows = []
+    for i in range(150):
+        parts = [new(rng.randrange(1, 40)) for _ in range(rng.randrange(1, 4))]
+        for _ in range(rng.randrange(0, 5)):
+            parts.insert(rng.randrange(len(parts) + 1), rng.choice(shared).upper() if rng.random() < 0.2 else rng.choice(shared))
+        rows.append((i, "".join(p + rng.choice([" ", "  ", "\n", "\n\n"]) for p in parts)))
+    rows += [(None, None), (700, ""), (None, rows[3][1]), (500, rows[4][1]), (500, rows[4][1])]
+    want = plain_words(rows)
+    found = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(repr((r[0], None if r[1] is None else r[1].split())) for r in found) == sorted(repr((r[0], want[r])) for r in rows)
