@@ -2,13 +2,19 @@
 
 Units are compared in normal form: words joined by single spaces, A-Z lower-cased. A line of
 ``min_words`` words or more is a unit; shorter ones recur in documents that share nothing. Lines
-alone miss a passage that was pasted into the middle of a line, so runs of ``window`` words are
-units too, wherever line breaks fall: of every ``window`` runs in a row the one with the least digest is
-taken. That choice depends on the run's own neighbourhood only, so two texts that share
-2 * window - 1 words (49) share a unit, whatever stands around them; fewer than ``window`` words
-at either end of the shared words stay. Digests are grouped over all documents; the earliest
-ranked occurrence of a unit stays where it is and all others are cut out, with their original
-offsets retained. The rank is doc_id (null last), then text digest, then place in the text.
+alone miss a passage that was pasted into the middle of a line, so every run of ``window`` words is a
+unit too, wherever line breaks fall: a later copy of ``window`` words or more goes from its first
+word to its last. Digests are grouped over all documents; the earliest ranked occurrence of a unit
+stays where it is and all others are cut out, with their original offsets retained. The rank is
+doc_id (null last), then text digest, then place in the text.
+
+Runs are compared in two steps, to shuffle fewer rows. Of the shorter runs of ``(window + 1) // 2``
+words inside each run the one with the least digest is its anchor; neighbouring runs of one anchor
+are a cell. Equal runs have equal anchors, so cells whose anchor is found once hold nothing that recurs.
+A cell that an earlier document has word for word goes as a whole, and its runs need no comparison: the
+cell's first occurrence stands for them. The runs of all other cells are compared one by one. An
+anchor shared by chance costs time and changes no result. The first_doc_id of a cut is the first
+document with its first run, or with that run's cell.
 
 Defined results: null and empty texts have no units and come back as they are; rows that repeat
 both doc_id and text are one document and come back alike; an empty table gives an empty result;
@@ -29,10 +35,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import SPACES, WORD, numbered, pick, saved
+from .common import SPACES, WORD, discard, numbered, pick, saved
 
 MIN_WORDS = 20
-#: Words in a run, and how many neighbouring runs choose one unit.
+#: Words in a run.
 WINDOW = 25
 
 
@@ -46,20 +52,38 @@ def line_units(text: str | None, min_words: int = MIN_WORDS) -> list[tuple[int,
     return found
 
 
-def passage_units(text: str | None, window: int = WINDOW) -> list[tuple[int, bytes]]:
-    """(word number from 0, 16-byte digest) of the runs that are units of one text."""
+def _runs(text: str | None, window: int) -> tuple[bytes, list[int], list[int]]:
+    """The normal form of a text, and where in it its runs of words start and end."""
     found = (text or "").encode().lower().split()
     n = len(found) - window + 1
     if n < 1:
-        return []
-    joined, digest = b" ".join(found), xxhash.xxh3_128_digest
+        return b"", [], []
     ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])[:n].tolist()
-    digests = [digest(joined[s:e]) for s, e in zip(starts, ends[window - 1 :].tolist())]
-    order = np.frombuffer(b"".join(digests), ">u8")[::2]
-    reach = min(window, n)
-    least = np.lib.stride_tricks.sliding_window_view(order, reach).argmin(axis=1)
-    return [(i, digests[i]) for i in np.unique(least + np.arange(len(least))).tolist()]
+    starts = np.concatenate([[0], ends[:-1] + 1])[:n]
+    return b" ".join(found), starts.tolist(), ends[window - 1 :].tolist()
+
+
+def passage_units(text: str | None, window: int = WINDOW, places: list[int] | None = None) -> list[tuple[int, bytes]]:
+    """(word number from 0, 16-byte digest) of all runs of one text, or of those that begin at ``places``."""
+    joined, starts, ends = _runs(text, window)
+    digest = xxhash.xxh3_128_digest
+    return [(i, digest(joined[starts[i] : ends[i]])) for i in (range(len(starts)) if places is None else places)]
+
+
+def cells(text: str | None, window: int = WINDOW) -> tuple[list[int], list[int], list[bytes], list[int]]:
+    """First run, number of runs, digest of all words, and the anchor's digest as a signed number, of the cells of one text."""
+    short = (window + 1) // 2
+    joined, starts, ends = _runs(text, short)
+    n = len(starts) - (window - short)
+    if n < 1:
+        return [], [], [], []
+    digest = xxhash.xxh3_64_intdigest
+    order = np.array([digest(joined[s:e]) for s, e in zip(starts, ends)], np.uint64)
+    anchor = np.lib.stride_tricks.sliding_window_view(order, window - short + 1).argmin(axis=1) + np.arange(n)
+    first = np.flatnonzero(np.diff(anchor, prepend=-1))
+    after = np.append(first[1:], n)
+    whole = [xxhash.xxh3_128_digest(joined[starts[a] : ends[b - 1 + window - short]]) for a, b in zip(first.tolist(), after.tolist())]
+    return first.tolist(), (after - first).tolist(), whole, order[anchor[first]].view(np.int64).tolist()
 
 
 def cut_units(
@@ -112,46 +136,93 @@ def _key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
+def _rank() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "at")
+
+
+def _in_first() -> Column:
+    """Whether the earliest occurrence is in the same text."""
+    return F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+
+
 def units(docs: DataFrame, min_words: int = MIN_WORDS, window: int | None = WINDOW) -> DataFrame:
-    """(doc_id, text_key, run, at, digest): one row per unit; ``at`` is a line number, or a word number of a run."""
+    """(doc_id, text_key, at, n, digest, anchor): one row per line unit and per cell of runs.
+
+    Lines have a line number at ``at``, and no ``n`` and anchor; cells their first word and number of runs.
+    """
 
-    @pandas_udf("array<struct<run: boolean, at: int, digest: binary>>")
-    def split(texts: pd.Series) -> pd.Series:
+    @pandas_udf("struct<at: array<int>, n: array<int>, digest: array<binary>, anchor: array<long>>")
+    def split(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for t in texts:
-            found = [{"run": False, "at": i, "digest": d} for i, d in line_units(t, min_words)]
-            rows.append(found + [{"run": True, "at": i, "digest": d} for i, d in (passage_units(t, window) if window else [])])
-        return pd.Series(rows, dtype=object)
+            found = line_units(t, min_words)
+            none = [None] * len(found)
+            at, n, digest, anchor = cells(t, window) if window else ([], [], [], [])
+            rows.append(([i for i, _ in found] + at, none + n, [d for _, d in found] + digest, none + anchor))
+        return pd.DataFrame(rows, columns=["at", "n", "digest", "anchor"], dtype=object)
 
-    # the key is made before the explode: beside it, it would be worked out again for every unit of a text
     return (
-        pick(docs, "doc_id", "text")
-        .select("doc_id", _key(F.col("text")).alias("text_key"), "text")
-        .select("doc_id", "text_key", F.explode(split("text")).alias("u"))
-        .select("doc_id", "text_key", "u.run", "u.at", "u.digest")
+        _texts(docs)
+        .select("doc_id", "text_key", split("text").alias("u"))
+        .select("doc_id", "text_key", "u.at", "u.n", "u.digest", "u.anchor")
+        .select("doc_id", "text_key", F.inline(F.arrays_zip("at", "n", "digest", "anchor")))
     )
 
 
-def repeats(found: DataFrame) -> DataFrame:
-    """(doc_id, text_key, run, at, first_doc_id, stays, own): the units found twice or more, of lines all but the earliest.
+def _texts(docs: DataFrame) -> DataFrame:
+    # the key is made before units are exploded: beside that, it would be worked out again for every unit of a text
+    return pick(docs, "doc_id", "text").select("doc_id", _key(F.col("text")).alias("text_key"), "text")
 
-    ``own``: the earliest occurrence is in the same text.
 
-    The group keeps one rank and a count, combined before the shuffle, so a line that a third
+def repeats(found: DataFrame, again: Column | None = None, how: str = "inner") -> DataFrame:
+    """``found`` with ``first``, the rank of the earliest occurrence, where a digest is found twice or more or ``again`` is true; left: all rows.
+
+    The group keeps ranks only, combined before the shuffle, so a line that a third
     of the documents share costs no more than any other; the join back splits such a digest
     over many tasks (it joins two tables read from files, both shuffled for it).
     """
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "at")
-    groups = saved(
-        found.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).filter("first <> last").select("digest", "first")
+    groups = found.groupBy("digest").agg(F.min(_rank()).alias("first"), F.max(_rank()).alias("last"), F.max(F.lit(False) if again is None else again).alias("again"))
+    return found.join(saved(groups.filter("again OR first <> last").select("digest", "first")), "digest", how).drop("digest")
+
+
+def repeated_runs(docs: DataFrame, marks: DataFrame, window: int) -> DataFrame:
+    """(doc_id, text_key, at, n, first_doc_id, stays, own): the runs found twice or more, ``n`` in a row from ``at``.
+
+    ``stays``: it is the earliest; ``own``: the earliest is in the same text. ``marks`` is deleted
+    when its cells have been read, to make room on disk.
+    """
+    several = saved(marks.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).filter("anchor IS NOT NULL AND rows > 1").select("anchor"))
+    open_ = saved(marks.filter("anchor IS NOT NULL").join(several, "anchor").drop("anchor"))
+    discard(marks, several)
+    known = saved(repeats(open_, how="left").withColumn("own", F.col("first").isNull() | _in_first()))
+    discard(open_)
+    # a cell of an earlier document goes as it is; of all others the runs are compared
+    gone = known.filter("NOT own").select("doc_id", "text_key", "at", "n", F.col("first.doc_id").alias("first_doc_id"), F.lit(False).alias("stays"), "own")
+    held = (
+        known.filter("own").groupBy("doc_id", "text_key")
+        .agg(F.collect_set(F.struct("at", "n", F.col("first").isNotNull().alias("again"))).alias("cells"))
+        .withColumnsRenamed({"doc_id": "k_id", "text_key": "k_key"})
     )
-    return (
-        found.join(groups, "digest")
-        .withColumn("stays", rank == F.col("first"))
-        .withColumn("own", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")))
-        .filter("run OR NOT stays")
-        .select("doc_id", "text_key", "run", "at", F.col("first.doc_id").alias("first_doc_id"), "stays", "own")
+
+    @pandas_udf("struct<at: array<int>, digest: array<binary>, again: array<boolean>>")
+    def runs(texts: pd.Series, at: pd.Series, n: pd.Series, again: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t, *found in zip(texts, at, n, again):
+            places = {p: bool(twice) for a, k, twice in zip(*found) for p in range(int(a), int(a + k))}
+            rows.append((list(places), [d for _, d in passage_units(t, window, list(places))], list(places.values())))
+        return pd.DataFrame(rows, columns=["at", "digest", "again"], dtype=object)
+
+    single = saved(
+        _texts(docs).join(saved(held), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("text_key") == F.col("k_key")))
+        .select("doc_id", "text_key", runs("text", "cells.at", "cells.n", "cells.again").alias("u"))
+        .select("doc_id", "text_key", "u.at", "u.digest", "u.again")
+        .select("doc_id", "text_key", F.inline(F.arrays_zip("at", "digest", "again")))
     )
+    # a run in a cell that is repeated is found again, also where the copies are gone as cells
+    compared = repeats(single, F.col("again")).select(
+        "doc_id", "text_key", "at", F.lit(1).alias("n"), F.col("first.doc_id").alias("first_doc_id"), (_rank() == F.col("first")).alias("stays"), _in_first().alias("own")
+    )
+    return compared.unionByName(gone)
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, window: int | None = WINDOW) -> DataFrame:
@@ -162,26 +233,34 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, window: int | None
     cut, with the document that has the first of them. If the input has columns of these names
     already, refer to the new ones by position: they are the last two. ``window`` None: lines only.
     """
+    marks = saved(units(docs, min_words, window))
+    found = (
+        repeats(saved(marks.filter("anchor IS NULL").drop("n", "anchor"))).filter(_rank() != F.col("first"))
+        .select(F.lit(False).alias("run"), "doc_id", "text_key", "at", F.lit(1).alias("n"), F.col("first.doc_id").alias("first_doc_id"), F.lit(False).alias("stays"), F.lit(False).alias("own"))
+    )
+    if window:
+        found = found.unionByName(repeated_runs(docs, marks, window).withColumn("run", F.lit(True)))
     per_text = (
-        repeats(saved(units(docs, min_words, window)))
-        .groupBy("doc_id", "text_key")
-        .agg(F.sort_array(F.collect_set(F.struct("run", "at", "first_doc_id", "stays", "own"))).alias("cut"))
+        found.groupBy("doc_id", "text_key")
+        .agg(F.sort_array(F.collect_set(F.struct("run", "at", "n", "first_doc_id", "stays", "own"))).alias("cut"))
         .filter(F.exists("cut", lambda c: ~c["stays"]))
         .withColumnsRenamed({"doc_id": "k_id", "text_key": "k_key"})
     )
+    cuts = saved(per_text)
+    discard(per_text)  # the tables that it was made of
     table, name = numbered(docs)
     text = F.col(name["text"])
     joined = table.withColumn("k_text", _key(text)).join(
-        saved(per_text), F.col(name["doc_id"]).eqNullSafe(F.col("k_id")) & (F.col("k_text") == F.col("k_key")), "left"
+        cuts, F.col(name["doc_id"]).eqNullSafe(F.col("k_id")) & (F.col("k_text") == F.col("k_key")), "left"
     )
     id_type = docs.schema["doc_id"].dataType.simpleString()
     some = lambda keep, field: F.transform(F.filter("cut", keep), lambda c: c[field])
     line, run, sure = lambda c: ~c["run"], lambda c: c["run"] & c["own"] & ~c["stays"], lambda c: c["run"] & ~c["own"]
 
     @pandas_udf("struct<text: string, spans: array<struct<line: int, start: long, end: long, by: int>>>")
-    def cut(texts: pd.Series, lines: pd.Series, runs: pd.Series, kept: pd.Series, sure: pd.Series) -> pd.DataFrame:
+    def cut(texts: pd.Series, lines: pd.Series, runs: pd.Series, kept: pd.Series, sure: pd.Series, times: pd.Series) -> pd.DataFrame:
         done, spans = [], []
-        for t, at_lines, at_runs, stay, at_sure in zip(texts, lines, runs, kept, sure):
+        for t, at_lines, at_runs, stay, at_sure, n_sure in zip(texts, lines, runs, kept, sure, times):
             if at_lines is None:
                 done.append(None)
                 spans.append(None)
@@ -189,15 +268,16 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, window: int | None
             # a cut is known by its place in lines, then runs, then sure ones; the ids stay in Spark
             by_line = {int(x): k for k, x in enumerate(at_lines)}
             n, m = len(by_line), len(by_line) + len(at_runs)
-            numbers = [[(int(x), k) for k, x in enumerate(of, first)] for of, first in ((at_runs, n), (at_sure, m))]
-            t, found = cut_units(t, by_line, numbers[0], list(stay), window or 0, numbers[1])
+            own = [(int(x), k) for k, x in enumerate(at_runs, n)]
+            others = [(p, k) for k, (x, runs_here) in enumerate(zip(at_sure, n_sure), m) for p in range(int(x), int(x + runs_here))]
+            t, found = cut_units(t, by_line, own, list(stay), window or 0, others)
             done.append(t)
             spans.append([{"line": i, "start": a, "end": b, "by": k} for i, a, b, k in found])
         return pd.DataFrame({"text": pd.Series(done, dtype=object), "spans": pd.Series(spans, dtype=object)})
 
     # texts that lose nothing are not sent to Python
     affected = F.when(F.col("cut").isNotNull(), text)
-    after = joined.withColumn("after", cut(affected, some(line, "at"), some(run, "at"), some(lambda c: c["stays"], "at"), some(sure, "at"))).withColumn(
+    after = joined.withColumn("after", cut(affected, some(line, "at"), some(run, "at"), some(lambda c: c["stays"], "at"), some(sure, "at"), some(sure, "n"))).withColumn(
         "firsts", F.concat(some(line, "first_doc_id"), some(run, "first_doc_id"), some(sure, "first_doc_id"))
     )
     removed = F.transform(

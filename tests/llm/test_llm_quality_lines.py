@@ -210,6 +210,47 @@ def test_passage_inside_lines(spark):
             assert got[k]["text"] == t and got[k]["n_removed"] == 0 and got[k]["removed"] is None
 
 
+@pytest.mark.parametrize("copies", [3, 7, 20])
+def test_every_later_copy_goes_whole(spark, copies):
+    """Passages inside lines, in several documents with unlike surroundings: all words of all later copies go."""
+    import random
+
+    rng = random.Random(copies)
+    new = lambda n: " ".join(f"u{rng.randrange(10**8)}" for _ in range(n))
+    passages = [new(n) for n in (25, 30, 49, 60, 60, 60, 120)]
+    rows = [(k * copies + i, f"{new(rng.randrange(1, 40))} {p} {new(rng.randrange(1, 40))}") for k, p in enumerate(passages) for i in range(copies)]
+    got = {r[0]: r for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        p, first = passages[i // copies], i // copies * copies
+        assert got[i]["text"].split() == (t if i == first else t.replace(p, "")).split(), i
+        by = [r["first_doc_id"] for r in got[i]["removed"] or []]
+        assert len(by) == (i != first) and all(first <= d < i for d in by)
+
+
+def test_what_stays_here_does_not_save_words_of_earlier_documents(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(0, f"x {a} y"), (1, f"z {b} v"), (2, f"q {a} {b} r"), (3, f"s {a} {b} t")]
+    got = dict(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "text").collect())
+    assert got == {0: rows[0][1], 1: rows[1][1], 2: "q r", 3: "s t"}
+
+
+@pytest.mark.parametrize("window", [2, 3, 8, 25])
+def test_cells_hold_every_run_and_equal_runs_share_an_anchor(window):
+    import random
+
+    rng = random.Random(window)
+    for _ in range(50):
+        anchor_of = {}
+        for t in (" ".join(rng.choice("abc") for _ in range(rng.randrange(0, 60))) for _ in range(2)):
+            runs, at = dict(lines.passage_units(t, window)), 0
+            for first, n, whole, anchor in zip(*lines.cells(t, window)):
+                assert first == at and n > 0
+                assert [whole] == [d for i, d in lines.passage_units(t, window + n - 1) if i == first]
+                assert {anchor_of.setdefault(runs[i], anchor) for i in range(first, first + n)} == {anchor}
+                at += n
+            assert at == len(runs)
+
+
 def plain_words(rows):
     """As plain_units, but word by word: what stays here saves words only from runs that are first in the same text."""
     import hashlib
