@@ -189,6 +189,8 @@ def copies(sized: DataFrame, by_source: DataFrame) -> DataFrame:
         up = paired.select(F.explode("p.up").alias("row"))
         raised = up if raised is None else raised.unionByName(up)
         rest = paired.select("source", "n", F.col("p.open.key").alias("row"), F.col("p.open.order").alias("order"), F.col("p.open.size").alias("size"), F.col("p.open.mass").alias("mass"))
+        # a block that settles exactly leaves no document open: its place is held by one of size 0
+        rest = rest.filter("size > 0")
         if most <= BLOCK ** (level + 1):
             break
         whole = rest.filter(F.col("mass") >= F.col("size") * (1 - EPS)).select("row")

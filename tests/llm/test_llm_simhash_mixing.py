@@ -128,3 +128,14 @@ def test_rounding_keeps_expectations(spark):
         by_size.setdefault(r["size"], []).append((r["copies"], r["target"] / r["source_size"]))
     for size, pairs in by_size.items():
         assert sum(c for c, _ in pairs) / len(pairs) == pytest.approx(sum(e for _, e in pairs) / len(pairs), abs=0.08), size
+
+
+@pytest.mark.parametrize("words", [1, 10])
+def test_mix_of_equal_documents_keeps_every_row_once(spark, words):
+    """Blocks that settle exactly leave no residual: equal sizes, three equal sources, one with a fraction of a half."""
+    rows = [(i, "w " * words, "abc"[i % 3]) for i in range(6_000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(6_000))
+    for s in "abc":
+        own = [r for r in got if r["source"] == s]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= words
