@@ -3,8 +3,9 @@
 The trees read lexical features: length, depth, digit ratio, entropy, parameter counts, and
 statistics of suffixes (how often the host's last one and two labels, and the first path segment,
 are blocked among labelled URLs). They are trained with Spark's own distributed GBTClassifier on
-every labelled URL. Suffix statistics are kept by hashed suffix in a fixed number of buckets, so
-the table joined to the URLs has a fixed size, whatever the data.
+every labelled URL. Suffix statistics are kept for each suffix by its own text, whatever their number,
+and joined to the URLs by ordinary joins: small tables are broadcast by the planner's own size
+check, others shuffled, where adaptive execution splits a hot suffix.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and meets no rule;
 without labelled URLs the trees' verdict is allow, with labels of one kind it is that kind;
@@ -31,7 +32,6 @@ RULES: tuple[tuple[str, str, str], ...] = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-BUCKETS = 1_024
 ROUNDS, DEPTH, RATE = 10, 3, 0.3
 SEED = 11
 FEATURES = ("length", "host_length", "depth", "labels", "digit_ratio", "entropy", "parameters", "hyphens")
@@ -69,11 +69,10 @@ def _entropy(text: Column) -> Column:
 
 
 def lexical(pages: DataFrame) -> DataFrame:
-    """With the lexical features and the suffixes' buckets."""
+    """With the lexical features and the suffixes."""
     url, host, path = F.coalesce("url", F.lit("")), F.col("host"), F.col("path")
     n = F.greatest(F.length(url), F.lit(1)).cast("double")
     count = lambda text, chars: (F.length(text) - F.length(F.translate(text, chars, ""))).cast("double")
-    bucket = lambda kind, text: F.pmod(F.xxhash64(F.lit(kind), text), F.lit(BUCKETS)).cast("int")
     return pages.withColumns(
         {
             "length": F.length(url).cast("double"),
@@ -84,19 +83,19 @@ def lexical(pages: DataFrame) -> DataFrame:
             "entropy": _entropy(url),
             "parameters": count(url, "&="),
             "hyphens": count(host, "-"),
-            "suffix1": bucket(1, F.substring_index(host, ".", -1)),
-            "suffix2": bucket(2, F.substring_index(host, ".", -2)),
-            "segment": bucket(3, F.substring_index(F.substring_index(path, "/", 2), "/", -1)),
+            "suffix1": F.substring_index(host, ".", -1),
+            "suffix2": F.substring_index(host, ".", -2),
+            "segment": F.substring_index(F.substring_index(path, "/", 2), "/", -1),
         }
     )
 
 
 def suffix_statistics(labelled: DataFrame) -> DataFrame:
-    """(s_kind, s_bucket, s_rate): smoothed share of blocked URLs; at most 3 * BUCKETS rows."""
-    pairs = F.explode(F.array(*(F.struct(F.lit(s).alias("s_kind"), F.col(s).alias("s_bucket")) for s in SUFFIXES)))
+    """(s_kind, s_text, s_rate): smoothed share of blocked URLs; one row per suffix of a labelled URL."""
+    pairs = F.explode(F.array(*(F.struct(F.lit(s).alias("s_kind"), F.col(s).alias("s_text")) for s in SUFFIXES)))
     return (
         labelled.select(pairs.alias("s"), "label")
-        .groupBy("s.s_kind", "s.s_bucket")
+        .groupBy("s.s_kind", "s.s_text")
         .agg(((F.sum("label") + 1.0) / (F.count(F.lit(1)) + 2.0)).alias("s_rate"))
     )
 
@@ -104,9 +103,8 @@ def suffix_statistics(labelled: DataFrame) -> DataFrame:
 def with_statistics(pages: DataFrame, statistics: DataFrame) -> DataFrame:
     """With ``{suffix}_rate`` for every suffix; 0.5 where no labelled URL has it."""
     for s in SUFFIXES:
-        own = statistics.filter(F.col("s_kind") == s).select(F.col("s_bucket").alias(s), F.col("s_rate").alias(f"{s}_rate"))
-        # at most BUCKETS rows of two numbers
-        pages = pages.join(F.broadcast(own), s, "left").fillna({f"{s}_rate": 0.5})
+        own = statistics.filter(F.col("s_kind") == s).select(F.col("s_text").alias(s), F.col("s_rate").alias(f"{s}_rate"))
+        pages = pages.join(own, s, "left").fillna({f"{s}_rate": 0.5})
     return pages
 
 
@@ -119,7 +117,7 @@ def train(labelled: DataFrame):
     statistics = saved(suffix_statistics(labelled))
     assembler = VectorAssembler(inputCols=[*FEATURES, *(f"{s}_rate" for s in SUFFIXES)], outputCol="features")
     trees = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, stepSize=RATE, seed=SEED, featuresCol="features", labelCol="label")
-    model = trees.fit(assembler.transform(with_statistics(labelled, statistics)).select("features", "label"))
+    model = trees.fit(assembler.transform(saved(with_statistics(labelled, statistics))).select("features", "label"))
 
     def score(pages: DataFrame) -> DataFrame:
         done = model.transform(assembler.transform(with_statistics(pages, statistics)))

@@ -154,3 +154,15 @@ def test_license_scan_against_containment(spark):
     assert {d for d, _ in found} == {k for k, _ in want} | {904, None}
     assert all(100 * r["n_shared"] >= 80 * r["n_template"] for r in got)
     assert licenses.scan(table.limit(0)).count() == 0
+
+
+def test_suffix_statistics_are_of_the_suffix_alone(spark):
+    """5,000 domains and as many first path segments: each has its own rate, an unknown one 0.5."""
+    rows = [(i, f"http://www.d{i}.t{i % 7}/s{i}/x") for i in range(5_000)]
+    pages = urls.lexical(urls.parsed(spark.createDataFrame(rows, "page_id long, url string")))
+    labelled = pages.filter("page_id < 4000").withColumn("label", F.when(F.col("page_id") % 2 == 0, 1.0).otherwise(0.0))
+    statistics = urls.suffix_statistics(labelled)
+    assert statistics.count() == 2 * 4_000 + 7
+    for r in urls.with_statistics(pages, statistics).collect():
+        want = 0.5 if r["page_id"] >= 4_000 else 2 / 3 if r["page_id"] % 2 == 0 else 1 / 3
+        assert abs(r["suffix2_rate"] - want) < 1e-9 and abs(r["segment_rate"] - want) < 1e-9
