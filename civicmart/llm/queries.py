@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, lines, mixing, pieces, quality, simhash, topk, urls, warc
+from . import importance, langid, licenses, lines, mixing, oracle, pieces, pii, quality, simhash, topk, urls, vafile, warc
 
 MODEL = "piece_bpe_32k.model"
 
@@ -80,18 +80,42 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    spans = F.col("spans")
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    base = F.filter(spans, lambda s: s["kind"].isin(*pii.BASE))
+    return found.select(
+        "doc_id", *(pii.count_of(kind, spans).alias(f"n_{kind}") for kind in pii.BASE),
+        F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(spans).alias("spans"),
+        F.array_join(F.transform(spans, lambda s: s["score"].cast("string")), ",").alias("scores"),
+    )
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return vafile.with_inertia(*vafile.cluster(_table(spark, sf_dir, "embeddings")))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    rows = importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return importance.with_ranks(rows).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_sentencepiece, op3_quality_rules, op4_source_mixing, op5_url_filter,
         op6_warc_fixity, op7_line_dedup, op8_simhash, op9_topk_search, op10_license_scan,
+        op11_pii, op12_centroid_clusters, op13_importance_resampling,
     )
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 #: DuckDB statements with the same columns; operators that SQL cannot express have none.
-ORACLE_SQL: dict[str, str] = {
+ORACLE_SQL: dict[str, str] = oracle.ORACLE_SQL | {
     "op3_quality_rules": rf"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
         word AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d),
