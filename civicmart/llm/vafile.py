@@ -1,9 +1,9 @@
 """Centroid clustering over a VA-file: exact k-means in whole numbers with interval bounds.
 
 Vectors become whole numbers, and each is kept beside its approximation: every dimension's range
-is cut into ``CELLS`` equal cells, and two cells share a byte. For a set of centroids, tables
-give, for each byte, the least and the greatest squared distance that its two dimensions can add.
-Summed over the bytes they give an interval per centroid. A centroid whose least distance is over
+is cut into ``CELLS`` equal cells (six bits; with four, nearly all intervals overlap at 64
+dimensions). For a set of centroids, tables give, for each cell, the least and the greatest squared
+distance that its dimension can add. Summed they give an interval per centroid. A centroid whose least distance is over
 another's greatest is out; where one centroid is left, the vector is assigned without being
 looked at, and where intervals overlap the full vector is fetched and its exact distances to just
 those centroids decide. All of it is integer arithmetic, so results do not depend on the order of
@@ -38,8 +38,8 @@ DIMS = 64
 SCALE = 256
 K = 40
 ROUNDS = 5
-#: Cells per dimension: four bits, two dimensions to a byte.
-CELLS = 16
+#: Cells per dimension (six bits).
+CELLS = 64
 LIMIT = 1 << 27
 #: Vectors whose intervals are computed at a time.
 BATCH = 4_096
@@ -63,37 +63,35 @@ def first_centroids(rows: DataFrame, k: int = K, seed: int = 2) -> np.ndarray:
 
 
 def ranges(rows: DataFrame, dims: int = DIMS) -> tuple[np.ndarray, np.ndarray]:
-    """Least value and cell width of every dimension, exact over all rows."""
-    least, most = ([f(F.col("v")[d]) for d in range(dims)] for f in (F.min, F.max))
-    r = rows.agg(*(c.alias(f"c{i}") for i, c in enumerate([*least, *most]))).first()
-    low, high = np.array(r[:dims], np.int64), np.array(r[dims:], np.int64)
+    """Least value and cell width of every dimension, exact over all rows; a task sends one row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high = np.full(dims, LIMIT), np.full(dims, -LIMIT)
+        for batch in batches:
+            if len(batch):
+                v = _numbers(batch, dims)
+                low, high = np.minimum(low, v.min(0)), np.maximum(high, v.max(0))
+        yield pa.record_batch([pa.array([x.tolist()], pa.list_(pa.int64())) for x in (low, high)], ["low", "high"])
+
+    found = rows.select("v").mapInArrow(run, "low array<long>, high array<long>").select(F.posexplode(F.arrays_zip("low", "high")).alias("d", "x"))
+    ends = {r["d"]: r for r in found.groupBy("d").agg(F.min("x.low").alias("low"), F.max("x.high").alias("high")).collect()}  # a row per dimension
+    low, high = (np.array([ends[d][side] for d in range(dims)], np.int64) for side in ("low", "high"))
     return low, (high - low) // CELLS + 1
 
 
 def cells_of(v: np.ndarray, low: np.ndarray, width: np.ndarray) -> np.ndarray:
-    """Approximations of (n, dims) vectors: (n, ceil(dims / 2)) bytes, two cells each."""
-    cell = ((v - low) // width).astype(np.uint8)
-    if cell.shape[1] % 2:
-        cell = np.pad(cell, ((0, 0), (0, 1)))
-    return cell[:, ::2] << 4 | cell[:, 1::2]
+    """Approximations of (n, dims) vectors: a cell number per dimension."""
+    return ((v - low) // width).astype(np.uint8)
 
 
 def interval_tables(centroids: np.ndarray, low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least and greatest squared distance by byte of the approximation, its value, and centroid."""
-    k, dims = centroids.shape
-    cell = np.arange(CELLS)
-    near = low[:, None] + cell * width[:, None]  # (dims, cells): a cell holds near..far
-    far = near + width[:, None] - 1
-    below = near[:, :, None] - centroids.T[:, None, :]
-    above = centroids.T[:, None, :] - far[:, :, None]
-    least = np.maximum(np.maximum(below, above), 0) ** 2
-    most = np.maximum(np.abs(below), np.abs(above)) ** 2
-    out = []
-    for t in (least, most):
-        if dims % 2:
-            t = np.concatenate([t, np.zeros((1, CELLS, k), np.int64)])
-        out.append((t[::2, :, None, :] + t[1::2, None, :, :]).reshape(-1, CELLS * CELLS, k))
-    return out[0], out[1]
+    """Least and greatest squared distance by dimension, cell and centroid."""
+    near = (low[:, None] + np.arange(CELLS) * width[:, None])[:, :, None]  # a cell holds near..far
+    far = near + width[:, None, None] - 1
+    at = centroids.T[:, None, :]
+    least = np.maximum(np.maximum(near - at, at - far), 0) ** 2
+    most = np.maximum(np.abs(near - at), np.abs(far - at)) ** 2
+    return least, most
 
 
 def nearest(v: np.ndarray, cells: np.ndarray, centroids: np.ndarray, tables: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, int]:
@@ -101,9 +99,9 @@ def nearest(v: np.ndarray, cells: np.ndarray, centroids: np.ndarray, tables: tup
     fetched because intervals overlapped."""
     n, k = len(v), len(centroids)
     least, most = np.zeros((n, k), np.int64), np.zeros((n, k), np.int64)
-    for b in range(cells.shape[1]):
-        least += tables[0][b][cells[:, b]]
-        most += tables[1][b][cells[:, b]]
+    for d in range(cells.shape[1]):
+        least += tables[0][d][cells[:, d]]
+        most += tables[1][d][cells[:, d]]
     open_ = least <= most.min(1, keepdims=True)
     chosen = open_.argmax(1)
     unsure = np.flatnonzero(open_.sum(1) > 1)
@@ -122,9 +120,8 @@ def _numbers(batch: pa.RecordBatch, dims: int) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), dims)
 
 
-def _approximations(batch: pa.RecordBatch, wide: int) -> np.ndarray:
-    flat = b"".join(batch.column("cells").to_pylist())
-    return np.frombuffer(flat, np.uint8).reshape(len(batch), wide)
+def _approximations(batch: pa.RecordBatch, dims: int) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("cells").to_pylist()), np.uint8).reshape(len(batch), dims)
 
 
 def approximated(rows: DataFrame, low: np.ndarray, width: np.ndarray, dims: int = DIMS) -> DataFrame:
@@ -148,7 +145,7 @@ def _assigner(centroids: np.ndarray, low: np.ndarray, width: np.ndarray):
         for at in range(0, len(batch), BATCH):
             part = batch.slice(at, BATCH)
             v = _numbers(part, dims)
-            yield part, v, nearest(v, _approximations(part, -(-dims // 2)), centroids, tables)[0]
+            yield part, v, nearest(v, _approximations(part, dims), centroids, tables)[0]
 
     return assign, lambda: interval_tables(centroids, low, width)
 
@@ -160,19 +157,22 @@ def next_centroids(table: DataFrame, centroids: np.ndarray, low: np.ndarray, wid
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = tables_of()
+        sums, counts = np.zeros(centroids.shape, np.int64), np.zeros(len(centroids), np.int64)
         for batch in batches:
             for _, v, chosen in assign(batch, tables):
                 order = np.argsort(chosen, kind="stable")
-                found, starts, counts = np.unique(chosen[order], return_index=True, return_counts=True)
-                sums = np.add.reduceat(v[order], starts, axis=0, dtype=np.int64)
-                yield pa.record_batch([pa.array(found, pa.int32()), pa.array(counts, pa.int64()), pa.array(list(sums), pa.list_(pa.int64()))], ["cluster", "n", "sums"])
+                found, starts, own = np.unique(chosen[order], return_index=True, return_counts=True)
+                sums[found] += np.add.reduceat(v[order], starts, axis=0, dtype=np.int64)
+                counts[found] += own
+        some = np.flatnonzero(counts)
+        yield pa.record_batch([pa.array(some, pa.int32()), pa.array(counts[some], pa.int64()), pa.array(sums[some].tolist(), pa.list_(pa.int64()))], ["cluster", "n", "sums"])
 
-    parts = table.select("v", "cells").mapInArrow(run, "cluster int, n long, sums array<long>")
+    parts = table.select("v", "cells").mapInArrow(run, "cluster int, n long, sums array<long>").select("cluster", "n", F.posexplode("sums").alias("d", "s"))
     # decimals: no sum of long numbers overflows
-    totals = parts.groupBy("cluster").agg(F.sum("n").alias("n"), *(F.sum(F.col("sums")[d].cast("decimal(20,0)")).alias(f"s{d}") for d in range(dims)))
+    totals = parts.groupBy("cluster", "d").agg(F.sum("n").alias("n"), F.sum(F.col("s").cast("decimal(20,0)")).alias("s"))
     after = centroids.copy()
-    for r in totals.collect():  # k rows at most
-        after[r["cluster"]] = [int(r[f"s{d}"]) // r["n"] for d in range(dims)]
+    for r in totals.collect():  # a number per centroid and dimension
+        after[r["cluster"], r["d"]] = int(r["s"]) // r["n"]
     return after
 
 
