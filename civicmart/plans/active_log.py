@@ -36,9 +36,9 @@ def extract_snapshot(counts: DataFrame, categories: Sequence[str] = CATEGORIES,
     return row.where(F.col(stamp).isNotNull()).select(*[snake_name(c) for c in categories], stamp)
 
 
-def active_permit_log_job(spark: SparkSession, extract_csv: str, log_path: str, tz: str = "US/Central") -> DataFrame:
+def active_permit_log_job(spark: SparkSession, extract_csv: str, log_path: str, tz: str = "US/Central", versioned: bool = False) -> DataFrame:
     """Read the active-permit extract, stamp it with its latest file's local modification minute,
     rotate it to one row and upsert it into the log (key: published_date)."""
     counts = read_csv_table(spark, extract_csv, schema="foldertype string, activepermits bigint")
     snap = extract_snapshot(with_file_stamp(counts, "published_date", tz))
-    return write_upsert(snap, log_path, keys=["published_date"])
+    return write_upsert(snap, log_path, keys=["published_date"], versioned=versioned)

@@ -37,10 +37,12 @@ def catalog_job(
     category: str,
     public_base: str,
     internal_base: str,
+    versioned: bool = False,
 ) -> DataFrame:
-    """Read the catalog and public-id documents, build the flat table, replace the published one."""
+    """Read the catalog and public-id documents, build the flat table, replace the published one
+    (``versioned``: see ``write_replace``)."""
     assets = read_catalog_json(spark, assets_json)
     public_ids = read_catalog_json(spark, public_json).select(F.col("resource.id").alias("id"))
     table = build_catalog(assets, public_ids, dataset_rows, owner_id, category, public_base, internal_base)
-    write_replace(table, out_path)
+    write_replace(table, out_path, versioned=versioned)
     return table

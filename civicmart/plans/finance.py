@@ -161,6 +161,7 @@ def finance_load_job(
     year: int | None = None,
     month: int | None = None,
     full_refresh: bool = False,
+    versioned: bool = False,
 ) -> dict[str, DataFrame]:
     """Both reports; each upserted on ``row_identifier``, later files winning. Year and
     month default to the current ones."""
@@ -169,7 +170,7 @@ def finance_load_job(
     for spec in (EXPENSES, REVENUE):
         rows = finance_load(spark, root, spec, year, month, full_refresh)
         out[spec.name] = write_upsert(
-            rows, f"{target}/{spec.name}", keys=["row_identifier"], order_cols=["source_file"], partition_cols=["year", "month"]
+            rows, f"{target}/{spec.name}", keys=["row_identifier"], order_cols=["source_file"], partition_cols=["year", "month"], versioned=versioned
         )
     return out
 

@@ -41,7 +41,7 @@ def transform_flex_notes(raw: DataFrame) -> DataFrame:
     return exclude_values(map_fields(raw, FIELD_MAPPING, strict=True), "flex_question", IGNORED_QUESTIONS, keep_null=True)
 
 
-def flex_notes_job(spark: SparkSession, csv_path: str, target_path: str) -> DataFrame:
+def flex_notes_job(spark: SparkSession, csv_path: str, target_path: str, versioned: bool = False) -> DataFrame:
     """Read the flex-notes export, clean it, upsert on ``flex_note_id``."""
     rows = transform_flex_notes(read_csv_table(spark, csv_path, schema=SCHEMA, multiLine=True))
-    return write_upsert(rows, target_path, keys=["flex_note_id"])
+    return write_upsert(rows, target_path, keys=["flex_note_id"], versioned=versioned)

@@ -129,26 +129,41 @@ def review_time(
     extension_process: int = EXTENSION_PROCESS,
     comment_result: int = COMMENT_RESULT,
 ) -> DataFrame:
-    """Review milestones of RW permits: web-application start/end and extension (left
-    joins, right side filtered *before* the join), department comments (the attempt's
-    result filter makes that join inner; it runs first to cut rows early). Every join is
-    on ``folderrsn``, so each input is shuffled once and the partitioning is reused; where a
-    folder is hot, AQE splits it at the price of one more shuffle (``session.BASE_CONF``)."""
+    """Review milestones of RW permits: web-application start/end and extension (left joins),
+    department comments (the attempt's result filter makes that join inner; it runs first to cut
+    rows early).
+
+    Every join is on ``folderrsn``, so each input is shuffled once and the partitioning is reused;
+    where a folder is hot, AQE splits it at the price of one more shuffle (``session.BASE_CONF``).
+    Both left joins read one and the same side, the process rows of either code, so the process
+    table is scanned and shuffled once and the second join reuses that exchange. For that the
+    sides must be the same to the planner: the code looked for stands in the folder row and is
+    compared as a range of one (a literal or an equality would be pushed below the exchange or
+    become a join key), and the dates are one value (one of two columns would be pruned)."""
     f = folder.where(
         (F.col("foldertype") == folder_type) & (F.col("subcode") == subcode) & (F.col("workcode") == workcode)
-    ).select("customfoldernumber", "folderrsn", "indate", "issuedate")
+    )
+    wanted = lambda code: F.when(F.col("foldertype") == folder_type, F.lit(code))
+    f = f.select(
+        "customfoldernumber", "folderrsn", "indate", "issuedate",
+        wanted(webapp_process).alias("webapp_code"), wanted(extension_process).alias("extension_code"),
+    )
     fa = folderprocessattempt.where(F.col("resultcode") == comment_result).select(
         "folderrsn", F.col("attemptdate").alias("dept_comments")
     )
-    pa = folderprocess.where(F.col("processcode") == webapp_process).select(
-        "folderrsn", F.col("startdate").alias("webappstart"), F.col("enddate").alias("webappend")
+    steps = folderprocess.where(F.col("processcode").isin(webapp_process, extension_process)).select(
+        F.col("folderrsn").alias("rsn"), F.col("processcode").alias("code"), F.array("startdate", "enddate").alias("dates")
     )
-    pe = folderprocess.where(F.col("processcode") == extension_process).select(
-        "folderrsn", F.col("startdate").alias("extend")
+    app, ext = steps.alias("app"), steps.alias("ext")
+    out = (
+        f.join(fa, "folderrsn", "inner")
+        .join(app, (F.col("folderrsn") == F.col("app.rsn")) & F.col("app.code").between(F.col("webapp_code"), F.col("webapp_code")), "left")
+        .join(ext, (F.col("folderrsn") == F.col("ext.rsn")) & F.col("ext.code").between(F.col("extension_code"), F.col("extension_code")), "left")
     )
-    out = f.join(fa, "folderrsn", "inner").join(pa, "folderrsn", "left").join(pe, "folderrsn", "left")
     return out.select(
-        "customfoldernumber", "folderrsn", "indate", "issuedate", "webappstart", "webappend", "extend", "dept_comments"
+        "customfoldernumber", "folderrsn", "indate", "issuedate",
+        F.col("app.dates")[0].alias("webappstart"), F.col("app.dates")[1].alias("webappend"),
+        F.col("ext.dates")[0].alias("extend"), "dept_comments",
     )
 
 
@@ -193,12 +208,13 @@ def run_named_query(name: str, tables: dict[str, DataFrame], **params) -> DataFr
     return fn(*[tables[t] for t in needs], **params)
 
 
-def permit_extract_job(tables: dict[str, DataFrame], name: str, out_path: str, **params) -> DataFrame:
+def permit_extract_job(tables: dict[str, DataFrame], name: str, out_path: str, one_object: bool = False, **params) -> DataFrame:
     """Run a named query and write it as a CSV extract, sorted by type where it has one. The other
-    columns break ties, so the sort's ranges are not limited to the few types."""
-    from ..sinks.files import write_csv
+    columns break ties, so the sort's ranges are not limited to the few types. The extract is a
+    folder of parts or, with ``one_object``, one file of that name."""
+    from ..sinks.files import write_csv, write_csv_object
 
     df = run_named_query(name, tables, **params)
     order = ["foldertype", *(c for c in df.columns if c != "foldertype")] if "foldertype" in df.columns else None
-    write_csv(df, out_path, order_by=order)
+    (write_csv_object if one_object else write_csv)(df, out_path, order_by=order)
     return df

@@ -14,7 +14,7 @@ from ..functions.nulls import nan_to_null
 from ..functions.text import point_wkt
 from ..operators.projection import map_fields
 from ..sinks.files import write_upsert
-from ..sources.files import read_utf16_tsv
+from ..sources.utf16 import read_utf16_tsv_ranges
 
 # Report columns and their published names, in published order.
 FIELD_MAPPING = {
@@ -74,7 +74,7 @@ def transform_service_requests(raw: DataFrame, date_format: str | Mapping[str, s
     return map_fields(staged, FIELD_MAPPING, strict=True)
 
 
-def service_requests_job(spark: SparkSession, tsv_path: str, target_path: str, date_format: str | Mapping[str, str] | None = None) -> DataFrame:
-    """Read the UTF-16 report, transform it, upsert on the request number."""
-    rows = transform_service_requests(read_utf16_tsv(spark, tsv_path), date_format)
-    return write_upsert(rows, target_path, keys=[KEY])
+def service_requests_job(spark: SparkSession, tsv_path: str, target_path: str, date_format: str | Mapping[str, str] | None = None, versioned: bool = False) -> DataFrame:
+    """Read the UTF-16 report (large files in byte ranges), transform it, upsert on the request number."""
+    rows = transform_service_requests(read_utf16_tsv_ranges(spark, tsv_path), date_format)
+    return write_upsert(rows, target_path, keys=[KEY], versioned=versioned)

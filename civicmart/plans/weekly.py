@@ -167,16 +167,16 @@ def read_extract(spark, path: str, spec: Extract) -> DataFrame:
     return given.withColumn(own.count, exact_number(own.count, "bigint"))
 
 
-def weekly_summary_job(spark, paths: dict[str, str], out_path: str, extracts: dict[str, Extract] = EXTRACTS) -> DataFrame:
+def weekly_summary_job(spark, paths: dict[str, str], out_path: str, extracts: dict[str, Extract] = EXTRACTS, versioned: bool = False) -> DataFrame:
     """Read the five daily-count extracts and replace the published weekly table.
 
     ``paths`` keys: applications, issued (permit extracts), commercial, extension, residential
-    (sheet counts); ``extracts`` names the headers of each.
+    (sheet counts); ``extracts`` names the headers of each. ``versioned``: see ``write_replace``.
     """
     from ..sinks.files import write_replace
 
     out = weekly_permit_summary(**{k: read_extract(spark, paths[k], extracts[k]) for k in EXTRACTS})
-    write_replace(out, out_path)
+    write_replace(out, out_path, versioned=versioned)
     return out
 
 
@@ -189,6 +189,7 @@ def weekly_summary_from_sources(
     sheet_date_cols: tuple[str, str, str] = ("Date Created", "Created", "Date Created"),
     applications_params: dict | None = None,
     issued_params: dict | None = None,
+    versioned: bool = False,
 ) -> DataFrame:
     """The weekly table as one Catalyst plan straight from the permit table (e.g. read over
     JDBC) and the three sheet exports: no extract files in between. The ``*_params`` go to
@@ -206,5 +207,5 @@ def weekly_summary_from_sources(
         sheet_day_counts(residential_sheet, sheet_date_cols[2]),
     )
     if out_path:
-        write_replace(out, out_path)
+        write_replace(out, out_path, versioned=versioned)
     return out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -14,7 +15,8 @@ from ..functions._util import quote
 from ..operators.aggregates import observe_count
 from ..operators.upsert import last_wins, upsert
 from ..session import cut_lineage
-
+from ..storage import Store
+from .published import publish_replace, publish_upsert
 
 log = logging.getLogger("civicmart.sinks")
 
@@ -90,8 +92,38 @@ def _table_exists(spark, path: str) -> bool:
         raise
 
 
-def write_replace(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> int:
-    """Replace the whole published table (Parquet). Returns the row count."""
+def write_csv_object(df: DataFrame, name: str, order_by: Sequence[str] | None = None, first: Sequence[str] = ()) -> int:
+    """One CSV file with a header under exactly ``name`` (an extract that others fetch by name).
+
+    One task writes it, sorting with spills if it must, into a folder of its own beside the name;
+    the finished part is then renamed over what is there. So readers see the earlier file or the
+    new one, a failed write leaves the earlier one, and a rerun replaces it. Returns the row count.
+    """
+    df, obs = observe_count(df, "write_csv_object")
+    if first:
+        df = df.select(*[quote(c) for c in first], *[quote(c) for c in df.columns if c not in first])
+    df = df.repartition(1)
+    if order_by:
+        df = df.sortWithinPartitions(*[quote(c) for c in order_by])
+    folder, _, file = name.rpartition("/")
+    draft = f"{folder}/_draft-{file}-{uuid.uuid4().hex}"
+    store = Store(df.sparkSession)
+    try:
+        df.write.option("header", True).options(**CSV_QUOTES).csv(draft)
+        part = [n for n in store.names(draft) if n.startswith("part-")]
+        store.rename(f"{draft}/{part[0]}", name, replace=True)
+    finally:
+        store.delete(draft)
+    return _rows(obs, "csv object", name)
+
+
+def write_replace(df: DataFrame, path: str, partition_cols: Sequence[str] = (), versioned: bool = False) -> int:
+    """Replace the whole published table (Parquet). Returns the row count.
+
+    ``versioned`` publishes it as a new version (:mod:`civicmart.sinks.published`): readers see the
+    old table or the new one, never none, and read it with ``read_published``."""
+    if versioned:
+        return publish_replace(df, path, partition_cols)
     df, obs = observe_count(df, "write_replace")
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_cols:
@@ -119,6 +151,7 @@ def write_upsert(
     keys: Sequence[str],
     order_cols: Sequence[str] | None = None,
     partition_cols: Sequence[str] = (),
+    versioned: bool = False,
 ) -> DataFrame:
     """Upsert ``increment`` into the Parquet table at ``path`` (created when absent).
 
@@ -128,7 +161,12 @@ def write_upsert(
     overwrite). Partition columns must be functions of the key. The merged slice is
     checkpointed into the reliable checkpoint folder before the overwrite, so the write does
     not read the files it replaces and survives executor loss. Returns the merged slice.
+
+    ``versioned`` publishes the merged slices as a new version instead
+    (:func:`civicmart.sinks.published.publish_upsert`); such a table is read with ``read_published``.
     """
+    if versioned:
+        return publish_upsert(increment, path, keys, order_cols, partition_cols)
     spark = increment.sparkSession
     order_cols = list(order_cols or [])
     increment = cut_lineage(increment)

@@ -10,6 +10,7 @@ from .files import (
     read_utf16_tsv,
     with_file_stamp,
 )
+from .utf16 import read_utf16_tsv_ranges
 from .jdbc import read_jdbc_query, read_jdbc_table, read_permit_tables
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -18,6 +18,7 @@ from ..functions._util import quote
 from ..functions.dates import local_minute_stamp
 from ..functions.text import REPORT_NAME_PATTERN, parse_report_name
 from ..operators.projection import mapped_columns
+from ..storage import Store
 
 
 #: RFC 4180: a quote inside a field is doubled.
@@ -85,12 +86,11 @@ def read_csv_files_by_name(
     strict: bool = False,
     with_file: str | None = "source_file",
 ) -> DataFrame:
-    """Files with differing header orders: each is read on its own, mapped by name, and
-    the results are unioned by name into one plan (meant for a window of files, e.g. the
-    selected and previous month, not for an unbounded listing)."""
+    """Files with differing header orders: one read for each distinct header, mapped by name, and
+    the results are unioned by name into one plan."""
     frames = [
-        _map_with_file(spark.read.option("header", True).options(**CSV_QUOTES, multiLine=True).option("inferSchema", False).csv(f), mapping, strict, with_file)
-        for f in files
+        _map_with_file(spark.read.option("header", True).options(**CSV_QUOTES, multiLine=True).option("inferSchema", False).csv(group), mapping, strict, with_file)
+        for group in _by_header(spark, files).values()
     ]
     return reduce(lambda a, b: a.unionByName(b), frames)
 
@@ -140,13 +140,13 @@ def read_report_files(
     """
     listing = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(root)
     name = F.col("_metadata.file_path")
-    files = listing.inputFiles()
-    odd = [f for f in files if not re.search(REPORT_NAME_PATTERN, unquote(f))]
+    files = [unquote(f) for f in listing.inputFiles()]  # listed as URIs, read as paths
+    odd = [f for f in files if not re.search(REPORT_NAME_PATTERN, f)]
     if odd:
         raise ValueError(f"report names that do not parse: {', '.join(sorted(odd)[:5])}")
     if years_months is not None:
         months = {f"{y:04d}-{m:02d}" for y, m in years_months}
-        files = [f for f in files if "-".join(re.search(REPORT_NAME_PATTERN, unquote(f)).groups()[:2]) in months]
+        files = [f for f in files if "-".join(re.search(REPORT_NAME_PATTERN, f).groups()[:2]) in months]
     parsed = parse_report_name(name)
     frames = []
     for header, group in _by_header(spark, files).items():
@@ -171,18 +171,13 @@ def read_report_files(
 
 
 def _by_header(spark: SparkSession, files: Sequence[str]) -> dict[str, list[str]]:
-    """Files by their first line; empty files have none. Only that line and the name of a file,
-    whose list the driver has anyway, come to the driver."""
-    if not files:
-        return {}
-    lines = spark.read.text(list(files)).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n")).alias("at"),
-        "value",
-    )
+    """Files by their first line; empty files have none. Of each file only a reader's first buffer
+    is read, through the file system; its name, which the driver has anyway, and that line are all
+    that comes to the driver."""
     found: dict[str, list[str]] = {}
-    for r in lines.groupBy("file").agg(F.min_by("value", "at").alias("header")).collect():
-        found.setdefault(r["header"], []).append(r["file"])
+    for file, header in zip(files, Store(spark).first_lines(files)):
+        if header is not None:
+            found.setdefault(header.removeprefix("\ufeff"), []).append(file)
     return found
 
 
