@@ -35,7 +35,7 @@ from ..operators.projection import map_fields, snake_columns
 from ..operators.reports import month_window, report_grid, slice_reports
 from ..operators.upsert import upsert
 from ..sinks.records import to_records
-from . import permits, weekly
+from . import permits, round_trips, weekly
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -682,3 +682,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "active_permit_snapshot": q_active_permit_snapshot,
     "pairs_to_map": q_pairs_to_map,
 }
+
+QUERIES |= round_trips.QUERIES

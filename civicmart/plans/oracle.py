@@ -6,6 +6,7 @@ the week spine uses ``generate_series``, membership uses ``EXISTS``, last-wins u
 from __future__ import annotations
 
 from ..functions.geo import state_plane_sql
+from . import round_trips
 from .bindings import CATALOG_MINUTES, EXPENSE_TEXT, REVENUE_TEXT, SERVICE_DAYS, SERVICE_TEXT
 from .finance import EXPENSES_NUMERIC_COLS, REVENUE_NUMERIC_COLS
 from .flex_notes import IGNORED_QUESTIONS
@@ -23,21 +24,40 @@ EVENTS_FOLDER = """
          ts + to_hours(CAST(floor(value) AS BIGINT)) AS issuedate
   FROM events"""
 
-APPS_WHERE = """
-  indate >= DATE '2024-01-03' AND statuscode NOT IN (58, 99)
-  AND CASE foldertype WHEN 'DS' THEN statuscode <> 9
-                      WHEN 'RW' THEN subcode NOT IN (8, 46)
-                      WHEN 'EX' THEN subcode NOT IN (8, 46) ELSE FALSE END"""
+
+
+def rules(rows: dict[str, dict[str, tuple[int, ...]]]) -> str:
+    """Rules by permit type as a table: (foldertype, kind, code); a type's codes of a kind are barred,
+    and a row whose code of that kind is unknown is barred too."""
+    cells = [f"('{t}', '{kind}', {code})" for t, kinds in rows.items() for kind, codes in kinds.items() for code in (*codes, "NULL")]
+    return f"rule (foldertype, kind, code) AS (VALUES {', '.join(cells)})"
+
+
+def unbarred(alias: str, **kinds: str) -> str:
+    """Rows of a listed type that no rule bars; ``kinds``: kind of code -> the row's column."""
+    bars = " OR ".join(f"(rule.kind = '{kind}' AND {alias}.{column} IS NOT DISTINCT FROM rule.code)" for kind, column in kinds.items())
+    return (
+        f"EXISTS (SELECT 1 FROM rule WHERE rule.foldertype = {alias}.foldertype) "
+        f"AND NOT EXISTS (SELECT 1 FROM rule WHERE rule.foldertype = {alias}.foldertype AND ({bars}))"
+    )
+
+
+# Types a query counts, and what bars a row of each.
+APPS_RULES = {"DS": {"status": (9, 58, 99)}, "EX": {"status": (58, 99), "sub": (8, 46)}, "RW": {"status": (58, 99), "sub": (8, 46)}}
+LINE_RULES = {"DS": {"other": ()}, "EX": {"other": ()}, "RW": {"sub": (6, 7)}}
+EVENT_RULES = {"DS": {"other": ()}, "EX": {"other": ()}, "RW": {"sub": (8, 46)}}
 
 PART_FOLDER = """
   SELECT CASE p_type WHEN 'MEDIUM' THEN 'DS' WHEN 'LARGE' THEN 'EX' WHEN 'SMALL' THEN 'RW' ELSE p_type END AS foldertype,
          p_size AS statuscode, p_brand AS foldername
   FROM part"""
 
-ACTIVE_CODES = ", ".join(str(i) for i in range(1, 26))
-PART_ACTIVE_WHERE = f"""
-  (foldertype IN ('EX', 'DS') AND statuscode IN ({ACTIVE_CODES}))
-  OR (foldertype IN ('RW') AND statuscode IN ({ACTIVE_CODES}) AND foldername NOT LIKE 'Brand#1%')"""
+# Parts by status: 1 to 25 are active; a small part of the first brand family is not counted.
+ACTIVE_PARTS = f"""
+  SELECT foldertype, COUNT(*) AS activepermits
+  FROM ({PART_FOLDER}) AS part_folder SEMI JOIN range(1, 26) AS active(statuscode) USING (statuscode)
+  WHERE list_contains(['DS', 'EX', 'RW'], foldertype) AND (foldertype = 'RW' AND (foldername IS NULL OR starts_with(foldername, 'Brand#1'))) IS NOT TRUE
+  GROUP BY foldertype"""
 
 
 def _sql() -> dict[str, str]:
@@ -45,25 +65,21 @@ def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
 
     q["applications_received"] = f"""
-WITH folder AS ({EVENTS_FOLDER})
+WITH {rules(APPS_RULES)}, folder AS (SELECT * FROM ({EVENTS_FOLDER}) AS e WHERE e.indate >= DATE '2024-01-03')
 SELECT foldertype, subcode, CAST(indate + INTERVAL 12 HOUR AS DATE) AS day, COUNT(*) AS issuedrowpermits
-FROM folder WHERE {APPS_WHERE}
+FROM folder WHERE {unbarred("folder", status="statuscode", sub="subcode")}
 GROUP BY 1, 2, 3"""
 
-    q["issued_permits"] = """
-WITH folder AS (
+    q["issued_permits"] = f"""
+WITH {rules(LINE_RULES)}, folder AS (
   SELECT CASE l_returnflag WHEN 'N' THEN 'DS' WHEN 'A' THEN 'EX' WHEN 'R' THEN 'RW' END AS foldertype,
          l_linenumber AS subcode, l_shipdate AS issuedate
-  FROM lineitem)
+  FROM lineitem WHERE l_shipdate >= DATE '1996-01-01')
 SELECT foldertype, subcode, CAST(issuedate + INTERVAL 12 HOUR AS DATE) AS day, COUNT(*) AS issuedrowpermits
-FROM folder
-WHERE (foldertype IN ('EX', 'DS') AND issuedate >= DATE '1996-01-01' AND issuedate IS NOT NULL)
-   OR (foldertype IN ('RW') AND subcode NOT IN (6, 7) AND issuedate >= DATE '1996-01-01' AND issuedate IS NOT NULL)
+FROM folder WHERE {unbarred("folder", sub="subcode")}
 GROUP BY 1, 2, 3"""
 
-    q["active_permits"] = f"""
-WITH folder AS ({PART_FOLDER})
-SELECT foldertype, COUNT(*) AS activepermits FROM folder WHERE {PART_ACTIVE_WHERE} GROUP BY 1"""
+    q["active_permits"] = ACTIVE_PARTS
 
     q["review_time"] = """
 WITH urgent AS (
@@ -107,14 +123,13 @@ FROM sp LEFT JOIN w ON sp.l_suppkey = w.l_suppkey AND sp.week = w.week"""
     q["weekly_permit_summary"] = f"""
 WITH folder AS ({EVENTS_FOLDER}),
 apps AS (
+  WITH {rules(APPS_RULES)}, dated AS (SELECT * FROM folder WHERE indate >= DATE '2024-01-03')
   SELECT foldertype AS series, CAST(indate + INTERVAL 12 HOUR AS DATE) AS day, COUNT(*) AS n
-  FROM folder WHERE {APPS_WHERE} GROUP BY 1, 2),
+  FROM dated WHERE {unbarred("dated", status="statuscode", sub="subcode")} GROUP BY 1, 2),
 iss AS (
+  WITH {rules(EVENT_RULES)}, dated AS (SELECT * FROM folder WHERE issuedate >= DATE '2024-01-05')
   SELECT foldertype AS series, CAST(issuedate + INTERVAL 12 HOUR AS DATE) AS day, COUNT(*) AS n
-  FROM folder
-  WHERE (foldertype IN ('EX', 'DS') AND issuedate >= DATE '2024-01-05' AND issuedate IS NOT NULL)
-     OR (foldertype IN ('RW') AND subcode NOT IN (8, 46) AND issuedate >= DATE '2024-01-05' AND issuedate IS NOT NULL)
-  GROUP BY 1, 2),
+  FROM dated WHERE {unbarred("dated", sub="subcode")} GROUP BY 1, 2),
 com AS (SELECT CAST(ts AS DATE) AS day, COUNT(*) AS n FROM events WHERE event_type = 'signup' AND ts IS NOT NULL GROUP BY 1),
 ext AS (SELECT CAST(ts AS DATE) AS day, COUNT(*) AS n FROM events
         WHERE event_type = 'error' AND ts IS NOT NULL GROUP BY 1),
@@ -156,8 +171,7 @@ FROM weeks LEFT JOIN sums ON weeks.week = sums.week"""
     q["weekly_permit_summary_extracts"] = q["weekly_permit_summary"]
 
     q["rotate_categories"] = f"""
-WITH folder AS ({PART_FOLDER}),
-active AS (SELECT foldertype, COUNT(*) AS activepermits FROM folder WHERE {PART_ACTIVE_WHERE} GROUP BY 1)
+WITH active AS ({ACTIVE_PARTS})
 SELECT AVG(CAST(activepermits AS DOUBLE)) FILTER (WHERE foldertype = 'DS') AS ds,
        AVG(CAST(activepermits AS DOUBLE)) FILTER (WHERE foldertype = 'EX') AS ex,
        AVG(CAST(activepermits AS DOUBLE)) FILTER (WHERE foldertype = 'RW') AS rw
@@ -410,4 +424,4 @@ SELECT doc_id, {value("lang")} AS lang_value, {value("source")} AS source_value,
     return q
 
 
-ORACLE_SQL: dict[str, str] = _sql()
+ORACLE_SQL: dict[str, str] = _sql() | round_trips.ORACLE_SQL

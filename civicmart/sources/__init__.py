@@ -10,7 +10,8 @@ from .files import (
     read_utf16_tsv,
     with_file_stamp,
 )
+from .jdbc import key_ranges, read_jdbc_query, read_jdbc_table, read_permit_tables
+from .manifest import changed_files, file_listing, load_changed
 from .utf16 import read_utf16_tsv_ranges
-from .jdbc import read_jdbc_query, read_jdbc_table, read_permit_tables
 
 __all__ = [n for n in dir() if not n.startswith("_")]

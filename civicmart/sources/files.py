@@ -126,6 +126,7 @@ def read_report_files(
     root: str,
     mapping: Mapping[str, str],
     years_months: Sequence[tuple[int, int]] | None = None,
+    files: Sequence[str] | None = None,
 ) -> DataFrame:
     """Report CSVs under ``root`` named ``<yyyy>-<mm>-<dd>_<dept>.csv`` (or in the
     ``month_end=/department=`` folders written by the extract), as all-string rows mapped by
@@ -136,11 +137,12 @@ def read_report_files(
     and never opened. A name that does not parse fails the load. Files are grouped by their
     header line: one read for each distinct header, joined by column name, so files may order
     their columns differently; ``absent_columns`` (array) names the mapped columns that a
-    file's header lacks. Line breaks inside quotes are part of a field.
+    file's header lacks. ``files`` names the files instead of a listing of ``root``. Line breaks inside quotes are part of a field.
     """
-    listing = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(root)
     name = F.col("_metadata.file_path")
-    files = [unquote(f) for f in listing.inputFiles()]  # listed as URIs, read as paths
+    if files is None:
+        listing = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(root)
+        files = [unquote(f) for f in listing.inputFiles()]  # listed as URIs, read as paths
     odd = [f for f in files if not re.search(REPORT_NAME_PATTERN, f)]
     if odd:
         raise ValueError(f"report names that do not parse: {', '.join(sorted(odd)[:5])}")

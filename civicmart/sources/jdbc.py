@@ -20,7 +20,7 @@ def key_ranges(spark: SparkSession, url: str, table: str, column: str, partition
     condition takes null keys in, the outer ones are open, so rows that come meanwhile are read too.
     """
     ask = lambda sql: read_jdbc_query(spark, url, sql, **properties).collect()
-    low, high, total = ask(f"SELECT MIN({column}), MAX({column}), COUNT({column}) FROM {table}")[0]
+    low, high, total = ask(f"SELECT MIN({column}) AS FIRST_KEY, MAX({column}) AS LAST_KEY, COUNT({column}) AS KEY_ROWS FROM {table}")[0]
     if not total:
         return ["1 = 1"]
     if low != int(low) or high != int(high):
@@ -35,7 +35,7 @@ def key_ranges(spark: SparkSession, url: str, table: str, column: str, partition
             continue
         width = -(-(last - first + 1) // PIECES)
         counted = ask(
-            f"SELECT MIN(K), MAX(K), COUNT(*) FROM (SELECT {column} AS K, FLOOR(({column} - {first}) / {width}) AS B FROM {table} "
+            f"SELECT MIN(K) AS FIRST_KEY, MAX(K) AS LAST_KEY, COUNT(*) AS KEY_ROWS FROM (SELECT {column} AS K, FLOOR(({column} - {first}) / {width}) AS B FROM {table} "
             f"WHERE {column} BETWEEN {first} AND {last}) T GROUP BY B"
         )
         todo += [tuple(map(int, r)) for r in counted]

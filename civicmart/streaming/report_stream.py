@@ -8,8 +8,9 @@ with :func:`civicmart.sinks.write_upsert`, which is idempotent, so a batch repla
 failure gives the same table (exactly-once results).
 
 The file source tracks file *names*: it fits landing areas where each extract arrives as
-a new file. An extract re-written under the same name is not read again; reloading such
-files (the selected and previous month) is the batch ``plans.finance.finance_load_job``.
+a new file. For extracts rewritten under the same name there is :func:`start_reload_stream`, whose
+ticks compare the folder's listing with a manifest of what was loaded
+(:mod:`civicmart.sources.manifest`).
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from ..functions.dates import local_minute_stamp
 from ..functions.text import parse_report_name
 from ..operators.projection import mapped_columns
 from ..plans.active_log import active_permit_snapshot
-from ..plans.finance import ReportSpec, derive_report_rows
+from ..plans.finance import ReportSpec, derive_report_rows, finance_reload_job
 from ..sources.files import CSV_QUOTES
 from ..session import ensure_checkpoint_dir
 from ..sinks.files import write_upsert
@@ -109,3 +110,16 @@ def start_active_log_stream(
     w = stamped.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", _checkpoint(spark, "active-log", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def start_reload_stream(spark: SparkSession, root: str, target: str, checkpoint: str | None = None, seconds: int = 60) -> StreamingQuery:
+    """Every ``seconds``, load the report files that are new or were rewritten (a clock stream whose
+    batches run :func:`civicmart.plans.finance.finance_reload_job`; a batch that fails loads the same
+    files again, with the same result)."""
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
+
+    def reload(batch: DataFrame, batch_id: int) -> None:
+        finance_reload_job(spark, root, target)
+
+    w = ticks.writeStream.foreachBatch(reload).option("checkpointLocation", _checkpoint(spark, "finance-reload", checkpoint))
+    return w.trigger(processingTime=f"{seconds} seconds").start()
