@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -53,6 +53,23 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_order(rows: DataFrame, keys: list[Column], name: str = "rank") -> DataFrame:
+    """``rows`` with their place from 1 on in the order of ``keys``, by a distributed sort.
+
+    Rows are range-partitioned and sorted, and one count per range gives each its first place. The
+    last key should tell rows apart that are equal otherwise, so that a group of them is spread.
+    """
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranges = saved(
+        rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+        .select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("place"))
+    )
+    sizes = ranges.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("start"))
+    return ranges.join(F.broadcast(starts), "part").select(*rows.columns, (F.col("start") + F.col("place") + 1).alias(name))
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete tables made by :func:`saved` that no result reads any more."""
     for df in frames:

@@ -31,11 +31,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import pick, saved
+from .common import in_order, pick, saved
 
 BUCKETS = 10_000
 #: Documents of fewer words are not drawn.
@@ -171,7 +171,7 @@ def scored(docs: DataFrame, gain: np.ndarray, seed: int = SEED) -> DataFrame:
     )
 
 
-#: Order of the draw: the highest scores first.
+#: Order of the draw: the highest scores first; ``row`` tells rows apart that are equal otherwise.
 ORDER = ("score", "doc_id", "weight", "n_features", "row")
 
 
@@ -179,21 +179,6 @@ def _order():
     return [F.col("score").desc(), F.col("doc_id").asc_nulls_last(), *(F.col(c) for c in ORDER[2:])]
 
 
-def ranked(rows: DataFrame) -> DataFrame:
-    """``rows`` (with the columns of ORDER) with ``rank`` from 1 on, by a distributed sort.
-
-    ``row`` tells rows apart that are equal otherwise, so a group of them is spread over ranges."""
-    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranges = saved(
-        rows.repartitionByRange(parts, *_order()).sortWithinPartitions(*_order())
-        .select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("place"))
-    )
-    sizes = ranges.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
-    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("start"))
-    return ranges.join(F.broadcast(starts), "part").select(*rows.columns, (F.col("start") + F.col("place") + 1).alias("rank"))
-
-
 def bracket(scores: DataFrame, take: int, n: int) -> tuple[int, int, int]:
     """(low, high, above): the draw of ``take`` of ``n`` rows ends at a score from low to high, and
     ``above`` rows score over high. The sketch's quantiles propose, exact counts decide."""
@@ -221,7 +206,7 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, min_wor
     if not take:
         return rows.withColumn("drawn", F.lit(False))
     low, high, above = bracket(able, take, n)
-    last = ranked(able.filter(F.col("score").between(low, high)).select(*ORDER)).filter(F.col("rank") == take - above).first()
+    last = in_order(able.filter(F.col("score").between(low, high)).select(*ORDER), _order()).filter(F.col("rank") == take - above).first()
     # in the draw's order up to the last row
     upto = F.lit(True)
     for c in reversed(ORDER[1:]):
@@ -237,5 +222,5 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, min_wor
 
 def with_ranks(rows: DataFrame) -> DataFrame:
     """``resample``'s rows with ``rank`` (1, 2, 3... among the drawn, null for the rest)."""
-    drawn = ranked(rows.filter("drawn"))
+    drawn = in_order(rows.filter("drawn"), _order())
     return drawn.unionByName(rows.filter(~F.col("drawn")).withColumn("rank", F.lit(None).cast("long")))

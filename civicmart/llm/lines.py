@@ -1,21 +1,23 @@
 """Substring dedup by hashing lines, and passages inside lines that differ otherwise.
 
-Units are compared in normal form: words joined by single spaces, A-Z lower-cased. A line of
-``min_words`` words or more is a unit; shorter ones recur in documents that share nothing. Lines
-alone miss a passage that was pasted into the middle of a line, so every run of ``window`` words is a
+Units are compared in normal form: words joined by single spaces, A-Z lower-cased. Every line with a
+word is a unit (of ``min_words`` or more, if asked for). Lines alone miss a passage that was pasted into the middle of a line, so every run of ``window`` words is a
 unit too, wherever line breaks fall: a later copy of ``window`` words or more goes from its first
 word to its last. Digests are grouped over all documents; the earliest ranked occurrence of a unit
 stays where it is and all others are cut out, with their original offsets retained. The rank is
 doc_id (null last), then text digest, then place in the text.
 
-Runs are compared in two steps, to shuffle fewer rows. Of the shorter runs of ``(window + 1) // 2``
-words inside each run the one with the least digest is its anchor; neighbouring runs of one anchor
+Runs are compared in two steps, to shuffle fewer rows. Of the shorter runs of ``window // 3``
+words inside each run the one with the least hash is its anchor; neighbouring runs of one anchor
 are a cell. Equal runs have equal anchors, so cells whose anchor is found once hold nothing that recurs.
 A cell that an earlier document has word for word goes as a whole, and its runs need no comparison: the
 cell's first occurrence stands for them. The runs of all other cells are compared one by one. An
 anchor shared by chance costs time and changes no result. The first_doc_id of a cut is the first
 document with its first run, or with that run's cell.
 
+A text is known by its doc_id and, only where a doc_id has several texts, by their place in the
+order of text digests, so that the many rows of units carry no digest of the text they are from.
+
 Defined results: null and empty texts have no units and come back as they are; rows that repeat
 both doc_id and text are one document and come back alike; an empty table gives an empty result;
 columns other than doc_id and text pass through unchanged, whatever their names. A word goes if a run
@@ -27,19 +29,23 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import SPACES, WORD, discard, numbered, pick, saved
+from .common import SPACES, WORD, discard, in_order, numbered, pick, saved
 
-MIN_WORDS = 20
+MIN_WORDS = 1
 #: Words in a run.
 WINDOW = 25
+#: Hashes of words remembered by a task; it only saves time.
+REMEMBERED = 1 << 19
 
 
 def line_units(text: str | None, min_words: int = MIN_WORDS) -> list[tuple[int, bytes]]:
@@ -70,19 +76,45 @@ def passage_units(text: str | None, window: int = WINDOW, places: list[int] | No
     return [(i, digest(joined[starts[i] : ends[i]])) for i in (range(len(starts)) if places is None else places)]
 
 
+class _WordHashes(dict):
+    """Word to a 64-bit hash, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_HASHES = _WordHashes()
+
+
+def _run_hashes(words: list[bytes], size: int) -> np.ndarray:
+    """A hash of every run of ``size`` words; used to choose anchors, where a collision costs time only."""
+    own = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    n = len(words) - size + 1
+    out = own[:n].copy()
+    for k in range(1, size):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+        out += own[k : k + n]
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    return out ^ out >> np.uint64(32)
+
+
 def cells(text: str | None, window: int = WINDOW) -> tuple[list[int], list[int], list[bytes], list[int]]:
-    """First run, number of runs, digest of all words, and the anchor's digest as a signed number, of the cells of one text."""
-    short = (window + 1) // 2
-    joined, starts, ends = _runs(text, short)
-    n = len(starts) - (window - short)
-    if n < 1:
+    """First run, number of runs, digest of all words, and the anchor's hash as a signed number, of the cells of one text."""
+    short = max(1, window // 3)
+    joined, starts, ends = _runs(text, window)
+    n = len(starts)
+    if not n:
         return [], [], [], []
-    digest = xxhash.xxh3_64_intdigest
-    order = np.array([digest(joined[s:e]) for s, e in zip(starts, ends)], np.uint64)
+    order = _run_hashes(joined.split(b" "), short)
     anchor = np.lib.stride_tricks.sliding_window_view(order, window - short + 1).argmin(axis=1) + np.arange(n)
     first = np.flatnonzero(np.diff(anchor, prepend=-1))
     after = np.append(first[1:], n)
-    whole = [xxhash.xxh3_128_digest(joined[starts[a] : ends[b - 1 + window - short]]) for a, b in zip(first.tolist(), after.tolist())]
+    whole = [xxhash.xxh3_128_digest(joined[starts[a] : ends[b - 1]]) for a, b in zip(first.tolist(), after.tolist())]
     return first.tolist(), (after - first).tolist(), whole, order[anchor[first]].view(np.int64).tolist()
 
 
@@ -132,46 +164,74 @@ def cut_units(
 
 
 def _key(text: Column) -> Column:
-    """A text's digest as 16 bytes, half of its hex form: there is one in every unit; null for a null text, which has none."""
+    """A text's digest as 16 bytes, half of its hex form; null for a null text, which has no units."""
     return F.unhex(F.md5(text))
 
 
+def several_texts(docs: DataFrame) -> DataFrame | None:
+    """(m_id, m_key, m_nth) of the texts of doc_ids that have several; None if no doc_id does."""
+    keys = pick(docs, "doc_id", "text").filter("text IS NOT NULL").select("doc_id", _key(F.col("text")).alias("key"))
+    ids = saved(keys.groupBy("doc_id").agg(F.min("key").alias("least"), F.max("key").alias("most")).filter("least <> most").select(F.col("doc_id").alias("m_id")))
+    if ids.isEmpty():
+        return None
+    own = keys.join(ids, F.col("doc_id").eqNullSafe(F.col("m_id")), "left_semi").distinct()
+    order = [F.col("doc_id").asc_nulls_last(), F.col("key")]
+    return saved(in_order(own, order, "m_nth").toDF("m_id", "m_key", "m_nth"))
+
+
+def _numbered(rows: DataFrame, several: DataFrame | None, doc_id: str, text: str) -> DataFrame:
+    """``rows`` with ``nth``, which tells the texts of one doc_id apart, in the order of their digests; null for a null text."""
+    only = F.when(F.col(text).isNotNull(), F.lit(0).cast("long"))
+    if several is None:
+        return rows.withColumn("nth", only)
+    same = F.col(doc_id).eqNullSafe(F.col("m_id")) & (_key(F.col(text)) == F.col("m_key"))
+    return rows.join(several, same, "left").withColumn("nth", F.coalesce("m_nth", only)).drop("m_id", "m_key", "m_nth")
+
+
 def _rank() -> Column:
-    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "at")
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "nth", "at")
 
 
 def _in_first() -> Column:
     """Whether the earliest occurrence is in the same text."""
-    return F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    return F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("nth") == F.col("first.nth"))
 
 
-def units(docs: DataFrame, min_words: int = MIN_WORDS, window: int | None = WINDOW) -> DataFrame:
-    """(doc_id, text_key, at, n, digest, anchor): one row per line unit and per cell of runs.
+def _halves(digests: list[bytes]) -> np.ndarray:
+    """16-byte digests as two signed numbers each: (n, 2)."""
+    return np.frombuffer(b"".join(digests), ">i8").reshape(-1, 2)
 
-    Lines have a line number at ``at``, and no ``n`` and anchor; cells their first word and number of runs.
-    """
 
-    @pandas_udf("struct<at: array<int>, n: array<int>, digest: array<binary>, anchor: array<long>>")
-    def split(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in texts:
-            found = line_units(t, min_words)
-            none = [None] * len(found)
-            at, n, digest, anchor = cells(t, window) if window else ([], [], [], [])
-            rows.append(([i for i, _ in found] + at, none + n, [d for _, d in found] + digest, none + anchor))
-        return pd.DataFrame(rows, columns=["at", "n", "digest", "anchor"], dtype=object)
-
-    return (
-        _texts(docs)
-        .select("doc_id", "text_key", split("text").alias("u"))
-        .select("doc_id", "text_key", "u.at", "u.n", "u.digest", "u.anchor")
-        .select("doc_id", "text_key", F.inline(F.arrays_zip("at", "n", "digest", "anchor")))
-    )
+def _table(batch: pa.RecordBatch, owner: list[int], columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    """Rows of a result: the text each belongs to, and their columns."""
+    rows = pa.array(owner, pa.int32())
+    return pa.record_batch([batch.column("doc_id").take(rows), batch.column("nth").take(rows), *columns.values()], ["doc_id", "nth", *columns])
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    # the key is made before units are exploded: beside that, it would be worked out again for every unit of a text
-    return pick(docs, "doc_id", "text").select("doc_id", _key(F.col("text")).alias("text_key"), "text")
+def units(texts: DataFrame, min_words: int = MIN_WORDS, window: int | None = WINDOW) -> DataFrame:
+    """(doc_id, nth, at, n, d1, d2, anchor): one row per line unit and per cell of runs; d1 and d2 are the digest.
+
+    Lines have a line number at ``at``, and no ``n`` and anchor; cells their first word and number of runs.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, at, n, digest, anchor = [], [], [], [], []
+            for k, text in enumerate(batch.column("text")):
+                text = text.as_py()
+                for i, d in line_units(text, min_words):
+                    owner.append(k), at.append(i), n.append(None), digest.append(d), anchor.append(None)
+                firsts, sizes, whole, anchors = cells(text, window) if window else ([], [], [], [])
+                owner += [k] * len(firsts)
+                at += firsts
+                n += sizes
+                digest += whole
+                anchor += anchors
+            half = _halves(digest)
+            yield _table(batch, owner, {"at": pa.array(at, pa.int32()), "n": pa.array(n, pa.int32()), "d1": pa.array(half[:, 0].astype(np.int64)), "d2": pa.array(half[:, 1].astype(np.int64)), "anchor": pa.array(anchor, pa.int64())})
+
+    kind = dict(texts.dtypes)["doc_id"]
+    return texts.mapInArrow(run, f"doc_id {kind}, nth long, at int, n int, d1 long, d2 long, anchor long")
 
 
 def repeats(found: DataFrame, again: Column | None = None, how: str = "inner") -> DataFrame:
@@ -181,46 +241,50 @@ def repeats(found: DataFrame, again: Column | None = None, how: str = "inner") -
     of the documents share costs no more than any other; the join back splits such a digest
     over many tasks (it joins two tables read from files, both shuffled for it).
     """
-    groups = found.groupBy("digest").agg(F.min(_rank()).alias("first"), F.max(_rank()).alias("last"), F.max(F.lit(False) if again is None else again).alias("again"))
-    return found.join(saved(groups.filter("again OR first <> last").select("digest", "first")), "digest", how).drop("digest")
+    groups = found.groupBy("d1", "d2").agg(F.min(_rank()).alias("first"), F.max(_rank()).alias("last"), F.max(F.lit(False) if again is None else again).alias("again"))
+    return found.join(saved(groups.filter("again OR first <> last").select("d1", "d2", "first")), ["d1", "d2"], how).drop("d1", "d2")
 
 
-def repeated_runs(docs: DataFrame, marks: DataFrame, window: int) -> DataFrame:
-    """(doc_id, text_key, at, n, first_doc_id, stays, own): the runs found twice or more, ``n`` in a row from ``at``.
+def repeated_runs(texts: DataFrame, marks: DataFrame, window: int) -> DataFrame:
+    """(doc_id, nth, at, n, first_doc_id, stays, own): the runs found twice or more, ``n`` in a row from ``at``.
 
     ``stays``: it is the earliest; ``own``: the earliest is in the same text. ``marks`` is deleted
     when its cells have been read, to make room on disk.
     """
     several = saved(marks.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).filter("anchor IS NOT NULL AND rows > 1").select("anchor"))
-    open_ = saved(marks.filter("anchor IS NOT NULL").join(several, "anchor").drop("anchor"))
+    open_ = saved(marks.filter("anchor IS NOT NULL").join(several.hint("shuffle_hash"), "anchor").drop("anchor"))
     discard(marks, several)
     known = saved(repeats(open_, how="left").withColumn("own", F.col("first").isNull() | _in_first()))
     discard(open_)
     # a cell of an earlier document goes as it is; of all others the runs are compared
-    gone = known.filter("NOT own").select("doc_id", "text_key", "at", "n", F.col("first.doc_id").alias("first_doc_id"), F.lit(False).alias("stays"), "own")
+    gone = known.filter("NOT own").select("doc_id", "nth", "at", "n", F.col("first.doc_id").alias("first_doc_id"), F.lit(False).alias("stays"), "own")
     held = (
-        known.filter("own").groupBy("doc_id", "text_key")
+        known.filter("own").groupBy("doc_id", "nth")
         .agg(F.collect_set(F.struct("at", "n", F.col("first").isNotNull().alias("again"))).alias("cells"))
-        .withColumnsRenamed({"doc_id": "k_id", "text_key": "k_key"})
+        .withColumnsRenamed({"doc_id": "k_id", "nth": "k_nth"})
     )
 
-    @pandas_udf("struct<at: array<int>, digest: array<binary>, again: array<boolean>>")
-    def runs(texts: pd.Series, at: pd.Series, n: pd.Series, again: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t, *found in zip(texts, at, n, again):
-            places = {p: bool(twice) for a, k, twice in zip(*found) for p in range(int(a), int(a + k))}
-            rows.append((list(places), [d for _, d in passage_units(t, window, list(places))], list(places.values())))
-        return pd.DataFrame(rows, columns=["at", "digest", "again"], dtype=object)
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, at, digest, again = [], [], [], []
+            for k, (text, found) in enumerate(zip(batch.column("text"), batch.column("cells"))):
+                places = {p: c["again"] for c in found.as_py() for p in range(c["at"], c["at"] + c["n"])}
+                owner += [k] * len(places)
+                at += places
+                digest += [d for _, d in passage_units(text.as_py(), window, list(places))]
+                again += places.values()
+            half = _halves(digest)
+            yield _table(batch, owner, {"at": pa.array(at, pa.int32()), "d1": pa.array(half[:, 0].astype(np.int64)), "d2": pa.array(half[:, 1].astype(np.int64)), "again": pa.array(again, pa.bool_())})
+
+    kind = dict(texts.dtypes)["doc_id"]
     single = saved(
-        _texts(docs).join(saved(held), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("text_key") == F.col("k_key")))
-        .select("doc_id", "text_key", runs("text", "cells.at", "cells.n", "cells.again").alias("u"))
-        .select("doc_id", "text_key", "u.at", "u.digest", "u.again")
-        .select("doc_id", "text_key", F.inline(F.arrays_zip("at", "digest", "again")))
+        texts.join(saved(held).hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("nth") == F.col("k_nth")))
+        .select("doc_id", "nth", "text", "cells")
+        .mapInArrow(run, f"doc_id {kind}, nth long, at int, d1 long, d2 long, again boolean")
     )
     # a run in a cell that is repeated is found again, also where the copies are gone as cells
     compared = repeats(single, F.col("again")).select(
-        "doc_id", "text_key", "at", F.lit(1).alias("n"), F.col("first.doc_id").alias("first_doc_id"), (_rank() == F.col("first")).alias("stays"), _in_first().alias("own")
+        "doc_id", "nth", "at", F.lit(1).alias("n"), F.col("first.doc_id").alias("first_doc_id"), (_rank() == F.col("first")).alias("stays"), _in_first().alias("own")
     )
     return compared.unionByName(gone)
 
@@ -233,26 +297,27 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, window: int | None
     cut, with the document that has the first of them. If the input has columns of these names
     already, refer to the new ones by position: they are the last two. ``window`` None: lines only.
     """
-    marks = saved(units(docs, min_words, window))
+    several = several_texts(docs)
+    texts = _numbered(pick(docs, "doc_id", "text"), several, "doc_id", "text")
+    marks = saved(units(texts, min_words, window))
     found = (
         repeats(saved(marks.filter("anchor IS NULL").drop("n", "anchor"))).filter(_rank() != F.col("first"))
-        .select(F.lit(False).alias("run"), "doc_id", "text_key", "at", F.lit(1).alias("n"), F.col("first.doc_id").alias("first_doc_id"), F.lit(False).alias("stays"), F.lit(False).alias("own"))
+        .select(F.lit(False).alias("run"), "doc_id", "nth", "at", F.lit(1).alias("n"), F.col("first.doc_id").alias("first_doc_id"), F.lit(False).alias("stays"), F.lit(False).alias("own"))
     )
     if window:
-        found = found.unionByName(repeated_runs(docs, marks, window).withColumn("run", F.lit(True)))
+        found = found.unionByName(repeated_runs(texts, marks, window).withColumn("run", F.lit(True)))
     per_text = (
-        found.groupBy("doc_id", "text_key")
+        found.groupBy("doc_id", "nth")
         .agg(F.sort_array(F.collect_set(F.struct("run", "at", "n", "first_doc_id", "stays", "own"))).alias("cut"))
         .filter(F.exists("cut", lambda c: ~c["stays"]))
-        .withColumnsRenamed({"doc_id": "k_id", "text_key": "k_key"})
+        .withColumnsRenamed({"doc_id": "k_id", "nth": "k_nth"})
     )
     cuts = saved(per_text)
     discard(per_text)  # the tables that it was made of
     table, name = numbered(docs)
     text = F.col(name["text"])
-    joined = table.withColumn("k_text", _key(text)).join(
-        cuts, F.col(name["doc_id"]).eqNullSafe(F.col("k_id")) & (F.col("k_text") == F.col("k_key")), "left"
-    )
+    keyed = _numbered(table, several, name["doc_id"], name["text"])
+    joined = keyed.join(cuts.hint("shuffle_hash"), F.col(name["doc_id"]).eqNullSafe(F.col("k_id")) & (F.col("nth") == F.col("k_nth")), "left")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     some = lambda keep, field: F.transform(F.filter("cut", keep), lambda c: c[field])
     line, run, sure = lambda c: ~c["run"], lambda c: c["run"] & c["own"] & ~c["stays"], lambda c: c["run"] & ~c["own"]

@@ -5,7 +5,7 @@ from collections import Counter
 
 import public_tokenizers
 import sentencepiece
-from test_llm_quality_lines import plain, plain_units
+from test_llm_quality_lines import plain, plain_words
 from test_llm_simhash_mixing import plain_fingerprint, plain_targets, union_find
 
 import corpus_pipeline
@@ -52,7 +52,7 @@ def test_every_stage(spark):
     assert Counter(single) == earliest_of_groups(good)
     assert 0 < len(single) < len(good)
 
-    want = plain_units([(r["doc_id"], r["text"]) for r in single])
+    want = plain_words([(r["doc_id"], r["text"]) for r in single])
     assert Counter((r["doc_id"], tuple(r["text"].split())) for r in cut) == Counter((r["doc_id"], tuple(want[r["doc_id"], r["text"]])) for r in single)
     assert all(r["n_chars"] == len(r["text"]) for r in cut if r["text"] not in {s["text"] for s in single})
     assert Counter(cut) != Counter(single)

@@ -123,41 +123,6 @@ def test_cut_runs():
     assert lines.cut_units(text, {}, [(5, 3)], [4], 2) == ("a b\n c d  e f\nh", [(2, 14, 15, 3)])
 
 
-def plain_units(rows):
-    """Words of (doc_id, text) after a plain pass in rank order: every unit seen before is cut, but for
-    words of a run that is the first of several."""
-    import collections
-    import hashlib
-    import re
-
-    key = lambda t: "null" if t is None else hashlib.md5(t.encode()).hexdigest()
-    seen, out = {}, {}
-    places = [d for _, t in set(rows) for _, d in lines.passage_units(t)]
-    several = {d for d, n in collections.Counter(places).items() if n > 1}
-    for i, t in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, key(r[1]))):
-        if t is None:
-            out[i, t] = None
-            continue
-        gone = set()
-        for n, d in lines.line_units(t):
-            if seen.setdefault(("line", d), (i, t, n)) != (i, t, n):
-                gone.add(n)
-        own, stay = set(), set()
-        for n, d in lines.passage_units(t):
-            if d not in several:
-                continue
-            (stay if seen.setdefault(("run", d), (i, t, n)) == (i, t, n) else own).update(range(n, n + lines.WINDOW))
-        parts, w = [], 0
-        for n, line in enumerate(t.split("\n")):
-            words = re.findall(r"[^ \t\n\x0b\x0c\r]+", line)
-            keep = [x for k, x in enumerate(words) if w + k not in own - stay]
-            w += len(words)
-            if n not in gone:
-                parts.append(keep)
-        out[i, t] = [x for p in parts for x in p]
-    return out
-
-
 def test_dedup_against_plain(spark):
     import random
 
@@ -172,7 +137,7 @@ def test_dedup_against_plain(spark):
         rows.append((i, "".join(p + rng.choice([" ", "  ", "\n", "\n\n"]) for p in parts)))
     rows += [(None, None), (700, ""), (None, rows[3][1]), (500, rows[4][1]), (500, rows[4][1])]
     table = spark.createDataFrame(rows, "doc_id long, text string").select("*", F.lit(1).alias("run")).select("*", F.lit(2).alias("at"))
-    want = plain_units(rows)
+    want = plain_words(rows)
     found = lines.dedup_lines(table).collect()
     assert sorted(repr((r[0], None if r[1] is None else r[1].split())) for r in found) == sorted(repr((i, want[i, t])) for i, t in rows)
     original = dict(rows)
@@ -227,6 +192,17 @@ def test_every_later_copy_goes_whole(spark, copies):
         assert len(by) == (i != first) and all(first <= d < i for d in by)
 
 
+def test_no_repeated_line_stays_but_the_earliest(spark):
+    """Short lines too, in hundreds of documents, and doc_ids that have several texts or are null."""
+    rows = [(i, f"own {i} a\nshared line here\nx\nown {i} b") for i in range(200)]
+    rows += [(7, "shared line here\nonly this"), (7, "zz\nshared line here"), (None, "x\nnull one"), (None, "shared line here\nnull two"), (None, None)]
+    found = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(x for r in found if r[1] for x in r[1].split("\n"))["shared line here"] == 1
+    assert [r[0] for r in found if r[1] and "shared" in r[1]] == [0]
+    want = plain_words(rows)
+    assert sorted(repr((r[0], None if r[1] is None else r[1].split())) for r in found) == sorted(repr((r[0], want[r])) for r in rows)
+
+
 def test_what_stays_here_does_not_save_words_of_earlier_documents(spark):
     a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
     rows = [(0, f"x {a} y"), (1, f"z {b} v"), (2, f"q {a} {b} r"), (3, f"s {a} {b} t")]
@@ -251,21 +227,37 @@ def test_cells_hold_every_run_and_equal_runs_share_an_anchor(window):
             assert at == len(runs)
 
 
+def words_of(text):
+    return re.findall(r"[^ \t\n\x0b\x0c\r]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+
+
+def plain_lines_of(text):
+    """(line number, words) of the lines with a word."""
+    return [(n, tuple(words_of(x))) for n, x in enumerate((text or "").split("\n")) if words_of(x)]
+
+
+def plain_runs_of(text, size=25):
+    """(word number, words) of all runs."""
+    words = words_of(text)
+    return [(n, tuple(words[n : n + size])) for n in range(len(words) - size + 1)]
+
+
 def plain_words(rows):
-    """As plain_units, but word by word: what stays here saves words only from runs that are first in the same text."""
+    """Words of (doc_id, text) after a plain pass in rank order: lines seen before go, and words of runs
+    seen before; what stays here saves words only from runs that are first in the same text."""
     import hashlib
 
     key = lambda t: "null" if t is None else hashlib.md5(t.encode()).hexdigest()
     order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, key(r[1])))
-    several = Counter(d for _, t in order for _, d in lines.passage_units(t))
+    several = Counter(d for _, t in order for _, d in plain_runs_of(t))
     seen, out = {}, {}
     for r in order:
-        gone = {n for n, d in lines.line_units(r[1]) if seen.setdefault(("line", d), (r, n)) != (r, n)}
+        gone = {n for n, d in plain_lines_of(r[1]) if seen.setdefault(("line", d), (r, n)) != (r, n)}
         own, stay, sure = set(), set(), set()
-        for n, d in lines.passage_units(r[1]):
+        for n, d in plain_runs_of(r[1]):
             first = seen.setdefault(("run", d), (r, n))
             if several[d] > 1:
-                (stay if first == (r, n) else own if first[0] == r else sure).update(range(n, n + lines.WINDOW))
+                (stay if first == (r, n) else own if first[0] == r else sure).update(range(n, n + 25))
         parts, w = [], 0
         for n, line in enumerate((r[1] or "").split("\n")):
             words = re.findall(r"[^ \t\n\x0b\x0c\r]+", line)
