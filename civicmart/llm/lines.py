@@ -28,7 +28,6 @@ stays are not cut by a run whose first occurrence is in the same text.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,13 +38,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import SPACES, WORD, discard, in_order, numbered, pick, saved
+from .common import SPACES, discard, in_order, numbered, pick, saved
 
 MIN_WORDS = 1
 #: Words in a run.
 WINDOW = 25
-#: Hashes of words remembered by a task; it only saves time.
-REMEMBERED = 1 << 19
+#: Powers remembered by a task; it only saves time.
+REMEMBERED = 1 << 20
 
 
 def line_units(text: str | None, min_words: int = MIN_WORDS) -> list[tuple[int, bytes]]:
@@ -58,64 +57,97 @@ def line_units(text: str | None, min_words: int = MIN_WORDS) -> list[tuple[int,
     return found
 
 
-def _runs(text: str | None, window: int) -> tuple[bytes, list[int], list[int]]:
-    """The normal form of a text, and where in it its runs of words start and end."""
-    found = (text or "").encode().lower().split()
-    n = len(found) - window + 1
-    if n < 1:
-        return b"", [], []
-    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])[:n]
-    return b" ".join(found), starts.tolist(), ends[window - 1 :].tolist()
+def _joined(texts: list[str | None]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The normal forms of some texts, joined by spaces; where in it all words start and end; and which
+    word is the first of each text (and one past the last)."""
+    split = [(t or "").encode().lower().split() for t in texts]
+    firsts = np.concatenate([[0], np.cumsum([len(w) for w in split], dtype=np.int64)])
+    joined = b" ".join([b" ".join(w) for w in split if w])
+    if not joined:
+        return b"", np.zeros(0, np.int64), np.zeros(0, np.int64), firsts
+    spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 0x20)
+    return joined, np.concatenate([[0], spaces + 1]), np.concatenate([spaces, [len(joined)]]), firsts
 
 
-def passage_units(text: str | None, window: int = WINDOW, places: list[int] | None = None) -> list[tuple[int, bytes]]:
-    """(word number from 0, 16-byte digest) of all runs of one text, or of those that begin at ``places``."""
-    joined, starts, ends = _runs(text, window)
+def _digests(joined: bytes, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
     digest = xxhash.xxh3_128_digest
-    return [(i, digest(joined[starts[i] : ends[i]])) for i in (range(len(starts)) if places is None else places)]
+    return [digest(joined[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
 
 
-class _WordHashes(dict):
-    """Word to a 64-bit hash, remembered."""
+def passage_units(text: str | None, window: int = WINDOW, places: list[int] | None = None) -> list[tuple[int, bytes]]:
+    """(word number from 0, 16-byte digest) of all runs of one text, or of those that begin at ``places``."""
+    joined, starts, ends, _ = _joined([text])
+    at = np.arange(max(len(starts) - window + 1, 0)) if places is None else np.asarray(places, np.int64)
+    return list(zip(at.tolist(), _digests(joined, starts[at], ends[at + window - 1])))
+
+
+#: A number for every byte value, and the base of the hashes of byte ranges (odd, so it has an inverse).
+_BYTE = np.frombuffer(b"".join(xxhash.xxh3_64_digest(bytes([b])) for b in range(256)), np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_POWERS = {_BASE: np.ones(1, np.uint64), _INVERSE: np.ones(1, np.uint64)}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of a base, remembered up to REMEMBERED of them."""
+    if n > len(_POWERS[base]):
+        found = np.full(max(n, min(2 * n, REMEMBERED)), base, np.uint64)
+        found[0] = 1
+        np.multiply.accumulate(found, out=found)
+        if n > REMEMBERED:
+            return found[:n]
+        _POWERS[base] = found
+    return _POWERS[base][:n]
+
+
+def _range_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each byte range, from one running sum over the bytes; used to choose anchors, where a
+    collision costs time only."""
+    terms = _BYTE[np.frombuffer(data, np.uint8)] * _powers(_BASE, len(data))
+    before = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
+    out = (before[ends] - before[starts]) * _powers(_INVERSE, len(data))[starts]
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    return out ^ out >> np.uint64(32)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
 
+def cells_of(texts: list[str | None], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """The cells of some texts: number of the text, first run, number of runs, digest of all words, and
+    the anchor's hash as a signed number."""
+    short = max(1, window // 3)
+    joined, starts, ends, firsts = _joined(texts)
+    if len(starts) < window:
+        none = np.zeros(0, np.int64)
+        return none, none, none, [], none
+    order = _range_hashes(joined, starts[: len(starts) - short + 1], ends[short - 1 :])
+    text = np.repeat(np.arange(len(texts)), np.diff(firsts))
+    runs = np.flatnonzero(text[: len(text) - window + 1] == text[window - 1 :])  # those within one text
+    anchor = np.lib.stride_tricks.sliding_window_view(order, window - short + 1).argmin(axis=1)[runs] + runs
+    new = np.ones(len(runs), bool)
+    new[1:] = anchor[1:] != anchor[:-1]
+    at = np.flatnonzero(new)
+    first, n = runs[at], np.diff(np.append(at, len(runs)))
+    owner = text[first]
+    return owner, first - firsts[owner], n, _digests(joined, starts[first], ends[first + n + window - 2]), order[anchor[at]].view(np.int64)
 
-_HASHES = _WordHashes()
 
+def cells(text: str | None, window: int = WINDOW) -> tuple[list[int], list[int], list[bytes], list[int]]:
+    """First run, number of runs, digest of all words, and the anchor's hash, of the cells of one text."""
+    _, first, n, whole, anchor = cells_of([text], window)
+    return first.tolist(), n.tolist(), whole, anchor.tolist()
 
-def _run_hashes(words: list[bytes], size: int) -> np.ndarray:
-    """A hash of every run of ``size`` words; used to choose anchors, where a collision costs time only."""
-    own = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    n = len(words) - size + 1
-    out = own[:n].copy()
-    for k in range(1, size):
-        out *= np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
-        out += own[k : k + n]
-    out ^= out >> np.uint64(32)
-    out *= np.uint64(0xD6E8FEB86659FD93)
-    return out ^ out >> np.uint64(32)
 
+_SPACE = np.zeros(128, bool)
+_SPACE[[ord(c) for c in SPACES]] = True
 
-def cells(text: str | None, window: int = WINDOW) -> tuple[list[int], list[int], list[bytes], list[int]]:
-    """First run, number of runs, digest of all words, and the anchor's hash as a signed number, of the cells of one text."""
-    short = max(1, window // 3)
-    joined, starts, ends = _runs(text, window)
-    n = len(starts)
-    if not n:
-        return [], [], [], []
-    order = _run_hashes(joined.split(b" "), short)
-    anchor = np.lib.stride_tricks.sliding_window_view(order, window - short + 1).argmin(axis=1) + np.arange(n)
-    first = np.flatnonzero(np.diff(anchor, prepend=-1))
-    after = np.append(first[1:], n)
-    whole = [xxhash.xxh3_128_digest(joined[starts[a] : ends[b - 1]]) for a, b in zip(first.tolist(), after.tolist())]
-    return first.tolist(), (after - first).tolist(), whole, order[anchor[first]].view(np.int64).tolist()
+
+def _places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start and end, in characters."""
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    outside = np.ones(len(codes) + 2, bool)
+    outside[1:-1] = _SPACE[np.minimum(codes, 127)]
+    edges = np.flatnonzero(outside[1:] != outside[:-1])
+    return edges[::2], edges[1::2]
 
 
 def cut_units(
@@ -129,8 +161,8 @@ def cut_units(
     ``sure``, which earlier documents have, go whatever stays. A run is cut line by line; a line
     that has lost all its words goes.
     """
-    words = [m.span() for m in re.finditer(WORD, text)] if runs or sure else []
-    source = np.full(len(words), -1, np.int64)
+    starts, ends = _places(text) if runs or sure else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    source = np.full(len(starts), -1, np.int64)
     for k in range(len(runs) - 1, -1, -1):
         source[runs[k][0] : runs[k][0] + window] = k
     for at in kept:
@@ -139,10 +171,10 @@ def cut_units(
         source[sure[k][0] : sure[k][0] + window] = len(runs) + k
     runs = [*runs, *sure]
     left, spans, at, w = [], [], 0, 0
-    for i, line in enumerate(text.split("\n")):
-        end, first = at + len(line), w
-        while w < len(words) and words[w][0] < end:
-            w += 1
+    parts = text.split("\n")
+    after_line = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in parts]) - 1).tolist()
+    for i, line in enumerate(parts):
+        end, first, w = at + len(line), w, after_line[i]
         if i in lines:
             spans.append((i, at, end, lines[i]))
         elif w == first or (source[first:w] < 0).all():
@@ -152,7 +184,7 @@ def cut_units(
             edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8))).tolist()
             rest, after = "", at
             for a, b in zip(edges[::2], edges[1::2]):
-                start, stop = words[first + a][0], words[first + b - 1][1]
+                start, stop = int(starts[first + a]), int(ends[first + b - 1])
                 spans.append((i, start, stop, runs[source[first + a]][1]))
                 # white space on both sides of a cut: that in front goes
                 rest += text[after:start].rstrip(SPACES)
@@ -199,10 +231,10 @@ def _in_first() -> Column:
 
 def _halves(digests: list[bytes]) -> np.ndarray:
     """16-byte digests as two signed numbers each: (n, 2)."""
-    return np.frombuffer(b"".join(digests), ">i8").reshape(-1, 2)
+    return np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
 
 
-def _table(batch: pa.RecordBatch, owner: list[int], columns: dict[str, pa.Array]) -> pa.RecordBatch:
+def _table(batch: pa.RecordBatch, owner: np.ndarray, columns: dict[str, pa.Array]) -> pa.RecordBatch:
     """Rows of a result: the text each belongs to, and their columns."""
     rows = pa.array(owner, pa.int32())
     return pa.record_batch([batch.column("doc_id").take(rows), batch.column("nth").take(rows), *columns.values()], ["doc_id", "nth", *columns])
@@ -216,19 +248,21 @@ def units(texts: DataFrame, min_words: int = MIN_WORDS, window: int | None = WIN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, at, n, digest, anchor = [], [], [], [], []
-            for k, text in enumerate(batch.column("text")):
-                text = text.as_py()
-                for i, d in line_units(text, min_words):
-                    owner.append(k), at.append(i), n.append(None), digest.append(d), anchor.append(None)
-                firsts, sizes, whole, anchors = cells(text, window) if window else ([], [], [], [])
-                owner += [k] * len(firsts)
-                at += firsts
-                n += sizes
-                digest += whole
-                anchor += anchors
-            half = _halves(digest)
-            yield _table(batch, owner, {"at": pa.array(at, pa.int32()), "n": pa.array(n, pa.int32()), "d1": pa.array(half[:, 0].astype(np.int64)), "d2": pa.array(half[:, 1].astype(np.int64)), "anchor": pa.array(anchor, pa.int64())})
+            held = batch.column("text").to_pylist()
+            by_line = [line_units(t, min_words) for t in held]
+            lines = [u for found in by_line for u in found]
+            owner = np.repeat(np.arange(len(held)), [len(found) for found in by_line])
+            columns = [np.array([i for i, _ in lines], np.int64), np.zeros(len(lines), np.int64), _halves([d for _, d in lines]), np.zeros(len(lines), np.int64)]
+            yield _table(batch, owner, unit_columns(*columns, np.ones(len(lines), bool)))
+            if window:
+                owner, first, n, whole, anchor = cells_of(held, window)
+                yield _table(batch, owner, unit_columns(first, n, _halves(whole), anchor, np.zeros(len(whole), bool)))
+
+    def unit_columns(at, n, digest, anchor, null) -> dict[str, pa.Array]:
+        return {
+            "at": pa.array(at, pa.int32()), "n": pa.array(n, pa.int32(), mask=null),
+            "d1": pa.array(digest[:, 0]), "d2": pa.array(digest[:, 1]), "anchor": pa.array(anchor, pa.int64(), mask=null),
+        }
 
     kind = dict(texts.dtypes)["doc_id"]
     return texts.mapInArrow(run, f"doc_id {kind}, nth long, at int, n int, d1 long, d2 long, anchor long")
@@ -266,15 +300,16 @@ def repeated_runs(texts: DataFrame, marks: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, at, digest, again = [], [], [], []
-            for k, (text, found) in enumerate(zip(batch.column("text"), batch.column("cells"))):
-                places = {p: c["again"] for c in found.as_py() for p in range(c["at"], c["at"] + c["n"])}
-                owner += [k] * len(places)
-                at += places
-                digest += [d for _, d in passage_units(text.as_py(), window, list(places))]
-                again += places.values()
-            half = _halves(digest)
-            yield _table(batch, owner, {"at": pa.array(at, pa.int32()), "d1": pa.array(half[:, 0].astype(np.int64)), "d2": pa.array(half[:, 1].astype(np.int64)), "again": pa.array(again, pa.bool_())})
+            column = batch.column("cells")
+            found, per_text = column.flatten(), column.value_lengths().to_numpy()
+            at, n, again = (found.field(c).to_numpy(zero_copy_only=False) for c in ("at", "n", "again"))
+            cell = np.repeat(np.arange(len(at)), n)
+            place = np.arange(len(cell)) - (np.cumsum(n) - n)[cell] + at[cell]
+            owner = np.repeat(np.arange(len(per_text)), per_text)[cell]
+            joined, starts, ends, firsts = _joined(batch.column("text").to_pylist())
+            word = firsts[owner] + place
+            half = _halves(_digests(joined, starts[word], ends[word + window - 1]))
+            yield _table(batch, owner, {"at": pa.array(place, pa.int32()), "d1": pa.array(half[:, 0]), "d2": pa.array(half[:, 1]), "again": pa.array(again[cell], pa.bool_())})
 
     kind = dict(texts.dtypes)["doc_id"]
     single = saved(
