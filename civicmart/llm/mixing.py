@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, numbered, pick, saved, text_key
+from .common import WORD, in_order, numbered, pick, saved, text_key
 
 #: Weights by position of the source in code point order.
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -152,6 +152,22 @@ def _pivot(items: Column, level: int) -> Column:
     return F.aggregate(F.slice(items, F.lit(2), F.greatest(F.size(items) - 1, F.lit(0))), state, meet)
 
 
+def with_spread(rows: DataFrame) -> DataFrame:
+    """``rows`` (source, order, row, ...) with ``spread``: 0, 1, 2... among the rows that repeat a document
+    within a source, 0 for all others. Which of the equal rows gets which number does not matter, and
+    the numbers do not depend on the partitions."""
+    repeated = saved(rows.groupBy(F.col("order").alias("r_order")).agg(F.count(F.lit(1)).alias("same")).filter("same > 1").select("r_order"))
+    if repeated.isEmpty():
+        return rows.withColumn("spread", F.lit(0).cast("long"))
+    again = rows.join(repeated, F.col("order") == F.col("r_order"), "left_semi").select("source", "order", "row")
+    placed = saved(in_order(again, [F.col("source").asc_nulls_last(), F.col("order"), F.col("row")], "place"))
+    first = placed.groupBy(F.col("source").alias("f_source"), F.col("order").alias("f_order")).agg(F.min("place").alias("first"))
+    spread = placed.join(first, F.col("source").eqNullSafe(F.col("f_source")) & (F.col("order") == F.col("f_order"))).select(
+        F.col("row").alias("s_row"), (F.col("place") - F.col("first")).alias("spread")
+    )
+    return rows.join(spread, F.col("row") == F.col("s_row"), "left").withColumn("spread", F.coalesce("spread", F.lit(0).cast("long"))).drop("s_row")
+
+
 def copies(sized: DataFrame, by_source: DataFrame) -> DataFrame:
     """``sized`` with row (a number for each), n, source_size, target and ``copies`` (long)."""
     salts = 64
@@ -159,13 +175,8 @@ def copies(sized: DataFrame, by_source: DataFrame) -> DataFrame:
     salted = by_source.withColumn("b_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumnRenamed("source", "b_source")
     order = F.xxhash64("doc_id", "text_key", F.lit(SEED))
     rows = saved(sized.withColumn("order", order).withColumn("row", F.monotonically_increasing_id()))
-    # rows that repeat doc_id and text have one order; they are spread over blocks by their number
-    repeated = saved(rows.groupBy(F.col("order").alias("r_order")).agg(F.count(F.lit(1)).alias("same")).filter("same > 1").select("r_order"))
-    rows = saved(
-        rows.join(repeated, F.col("order") == F.col("r_order"), "left")
-        .withColumn("spread", F.when(F.col("r_order").isNotNull(), F.col("row")).otherwise(F.lit(0).cast("long")))
-        .drop("r_order")
-    )
+    # rows that repeat doc_id and text have one order; their numbers spread them over blocks
+    rows = saved(with_spread(rows))
     share = saved(
         rows.withColumn("salt", F.pmod("row", F.lit(salts)).cast("int"))
         .join(salted, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("salt") == F.col("b_salt")))
@@ -179,7 +190,8 @@ def copies(sized: DataFrame, by_source: DataFrame) -> DataFrame:
     most, level, raised = by_source.agg(F.max("n")).first()[0] or 0, 0, None
     while True:
         blocks = F.greatest(F.ceil(F.col("n") / F.lit(float(BLOCK ** (level + 1)))), F.lit(1))
-        item = F.struct((-F.col("size")).alias("by"), "order", "row", "size", "mass")
+        # equal documents may be left with unlike masses: the mass comes before the row's number, which is one of chance
+        item = F.struct((-F.col("size")).alias("by"), "order", "mass", "row", "size")
         ordered = F.transform(F.sort_array(F.collect_list(item)), lambda x: F.struct(x["row"].alias("key"), x["order"].alias("order"), x["size"].alias("size"), x["mass"].alias("mass")))
         block = F.pmod(F.xxhash64("order", "spread", F.lit(level)), blocks).alias("block")
         paired = saved(

@@ -119,6 +119,17 @@ def test_mix(spark):
     assert mixing.mix(table.limit(0)).count() == 0 and mixing.mixed(table.limit(0)).count() == 0
 
 
+def test_reruns_agree_with_many_repeated_rows(spark):
+    """Whatever the partitions: five documents that repeat hundreds of times, one also in another source."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(["w"] * rng.randrange(1, 90)), f"s{i % 4}") for i in range(3_000)]
+    rows += [rows[k] for k in range(5) for _ in range(60 + 100 * k)] + [(rows[0][0], rows[0][1], "s3")] * 90
+    rng.shuffle(rows)
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = [sorted(((r["doc_id"], r["source"], r["taken"]) for r in mixing.mix(t).collect())) for t in (table.coalesce(1), table.repartition(5), table.repartition(9, "text"))]
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+
+
 def test_rounding_keeps_expectations(spark):
     """Over many sources with the same documents, each size is taken about as often as expected."""
     rows = [(s * 100 + d, " ".join(["w"] * (2 ** (d % 6))), f"s{s:03d}") for s in range(300) for d in range(12)]
