@@ -169,16 +169,17 @@ def pick_last_values(
     default: str | None = "",
 ) -> DataFrame:
     """Fold (key, value) rows of each group into one row: for every wanted key the value
-    of its last row by ``order_col`` (later rows win), ``default`` when the key is absent.
+    of its last row by ``order_col`` (later rows win; of rows tied there the greatest value),
+    ``default`` when the key is absent.
 
-    One aggregate: ``max_by(value, when(key == k, order))`` per wanted key. ``max_by``
+    One aggregate: ``max_by(value, when(key == k, (order, value)))`` per wanted key. ``max_by``
     skips rows whose ordering is null and combines map-side, so a group holding a third of
     all rows is reduced before the shuffle; no list of pairs is ever built.
     """
     k, v, o = as_col(key_col), as_col(value_col), as_col(order_col)
     aggs = []
     for key, out in wanted.items():
-        last = F.max_by(v, F.when(k == F.lit(key), o))
+        last = F.max_by(v, F.when((k == F.lit(key)) & o.isNotNull(), F.struct(o, v)))
         if default is not None:  # a key that is present with a null value stays null
             last = F.when(F.count(F.when(k == F.lit(key), o)) > 0, last).otherwise(F.lit(default))
         aggs.append(last.alias(out))

@@ -109,3 +109,10 @@ def test_present_null_value_stays_null(spark):
     rows = spark.createDataFrame([(1, "a", "x", 1), (1, "a", None, 2)], "g int, k string, v string, o int")
     r = pick_last_values(rows, ["g"], "k", "v", "o", {"a": "a", "b": "b"}).first()
     assert (r.a, r.b) == (None, "")
+
+
+def test_values_tied_in_the_order_column_are_the_greatest(spark):
+    rows = spark.createDataFrame([(1, "a", x, 5) for x in "qzb"] + [(1, "a", "last", None), (1, "b", "x", None)], "g int, k string, v string, o int")
+    for parts in (1, 3, 5):
+        r = pick_last_values(rows.repartition(parts), ["g"], "k", "v", "o", {"a": "a", "b": "b"}).first()
+        assert (r.a, r.b) == ("z", "")
