@@ -10,7 +10,8 @@ A filter is a sum of per-byte weights, so two neighbouring bytes are looked up a
 of width 4 costs two look-ups in a table of byte pairs.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, as is every text
-if nothing was learned from; rows with null text, lang or doc_id are not learned from; repeated
+if nothing was learned from; rows with null text, lang or doc_id are not learned from; languages of
+equal probability go by their name; an empty table gives an empty result; repeated
 rows each get their own row; other columns are ignored.
 """
 
@@ -30,8 +31,10 @@ from .common import pick
 WINDOW = 64
 WIDTHS = (2, 3, 4)
 FILTERS = 8
-#: Bound of the training sample: so many windows are drawn in all, and the languages share them.
+#: Bound of the training sample: no more windows are drawn in all, and the languages share them.
 SAMPLE_WINDOWS = 8_192
+#: Most languages that are learned.
+LANGUAGES = 512
 WINDOWS_PER_TEXT = 2
 EPOCHS = 12
 SEED = 7
@@ -161,21 +164,24 @@ def train(windows: list[bytes], labels: list[str], epochs: int = EPOCHS, seed: i
 
 
 def training_windows(labelled: DataFrame, limit: int = SAMPLE_WINDOWS) -> DataFrame:
-    """(lang, piece): byte windows at hashed places of a hashed sample of the labelled texts.
+    """(lang, piece): at most ``limit`` different byte windows at hashed places of a hashed sample of the labelled texts.
 
-    Each language gets about the same number of windows, at most ``limit`` in all on average:
-    rows are taken by a hash threshold from the counts per language, so no sort is needed.
+    Rows are taken by a hash threshold of doc_id and text from the counts per language, so that each
+    language gets about the same number. Equal windows of one language are taken once, map-side first, and of
+    more than ``limit`` the ones of least hash stay, so neither a repeated row nor a hot doc_id can
+    exceed the bound. Of more than ``LANGUAGES`` languages the most frequent are learned (ties: smaller name).
     """
     rows = pick(labelled, "doc_id", "text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    frequent = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGUAGES)
+    counts = {r["lang"]: r["n"] for r in frequent.collect()}
     share = max(1, limit // (WINDOWS_PER_TEXT * max(len(counts), 1)))
-    part = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 20)) / float(1 << 20)
+    part = F.pmod(F.xxhash64("doc_id", "text", F.lit(SEED)), F.lit(1 << 20)) / float(1 << 20)
     chance = F.create_map(*(x for lang, n in sorted(counts.items()) for x in (F.lit(lang), F.lit(min(1.0, share / n))))) if counts else None
-    sample = rows.filter(part < F.element_at(chance, F.col("lang"))) if counts else rows.limit(0)
+    sample = rows.filter(F.col("lang").isin(list(counts)) & (part < F.try_element_at(chance, F.col("lang")))) if counts else rows.limit(0)
     data = F.col("text").cast("binary")
     places = [F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1 + k)), F.greatest(F.octet_length("text") - WINDOW, F.lit(1))) + 1 for k in range(WINDOWS_PER_TEXT)]
     pieces = F.array(*(F.substring(data, p.cast("int"), F.lit(WINDOW + max(WIDTHS) - 1)) for p in places))
-    return sample.select("lang", F.explode(pieces).alias("piece"))
+    return sample.select("lang", F.explode(pieces).alias("piece")).distinct().orderBy(F.xxhash64("lang", "piece", F.lit(SEED)), "lang", "piece").limit(limit)
 
 
 def fit(labelled: DataFrame, limit: int = SAMPLE_WINDOWS) -> ByteNet | None:

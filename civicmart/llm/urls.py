@@ -7,9 +7,14 @@ every labelled URL. Suffix statistics are kept for each suffix by its own text,
 and joined to the URLs by ordinary joins: small tables are broadcast by the planner's own size
 check, others shuffled, where adaptive execution splits a hot suffix.
 
+A labelled URL must not see its own label in its rates, or a suffix seen once gives it away. URLs are
+put in ``FOLDS`` folds by their text (equal URLs share one), and in training a URL's rates come from the
+other folds; a suffix that only its own fold has reads 0.5, as an unknown one does in use.
+
 Defined results: a null url, or one without ``://``, has an empty host and path and meets no rule;
-without labelled URLs the trees' verdict is allow, with labels of one kind it is that kind;
-repeated rows each get their own row; other columns are ignored.
+without labelled URLs the trees' verdict is allow, with labels of one kind it is that kind; a
+probability of exactly 0.5 is block; rules of equal length go by their text; repeated rows each get
+their own row; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from functools import reduce
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import pick, saved
@@ -34,6 +39,7 @@ RULES: tuple[tuple[str, str, str], ...] = (
 )
 ROUNDS, DEPTH, RATE = 10, 3, 0.3
 SEED = 11
+FOLDS = 5
 FEATURES = ("length", "host_length", "depth", "labels", "digit_ratio", "entropy", "parameters", "hyphens")
 SUFFIXES = ("suffix1", "suffix2", "segment")
 
@@ -90,21 +96,48 @@ def lexical(pages: DataFrame) -> DataFrame:
     )
 
 
-def suffix_statistics(labelled: DataFrame) -> DataFrame:
-    """(s_kind, s_text, s_rate): smoothed share of blocked URLs; one row per suffix of a labelled URL."""
+def fold(url: Column) -> Column:
+    """The fold of a labelled URL, by its text."""
+    return F.pmod(F.xxhash64(F.coalesce(url, F.lit("")), F.lit(SEED)), F.lit(FOLDS)).cast("int")
+
+
+def _suffixes(labelled: DataFrame) -> DataFrame:
+    """(s_kind, s_text, s_fold, blocked, n): labelled URLs by suffix and fold."""
     pairs = F.explode(F.array(*(F.struct(F.lit(s).alias("s_kind"), F.col(s).alias("s_text")) for s in SUFFIXES)))
     return (
-        labelled.select(pairs.alias("s"), "label")
-        .groupBy("s.s_kind", "s.s_text")
-        .agg(((F.sum("label") + 1.0) / (F.count(F.lit(1)) + 2.0)).alias("s_rate"))
+        labelled.select(pairs.alias("s"), "label", fold(F.col("url")).alias("s_fold"))
+        .groupBy("s.s_kind", "s.s_text", "s_fold")
+        .agg(F.sum("label").alias("blocked"), F.count(F.lit(1)).alias("n"))
     )
 
 
+def _rate(blocked: Column, n: Column) -> Column:
+    return ((blocked + 1.0) / (n + 2.0)).alias("s_rate")
+
+
+def suffix_statistics(labelled: DataFrame) -> DataFrame:
+    """(s_kind, s_text, s_rate): smoothed share of blocked URLs; one row per suffix of a labelled URL."""
+    return _suffixes(labelled).groupBy("s_kind", "s_text").agg(_rate(F.sum("blocked"), F.sum("n")))
+
+
+def training_statistics(labelled: DataFrame) -> DataFrame:
+    """(s_kind, s_text, s_fold, s_rate): for each fold that has the suffix, its rate in the other folds."""
+    suffix = Window.partitionBy("s_kind", "s_text")  # a row per fold
+    others = {c: F.sum(c).over(suffix) - F.col(c) for c in ("blocked", "n")}
+    return _suffixes(labelled).withColumns(others).select("s_kind", "s_text", "s_fold", _rate(F.col("blocked"), F.col("n")))
+
+
 def with_statistics(pages: DataFrame, statistics: DataFrame) -> DataFrame:
-    """With ``{suffix}_rate`` for every suffix; 0.5 where no labelled URL has it."""
+    """With ``{suffix}_rate`` for every suffix; 0.5 where no labelled URL has it.
+
+    ``statistics`` of folds are those of each URL's own fold.
+    """
+    by_fold = ["s_fold"] if "s_fold" in statistics.columns else []
+    if by_fold:
+        pages = pages.withColumn("s_fold", fold(F.col("url")))
     for s in SUFFIXES:
-        own = statistics.filter(F.col("s_kind") == s).select(F.col("s_text").alias(s), F.col("s_rate").alias(f"{s}_rate"))
-        pages = pages.join(own, s, "left").fillna({f"{s}_rate": 0.5})
+        own = statistics.filter(F.col("s_kind") == s).select(F.col("s_text").alias(s), F.col("s_rate").alias(f"{s}_rate"), *by_fold)
+        pages = pages.join(own, [s, *by_fold], "left").fillna({f"{s}_rate": 0.5})
     return pages
 
 
@@ -117,7 +150,7 @@ def train(labelled: DataFrame):
     statistics = saved(suffix_statistics(labelled))
     assembler = VectorAssembler(inputCols=[*FEATURES, *(f"{s}_rate" for s in SUFFIXES)], outputCol="features")
     trees = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, stepSize=RATE, seed=SEED, featuresCol="features", labelCol="label")
-    model = trees.fit(assembler.transform(saved(with_statistics(labelled, statistics))).select("features", "label"))
+    model = trees.fit(assembler.transform(saved(with_statistics(labelled, saved(training_statistics(labelled))))).select("features", "label"))
 
     def score(pages: DataFrame) -> DataFrame:
         done = model.transform(assembler.transform(with_statistics(pages, statistics)))
@@ -126,6 +159,16 @@ def train(labelled: DataFrame):
     return score
 
 
+def held_out(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES) -> DataFrame:
+    """One row: n, hits and n_block of labelled URLs of fold 0, judged by trees that learned from the others."""
+    rows = saved(lexical(ruled(parsed(pages), rules)).filter("rule IS NOT NULL").withColumn("label", F.when(F.col("rule_verdict") == "block", 1.0).otherwise(0.0)))
+    out = fold(F.col("url")) == 0
+    scored = train(rows.filter(~out))(rows.filter(out))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if((F.col("p_block") >= 0.5) == (F.col("label") == 1.0)).alias("hits"), F.count_if(F.col("label") == 1.0).alias("n_block")
+    )
+
+
 def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES) -> DataFrame:
     """page_id, host, path, rule, verdict and p_block (of the trees, where no rule decides).
 

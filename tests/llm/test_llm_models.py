@@ -121,6 +121,38 @@ def test_search_against_brute_force(spark):
     assert topk.search(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_search_over_many_blocks(spark, monkeypatch):
+    """Norms over five orders, clusters, ties across blocks, zero vectors; blocks of 32 candidates and 8 queries."""
+    monkeypatch.setattr(topk, "CANDIDATES", 32)
+    monkeypatch.setattr(topk, "QUERIES", 8)
+    rng = np.random.default_rng(9)
+    for spread in (0.0, 3.0):
+        vectors = {i: (rng.normal(0.02, 0.2, 24) * 10 ** rng.uniform(0, spread)).tolist() for i in range(700)}
+        vectors |= {i: vectors[3] for i in range(700, 760)} | {i: [0.0] * 24 for i in range(760, 790)}
+        vectors[790], vectors[800], vectors[801] = [1.0], [], [-v for v in vectors[3]]
+        table = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+        whole = {i: [int(np.floor(64 * x)) for x in v] for i, v in vectors.items()}
+        got = {}
+        for r in topk.search(table, F.col("vec_id") % 20 == 0).collect():
+            got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+        assert set(got) == {i for i in vectors if i % 20 == 0}
+        for q, rows in got.items():
+            best = sorted((-sum(a * b for a, b in zip(whole[q], w)), i) for i, w in whole.items() if i != q)[:20]
+            assert sorted(rows) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)], (spread, q)
+
+
+def test_search_beyond_a_long(spark):
+    """Scores past a long's range count as its ends, components likewise; other queries are not touched."""
+    low, high = -(1 << 63), (1 << 63) - 1
+    vectors = {20: [1e30] * 4, 1: [-1e30] * 4, 2: [1e9] * 4, 3: [0.0] * 4, 40: [1.0, 2.0, 3.0, 4.0], 4: [1e14, -1e14, 0.0, 1.0]}
+    table = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    whole = {i: [min(max(int(np.floor(64 * x)), low), high) for x in v] for i, v in vectors.items()}
+    score = lambda q, i: min(max(sum(a * b for a, b in zip(whole[q], whole[i])), low), high)
+    got = topk.search(table, F.col("vec_id") % 20 == 0).collect()
+    want = {(q, n + 1, i, -s) for q in (20, 40) for n, (s, i) in enumerate(sorted((-score(q, i), i) for i in vectors if i != q))}
+    assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got} == want
+
+
 def test_fixity_audit(spark):
     rows = [(i, f"http://h/{i}", "body " * (i % 9)) for i in range(700)] + [(None, None, None), (50, "u", "é"), (50, "u", "é"), (97, None, "x")]
     table = spark.createDataFrame(rows, "page_id long, url string, html string").select("*", F.lit(1).alias("digest_a"))
@@ -166,3 +198,64 @@ def test_suffix_statistics_are_of_the_suffix_alone(spark):
     for r in urls.with_statistics(pages, statistics).collect():
         want = 0.5 if r["page_id"] >= 4_000 else 2 / 3 if r["page_id"] % 2 == 0 else 1 / 3
         assert abs(r["suffix2_rate"] - want) < 1e-9 and abs(r["segment_rate"] - want) < 1e-9
+
+
+def test_training_rates_leave_the_own_fold_out(spark):
+    rows = [(i, f"http://www.d{i % 40}.t{i % 3}/s{i}/x") for i in range(600)]
+    rows += [(i, rows[0][1]) for i in range(600, 640)]  # repeated rows share a fold, so none sees the others
+    labelled = urls.lexical(urls.parsed(spark.createDataFrame(rows, "page_id long, url string"))).withColumn("label", (F.col("page_id") % 7 < 3).cast("double"))
+    got = urls.with_statistics(labelled, urls.training_statistics(labelled)).collect()
+    assert len(got) == len(rows) and {r["segment_rate"] for r in got} == {0.5}
+    for s in urls.SUFFIXES:
+        for r in got[::37]:
+            others = [o["label"] for o in got if o[s] == r[s] and o["s_fold"] != r["s_fold"]]
+            assert abs(r[f"{s}_rate"] - (sum(others) + 1) / (len(others) + 2)) < 1e-9
+    assert len({r["s_fold"] for r in got}) == urls.FOLDS
+
+
+def test_trees_on_urls_held_out(spark):
+    """Labels that follow the domain and the number of parameters: trees must find both on unseen URLs."""
+    rng = random.Random(5)
+    rows, rules = [], (("block", "bad.net", "/"), ("block", "worse.net", "/"), ("allow", "fine.org", "/"), ("allow", "good.org", "/"))
+    for i in range(1_500):
+        host = rng.choice([r[1] for r in rules])
+        query = "?" + "&".join(f"p{k}=1" for k in range(rng.randint(4, 9))) if host.endswith("net") else ""
+        rows.append((i, f"http://h{i}.{host}/s{rng.randrange(90)}/{i}{query}"))
+    table = spark.createDataFrame(rows, "page_id long, url string")
+    r = urls.held_out(table, rules).first()
+    assert 200 < r["n"] < 400 and r["hits"] / r["n"] > 0.98 and 0 < r["n_block"] < r["n"]
+    unseen = [(0, "http://x.other.com/a/1?p=1&q=2&r=3&s=4&t=5&u=6"), (1, "http://x.other.com/a/1"), (2, "http://x.other.com/" + "a" * 200_000)]
+    got = {r["page_id"]: r["verdict"] for r in urls.judge(table.unionByName(spark.createDataFrame([(i + 10_000, u) for i, u in unseen], "page_id long, url string")), rules).collect()}
+    assert got[10_000] == "block" and got[10_001] == "allow" and got[10_002] in ("allow", "block")
+
+
+def test_language_sample_is_bounded(spark):
+    """One hot doc_id, repeated rows and more languages than places: never more than the limit, every window different."""
+    rows = [(7, f"text number {i} of one document with many different words in it", "en") for i in range(3_000)]
+    rows += [(7, rows[0][1], "en")] * 500 + [(i, f"texte {i} de la langue", "fr") for i in range(50)] + [(i, f"rare {i}", f"l{i:03d}") for i in range(700)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").select("*", F.lit("x").alias("LANG"))
+    for limit in (64, 2_000):
+        got = [tuple(r) for r in langid.training_windows(table, limit).collect()]
+        assert 0 < len(got) <= limit and len(set(got)) == len(got)
+        assert len({lang for lang, _ in got}) <= langid.LANGUAGES
+    again = langid.training_windows(table.repartition(7), 2_000).collect()
+    assert sorted(map(tuple, again)) == sorted(got)
+
+
+def test_language_network_against_plain_sums():
+    """The table look-ups against filters slid byte by byte, maxima and softmax in plain Python."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(a) for _ in range(langid.WINDOW + 3)).encode() for a in ("abcde ", "vwxyz é") for _ in range(30)]
+    net = langid.train(texts, ["a"] * 30 + ["b"] * 30)
+    codes = np.concatenate([langid.windows_of(t)[:1] for t in texts])
+    got = net.log_probabilities(codes, net.tables())
+    for row, want in zip(codes[::11], got[::11]):
+        hidden = []
+        for w, filters in zip(langid.WIDTHS, net.filters):
+            for f in range(langid.FILTERS):
+                hidden.append(max(sum(float(filters[k][row[at + k]][f]) for k in range(w)) for at in range(langid.WINDOW)))
+        hidden = [max(0.0, h + float(b)) for h, b in zip(hidden, net.bias)]
+        scores = [sum(h * float(net.weights[i][j]) for i, h in enumerate(hidden)) + float(net.offsets[j]) for j in range(2)]
+        top = max(scores)
+        plain = [s - top - np.log(sum(np.exp(x - top) for x in scores)) for s in scores]
+        assert np.allclose(plain, want, atol=1e-4)
