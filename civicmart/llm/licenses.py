@@ -7,14 +7,16 @@ least 0.8 of a template's shingles has Jaccard similarity above 0.18 with it, so
 bands of one MinHash value each it collides with probability above 0.998. Colliding windows are
 verified: the share of the template's shingles found in the window must be 0.8 or more.
 
-A MinHash value of a window can equal a template's only if the window holds the shingle it comes
-from, so windows without any shingle of a template are not hashed; that loses no collision. Only
-DataFrame functions are used.
-
-The templates are a parameter; what is broadcast is their bands, 32 small rows each, whatever
-the data. Defined results: null and empty texts, and texts of fewer than five words, match
-nothing; rows that repeat doc_id and text give one result; other columns are ignored; an empty
-table gives an empty result.
+Retrieval is by the bands alone. A band's MinHash value of a template comes from one of its
+shingles, and a window of the same value holds that shingle; so the texts' shingles are joined with
+the templates' band shingles, and of each window so reached the band's minimum is taken and compared.
+That finds the collisions of a scan that hashes every window in every band, without hashing the
+windows that cannot collide. Templates are a table of any size; the join is an ordinary one, broadcast
+only by the planner's own size check. Only DataFrame functions are used.
+
+Defined results: null and empty texts, and texts of fewer than five words, match
+nothing; rows that repeat doc_id and text give one result; other columns are ignored; an
+empty table gives an empty result; a template of fewer than five words is an error.
 """
 
 from __future__ import annotations
@@ -58,94 +60,66 @@ def shingles(text: Column) -> tuple[Column, ...]:
     return F.transform(tokens, lambda w: F.xxhash64(w)), grams
 
 
-def bands(grams: Column) -> Column:
-    """One MinHash value for each band."""
-    return F.array(*(F.array_min(F.transform(grams, lambda g: F.xxhash64(g, F.lit(b)))) for b in range(BANDS)))  # noqa: B023
+def templates_of(spark: SparkSession, notices: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
+    """(template, license_id, text) of a short list of notices, numbered from 0."""
+    return spark.createDataFrame([(i, *n) for i, n in enumerate(notices)], "template long, license_id string, text string")
 
 
-def template_table(spark: SparkSession, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> list[dict]:
-    """Each template's number, license, distinct shingles, class and bands."""
-    rows = F.explode(F.array(*(F.struct(F.lit(i).alias("t"), F.lit(name).alias("license_id"), F.lit(text).alias("text")) for i, (name, text) in enumerate(templates))))
-    words, grams = shingles(F.col("r.text"))
-    made = (
-        spark.range(1).select(rows.alias("r"))
-        .select("r.t", "r.license_id", words.alias("hw"))
-        .select("t", "license_id", F.array_distinct(grams).alias("g"))
-        .select("t", "license_id", "g", bands(F.col("g")).alias("bands"))
-    )
-    found = [r.asDict() for r in made.collect()]
-    for r in found:
-        if not r["g"]:
-            raise ValueError(f"template {r['t']} has fewer than {SHINGLE} words")
-        r["size"] = 1 << (len(r["g"]) - 1).bit_length()
-    return found
+def template_table(templates: DataFrame) -> DataFrame:
+    """(template, license_id, t_g, size): distinct shingles and window class of (template, license_id, text)."""
+    words, grams = shingles(F.col("text"))
+    made = pick(templates, "template", "license_id", "text").select("template", "license_id", words.alias("hw")).select("template", "license_id", F.array_distinct(grams).alias("t_g"))
+    short = F.raise_error(F.concat(F.lit("template of fewer than five words: "), F.col("template").cast("string"))).cast("int")
+    n = F.size("t_g")
+    return made.withColumn("size", F.when(n == 0, short).when(n == 1, 1).otherwise(F.expr("shiftleft(1, length(bin(size(t_g) - 1)))")))
+
 
+def band_shingles(templates: DataFrame) -> DataFrame:
+    """(seed, template, size, values): every template's band shingles with the (band, value) of the
+    bands whose MinHash they are; at most ``BANDS`` small rows for each template."""
+    every = F.sequence(F.lit(0), F.lit(BANDS - 1))
+    least = F.transform(every, lambda b: F.array_min(F.transform("t_g", lambda g: F.struct(F.xxhash64(g, b).alias("value"), g.alias("seed")))))
+    each = templates.select("template", "size", F.posexplode_outer(least).alias("band", "m"))
+    return each.groupBy(F.col("m.seed").alias("seed"), "template").agg(F.first("size").alias("size"), F.collect_list(F.struct("band", F.col("m.value").alias("value"))).alias("values"))
 
-def windows(docs: DataFrame, templates: list[dict]) -> DataFrame:
-    """(doc_id, text_key, size, no, g): the windows that hold a shingle of a template of their class."""
-    base = pick(docs, "doc_id", "text")
+
+def collisions(docs: DataFrame, templates: DataFrame) -> DataFrame:
+    """(doc_id, text_key, template, size, no, g): windows that share a band's value with a template of :func:`template_table`."""
     words, grams = shingles(F.col("text"))
-    cut = base.select("doc_id", text_key(F.col("text")).alias("text_key"), words.alias("hw")).select("doc_id", "text_key", grams.alias("grams"))
-    sizes = sorted({t["size"] for t in templates})
-    hits = cut.select(
-        "doc_id", "text_key", "grams",
-        *(
-            F.filter(
-                F.transform("grams", lambda g, i: F.when(g.isin([x for t in templates if t["size"] == s for x in t["g"]]), i)),  # noqa: B023
-                lambda i: i.isNotNull(),
-            ).alias(f"hits_{s}")
-            for s in sizes
-        ),
-    )
-    numbers = hits.select(
-        "doc_id", "text_key", "grams",
-        *(
-            F.array_distinct(F.flatten(F.transform(f"hits_{s}", lambda p: F.array(F.floor(p / s).cast("int"), F.greatest(F.floor(p / s).cast("int") - 1, F.lit(0)))))).alias(f"no_{s}")  # noqa: B023
-            for s in sizes
-        ),
-    )
-    every = F.concat(*(
-        F.transform(f"no_{s}", lambda n: F.struct(F.lit(s).alias("size"), n.alias("no"), F.array_distinct(F.slice("grams", n * s + 1, F.lit(2 * s))).alias("g")))  # noqa: B023
-        for s in sizes
-    ))
-    # outer: a filter for empty arrays would be pushed below and repeat the work above
-    return (
-        numbers.select("doc_id", "text_key", F.explode_outer(every).alias("w"))
-        .filter("w IS NOT NULL")
-        .select("doc_id", "text_key", "w.size", "w.no", "w.g")
+    cut = pick(docs, "doc_id", "text").select("doc_id", text_key(F.col("text")).alias("text_key"), words.alias("hw")).select("doc_id", "text_key", grams.alias("grams"))
+    seeds = saved(band_shingles(templates))
+    size = F.col("size")
+    # a shingle lies in the window that starts in its stretch of ``size`` and in the one before
+    last = F.floor(F.col("pos") / size).cast("int")
+    numbers = F.array_distinct(F.array(F.greatest(last - 1, F.lit(0)), last))
+    reached = (
+        # outer: a filter for empty arrays would be pushed below and repeat the work above
+        cut.select("doc_id", "text_key", "grams", F.posexplode_outer("grams").alias("pos", "seed"))
+        .join(seeds, "seed")
+        .select("doc_id", "text_key", "grams", "template", "size", "values", F.explode(numbers).alias("no"))
+        .withColumn("g", F.array_distinct(F.slice("grams", F.col("no") * size + 1, 2 * size)))
+        .drop("grams")
     )
+    same = F.exists("values", lambda v: F.array_min(F.transform("g", lambda g: F.xxhash64(g, v["band"]))) == v["value"])
+    return reached.filter(same).drop("values")
 
 
-def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
+def scan(docs: DataFrame, templates: DataFrame | tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
     """doc_id, template (its number), license_id, n_shared, n_template and first_window.
 
-    One row per document text and template found; n_shared is the most shingles in one window,
+    ``templates`` is a table (template, license_id, text) or a short list of (license_id, text). One row
+    per document text and template found; n_shared is the most shingles in one window,
     first_window the first matching window's first shingle.
     """
-    spark, table = docs.sparkSession, template_table(docs.sparkSession, templates)
-    keys = F.explode(F.array(*(
-        F.struct(F.lit(t["t"]).alias("t"), F.lit(t["size"]).alias("t_size"), F.lit(b).alias("t_band"), F.lit(v).cast("long").alias("t_value"))
-        for t in table for b, v in enumerate(t["bands"])
-    )))
-    bucket = spark.range(1).select(keys.alias("k")).select("k.*")
-    known = spark.range(1).select(F.explode(F.array(*(
-        F.struct(F.lit(t["t"]).alias("v_t"), F.lit(t["license_id"]).alias("license_id"), F.array(*(F.lit(x).cast("long") for x in t["g"])).alias("t_g"))
-        for t in table
-    ))).alias("k")).select("k.*")
-    found = saved(windows(docs, table))
-    collided = (
-        found.select("doc_id", "text_key", "size", "no", "g", F.posexplode(bands(F.col("g"))).alias("band", "value"))
-        .join(F.broadcast(bucket), (F.col("size") == F.col("t_size")) & (F.col("band") == F.col("t_band")) & (F.col("value") == F.col("t_value")))
-        .groupBy("doc_id", "text_key", "size", "no", "t")
-        .agg(F.first("g").alias("g"))
-    )
-    shared = F.size(F.array_intersect("g", "t_g")).cast("long")
+    known = templates if isinstance(templates, DataFrame) else templates_of(docs.sparkSession, templates)
+    table = saved(template_table(known))
     return (
-        collided.join(F.broadcast(known), F.col("t") == F.col("v_t"))
-        .withColumn("n_shared", shared)
+        collisions(docs, table)
+        .join(table.drop("size"), "template")
+        .withColumn("n_shared", F.size(F.array_intersect("g", "t_g")).cast("long"))
         .withColumn("n_template", F.size("t_g").cast("long"))
         .filter(F.col("n_shared") * 100 >= F.col("n_template") * CONTAINED)
-        .groupBy("doc_id", "text_key", "t", "license_id", "n_template")
+        .groupBy("doc_id", "text_key", "template", "license_id", "n_template")
         .agg(F.max("n_shared").alias("n_shared"), F.min(F.col("no") * F.col("size")).cast("long").alias("first_window"))
-        .select("doc_id", F.col("t").cast("long").alias("template"), "license_id", "n_shared", "n_template", "first_window")
+        .select("doc_id", F.col("template").cast("long").alias("template"), "license_id", "n_shared", "n_template", "first_window")
     )
