@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from civicmart.llm import langid, licenses, pieces, topk, urls, warc
-from civicmart.llm.queries import MODEL
+from civicmart.llm.queries import MODEL, QUERIES
 
 PATH = public_tokenizers.path(MODEL)
 
@@ -188,6 +189,58 @@ def test_license_scan_against_containment(spark):
     assert licenses.scan(table.limit(0)).count() == 0
 
 
+def plain_licenses(docs, templates):
+    """{(doc_id, text, template): (n_shared, first_window)} by containment over all windows, no bands."""
+    def grams(text):
+        w = re.findall(r"[^\W_]+", (text or "").lower())
+        return [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+
+    known, found = [set(grams(t)) for _, t in templates], {}
+    for doc_id, text in docs:
+        g = grams(text)
+        for t, want in enumerate(known):
+            size = 1 << (len(want) - 1).bit_length()
+            for at in range(0, len(g), size):
+                n = len(want & set(g[at : at + 2 * size]))
+                if 100 * n >= 80 * len(want):
+                    best, first = found.get((doc_id, text, t), (0, at))
+                    found[doc_id, text, t] = max(best, n), first
+    return found
+
+
+def test_license_scan_against_plain_windows(spark):
+    """Altered notices (words changed, dropped, doubled) in texts of all lengths, by a pass over all windows."""
+    rng = random.Random(12)
+    notices = licenses.TEMPLATES + tuple((f"L{k}", " ".join(f"t{k}w{rng.randrange(60)}" for _ in range(rng.choice([5, 9, 33, 64, 150])))) for k in range(40))
+    rows = []
+    for k in range(400):
+        parts = []
+        for _ in range(rng.randrange(0, 4)):
+            parts += [f"f{rng.randrange(500)}" for _ in range(rng.randrange(0, 60))]
+            words = rng.choice(notices)[1].split()
+            for _ in range(rng.randrange(0, 3)):
+                words[rng.randrange(len(words))] = rng.choice(["x", "x y", ""])
+            parts += words
+        rows.append((k, " ".join(parts)))
+    want = plain_licenses(rows, notices)
+    templates = licenses.templates_of(spark, notices).select("*", F.lit(1).alias("Text"))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["template"]): (r["n_shared"], r["first_window"]) for r in licenses.scan(table, templates).collect()}
+    want = {(d, t): v for (d, _, t), v in want.items()}
+    assert set(got) <= set(want) and len(got) >= 0.99 * len(want) > 100
+    altered = {x for x in want if want[x][0] < len(set(zip(*[notices[x[1]][1].split()[i:] for i in range(5)])))}
+    assert len(altered) > 30 and len(altered & set(got)) >= 0.97 * len(altered)
+    assert sum(got[x][0] == want[x][0] for x in got) >= 0.99 * len(got)
+    with pytest.raises(Exception, match="fewer than five words"):
+        licenses.scan(table, (("S", "too short"),)).collect()
+
+
+def test_license_scan_of_the_documents_table(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    got = {(r["doc_id"], r["template"], r["n_shared"]) for r in QUERIES["op10_license_scan"](spark, "/root/testdata/sf0.001").collect()}
+    assert got == {(d, t, n) for (d, _, t), (n, _) in plain_licenses(docs, licenses.TEMPLATES).items()}
+
+
 def test_suffix_statistics_are_of_the_suffix_alone(spark):
     """5,000 domains and as many first path segments: each has its own rate, an unknown one 0.5."""
     rows = [(i, f"http://www.d{i}.t{i % 7}/s{i}/x") for i in range(5_000)]
@@ -251,11 +304,19 @@ def test_language_network_against_plain_sums():
     got = net.log_probabilities(codes, net.tables())
     for row, want in zip(codes[::11], got[::11]):
         hidden = []
-        for w, filters in zip(langid.WIDTHS, net.filters):
+        for w in langid.WIDTHS:
             for f in range(langid.FILTERS):
-                hidden.append(max(sum(float(filters[k][row[at + k]][f]) for k in range(w)) for at in range(langid.WINDOW)))
+                hidden.append(max(sum(float(net.filters[w][k][row[at + k]][f]) for k in range(w)) for at in range(langid.WINDOW)))
         hidden = [max(0.0, h + float(b)) for h, b in zip(hidden, net.bias)]
-        scores = [sum(h * float(net.weights[i][j]) for i, h in enumerate(hidden)) + float(net.offsets[j]) for j in range(2)]
+        scores = [sum(h * float(net.out[i][j]) for i, h in enumerate(hidden)) + float(net.out_bias[j]) for j in range(2)]
         top = max(scores)
         plain = [s - top - np.log(sum(np.exp(x - top) for x in scores)) for s in scores]
         assert np.allclose(plain, want, atol=1e-4)
+
+
+def test_language_id_held_out(spark):
+    """Trained on two thirds of the documents' table, held against the labels of the rest."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = QUERIES["op1_language_id"](spark, "/root/testdata/sf0.01").alias("p").join(docs.select("doc_id", "lang").alias("d"), "doc_id").filter("held_out AND lang IS NOT NULL AND lang_pred <> 'und'")
+    per = got.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("lang") == F.col("lang_pred")).alias("hits")).collect()
+    assert per and all(r["hits"] >= 0.95 * r["n"] for r in per), per
