@@ -33,7 +33,7 @@ from .common import in_order, pick, saved
 K = 20
 SCALE = 64
 #: Vectors in a packed block, of candidates and of queries.
-CANDIDATES = 2_048
+CANDIDATES = 8_192
 QUERIES = 512
 #: Dimensions accumulated between two rounds of pruning.
 STEP = 16
